@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .numeric import _col, clip, round_half_away
+from .numeric import clip_sql, round_sql
 
 # Fixed values of the comfort score: ideal temperature and humidity, penalty weights.
 IDEAL_TEMP = 18.0
@@ -17,40 +17,32 @@ WIND_WEIGHT = 1.5
 GREEN_FROM = 70.0
 ORANGE_FROM = 40.0
 
-_RAW_SCORE = (f"(100D - abs(t - {IDEAL_TEMP}D) * {TEMP_WEIGHT}D"
-              f" - abs(h - {IDEAL_HUMIDITY}D) * {HUMIDITY_WEIGHT}D - w * {WIND_WEIGHT}D)")
-_SQL_FUNCTION = f"""
-CREATE OR REPLACE TEMPORARY FUNCTION comfort_index(t DOUBLE, h DOUBLE, w DOUBLE)
-RETURNS DOUBLE
-RETURN CASE WHEN isnan({_RAW_SCORE}) OR {_RAW_SCORE} IS NULL THEN {_RAW_SCORE}
-            ELSE floor(least(greatest({_RAW_SCORE}, 0D), 100D) * 10 + 0.5D) / 10D END
-"""
 
+def comfort_sql(temp: str = "avg_temp", humidity: str = "avg_humidity", wind: str = "avg_wind_speed") -> str:
+    """0..100: 100 is the ideal temperature and humidity without wind."""
+    score = (f"(100D - abs({temp} - {IDEAL_TEMP}D) * {TEMP_WEIGHT}D"
+             f" - abs({humidity} - {IDEAL_HUMIDITY}D) * {HUMIDITY_WEIGHT}D - {wind} * {WIND_WEIGHT}D)")
+    return round_sql(clip_sql(score, 0.0, 100.0), 1)
 
-def temp_range(low: Column | str = "min_temp", high: Column | str = "max_temp") -> Column:
-    return round_half_away(_col(high) - _col(low), 2)
 
+def comfort_index(temp: str = "avg_temp", humidity: str = "avg_humidity", wind: str = "avg_wind_speed") -> Column:
+    return F.expr(comfort_sql(temp, humidity, wind))
 
-def whole_seconds(start: Column | str = "window_start", end: Column | str = "window_end") -> Column:
-    return F.timestamp_diff("SECOND", _col(start), _col(end))
 
+def comfort_band(score: str) -> Column:
+    return F.expr(f"CASE WHEN {score} >= {GREEN_FROM} THEN 'green' WHEN {score} >= {ORANGE_FROM} THEN 'orange'"
+                  f" WHEN {score} IS NOT NULL THEN 'red' END")
 
-def comfort_index(temp: Column | str = "avg_temp", humidity: Column | str = "avg_humidity",
-                  wind: Column | str = "avg_wind_speed") -> Column:
-    """0..100: 100 is the ideal temperature and humidity without wind."""
-    score = (F.lit(100.0)
-             - F.abs(_col(temp) - F.lit(IDEAL_TEMP)) * F.lit(TEMP_WEIGHT)
-             - F.abs(_col(humidity) - F.lit(IDEAL_HUMIDITY)) * F.lit(HUMIDITY_WEIGHT)
-             - _col(wind) * F.lit(WIND_WEIGHT))
-    return round_half_away(clip(score, 0.0, 100.0), 1)
+
+def temp_range(low: str = "min_temp", high: str = "max_temp") -> Column:
+    return F.expr(round_sql(f"({high} - {low})", 2))
 
 
-def comfort_band(score: Column | str) -> Column:
-    s = _col(score)
-    return (F.when(s >= GREEN_FROM, "green").when(s >= ORANGE_FROM, "orange")
-            .when(s.isNotNull(), "red"))
+def whole_seconds(start: str = "window_start", end: str = "window_end") -> Column:
+    return F.expr(f"timestampdiff(SECOND, {start}, {end})")
 
 
 def register_sql_functions(spark: SparkSession) -> None:
     """Make ``comfort_index(t, h, w)`` callable from SQL text; Catalyst inlines its body."""
-    spark.sql(_SQL_FUNCTION)
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION comfort_index(t DOUBLE, h DOUBLE, w DOUBLE)"
+              f" RETURNS DOUBLE RETURN {comfort_sql('t', 'h', 'w')}")

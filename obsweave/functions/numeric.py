@@ -3,94 +3,101 @@
 ``avg(double)`` adds in arrival order, so its last bit changes with the partitioning, and
 a mean of two-decimal numbers often sits exactly on a rounding boundary.  Both are dealt
 with here: sums are taken over integers, and rounding is half away from zero.
+
+The ``*_sql`` functions return SQL expression text; ``x`` is a column name or any SQL
+expression.  The others return the same as a Column.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from decimal import Decimal
+from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIGITS = 9           # decimals kept by the integer sums
 _LOW_BITS = 24       # a value is summed as two bigints, high part and low part
-_LOW_MASK = (1 << _LOW_BITS) - 1
-_BIGINT_ROOM = 9.0e18
-_NO_FRACTION = 1.0e15  # doubles beyond this are returned unrounded (also infinity, NaN)
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def round_sql(x: str, digits: int = 2) -> str:
+    """Half away from zero; NULL, NaN, infinity and doubles too large for a fraction pass through."""
+    p = f"{10 ** digits}D"
+    return (f"(CASE WHEN abs({x}) < {1e15 / 10 ** digits!r}D"
+            f" THEN (CASE WHEN ({x}) < 0 THEN ceil(({x}) * {p} - 0.5D) ELSE floor(({x}) * {p} + 0.5D) END) / {p}"
+            f" ELSE CAST({x} AS DOUBLE) END)")
 
 
-def round_half_away(c: Column | str, digits: int = 2) -> Column:
-    x = _col(c).cast("double")
-    power = F.lit(float(10 ** digits))
-    rounded = F.signum(x) * F.floor(F.abs(x) * power + F.lit(0.5)) / power
-    return F.when(F.abs(x) < F.lit(_NO_FRACTION / 10 ** digits), rounded).otherwise(x)
+def round_half_away(x: str, digits: int = 2) -> Column:
+    return F.expr(round_sql(x, digits))
 
 
-def clip(c: Column | str, low: float | None = None, high: float | None = None) -> Column:
-    """Bound a value on one or both sides.
+def clip_sql(x: str, low: float | None = None, high: float | None = None) -> str:
+    """Bound on one or both sides.  NULL stays NULL (``greatest`` would skip it), NaN stays NaN."""
+    y = x if low is None else f"greatest({x}, {float(low)!r}D)"
+    y = y if high is None else f"least({y}, {float(high)!r}D)"
+    return f"(CASE WHEN ({x}) IS NULL OR isnan({x}) THEN {x} ELSE {y} END)"
 
-    NULL stays NULL (``greatest`` would skip it) and NaN stays NaN (``least`` would drop it).
-    """
-    x = _col(c)
-    y = x
-    if low is not None:
-        y = F.greatest(y, F.lit(low))
-    if high is not None:
-        y = F.least(y, F.lit(high))
-    return F.when(x.isNotNull() & ~F.isnan(x), y).otherwise(x)
 
+def clip(x: str, low: float | None = None, high: float | None = None) -> Column:
+    return F.expr(clip_sql(x, low, high))
 
-def fixed_point(c: Column | str, digits: int = DIGITS) -> Column:
+
+def fixed_point_sql(x: str, digits: int = DIGITS) -> str:
     """The value as a bigint count of 10^-digits; NULL where it does not fit (NaN, huge)."""
-    x = _col(c).cast("double")
-    power = float(10 ** digits)
-    magnitude = F.floor(F.abs(x) * F.lit(power) + F.lit(0.5))
-    return F.when(F.abs(x) < F.lit(_BIGINT_ROOM / power),
-                  F.when(x < 0, -magnitude).otherwise(magnitude))
+    p = f"{10 ** digits}D"
+    return (f"(CASE WHEN abs({x}) < {9.0e18 / 10 ** digits!r}D THEN"
+            f" CASE WHEN ({x}) < 0 THEN -floor(-({x}) * {p} + 0.5D) ELSE floor(({x}) * {p} + 0.5D) END END)")
 
 
-def _high(c: Column | str, digits: int) -> Column:
-    return F.shiftright(fixed_point(c, digits), _LOW_BITS)
+def _pieces(x: str, digits: int) -> dict[str, str]:
+    v = fixed_point_sql(x, digits)
+    return {"high": f"sum(shiftright({v}, {_LOW_BITS}))", "low": f"sum({v} & {(1 << _LOW_BITS) - 1}L)",
+            "fitted": f"count({v})", "present": f"count({x})", "plain": f"sum(CAST({x} AS DOUBLE))"}
 
 
-def _low(c: Column | str, digits: int) -> Column:
-    return fixed_point(c, digits).bitwiseAND(F.lit(_LOW_MASK).cast("bigint"))
+def _mean_sql(p: Mapping[str, str], digits: int) -> str:
+    total = (f"CAST(CAST({p['high']} AS DECIMAL(20,0)) * {1 << _LOW_BITS}"
+             f" + CAST({p['low']} AS DECIMAL(20,0)) AS DOUBLE)")
+    return (f"(CASE WHEN {p['fitted']} = {p['present']}"
+            f" THEN {total} / {10 ** digits}D / nullif({p['fitted']}, 0)"
+            f" ELSE {p['plain']} / nullif({p['present']}, 0) END)")
 
 
-def _mean(high: Column, low: Column, fitted: Column, present: Column, plain: Column, digits: int) -> Column:
-    total = high.cast("decimal(20,0)") * F.lit(Decimal(1 << _LOW_BITS)) + low.cast("decimal(20,0)")
-    exact = total.cast("double") / F.lit(float(10 ** digits)) / F.nullif(fitted, F.lit(0))
-    return F.when(fitted == present, exact).otherwise(plain)
+def exact_avg_sql(x: str, digits: int = DIGITS, over: str = "") -> str:
+    """Mean from integer sums; with NaN, infinite or huge values in it the plain mean.
 
+    ``over`` is an ``OVER (...)`` clause that is put behind every aggregate.
+    """
+    return _mean_sql({k: f"{v} {over}" for k, v in _pieces(x, digits).items()}, digits)
 
-def exact_avg(c: Column | str, digits: int = DIGITS,
-              over: Callable[[Column], Column] | None = None) -> Column:
-    """Mean from integer sums; inputs that are NaN, infinite or huge fall back to ``avg``.
 
-    ``over`` wraps every aggregate, e.g. ``lambda a: a.over(window)``.
-    """
-    wrap = over or (lambda a: a)
-    return _mean(wrap(F.sum(_high(c, digits))), wrap(F.sum(_low(c, digits))),
-                 wrap(F.count(fixed_point(c, digits))), wrap(F.count(_col(c))),
-                 wrap(F.avg(_col(c).cast("double"))), digits)
-
-
-def avg_parts(c: str, name: str, digits: int = DIGITS) -> list[Column]:
-    """Mergeable pieces of :func:`exact_avg`, for aggregates that run in two levels."""
-    return [F.sum(_high(c, digits)).alias(f"{name}__high"),
-            F.sum(_low(c, digits)).alias(f"{name}__low"),
-            F.count(fixed_point(c, digits)).alias(f"{name}__fitted"),
-            F.count(F.col(c)).alias(f"{name}__present"),
-            F.sum(F.col(c).cast("double")).alias(f"{name}__plain")]
-
-
-def merge_avg_parts(name: str, digits: int = DIGITS) -> Column:
-    present = F.sum(f"{name}__present")
-    plain = F.sum(f"{name}__plain") / F.nullif(present, F.lit(0))
-    return _mean(F.sum(f"{name}__high"), F.sum(f"{name}__low"), F.sum(f"{name}__fitted"),
-                 present, plain, digits)
+def exact_avg(x: str, digits: int = DIGITS, over: str = "") -> Column:
+    return F.expr(exact_avg_sql(x, digits, over))
+
+
+def _is_integral(df: DataFrame, name: str) -> bool:
+    return dict(df.dtypes).get(name) in _INTEGRAL
+
+
+def mean(df: DataFrame, name: str, digits: int = 2) -> Column:
+    """Rounded mean of a column of ``df``; whole numbers are added exactly as they are."""
+    return F.expr(round_sql(f"avg({name})" if _is_integral(df, name) else exact_avg_sql(name), digits))
+
+
+def avg_parts(df: DataFrame, name: str, out: str) -> list[Column]:
+    """Mergeable pieces of a mean, for aggregates that run in two levels."""
+    if _is_integral(df, name):
+        pieces = {"plain": f"sum({name})", "present": f"count({name})"}
+    else:
+        pieces = _pieces(name, DIGITS)
+    return [F.expr(f"{sql} AS {out}__{part}") for part, sql in pieces.items()]
+
+
+def merged_mean(parts: DataFrame, out: str, digits: int = 2) -> Column:
+    sums = {part: f"sum({out}__{part})" for part in ("high", "low", "fitted", "present", "plain")}
+    if f"{out}__high" in parts.columns:
+        value = _mean_sql(sums, DIGITS)
+    else:
+        value = f"({sums['plain']} / nullif({sums['present']}, 0))"
+    return F.expr(f"{round_sql(value, digits)} AS {out}")

@@ -1,18 +1,15 @@
-"""Quality rules as column expressions: six checks in a fixed order, all reported."""
+"""Quality rules as SQL conditions: six checks in a fixed order, all reported."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .times import instant, unix_seconds_of
-
-_NOT_BLANK = r"(?U)\S"   # any character that is not Unicode white space
+from .times import Instant, instant_sql, unix_seconds_sql
 
 
 @dataclass(frozen=True)
@@ -30,97 +27,85 @@ class Bounds:
 
 class Rule(NamedTuple):
     field: str
-    broken: Column    # never NULL
-    message: Column
+    broken: str    # SQL condition, never NULL
+    message: str   # SQL text expression
 
 
-def _plain(bound: float) -> str:
-    return str(int(bound)) if float(bound).is_integer() else str(bound)
+def _number(bound: float) -> str:
+    return str(int(bound)) if float(bound).is_integer() else repr(bound)
 
 
-def _one_decimal(c: Column) -> Column:
-    # format_number with a pattern rounds the exact binary value, half to even
-    return F.format_number(c.cast("double"), "0.0")
+def _outside(x: str, low: float, high: float) -> str:
+    """True also for NaN, which sorts above every number, and for NULL."""
+    return f"coalesce({x} < {_number(low)} OR {x} > {_number(high)}, true)"
 
 
-def _outside(c: Column, low: float, high: float) -> Column:
-    """True also for NaN, which sorts above every number, and for NULL."""
-    return F.coalesce((c < F.lit(low)) | (c > F.lit(high)), F.lit(True))
+def _says(field: str, x: str, shown: str, unit: str, low: float, high: float) -> str:
+    return (f"coalesce(concat('{field} ', {shown}, '{unit} out of range [{_number(low)}, {_number(high)}]'),"
+            f" '{field} is missing')")
+
+
+def _one_decimal(x: str) -> str:
+    # this pattern rounds the exact binary value, half to even
+    return f"format_number(CAST({x} AS DOUBLE), '0.0')"
 
 
-def _text(field: str, c: Column, *parts: Column | str) -> Column:
-    said = F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-    return F.when(c.isNull(), F.lit(f"{field} is missing")).otherwise(said)
+def time_column(columns: Mapping[str, str]) -> str | None:
+    return next((n for n in ("timestamp_unix", "collected_at") if n in columns), None)
 
 
-def rules(schema: T.StructType, bounds: Bounds = Bounds(),
-          now: datetime | str | int | Column | None = None) -> list[Rule]:
-    """The checks for a frame with ``schema``, in reporting order.
+def rules(columns: Mapping[str, str], bounds: Bounds = Bounds(), now: Instant = None) -> list[Rule]:
+    """The checks for a frame with ``columns`` (name -> type), in reporting order.
 
     The observation time is ``timestamp_unix`` if the frame has it, else ``collected_at``;
     either may hold unix seconds or a timestamp.  A measurement column the frame lacks
     counts as 0 and a missing city column as blank.
     """
-    names = set(schema.names)
-
-    def field(name: str, default: object) -> Column:
-        return F.col(name) if name in names else F.lit(default)
-
-    city = field("city", "")
-    temperature, humidity = field("temperature", 0.0), field("humidity", 0)
-    pressure, wind = field("pressure", 0), field("wind_speed", 0.0)
-    time_col = time_column(schema)
-    taken = unix_seconds_of(time_col, schema[time_col].dataType) if time_col else F.lit(0).cast("bigint")
-    lag = F.unix_seconds(instant(now)) - taken
+    def field(name: str, default: str) -> str:
+        return name if name in columns else default
+
+    city = field("city", "''")
+    temperature, humidity = field("temperature", "0D"), field("humidity", "0")
+    pressure, wind = field("pressure", "0"), field("wind_speed", "0D")
+    taken = time_column(columns)
+    seconds = unix_seconds_sql(taken, columns[taken]) if taken else "0L"
+    lag = f"(unix_seconds({instant_sql(now)}) - {seconds})"
     b = bounds
     # The message texts.
     return [
-        Rule("city", F.coalesce(~city.rlike(_NOT_BLANK), F.lit(True)), F.lit("city name is empty")),
+        # blank means no character outside Unicode white space
+        Rule("city", f"coalesce(NOT {city} RLIKE '(?U)\\\\S', true)", "'city name is empty'"),
         Rule("temperature", _outside(temperature, b.temp_min_c, b.temp_max_c),
-             _text("temperature", temperature, "temperature ", _one_decimal(temperature),
-                   f" °C out of range [{_plain(b.temp_min_c)}, {_plain(b.temp_max_c)}]")),
+             _says("temperature", temperature, _one_decimal(temperature), " °C", b.temp_min_c, b.temp_max_c)),
         Rule("humidity", _outside(humidity, b.humidity_min, b.humidity_max),
-             _text("humidity", humidity, "humidity ", humidity.cast("string"),
-                   f" out of range [{b.humidity_min}, {b.humidity_max}]")),
+             _says("humidity", humidity, f"CAST({humidity} AS STRING)", "", b.humidity_min, b.humidity_max)),
         Rule("pressure", _outside(pressure, b.pressure_min, b.pressure_max),
-             _text("pressure", pressure, "pressure ", pressure.cast("string"),
-                   f" hPa out of range [{b.pressure_min}, {b.pressure_max}]")),
+             _says("pressure", pressure, f"CAST({pressure} AS STRING)", " hPa", b.pressure_min, b.pressure_max)),
         Rule("wind_speed", _outside(wind, 0.0, b.wind_speed_max),
-             _text("wind_speed", wind, "wind_speed ", _one_decimal(wind),
-                   f" m/s out of range [0, {_plain(b.wind_speed_max)}]")),
-        Rule("timestamp", F.coalesce((lag < 0) | (lag > b.timestamp_max_lag_sec), F.lit(True)),
-             F.when(lag.isNull(), "timestamp is missing").when(lag < 0, "timestamp is in the future")
-             .otherwise(F.concat(F.lit("timestamp is "), lag.cast("string"),
-                                 F.lit(f" seconds old (max {b.timestamp_max_lag_sec})")))),
+             _says("wind_speed", wind, _one_decimal(wind), " m/s", 0.0, b.wind_speed_max)),
+        Rule("timestamp", f"coalesce({lag} < 0 OR {lag} > {b.timestamp_max_lag_sec}, true)",
+             f"CASE WHEN {lag} < 0 THEN 'timestamp is in the future' ELSE coalesce(concat('timestamp is ',"
+             f" CAST({lag} AS STRING), ' seconds old (max {b.timestamp_max_lag_sec})'), 'timestamp is missing') END"),
     ]
 
 
-def time_column(schema: T.StructType) -> str | None:
-    return next((n for n in ("timestamp_unix", "collected_at") if n in schema.names), None)
-
-
 def violations(checks: list[Rule]) -> Column:
     """``array<struct<field, message>>`` of every broken rule; empty for a good row."""
-    return F.array_compact(F.array(*[
-        F.when(r.broken, F.struct(F.lit(r.field).alias("field"), r.message.alias("message")))
-        for r in checks
-    ]))
+    found = ", ".join(f"CASE WHEN {r.broken} THEN struct('{r.field}' AS field, {r.message} AS message) END"
+                      for r in checks)
+    return F.expr(f"array_compact(array({found}))")
 
 
-def is_valid(checks: list[Rule]) -> Column:
+def valid_sql(checks: list[Rule]) -> str:
     """The same decision without building messages."""
-    ok = ~checks[0].broken
-    for r in checks[1:]:
-        ok = ok & ~r.broken
-    return ok
+    return "NOT (" + " OR ".join(r.broken for r in checks) + ")"
 
 
 def within_ranges(bounds: Bounds = Bounds()) -> Column:
     """The reduced rule set: five ranges, city only non-empty, no time rule, NULL fails."""
     b = bounds
-    return F.coalesce(
-        F.col("temperature").between(b.temp_min_c, b.temp_max_c)
-        & F.col("humidity").between(b.humidity_min, b.humidity_max)
-        & F.col("pressure").between(b.pressure_min, b.pressure_max)
-        & F.col("wind_speed").between(0.0, b.wind_speed_max)
-        & (F.char_length("city") > 0), F.lit(False))
+    return F.expr(f"""
+        temperature BETWEEN {b.temp_min_c!r}D AND {b.temp_max_c!r}D
+        AND humidity BETWEEN {b.humidity_min} AND {b.humidity_max}
+        AND pressure BETWEEN {b.pressure_min} AND {b.pressure_max}
+        AND wind_speed BETWEEN 0D AND {b.wind_speed_max!r}D AND char_length(city) > 0""")

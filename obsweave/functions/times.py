@@ -2,46 +2,54 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .numeric import _col
+Instant = datetime | str | int | float | None
 
-_MAX_UNIX_SECONDS = 1.0e11
+_MAX_UNIX_SECONDS = "1.0e11D"
 
 
-def time_from_text(text: Column | str) -> Column:
+def time_from_text_sql(text: str) -> str:
     """ISO-8601 text (with or without zone, ``Z`` included) or unix seconds; NULL if neither."""
-    s = F.trim(_col(text))
-    seconds = s.try_cast("double")
-    return (F.when(F.abs(seconds) < _MAX_UNIX_SECONDS, F.timestamp_seconds(seconds))
-            .when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), s.try_cast("timestamp")))
+    return (f"(CASE WHEN abs(try_cast({text} AS DOUBLE)) < {_MAX_UNIX_SECONDS}"
+            f" THEN timestamp_seconds(try_cast({text} AS DOUBLE))"
+            f" WHEN trim({text}) LIKE '____-__-__%' THEN try_cast({text} AS TIMESTAMP) END)")
 
 
-def iso_text(ts: Column | str) -> Column:
+def iso_text_sql(ts: str) -> str:
     """``2024-01-01T00:00:00``, with six decimals only if there is a fraction."""
-    t = _col(ts)
-    whole = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
-    return F.when(F.unix_micros(t) % 1_000_000 == 0, whole).otherwise(
-        F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    return (f"date_format({ts}, CASE WHEN unix_micros({ts}) % 1000000 = 0 THEN 'yyyy-MM-dd\\'T\\'HH:mm:ss'"
+            f" ELSE 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS' END)")
 
 
-def unix_seconds_of(c: Column | str, data_type: T.DataType) -> Column:
+def time_from_text(text: str) -> Column:
+    return F.expr(time_from_text_sql(text))
+
+
+def iso_text(ts: str) -> Column:
+    return F.expr(iso_text_sql(ts))
+
+
+def unix_seconds_sql(name: str, data_type: str) -> str:
     """Unix seconds of a column that holds either seconds or a timestamp."""
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_seconds(_col(c).cast("timestamp"))
-    return _col(c).cast("bigint")
+    if data_type.startswith("timestamp"):
+        return f"unix_seconds(CAST({name} AS TIMESTAMP))"
+    return f"CAST({name} AS BIGINT)"
+
 
+def instant_sql(value: Instant) -> str:
+    """A point in time given as datetime, ISO text or unix seconds; None is now.
 
-def instant(value: datetime | str | int | float | Column | None) -> Column:
-    """A point in time given as datetime, ISO text, unix seconds or column; None is now."""
+    A datetime or text without zone is UTC.
+    """
     if value is None:
-        return F.current_timestamp()
-    if isinstance(value, Column):
-        return value
+        return "current_timestamp()"
     if isinstance(value, (int, float)):
-        return F.timestamp_seconds(F.lit(value))
-    return F.lit(value).cast("timestamp")
+        return f"timestamp_seconds({value!r})"
+    moment = datetime.fromisoformat(value.replace("Z", "+00:00")) if isinstance(value, str) else value
+    if moment.tzinfo is None:
+        moment = moment.replace(tzinfo=timezone.utc)
+    return f"TIMESTAMP '{moment.astimezone(timezone.utc):%Y-%m-%d %H:%M:%S.%f}+00:00'"

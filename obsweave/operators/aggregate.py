@@ -5,30 +5,26 @@ City means are plain means of the window means, not weighted by ``count``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.comfort import comfort_index
-from ..functions.numeric import exact_avg, round_half_away
+from ..functions.numeric import exact_avg_sql, mean, round_half_away, round_sql
 from ..session import spool
 from .latest import latest_per_key
 from .ranks import percentiles
 
 
-def _mean(c: str, digits: int) -> Column:
-    return round_half_away(exact_avg(c), digits)
-
-
 def city_summary(df: DataFrame) -> DataFrame:
     """All-time summary per city, warmest first; ``avg_comfort`` is NULL on a table not enriched."""
-    comfort = _mean("comfort_index", 1) if "comfort_index" in df.columns else F.lit(None).cast("double")
+    comfort = mean(df, "comfort_index", 1) if "comfort_index" in df.columns else F.lit(None).cast("double")
     return (df.groupBy("city").agg(
-        _mean("avg_temp", 2).alias("overall_avg_temp"),
+        mean(df, "avg_temp", 2).alias("overall_avg_temp"),
         F.min("min_temp").alias("overall_min_temp"),
         F.max("max_temp").alias("overall_max_temp"),
-        _mean("avg_humidity", 1).alias("overall_avg_humidity"),
-        _mean("avg_pressure", 1).alias("overall_avg_pressure"),
-        _mean("avg_wind_speed", 2).alias("overall_avg_wind"),
+        mean(df, "avg_humidity", 1).alias("overall_avg_humidity"),
+        mean(df, "avg_pressure", 1).alias("overall_avg_pressure"),
+        mean(df, "avg_wind_speed", 2).alias("overall_avg_wind"),
         F.sum("count").alias("total_readings"),
         F.count(F.lit(1)).alias("window_count"),
         comfort.alias("avg_comfort"))
@@ -37,9 +33,9 @@ def city_summary(df: DataFrame) -> DataFrame:
 
 def top_cities_by_temp(df: DataFrame, top_n: int = 5) -> DataFrame:
     return (df.groupBy("city").agg(
-        _mean("avg_temp", 2).alias("mean_temp"),
-        round_half_away(F.min("min_temp"), 2).alias("abs_min_temp"),
-        round_half_away(F.max("max_temp"), 2).alias("abs_max_temp"),
+        mean(df, "avg_temp", 2).alias("mean_temp"),
+        round_half_away("min(min_temp)", 2).alias("abs_min_temp"),
+        round_half_away("max(max_temp)", 2).alias("abs_max_temp"),
         F.sum("count").alias("total_readings"),
         F.count(F.lit(1)).alias("window_count"))
         .orderBy(F.col("mean_temp").desc(), "city").limit(top_n))
@@ -48,9 +44,9 @@ def top_cities_by_temp(df: DataFrame, top_n: int = 5) -> DataFrame:
 def hourly_stats(df: DataFrame, time_col: str = "window_start") -> DataFrame:
     """Means per hour of day over all cities."""
     return (df.groupBy(F.hour(time_col).cast("bigint").alias("hour_of_day")).agg(
-        _mean("avg_temp", 2).alias("avg_temp"),
-        _mean("avg_humidity", 1).alias("avg_humidity"),
-        _mean("avg_wind_speed", 2).alias("avg_wind"),
+        mean(df, "avg_temp", 2).alias("avg_temp"),
+        mean(df, "avg_humidity", 1).alias("avg_humidity"),
+        mean(df, "avg_wind_speed", 2).alias("avg_wind"),
         F.count(F.lit(1)).alias("samples"))
         .orderBy("hour_of_day"))
 
@@ -67,10 +63,10 @@ def temperature_percentiles(df: DataFrame, approximate: bool = False) -> DataFra
     if approximate:
         found = df.groupBy("city").agg(
             F.percentile_approx("avg_temp", list(PERCENTILES.values()), 10_000).alias("p"))
-        found = found.select("city", *[F.col("p")[i].alias(n) for i, n in enumerate(PERCENTILES)])
+        found = found.selectExpr("city", *[f"p[{i}] AS {n}" for i, n in enumerate(PERCENTILES)])
     else:
         found = percentiles(df, ["city"], "avg_temp", PERCENTILES)
-    return (found.select("city", *[round_half_away(n, 2).alias(n) for n in PERCENTILES])
+    return (found.selectExpr("city", *[f"{round_sql(n, 2)} AS {n}" for n in PERCENTILES])
             .orderBy(F.col("median").desc(), "city"))
 
 
@@ -80,44 +76,49 @@ def anomalies(df: DataFrame, z_threshold: float = 2.0) -> DataFrame:
     Runs one job: the per-city statistics are written to the work folder, so that the table
     itself is joined without a shuffle whenever the statistics measure small enough.
     """
-    stats = spool(df.groupBy("city").agg(exact_avg("avg_temp").alias("mean_t"),
+    stats = spool(df.groupBy("city").agg(F.expr(f"{exact_avg_sql('avg_temp')} AS mean_t"),
                                          F.stddev("avg_temp").alias("std_t")), "city-stats")
-    score = F.abs(F.col("avg_temp") - F.col("mean_t")) / F.nullif(F.col("std_t"), F.lit(0.0))
-    return (df.select("city", "window_start", "avg_temp").join(stats, "city")
-            .where(score > F.lit(float(z_threshold)))
-            .select("city", "window_start", "avg_temp", round_half_away(score, 2).alias("z_score"))
+    scored = df.select("city", "window_start", "avg_temp").join(stats, "city").selectExpr(
+        "city", "window_start", "avg_temp", "abs(avg_temp - mean_t) / nullif(std_t, 0D) AS score")
+    return (scored.where(F.col("score") > float(z_threshold))
+            .selectExpr("city", "window_start", "avg_temp", f"{round_sql('score', 2)} AS z_score")
             .orderBy(F.col("z_score").desc(), "city", "window_start"))
 
 
 def humidity_by_hour(df: DataFrame) -> DataFrame:
     """Mean humidity per city and hour of ``window_end``."""
     return (df.groupBy("city", F.hour("window_end").cast("bigint").alias("hour"))
-            .agg(_mean("avg_humidity", 1).alias("humidity")).orderBy("city", "hour"))
+            .agg(mean(df, "avg_humidity", 1).alias("humidity")).orderBy("city", "hour"))
 
 
 def comfort_by_city(df: DataFrame) -> DataFrame:
     if "comfort_index" not in df.columns:
         df = df.withColumn("comfort_index", comfort_index())
-    return (df.groupBy("city").agg(_mean("comfort_index", 1).alias("avg_comfort"))
+    return (df.groupBy("city").agg(mean(df, "comfort_index", 1).alias("avg_comfort"))
             .orderBy(F.col("avg_comfort").desc(), "city"))
 
 
 def demo_summary(df: DataFrame) -> DataFrame:
-    return (df.groupBy("city").agg(_mean("avg_temp", 2).alias("mean_temp"),
+    return (df.groupBy("city").agg(mean(df, "avg_temp", 2).alias("mean_temp"),
                                    F.sum("count").alias("total_readings"))
             .orderBy(F.col("mean_temp").desc(), "city"))
 
 
 def mean_by_city(df: DataFrame) -> DataFrame:
-    return (df.groupBy("city").agg(_mean("avg_temp", 2).alias("mean_temp"))
+    return (df.groupBy("city").agg(mean(df, "avg_temp", 2).alias("mean_temp"))
             .orderBy(F.col("mean_temp").desc(), "city"))
 
 
+MEAN_BY_CITY_SQL = (f"SELECT city, {round_sql(exact_avg_sql('avg_temp'), 2)} AS mean_temp FROM {{src}}"
+                    " GROUP BY city ORDER BY mean_temp DESC, city")
+
+
 def kpi_latest(df: DataFrame) -> DataFrame:
     """One row: means over the latest row of every city."""
-    return latest_per_key(df).agg(
-        exact_avg("avg_temp").alias("avg_temp"), exact_avg("avg_humidity").alias("avg_humidity"),
-        exact_avg("avg_pressure").alias("avg_pressure"), exact_avg("avg_wind_speed").alias("avg_wind"))
+    return latest_per_key(df).selectExpr(
+        *[f"{exact_avg_sql(c)} AS {out}" for c, out in
+          [("avg_temp", "avg_temp"), ("avg_humidity", "avg_humidity"),
+           ("avg_pressure", "avg_pressure"), ("avg_wind_speed", "avg_wind")]])
 
 
 def distinct_cities(df: DataFrame) -> DataFrame:
@@ -126,9 +127,8 @@ def distinct_cities(df: DataFrame) -> DataFrame:
 
 def table_counts(df: DataFrame) -> DataFrame:
     """Row count and number of cities in one pass (cities are counted from their groups)."""
-    per_city = df.groupBy("city").agg(F.count(F.lit(1)).alias("n"))
-    return per_city.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-                        F.count("city").alias("cities"))
+    per_city = df.groupBy("city").agg(F.expr("count(1) AS n"))
+    return per_city.selectExpr("coalesce(sum(n), 0L) AS row_count", "count(city) AS cities")
 
 
 def histogram(df: DataFrame, key: str = "city", value: str = "avg_temp", bins: int = 15) -> DataFrame:
@@ -139,27 +139,23 @@ def histogram(df: DataFrame, key: str = "city", value: str = "avg_temp", bins: i
     on the wrong side of an edge is moved to the bin whose edges hold it.  Runs one job for
     the ranges (see :func:`~obsweave.session.spool`).
     """
-    found = df.where(F.col(value).isNotNull())
-    ends = found.groupBy(key).agg(F.min(value).alias("a"), F.max(value).alias("z"))
-    flat = F.col("a") == F.col("z")
-    ranges = spool(ends.select(
-        key, F.when(flat, F.col("a") - 0.5).otherwise(F.col("a")).alias("low"),
-        F.when(flat, F.col("z") + 0.5).otherwise(F.col("z")).alias("high")), "ranges")
-    step = (F.col("high") - F.col("low")) / F.lit(float(bins))
-
-    def edge(i: Column) -> Column:
-        return F.col("low") + i * step
-
-    guess = F.least(F.floor((F.col(value) - F.col("low")) / step), F.lit(bins - 1).cast("bigint"))
-    binned = (found.select(key, value).join(ranges, key).withColumn("g", guess)
-              .withColumn("bin", F.when(F.col(value) < edge(F.col("g")), F.col("g") - 1)
-                          .when((F.col("g") < bins - 1) & (F.col(value) >= edge(F.col("g") + 1)),
-                                F.col("g") + 1).otherwise(F.col("g"))))
-    counts = binned.groupBy(key, "bin").agg(F.count(F.lit(1)).alias("n"))
-    frame = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint"))
+    found = df.where(f"{value} IS NOT NULL").select(key, F.col(value).alias("v"))
+    ends = found.groupBy(key).agg(F.expr("min(v) AS a"), F.expr("max(v) AS z"))
+    ranges = spool(ends.selectExpr(key, "IF(a = z, a - 0.5D, a) AS low", "IF(a = z, z + 0.5D, z) AS high"),
+                   "ranges")
+    step = f"((high - low) / {float(bins)!r}D)"
+
+    def edge(i: str) -> str:
+        return f"(low + ({i}) * {step})"
+
+    last = bins - 1
+    counts = (found.join(ranges, key)
+              .selectExpr("*", f"least(floor((v - low) / {step}), {last}L) AS g")
+              .selectExpr(key, f"CASE WHEN v < {edge('g')} THEN g - 1"
+                               f" WHEN g < {last} AND v >= {edge('g + 1')} THEN g + 1 ELSE g END AS bin")
+              .groupBy(key, "bin").agg(F.expr("count(1) AS n")))
+    frame = ranges.selectExpr("*", f"explode(sequence(0L, {last}L)) AS bin")
     return (frame.join(counts, [key, "bin"], "left")
-            .select(key, "bin", edge(F.col("bin")).alias("bin_start"),
-                    F.when(F.col("bin") == bins - 1, F.col("high")).otherwise(edge(F.col("bin") + 1))
-                    .alias("bin_end"),
-                    F.coalesce("n", F.lit(0)).alias("n"))
+            .selectExpr(key, "bin", f"{edge('bin')} AS bin_start",
+                        f"IF(bin = {last}, high, {edge('bin + 1')}) AS bin_end", "coalesce(n, 0L) AS n")
             .orderBy(key, "bin"))

@@ -12,87 +12,69 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import _col
-
-_TINY, _HUGE = 1.0e-300, 1.0e300
-
 
 def _outer(digits: int) -> int:
     return 10 ** (digits + 4)       # bucket of infinities; NaN comes after it
 
 
-def value_bucket(c: Column | str, digits: int = 3) -> Column:
+def value_bucket_sql(x: str, digits: int = 3) -> str:
     """A bigint that never decreases with the value: its sign, exponent and first digits.
 
     With three digits there are about 900 buckets per power of ten, so the number of buckets
     of a group is bounded by the range of the values and not by their count.
     """
-    x = _col(c).cast("double")
-    size = F.abs(x)
-    exponent = F.floor(F.log10(size))
-    code = (exponent + 400) * 10 ** digits + F.floor(
-        size / F.pow(F.lit(10.0), (exponent - (digits - 1)).cast("double")))
-    return (F.when(F.isnan(x), F.lit(_outer(digits) + 1))
-            .when(size <= _TINY, F.lit(0))
-            .when(size >= _HUGE, F.signum(x).cast("bigint") * _outer(digits))
-            .when(x < 0, -code).otherwise(code)).cast("bigint")
+    exponent = f"floor(log10(abs({x})))"
+    code = (f"(({exponent} + 400) * {10 ** digits}"
+            f" + floor(abs({x}) / pow(10D, {exponent} - {digits - 1})))")
+    return (f"(CASE WHEN isnan({x}) THEN {_outer(digits) + 1}L WHEN abs({x}) <= 1.0e-300D THEN 0L"
+            f" WHEN abs({x}) >= 1.0e300D THEN CAST(sign({x}) AS BIGINT) * {_outer(digits)}L"
+            f" WHEN {x} < 0 THEN -{code} ELSE {code} END)")
 
 
 def counted_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """``keys, b, v, n``: how often each non-NULL value occurs.  Combined before the shuffle."""
-    return (df.where(F.col(value).isNotNull())
-            .groupBy(*keys, value_bucket(value).alias("b"), F.col(value).alias("v"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    return (df.where(f"{value} IS NOT NULL").select(*keys, F.col(value).alias("v"))
+            .groupBy(*keys, F.expr(value_bucket_sql("v")).alias("b"), "v")
+            .agg(F.expr("count(1) AS n")))
 
 
-def values_at(counted: DataFrame, keys: Sequence[str], wanted: Column) -> DataFrame:
+def values_at(counted: DataFrame, keys: Sequence[str], wanted: str) -> DataFrame:
     """The values at given 0-based positions of every group's sorted values.
 
-    ``wanted`` is an array of bigint positions computed from the group size, which it may
-    call ``total``.  Returns ``keys, total, pos, v``.
+    ``wanted`` is SQL for an array of bigint positions computed from the group size, which
+    it may call ``total``.  Returns ``keys, total, pos, v``.
     """
-    keys = list(keys)
-    buckets = counted.groupBy(*keys, "b").agg(F.sum("n").alias("n"))
+    by = ", ".join(keys)
     # windows over buckets: a few thousand rows per group at most
-    running = Window.partitionBy(*keys).orderBy("b")
-    group = Window.partitionBy(*keys)
-    targets = (buckets
-               .withColumn("upto", F.sum("n").over(running))
-               .withColumn("total", F.sum("n").over(group))
-               .withColumn("pos", F.explode(F.array_distinct(wanted)))
-               .where((F.col("pos") >= F.col("upto") - F.col("n")) & (F.col("pos") < F.col("upto")))
-               .select(*keys, "b", "total", "pos", (F.col("upto") - F.col("n")).alias("before")))
-    targets = targets.select(*[F.col(k).alias(f"t_{k}") for k in keys],
-                             F.col("b").alias("t_b"), "total", "pos", "before")
-    match = F.col("b") == F.col("t_b")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"t_{k}"))
-    inner = Window.partitionBy(*keys, "b", "pos").orderBy("v")
-    inside = (counted.join(targets, match)
-              .withColumn("upto", F.col("before") + F.sum("n").over(inner)))
-    return (inside.where((F.col("pos") >= F.col("upto") - F.col("n")) & (F.col("pos") < F.col("upto")))
-            .select(*keys, "total", "pos", "v"))
+    targets = (counted.groupBy(*keys, "b").agg(F.expr("sum(n) AS n"))
+               .selectExpr(*keys, "b", "n", f"sum(n) OVER (PARTITION BY {by} ORDER BY b) AS upto",
+                           f"sum(n) OVER (PARTITION BY {by}) AS total")
+               .select("*", F.expr(f"explode(array_distinct({wanted})) AS pos"))
+               .where("pos >= upto - n AND pos < upto")
+               .selectExpr(*[f"{k} AS t_{k}" for k in keys], "b AS t_b", "total", "pos", "upto - n AS before"))
+    same = " AND ".join(["b = t_b", *[f"{k} <=> t_{k}" for k in keys]])
+    return (counted.join(targets, F.expr(same))
+            .selectExpr("*", f"before + sum(n) OVER (PARTITION BY {by}, b, pos ORDER BY v) AS upto")
+            .where("pos >= upto - n AND pos < upto").select(*keys, "total", "pos", "v"))
 
 
 def percentiles(df: DataFrame, keys: Sequence[str], value: str,
                 wanted: dict[str, float]) -> DataFrame:
     """Continuous percentiles (linear interpolation) of every group, one column each."""
-    def place(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("total") - 1).cast("double")
+    def place(p: float) -> str:
+        return f"({float(p)!r}D * (total - 1))"
 
-    ends = F.array(*[f(place(p)).cast("bigint") for p in wanted.values() for f in (F.floor, F.ceil)])
-    at = values_at(counted_values(df, keys, value), keys, ends)
+    ends = ", ".join(f"floor({place(p)}), ceil({place(p)})" for p in wanted.values())
+    at = values_at(counted_values(df, keys, value), keys, f"array({ends})")
     # at most two values per percentile and group
-    by_pos = at.groupBy(*keys).agg(F.first("total").alias("total"),
-                                   F.map_from_entries(F.collect_list(F.struct("pos", "v"))).alias("m"))
-    columns = []
-    for name, p in wanted.items():
-        at_p = place(p)
-        low = F.col("m")[F.floor(at_p).cast("bigint")]
-        high = F.col("m")[F.ceil(at_p).cast("bigint")]
-        share = at_p - F.floor(at_p)
-        columns.append((low * (F.lit(1.0) - share) + high * share).alias(name))
-    return by_pos.select(*keys, *columns)
+    found = at.groupBy(*keys).agg(F.expr("first(total) AS total"),
+                                  F.expr("map_from_entries(collect_list(struct(pos, v))) AS m"))
+
+    def between(p: float) -> str:
+        share = f"({place(p)} - floor({place(p)}))"
+        return f"m[floor({place(p)})] * (1D - {share}) + m[ceil({place(p)})] * {share}"
+
+    return found.selectExpr(*keys, *[f"{between(p)} AS {name}" for name, p in wanted.items()])
 
 
 def largest_n(df: DataFrame, n: int, column: str, ties: Sequence[Column] = ()) -> DataFrame:
@@ -101,12 +83,12 @@ def largest_n(df: DataFrame, n: int, column: str, ties: Sequence[Column] = ()) -
     Buckets above the one holding the n-th row are kept whole; only that one is ranked.
     """
     digits = 6
-    with_bucket = df.withColumn("__b", F.coalesce(value_bucket(column, digits), F.lit(-_outer(digits) - 1)))
-    sizes = with_bucket.groupBy("__b").agg(F.count(F.lit(1)).alias("__c"))
-    upto = F.sum("__c").over(Window.orderBy(F.col("__b").desc()))
-    room = (sizes.select("__b", "__c", (F.lit(n) - upto + F.col("__c")).alias("__room"))
+    bucketed = df.withColumn("__b", F.expr(
+        f"coalesce({value_bucket_sql(column, digits)}, {-_outer(digits) - 1}L)"))
+    room = (bucketed.groupBy("__b").agg(F.expr("count(1) AS __c"))
+            .selectExpr("__b", "__c", f"{n} - sum(__c) OVER (ORDER BY __b DESC) + __c AS __room")
             .where("__room > 0"))
-    tagged = with_bucket.join(room, "__b")
+    tagged = bucketed.join(room, "__b")
     whole = tagged.where("__room >= __c")
     edge = Window.partitionBy("__b").orderBy(F.col(column).desc(), *ties)
     cut = (tagged.where("__room < __c").withColumn("__r", F.row_number().over(edge))

@@ -4,77 +4,76 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_avg, round_half_away
+from ..functions.numeric import exact_avg_sql, round_sql
 from .ranks import counted_values, values_at
 
+PERCENTS = (50, 95, 99)      # fixed values: the reported percentiles
+
 
 def request_stats(log: DataFrame, round_col: str = "round", latency: str = "response_time_ms",
                   error: str = "error") -> DataFrame:
     """Per poll round: total, success, errors, mean latency of the successes (0 if none)."""
-    ok = F.col(error).isNull()
+    of_successes = exact_avg_sql(f"(CASE WHEN {error} IS NULL THEN {latency} END)")
     return log.groupBy(round_col).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("success"),
-        F.count_if(~ok).alias("errors"),
-        F.coalesce(round_half_away(exact_avg(F.when(ok, F.col(latency))), 2), F.lit(0.0))
-        .alias("avg_response_ms"))
+        F.expr("count(1) AS total"), F.expr(f"count_if({error} IS NULL) AS success"),
+        F.expr(f"count_if({error} IS NOT NULL) AS errors"),
+        F.expr(f"coalesce({round_sql(of_successes, 2)}, 0D) AS avg_response_ms"))
 
 
 def indexed_percentiles(log: DataFrame, keys: Sequence[str], value: str,
-                        percents: Sequence[int] = (50, 95, 99)) -> DataFrame:
+                        percents: Sequence[int] = PERCENTS) -> DataFrame:
     """Per group the value at position ``min(floor(n*p/100), n-1)`` of the sorted values."""
-    def place(p: float) -> Column:
-        return F.least(F.floor(F.col("total") * F.lit(p) / F.lit(100)), F.col("total") - 1).cast("bigint")
+    def place(p: float) -> str:
+        return f"least(floor(total * {p} / 100), total - 1)"
 
-    at = values_at(counted_values(log, keys, value), keys, F.array(*[place(p) for p in percents]))
+    at = values_at(counted_values(log, keys, value), keys, f"array({', '.join(map(place, percents))})")
     return at.groupBy(*keys).agg(*[
-        round_half_away(F.max(F.when(F.col("pos") == place(p), F.col("v"))), 2).alias(f"p{p}_latency_ms")
+        F.expr(f"{round_sql(f'max(CASE WHEN pos = {place(p)} THEN v END)', 2)} AS p{p}_latency_ms")
         for p in percents])
 
 
-def latency_summary(log: DataFrame, elapsed: Column, name_col: str = "name",
+def latency_summary(log: DataFrame, elapsed: str, name_col: str = "name",
                     latency: str = "response_time_ms", error: str = "error") -> DataFrame:
     """One row per run: counts, throughput, mean/min/max and index-based p50/p95/p99.
 
-    ``elapsed`` is an aggregate expression giving a run's duration in seconds.  Failed
+    ``elapsed`` is SQL for an aggregate that gives a run's duration in seconds.  Failed
     requests count towards the latencies.  Throughput of a run without duration is NULL.
     """
     base = log.groupBy(name_col).agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        F.count_if(F.col(error).isNull()).alias("successful"),
-        F.count_if(F.col(error).isNotNull()).alias("failed"),
-        elapsed.cast("double").alias("elapsed"),
-        F.coalesce(round_half_away(exact_avg(latency), 2), F.lit(0.0)).alias("avg_latency_ms"),
-        F.coalesce(round_half_away(F.min(latency), 2), F.lit(0.0)).alias("min_latency_ms"),
-        F.coalesce(round_half_away(F.max(latency), 2), F.lit(0.0)).alias("max_latency_ms"))
+        F.expr("count(1) AS total_requests"),
+        F.expr(f"count_if({error} IS NULL) AS successful"),
+        F.expr(f"count_if({error} IS NOT NULL) AS failed"),
+        F.expr(f"CAST({elapsed} AS DOUBLE) AS elapsed"),
+        F.expr(f"{exact_avg_sql(latency)} AS mean_ms"),
+        F.expr(f"min({latency}) AS min_ms"), F.expr(f"max({latency}) AS max_ms"))
     ranks = indexed_percentiles(log, [name_col], latency).withColumnRenamed(name_col, "r_name")
-    return (base.join(ranks, F.col(name_col).eqNullSafe(F.col("r_name")), "left").select(
+    return (base.join(ranks, F.expr(f"{name_col} <=> r_name"), "left").selectExpr(
         name_col, "total_requests", "successful", "failed",
-        round_half_away("elapsed", 3).alias("total_time_sec"),
-        round_half_away(F.col("total_requests") / F.nullif("elapsed", F.lit(0.0)), 2).alias("throughput_rps"),
-        "avg_latency_ms",
-        *[F.coalesce(f"p{p}_latency_ms", F.lit(0.0)).alias(f"p{p}_latency_ms") for p in (50, 95, 99)],
-        "min_latency_ms", "max_latency_ms"))
+        f"{round_sql('elapsed', 3)} AS total_time_sec",
+        f"{round_sql('(total_requests / nullif(elapsed, 0D))', 2)} AS throughput_rps",
+        f"coalesce({round_sql('mean_ms', 2)}, 0D) AS avg_latency_ms",
+        *[f"coalesce(p{p}_latency_ms, 0D) AS p{p}_latency_ms" for p in PERCENTS],
+        f"coalesce({round_sql('min_ms', 2)}, 0D) AS min_latency_ms",
+        f"coalesce({round_sql('max_ms', 2)}, 0D) AS max_latency_ms"))
 
 
 def throughput_ratio(results: DataFrame, name_col: str = "name", rps: str = "throughput_rps") -> DataFrame:
     """Fastest run and how many times faster it is than the slowest; empty unless both are above 0."""
-    best = F.struct(F.col(rps).alias("rps"), F.col(name_col).alias("name"))
-    return (results.agg(F.count(F.lit(1)).alias("runs"), F.max(best).alias("best"), F.min(rps).alias("slowest"))
-            .where((F.col("runs") >= 2) & (F.col("slowest") > 0))
-            .select(F.col("best.name").alias("winner"),
-                    round_half_away(F.col("best.rps") / F.nullif("slowest", F.lit(0.0)), 1).alias("ratio")))
+    return (results.agg(F.expr("count(1) AS runs"), F.expr(f"min({rps}) AS slowest"),
+                        F.expr(f"max(struct({rps} AS rps, {name_col} AS name)) AS best"))
+            .where("runs >= 2 AND slowest > 0")
+            .selectExpr("best.name AS winner", f"{round_sql('(best.rps / slowest)', 1)} AS ratio"))
 
 
 def success_rate(results: DataFrame, name_col: str = "name") -> DataFrame:
     """Success and failure shares in percent; runs without requests are left out."""
-    total = F.col("successful") + F.col("failed")
-
-    def share(c: str) -> Column:
-        return round_half_away(F.col(c) * F.lit(100.0) / F.nullif(F.col("total"), F.lit(0)), 1)
+    def share(c: str) -> str:
+        return round_sql(f"({c} * 100D / nullif(total, 0))", 1)
 
-    return (results.select(name_col, "successful", "failed", total.alias("total")).where("total > 0")
-            .select(name_col, "total", share("successful").alias("success_pct"),
-                    share("failed").alias("failure_pct")))
+    return (results.selectExpr(name_col, "successful", "failed", "successful + failed AS total")
+            .where("total > 0")
+            .selectExpr(name_col, "total", f"{share('successful')} AS success_pct",
+                        f"{share('failed')} AS failure_pct"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_avg, round_half_away
+from ..functions.numeric import exact_avg_sql, round_sql
 
 
 def rolling_mean(df: DataFrame, n: int = 5, key: str = "city", order: str = "window_end",
@@ -20,34 +20,31 @@ def rolling_mean(df: DataFrame, n: int = 5, key: str = "city", order: str = "win
     added to it as carried rows, which are dropped again after the window.  The result is
     sorted by key and time.
     """
-    name = f"rolling_{value}_{n}w"
     ties = [t for t in ties if t in df.columns]
-    chunked = df.withColumn("__chunk", F.date_trunc(chunk, F.col(order)))
-    rows = chunked.withColumn("__carried", F.lit(False))
+    by = ", ".join([order, *ties])
+    rows = chunked = df.withColumn("__chunk", F.date_trunc(chunk, order))
+    rows = rows.withColumn("__carried", F.lit(False))
     if n > 1:
-        rows = rows.unionByName(_carried(chunked, n, key, order, value, ties),
-                                allowMissingColumns=True)
-    w = (Window.partitionBy(key, "__chunk").orderBy(order, *ties)
-         .rowsBetween(-(n - 1), Window.currentRow))
-    mean = round_half_away(exact_avg(value, over=lambda a: a.over(w)), 2)
-    return (rows.withColumn(name, mean).where(~F.col("__carried"))
-            .drop("__chunk", "__carried").orderBy(key, order, *ties))
+        rows = rows.unionByName(_carried(chunked, n, key, order, value, ties), allowMissingColumns=True)
+    frame = (f"OVER (PARTITION BY {key}, __chunk ORDER BY {by}"
+             f" ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)")
+    rolled = rows.selectExpr("*", f"{exact_avg_sql(value, over=frame)} AS __mean").where("NOT __carried")
+    return rolled.selectExpr(*df.columns, f"{round_sql('__mean', 2)} AS rolling_{value}_{n}w").orderBy(
+        key, order, *ties)
 
 
 def _carried(chunked: DataFrame, n: int, key: str, order: str, value: str,
              ties: Sequence[str]) -> DataFrame:
     """For every chunk, the up to n-1 rows of its key that come right before it."""
-    last_first = Window.partitionBy(key, "__chunk").orderBy(
-        F.col(order).desc(), *[F.col(t).desc() for t in ties])
+    by = ", ".join([order, *ties])
+    newest = ", ".join(f"{c} DESC" for c in [order, *ties])
     tails = (chunked.select(key, "__chunk", order, *ties, value)
-             .withColumn("r", F.row_number().over(last_first)).where(F.col("r") <= n - 1).drop("r"))
+             .selectExpr("*", f"row_number() OVER (PARTITION BY {key}, __chunk ORDER BY {newest}) AS r")
+             .where(f"r <= {n - 1}").drop("r"))
     # n-1 rows per chunk: numbering them within a key is small work
-    place = Window.partitionBy(key).orderBy("__chunk", order, *ties)
-    tails = tails.withColumn("pos", F.row_number().over(place))
-    starts = (tails.groupBy(key, "__chunk").agg(F.min("pos").alias("start")).where("start > 1"))
-    needed = starts.select(
-        F.col(key).alias("k"), F.col("__chunk").alias("for_chunk"),
-        F.explode(F.sequence(F.greatest(F.col("start") - (n - 1), F.lit(1)), F.col("start") - 1)).alias("p"))
-    return (tails.join(needed, F.col(key).eqNullSafe(F.col("k")) & (F.col("pos") == F.col("p")))
-            .select(key, F.col("for_chunk").alias("__chunk"), order, *ties, value,
-                    F.lit(True).alias("__carried")))
+    tails = tails.selectExpr("*", f"row_number() OVER (PARTITION BY {key} ORDER BY __chunk, {by}) AS pos")
+    needed = (tails.groupBy(key, "__chunk").agg(F.expr("min(pos) AS start")).where("start > 1")
+              .selectExpr(f"{key} AS k", "__chunk AS for_chunk",
+                          f"explode(sequence(greatest(start - {n - 1}, 1), start - 1)) AS p"))
+    return (tails.join(needed, F.expr(f"{key} <=> k AND pos = p"))
+            .selectExpr(key, "for_chunk AS __chunk", order, *ties, value, "true AS __carried"))

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.comfort import comfort_band, comfort_index, temp_range, whole_seconds
-from ..functions.numeric import clip, round_half_away
-from ..functions.times import instant
+from ..functions.numeric import clip, round_sql
+from ..functions.times import Instant, instant_sql
 from .latest import latest_per_key, tie_break
 
 KELVIN_OFFSET = 273.15         # fixed value
@@ -35,22 +34,22 @@ def by_city(df: DataFrame, city: str | None, key: str = "city") -> DataFrame:
     return df if city in (None, "", "all") else df.where(F.col(key) == city)
 
 
-def since(df: DataFrame, hours: float, as_of: datetime | str | None = None,
+def since(df: DataFrame, hours: float, as_of: Instant = None,
           longest_window: str | None = None) -> DataFrame:
     """Rows with ``window_end`` in the last ``hours`` before ``as_of``.
 
     If the table is partitioned by ``window_date`` (the date of ``window_start``) and the
     caller states the longest window it holds, whole partitions are skipped as well.
     """
-    cutoff = instant(as_of) - F.make_dt_interval(secs=F.lit(hours * 3600.0))
-    out = df.where(F.col("window_end") >= cutoff)
+    cutoff = f"({instant_sql(as_of)} - make_dt_interval(0, 0, 0, {round(hours * 3600)}))"
+    out = df.where(f"window_end >= {cutoff}")
     if longest_window and "window_date" in df.columns:
-        out = out.where(F.col("window_date") >= F.to_date(cutoff - F.expr(f"INTERVAL {longest_window}")))
+        out = out.where(f"window_date >= to_date({cutoff} - INTERVAL {longest_window})")
     return out
 
 
 def timeline(df: DataFrame, cities: Sequence[str] | None = None, hours: float | None = 1,
-             as_of: datetime | str | None = None, longest_window: str | None = None) -> DataFrame:
+             as_of: Instant = None, longest_window: str | None = None) -> DataFrame:
     """Temperature over time for the chosen cities, oldest first."""
     out = df if cities is None else in_cities(df, cities)
     if hours is not None:
@@ -70,11 +69,11 @@ def to_celsius(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def latest_records(df: DataFrame, n: int = 20) -> DataFrame:
     """The newest ``n`` rows, rounded for display."""
     top = df.orderBy(F.col("window_end").desc(), *tie_break(df, ["window_end"])).limit(n)
-    return top.select(
+    return top.selectExpr(
         "city", "window_end",
-        *[round_half_away(c, 1).alias(c) for c in ("avg_temp", "min_temp", "max_temp")],
-        *[round_half_away(c, 0).cast("bigint").alias(c) for c in ("avg_humidity", "avg_pressure")],
-        round_half_away("avg_wind_speed", 1).alias("avg_wind_speed"), "count")
+        *[f"{round_sql(c, 1)} AS {c}" for c in ("avg_temp", "min_temp", "max_temp")],
+        *[f"CAST({round_sql(c, 0)} AS BIGINT) AS {c}" for c in ("avg_humidity", "avg_pressure")],
+        f"{round_sql('avg_wind_speed', 1)} AS avg_wind_speed", "count")
 
 
 def current_temps(df: DataFrame) -> DataFrame:
@@ -85,7 +84,7 @@ def scatter_points(df: DataFrame) -> DataFrame:
     """Latest row per city with a marker size that is never below 1."""
     return latest_per_key(df).select(
         "city", "avg_humidity", "avg_wind_speed", "avg_temp",
-        clip(F.col("avg_temp") + F.lit(50.0), low=1.0).alias("size"))
+        clip("(avg_temp + 50D)", low=1.0).alias("size"))
 
 
 def comfort_gauges(df: DataFrame, cities: Sequence[str], show: int = 4) -> DataFrame:
@@ -114,19 +113,17 @@ def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
     counted by the first 16 bits of the hash, prefixes that fit wholly are kept wholly, and
     only the one prefix in which the n-th row falls is ranked.
     """
-    digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")))
     order = ["__hash", id_col]
-    hashed = df.withColumn("__hash", digest)
+    hashed = df.withColumn("__hash", F.expr(f"md5(concat(CAST({id_col} AS STRING), '-{seed}'))"))
     if n <= SMALL_LIMIT:
         return hashed.orderBy(*order).limit(n).drop("__hash")
     hashed = hashed.withColumn("__prefix", F.substring("__hash", 1, 4))
     # at most 65536 rows, whatever the table size
-    per_prefix = hashed.groupBy("__prefix").agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.orderBy("__prefix"))
-    room = (per_prefix.select("__prefix", "c", (F.lit(n) - upto + F.col("c")).alias("room"))
-            .where("room > 0"))
+    room = (hashed.groupBy("__prefix").agg(F.expr("count(1) AS __c"))
+            .selectExpr("__prefix", "__c", f"{n} - sum(__c) OVER (ORDER BY __prefix) + __c AS __room")
+            .where("__room > 0"))
     tagged = hashed.join(F.broadcast(room), "__prefix")   # <= 65536 rows by construction
-    whole = tagged.where("room >= c")
+    whole = tagged.where("__room >= __c")
     edge = Window.partitionBy("__prefix").orderBy(*order)
-    cut = tagged.where("room < c").withColumn("r", F.row_number().over(edge)).where("r <= room").drop("r")
-    return whole.unionByName(cut).drop("__hash", "__prefix", "c", "room")
+    cut = tagged.where("__room < __c").withColumn("__r", F.row_number().over(edge)).where("__r <= __room").drop("__r")
+    return whole.unionByName(cut).drop("__hash", "__prefix", "__c", "__room")

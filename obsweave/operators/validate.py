@@ -2,70 +2,61 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.quality import Bounds, is_valid, rules, violations, within_ranges
+from ..functions.quality import Bounds, Rule, rules, valid_sql, violations, within_ranges
+from ..functions.times import Instant
+
 
-Now = datetime | str | int | Column | None
+def _rules(df: DataFrame, bounds: Bounds, now: Instant) -> list[Rule]:
+    return rules(dict(df.dtypes), bounds, now)
 
 
-def tag(df: DataFrame, bounds: Bounds = Bounds(), now: Now = None) -> DataFrame:
-    """Add ``is_valid`` and ``errors`` (every broken rule with its message)."""
-    return (df.withColumn("errors", violations(rules(df.schema, bounds, now)))
-            .withColumn("is_valid", F.size("errors") == 0))
+def tag(df: DataFrame, bounds: Bounds = Bounds(), now: Instant = None) -> DataFrame:
+    """Add ``errors`` (every broken rule with its message) and ``is_valid``."""
+    checks = _rules(df, bounds, now)
+    return df.select("*", violations(checks).alias("errors"), F.expr(valid_sql(checks)).alias("is_valid"))
 
 
-def clean(df: DataFrame, bounds: Bounds = Bounds(), now: Now = None) -> DataFrame:
-    return df.where(is_valid(rules(df.schema, bounds, now)))
+def clean(df: DataFrame, bounds: Bounds = Bounds(), now: Instant = None) -> DataFrame:
+    return df.where(valid_sql(_rules(df, bounds, now)))
 
 
-def quarantine(df: DataFrame, bounds: Bounds = Bounds(), now: Now = None) -> DataFrame:
+def quarantine(df: DataFrame, bounds: Bounds = Bounds(), now: Instant = None) -> DataFrame:
     """The rejected rows with their reasons."""
-    checks = rules(df.schema, bounds, now)
-    return df.where(~is_valid(checks)).withColumn("errors", violations(checks))
+    checks = _rules(df, bounds, now)
+    return df.where(f"NOT {valid_sql(checks)}").withColumn("errors", violations(checks))
 
 
-def split(df: DataFrame, bounds: Bounds = Bounds(), now: Now = None) -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, bounds: Bounds = Bounds(), now: Instant = None) -> tuple[DataFrame, DataFrame]:
     return clean(df, bounds, now), quarantine(df, bounds, now)
 
 
-def error_list(df: DataFrame, row_id: str, bounds: Bounds = Bounds(), now: Now = None) -> DataFrame:
+def error_list(df: DataFrame, row_id: str, bounds: Bounds = Bounds(), now: Instant = None) -> DataFrame:
     """One row per broken rule, keyed by a stable row id."""
-    return (quarantine(df, bounds, now)
-            .select(F.col(row_id), F.explode("errors").alias("e"))
-            .select(row_id, "e.field", "e.message"))
+    return quarantine(df, bounds, now).select(row_id, F.expr("inline(errors)"))
 
 
-def _counts(df: DataFrame, bounds: Bounds, now: Now) -> DataFrame:
+def _counts(df: DataFrame, bounds: Bounds, now: Instant) -> DataFrame:
     """Everything countable in one pass: a single row of partial counts per task is shuffled."""
-    checks = rules(df.schema, bounds, now)
-    return df.agg(F.count(F.lit(1)).alias("total"),
-                  F.count_if(is_valid(checks)).alias("valid"),
-                  *[F.count_if(r.broken).alias(r.field) for r in checks])
-
-
-def _field_counts(fields: list[str]) -> Column:
-    pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("errors")) for f in fields])
-    return F.filter(pairs, lambda p: p["errors"] > 0)
+    checks = _rules(df, bounds, now)
+    found = ", ".join(f"struct('{r.field}' AS field, count_if({r.broken}) AS errors)" for r in checks)
+    return df.agg(F.count(F.lit(1)).alias("total"), F.expr(f"count_if({valid_sql(checks)}) AS valid"),
+                  F.expr(f"filter(array({found}), p -> p.errors > 0) AS by_field"))
 
 
-def errors_by_field(df: DataFrame, bounds: Bounds = Bounds(), now: Now = None) -> DataFrame:
+def errors_by_field(df: DataFrame, bounds: Bounds = Bounds(), now: Instant = None) -> DataFrame:
     """``field, errors`` for the fields that have any."""
-    counts = _counts(df, bounds, now)
-    return counts.select(F.inline(_field_counts(counts.columns[2:])))
+    return _counts(df, bounds, now).select(F.expr("inline(by_field)"))
 
 
-def report(df: DataFrame, bounds: Bounds = Bounds(), now: Now = None) -> DataFrame:
+def report(df: DataFrame, bounds: Bounds = Bounds(), now: Instant = None) -> DataFrame:
     """One row: total, valid, invalid, valid_pct (0 when empty), errors_by_field (map)."""
-    counts = _counts(df, bounds, now)
-    total, valid = F.col("total"), F.col("valid")
-    return counts.select(
-        total, valid, (total - valid).alias("invalid"),
-        F.coalesce(valid / F.nullif(total, F.lit(0)) * 100, F.lit(0.0)).alias("valid_pct"),
-        F.map_from_entries(_field_counts(counts.columns[2:])).alias("errors_by_field"))
+    return _counts(df, bounds, now).selectExpr(
+        "total", "valid", "total - valid AS invalid",
+        "coalesce(valid / nullif(total, 0) * 100, 0D) AS valid_pct",
+        "map_from_entries(by_field) AS errors_by_field")
 
 
 def reduced_mask(df: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import avg_parts, exact_avg, merge_avg_parts, round_half_away
+from ..functions.numeric import avg_parts, mean, merged_mean
 
 # Output column and the reading column it averages.
 AVERAGES = {
@@ -29,27 +29,24 @@ def tumbling(df: DataFrame, size: str = "60 seconds", key: str = "city",
     and the second level sees a handful of rows per window.  A stream keeps one state row
     per (window, key) instead.
     """
-    w = F.window(F.col(time_col), size)
+    window = F.window(time_col, size).alias("w")
     if shard_col is None or df.isStreaming:
-        first_shard = [] if shard_col is None else [
-            F.min_by(F.col(shard_col), F.struct(time_col, shard_col)).alias("shard_id")]
-        grouped = df.groupBy(w.alias("w"), F.col(key)).agg(
-            F.count(F.lit(1)).alias("count"),
-            F.min("temperature").alias("min_temp"), F.max("temperature").alias("max_temp"),
-            *[round_half_away(exact_avg(src), 2).alias(out) for out, src in AVERAGES.items()],
-            *first_shard)
+        grouped = df.groupBy(window, key).agg(
+            F.expr("count(1) AS count"),
+            F.expr("min(temperature) AS min_temp"), F.expr("max(temperature) AS max_temp"),
+            *[mean(df, src).alias(out) for out, src in AVERAGES.items()],
+            *([] if shard_col is None else
+              [F.expr(f"min_by({shard_col}, struct({time_col}, {shard_col})) AS shard_id")]))
     else:
-        per_shard = df.groupBy(w.alias("w"), F.col(key), F.col(shard_col)).agg(
-            F.count(F.lit(1)).alias("n"), F.min(time_col).alias("first_at"),
-            F.min("temperature").alias("lo"), F.max("temperature").alias("hi"),
-            *[part for out, src in AVERAGES.items() for part in avg_parts(src, out)])
+        per_shard = df.groupBy(window, key, shard_col).agg(
+            F.expr("count(1) AS n"), F.expr(f"min({time_col}) AS first_at"),
+            F.expr("min(temperature) AS lo"), F.expr("max(temperature) AS hi"),
+            *[part for out, src in AVERAGES.items() for part in avg_parts(df, src, out)])
         grouped = per_shard.groupBy("w", key).agg(
-            F.sum("n").alias("count"),
-            F.min("lo").alias("min_temp"), F.max("hi").alias("max_temp"),
-            *[round_half_away(merge_avg_parts(out), 2).alias(out) for out in AVERAGES],
-            F.min_by(F.col(shard_col), F.struct("first_at", shard_col)).alias("shard_id"))
-    shard: list[Column] = [] if shard_col is None else [F.col("shard_id")]
+            F.expr("sum(n) AS count"), F.expr("min(lo) AS min_temp"), F.expr("max(hi) AS max_temp"),
+            *[merged_mean(per_shard, out) for out in AVERAGES],
+            F.expr(f"min_by({shard_col}, struct(first_at, {shard_col})) AS shard_id"))
     return grouped.select(
-        F.col(key), F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "count", "avg_temp", "min_temp", "max_temp",
-        "avg_humidity", "avg_pressure", "avg_wind_speed", *shard)
+        key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+        "count", "avg_temp", "min_temp", "max_temp", "avg_humidity", "avg_pressure", "avg_wind_speed",
+        *([] if shard_col is None else ["shard_id"]))

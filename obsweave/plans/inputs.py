@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..functions.times import iso_text
+from ..functions.numeric import exact_avg_sql
+from ..functions.times import iso_text_sql
 from ..operators.windows import tumbling
-from ..sources.messages import encode_aggregates
 
 WINDOW = "1 hour"
 
@@ -28,15 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def readings_of(events: DataFrame) -> DataFrame:
     """Events as readings; some of them break the quality rules."""
-    return events.select(
-        F.col("event_id").alias("reading_id"),
-        F.when(F.col("event_id") % 997 == 0, "  ").otherwise(F.col("event_type")).alias("city"),
-        F.col("ts").cast("timestamp").alias("collected_at"),
-        (F.col("value") - 40).alias("temperature"),
-        (F.col("user_id") % 120).cast("int").alias("humidity"),
-        (F.lit(860) + F.col("event_id") % 240).cast("int").alias("pressure"),
-        (F.col("value") / 3).alias("wind_speed"),
-        F.concat(F.lit("shard-"), (F.col("user_id") % 3).cast("string")).alias("shard_id"))
+    return events.selectExpr(
+        "event_id AS reading_id",
+        "CASE WHEN event_id % 997 = 0 THEN '  ' ELSE event_type END AS city",
+        "CAST(ts AS TIMESTAMP) AS collected_at",
+        "value - 40 AS temperature",
+        "CAST(user_id % 120 AS INT) AS humidity",
+        "CAST(860 + event_id % 240 AS INT) AS pressure",
+        "value / 3 AS wind_speed",
+        "concat('shard-', CAST(user_id % 3 AS STRING)) AS shard_id")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,56 +52,45 @@ def messages(aggs: DataFrame) -> DataFrame:
     By hour of the window start, mod 4: 0 ISO times with zone; 1 unix seconds; 2 no shard;
     3 plain, but cut short for count 1 and with a count in words for count 2.
     """
-    kind = F.hour("window_start") % 4
+    iso = {"window_start": iso_text_sql("window_start"), "window_end": iso_text_sql("window_end")}
 
-    def text(**changes) -> Column:
-        fields = {c: F.col(c) for c in aggs.columns}
-        fields["window_start"], fields["window_end"] = iso_text("window_start"), iso_text("window_end")
-        fields.update(changes)
-        return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items() if c is not None]))
+    def text(**changes: str) -> str:
+        fields = {**{c: c for c in aggs.columns}, **iso, **changes}
+        return "to_json(struct(" + ", ".join(f"{sql} AS {c}" for c, sql in fields.items() if sql) + "))"
 
-    zoned = text(window_start=F.concat(iso_text("window_start"), F.lit("Z")),
-                 window_end=F.concat(iso_text("window_end"), F.lit("Z")))
-    unix = text(window_start=F.unix_seconds("window_start"), window_end=F.unix_seconds("window_end"))
-    plain = encode_aggregates(aggs)
-    return aggs.select(
-        F.when(kind == 0, zoned).when(kind == 1, unix).when(kind == 2, text(shard_id=None))
-        .when(F.col("count") == 1, F.substring(plain, 1, 30))
-        .when(F.col("count") == 2, text(count=F.lit("a few"))).otherwise(plain).alias("value"))
+    zoned = text(**{c: f"concat({sql}, 'Z')" for c, sql in iso.items()})
+    unix = text(**{c: f"unix_seconds({c})" for c in iso})
+    words = text(count="'a few'")
+    return aggs.selectExpr(f"""CASE hour(window_start) % 4 WHEN 0 THEN {zoned} WHEN 1 THEN {unix}
+        WHEN 2 THEN {text(shard_id='')}
+        ELSE CASE count WHEN 1 THEN substring({text()}, 1, 30) WHEN 2 THEN {words} ELSE {text()} END
+        END AS value""")
 
 
 def payloads(events: DataFrame) -> DataFrame:
     """Events as nested API payloads; errors have no weather entry, sign-ups no coordinates."""
-    body = F.to_json(F.struct(
-        F.col("event_id").cast("int").alias("id"), F.col("event_type").alias("name"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("dt"),
-        F.struct(F.col("value").alias("temp"), (F.col("value") - 1).alias("feels_like"),
-                 (F.col("value") - 2).alias("temp_min"), (F.col("value") + 2).alias("temp_max"),
-                 F.lit(1013).alias("pressure"),
-                 (F.col("user_id") % 100).cast("int").alias("humidity")).alias("main"),
-        F.struct((F.col("value") / 3).alias("speed"),
-                 (F.col("user_id") % 360).cast("int").alias("deg")).alias("wind"),
-        F.struct((F.col("user_id") % 101).cast("int").alias("all")).alias("clouds"),
-        F.when(F.col("event_type") == "error", F.array()).otherwise(
-            F.array(F.struct(F.col("props").alias("description"), F.lit("04d").alias("icon")))).alias("weather"),
-        F.when(F.col("event_type") != "signup",
-               F.struct(F.lit(55.5).alias("lat"), F.lit(37.5).alias("lon"))).alias("coord"),
-        F.struct(F.lit("XX").alias("country")).alias("sys")))
-    return events.select(F.col("event_id"), F.col("ts").cast("timestamp").alias("collected_at"),
-                         F.concat(F.lit("shard-"), (F.col("user_id") % 3).cast("string")).alias("shard_id"),
-                         body.alias("value"))
+    return events.selectExpr(
+        "event_id", "CAST(ts AS TIMESTAMP) AS collected_at",
+        "concat('shard-', CAST(user_id % 3 AS STRING)) AS shard_id",
+        """to_json(struct(
+            CAST(event_id AS INT) AS id, event_type AS name, unix_seconds(CAST(ts AS TIMESTAMP)) AS dt,
+            struct(value AS temp, value - 1 AS feels_like, value - 2 AS temp_min, value + 2 AS temp_max,
+                   1013 AS pressure, CAST(user_id % 100 AS INT) AS humidity) AS main,
+            struct(value / 3 AS speed, CAST(user_id % 360 AS INT) AS deg) AS wind,
+            struct(CAST(user_id % 101 AS INT) AS all) AS clouds,
+            CASE WHEN event_type = 'error' THEN array()
+                 ELSE array(struct(props AS description, '04d' AS icon)) END AS weather,
+            CASE WHEN event_type <> 'signup' THEN struct(55.5D AS lat, 37.5D AS lon) END AS coord,
+            struct('XX' AS country) AS sys)) AS value""")
 
 
 def request_log(events: DataFrame) -> DataFrame:
     """Events as a request log: two runs, one poll round per day, latency = value."""
-    return events.select(
-        F.when(F.col("user_id") % 2 == 0, "run-a").otherwise("run-b").alias("name"),
-        F.date_format("ts", "yyyy-MM-dd").alias("round"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"),
-        F.col("value").alias("response_time_ms"),
-        F.when(F.col("event_type") == "error", F.lit("failed")).alias("error"))
+    return events.selectExpr(
+        "CASE WHEN user_id % 2 = 0 THEN 'run-a' ELSE 'run-b' END AS name",
+        "date_format(ts, 'yyyy-MM-dd') AS round", "value AS response_time_ms",
+        "CASE WHEN event_type = 'error' THEN 'failed' END AS error")
 
 
-
-def elapsed_seconds() -> Column:
-    return (F.max("at_us") - F.min("at_us")) / F.lit(1.0e6)
+# Duration of a run that sends one request after the other.
+BUSY_SECONDS = f"{exact_avg_sql('response_time_ms')} * count(response_time_ms) / 1000D"

@@ -9,8 +9,8 @@ from .catalog import CITIES, METRICS
 
 
 def _rnd(x: str, digits: int = 2) -> str:
-    """Half away from zero."""
-    return f"(SIGN({x}) * FLOOR(ABS({x}) * 1e{digits} + 0.5) / 1e{digits})"
+    """Half away from zero; no negative zero."""
+    return f"(ROUND({x}, {digits}) + 0.0)"
 
 
 def _avg(x: str, over: str = "") -> str:
@@ -84,7 +84,7 @@ _ERROR_COUNT = " + ".join(f"CAST({cond} AS BIGINT)" for cond, _ in _RULES.values
 _KIND = "hour(window_start) % 4"
 _REQUESTS = """
     SELECT CASE WHEN user_id % 2 = 0 THEN 'run-a' ELSE 'run-b' END AS name,
-           strftime(ts, '%Y-%m-%d') AS round, epoch_us(ts) AS at_us, value AS ms,
+           strftime(ts, '%Y-%m-%d') AS round, value AS ms,
            event_type = 'error' AS failed
     FROM events
 """
@@ -94,11 +94,12 @@ def _at(p: int) -> str:
     return f"MAX(CASE WHEN i = LEAST(n * {p} // 100, n - 1) THEN ms END)"
 
 
+_BUSY = f"({_avg('ms')} * COUNT(ms) / 1000.0::DOUBLE)"
 _SUMMARY = f"""
     SELECT name, COUNT(*) AS total_requests, COUNT(*) FILTER (NOT failed) AS successful,
            COUNT(*) FILTER (failed) AS failed,
-           {_rnd('((MAX(at_us) - MIN(at_us)) / 1e6)', 3)} AS total_time_sec,
-           {_rnd('(COUNT(*) / ((MAX(at_us) - MIN(at_us)) / 1e6))')} AS throughput_rps,
+           {_rnd(_BUSY, 3)} AS total_time_sec,
+           {_rnd(f'(COUNT(*) / {_BUSY})')} AS throughput_rps,
            {_mean('ms')} AS avg_latency_ms,
            {_rnd(_at(50))} AS p50_latency_ms, {_rnd(_at(95))} AS p95_latency_ms,
            {_rnd(_at(99))} AS p99_latency_ms,
@@ -146,8 +147,8 @@ _BODIES: dict[str, tuple[str, str]] = {
         _rnd(f"PERCENTILE_CONT({p}) WITHIN GROUP (ORDER BY avg_temp)") + f" AS {n}"
         for n, p in {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}.items())
         + " FROM aggs GROUP BY city"),
-    "anomalies": ("a", f"""
-        WITH stats AS (SELECT city, {_avg('avg_temp')} AS m, STDDEV(avg_temp) AS s FROM aggs GROUP BY city)
+    "anomalies": ("a+", f"""
+        stats AS (SELECT city, {_avg('avg_temp')} AS m, STDDEV(avg_temp) AS s FROM aggs GROUP BY city)
         SELECT a.city, a.window_start, a.avg_temp,
                {_rnd('(ABS(a.avg_temp - m) / NULLIF(s, 0))')} AS z_score
         FROM aggs a JOIN stats ON a.city = stats.city WHERE ABS(a.avg_temp - m) / NULLIF(s, 0) > 2.0"""),

@@ -7,12 +7,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import iso_text, time_from_text
+from ..functions.times import iso_text_sql, time_from_text_sql
 from ..schemas import AGGREGATE, PAYLOAD
 
 _TIMES = ("window_start", "window_end")
 _TEXTS = ("city", "shard_id")
-_NUMBERS = tuple(f.name for f in AGGREGATE.fields if f.name not in (*_TIMES, *_TEXTS))
 
 
 class Decoded(NamedTuple):
@@ -20,34 +19,18 @@ class Decoded(NamedTuple):
     dead: DataFrame     # message column and ``reason``
 
 
-def _whole_number(text: Column) -> Column:
-    wide = text.try_cast("double")
-    return F.coalesce(text.try_cast("bigint"), F.when(F.abs(wide) < 9.0e18, wide.cast("bigint")))
-
-
-def _decoded(df: DataFrame, value: str) -> DataFrame:
-    """Add ``m``: the typed message, and ``bad``: why it cannot be used (NULL if it can)."""
-    parsed = df.withColumn("__raw", F.from_json(F.col(value).cast("string"), "MAP<STRING, STRING>"))
-    raw = F.col("__raw")
-
-    def given(name: str) -> Column:
-        return F.map_contains_key(raw, name)
-
-    typed, bad = [], F.when(raw.isNull(), F.lit("not a JSON object"))
-    for f in AGGREGATE.fields:
-        text = raw[f.name]
-        if f.name in _TIMES:
-            present, default = time_from_text(text), F.timestamp_seconds(F.lit(0))
-        elif f.name in _TEXTS:
-            present, default = text, F.lit("")
-        elif f.name == "count":
-            present, default = _whole_number(text), F.lit(0).cast("bigint")
-        else:
-            present, default = text.try_cast("double"), F.lit(0.0)
-        typed.append(F.when(given(f.name), present).otherwise(default).alias(f.name))
-        if f.name not in _TEXTS:
-            bad = bad.when(given(f.name) & present.isNull(), F.lit(f"bad {f.name}"))
-    return (parsed.withColumn("m", F.struct(*typed)).withColumn("bad", bad))
+def _conversion(name: str) -> tuple[str, str]:
+    """SQL that converts the text of a key, and the default for an absent key."""
+    text = f"raw['{name}']"
+    if name in _TIMES:
+        return time_from_text_sql(text), "timestamp_seconds(0)"
+    if name in _TEXTS:
+        return text, "''"
+    wide = f"try_cast({text} AS DOUBLE)"
+    if name == "count":
+        whole = f"CASE WHEN abs({wide}) < 9.0e18D THEN CAST({wide} AS BIGINT) END"
+        return f"coalesce(try_cast({text} AS BIGINT), {whole})", "0L"
+    return wide, "0D"
 
 
 def decode_aggregates(df: DataFrame, value: str = "value") -> Decoded:
@@ -56,52 +39,55 @@ def decode_aggregates(df: DataFrame, value: str = "value") -> Decoded:
     A missing key takes its default ("" or 0; times: the epoch).  A key that is present but
     cannot be converted, or text that is not a JSON object, makes the message a dead letter.
     """
-    d = _decoded(df, value)
-    keep = [c for c in df.columns if c != value]
-    clash = set(keep) & set(AGGREGATE.names)
-    keep = [c for c in keep if c not in clash]
-    good = d.where("bad IS NULL").select(*keep, "m.*")
-    dead = d.where("bad IS NOT NULL").select(*keep, value, F.col("bad").alias("reason"))
-    return Decoded(good, dead)
+    # The text is parsed in a generator, so that the optimizer neither copies the parse into
+    # every use of its result nor into the filters on it; so is the conversion.
+    typed, problems = [], ["WHEN raw IS NULL THEN 'not a JSON object'"]
+    for f in AGGREGATE.fields:
+        converted, default = _conversion(f.name)
+        typed.append(f"IF(map_contains_key(raw, '{f.name}'), {converted}, {default}) AS {f.name}")
+        if f.name not in _TEXTS:
+            problems.append(f"WHEN map_contains_key(raw, '{f.name}') AND m.{f.name} IS NULL THEN 'bad {f.name}'")
+    d = (df.select("*", F.expr(
+            f"explode_outer(array(from_json(CAST({value} AS STRING), 'MAP<STRING, STRING>'))) AS raw"))
+         .select("*", F.expr(f"explode_outer(array(struct({', '.join(typed)}))) AS m"))
+         .withColumn("reason", F.expr(f"CASE {' '.join(problems)} END")))
+    keep = [c for c in df.columns if c != value and c not in AGGREGATE.names]
+    return Decoded(good=d.where("reason IS NULL").select(*keep, "m.*"),
+                   dead=d.where("reason IS NOT NULL").select(*keep, value, "reason"))
 
 
-def encode_aggregates(df: DataFrame) -> Column:
-    """The JSON text of an aggregate row, times in ISO form."""
-    fields = [iso_text(f.name).alias(f.name) if f.name in _TIMES else F.col(f.name)
-              for f in AGGREGATE.fields if f.name in df.columns]
-    return F.to_json(F.struct(*fields))
+def encode_aggregates(columns: list[str]) -> Column:
+    """The JSON text of an aggregate row with these columns, times in ISO form."""
+    fields = [f"{iso_text_sql(c)} AS {c}" if c in _TIMES else c for c in AGGREGATE.names if c in columns]
+    return F.expr(f"to_json(struct({', '.join(fields)}))")
 
 
 def key_value(df: DataFrame, key: str = "city") -> DataFrame:
     """What a broker sink takes: message key and JSON value."""
-    return df.select(F.col(key).cast("string").alias("key"), encode_aggregates(df).alias("value"))
+    return df.select(F.col(key).cast("string").alias("key"), encode_aggregates(df.columns).alias("value"))
+
+
+# Reading column, where the payload has it, and the default if it does not.
+_FLAT = [
+    ("city", "p.name", "''"), ("country", "p.sys.country", "''"),
+    ("lat", "p.coord.lat", "0D"), ("lon", "p.coord.lon", "0D"),
+    ("temperature", "p.main.temp", "0D"), ("feels_like", "p.main.feels_like", "0D"),
+    ("temp_min", "p.main.temp_min", "0D"), ("temp_max", "p.main.temp_max", "0D"),
+    ("pressure", "p.main.pressure", "0"), ("humidity", "p.main.humidity", "0"),
+    ("wind_speed", "p.wind.speed", "0D"), ("wind_deg", "p.wind.deg", "0"),
+    ("clouds_all", "p.clouds.all", "0"), ("description", "get(p.weather, 0).description", "''"),
+]
 
 
-def flatten_payload(df: DataFrame, value: str = "value", collected_at: Column | str = "collected_at",
-                    shard_id: Column | str = "shard_id") -> DataFrame:
+def flatten_payload(df: DataFrame, value: str = "value", collected_at: str = "collected_at",
+                    shard_id: str = "shard_id") -> DataFrame:
     """Nested API payload to a flat reading; absent keys become "" or 0.
 
-    The description is that of the first weather entry.  Collection time and shard are the
-    caller's (for a broker: the message timestamp).
+    The description is that of the first weather entry.  Collection time and shard are
+    columns or SQL expressions of the caller's (for a broker: the message timestamp).
+    Text that is not a JSON object gives a reading of defaults, which validation rejects.
     """
-    p = F.from_json(F.col(value).cast("string"), PAYLOAD)
-    keep = [c for c in df.columns if c != value]
-    d = df.select(*keep, p.alias("p"))
-
-    def at(path: str, default: object) -> Column:
-        return F.coalesce(F.col(f"p.{path}"), F.lit(default))
-
-    when = F.col(collected_at) if isinstance(collected_at, str) else collected_at
-    shard = F.col(shard_id) if isinstance(shard_id, str) else shard_id
-    extra = [c for c in keep if c not in ("collected_at", "shard_id")]
-    return d.select(
-        *extra,
-        at("name", "").alias("city"), at("sys.country", "").alias("country"),
-        at("coord.lat", 0.0).alias("lat"), at("coord.lon", 0.0).alias("lon"),
-        at("main.temp", 0.0).alias("temperature"), at("main.feels_like", 0.0).alias("feels_like"),
-        at("main.temp_min", 0.0).alias("temp_min"), at("main.temp_max", 0.0).alias("temp_max"),
-        at("main.pressure", 0).alias("pressure"), at("main.humidity", 0).alias("humidity"),
-        at("wind.speed", 0.0).alias("wind_speed"), at("wind.deg", 0).alias("wind_deg"),
-        at("clouds.all", 0).alias("clouds_all"),
-        F.coalesce(F.get("p.weather", F.lit(0))["description"], F.lit("")).alias("description"),
-        when.alias("collected_at"), shard.alias("shard_id"))
+    keep = [c for c in df.columns if c not in (value, "collected_at", "shard_id")]
+    flat = [f"coalesce({path}, {default}) AS {name}" for name, path, default in _FLAT]
+    parsed = df.select("*", F.from_json(F.col(value).cast("string"), PAYLOAD).alias("p"))
+    return parsed.selectExpr(*keep, *flat, f"{collected_at} AS collected_at", f"{shard_id} AS shard_id")

@@ -29,11 +29,11 @@ def kafka_options(brokers: Sequence[str], topic: str, group: str | None = None,
 def open_stream(spark: SparkSession, kind: str, *, path: str | None = None,
                 schema: T.StructType | str | None = None, brokers: Sequence[str] = (), topic: str = "",
                 group: str | None = None, max_offsets: int | None = None,
-                max_files: int | None = None) -> DataFrame:
+                max_files: int | None = None, files: str | None = None) -> DataFrame:
     """A streaming DataFrame.
 
     ``max_offsets`` and ``max_files`` bound a micro-batch; backlog waits at the source and
-    nothing is dropped.
+    nothing is dropped.  ``files`` is a name pattern for a folder that holds other files too.
     """
     if kind not in FORMATS:
         raise ValueError(f"unknown source {kind!r}; one of {', '.join(FORMATS)}")
@@ -44,6 +44,8 @@ def open_stream(spark: SparkSession, kind: str, *, path: str | None = None,
                             "topic", "partition", "offset", "timestamp"))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if files:
+        reader = reader.option("pathGlobFilter", files)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

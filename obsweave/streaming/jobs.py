@@ -11,7 +11,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..functions.quality import Bounds
 from ..operators.latest import latest_per_key_agg
 from ..operators.select import retain_last_n
-from ..operators.validate import Now, clean, quarantine
+from ..functions.times import Instant
+from ..operators.validate import clean, quarantine
 from ..sinks.fanout import Sink, fan_out
 from ..sinks.tables import DATE_PARTITION, upsert_parquet
 from ..sources.files import load_parquet
@@ -43,7 +44,7 @@ def broker_sink(brokers: str, topic: str) -> Sink:
 
 
 def start_windows(readings: DataFrame, table: str, checkpoint: str, *, size: str = "60 seconds",
-                  delay: str = "120 seconds", bounds: Bounds | None = Bounds(), now: Now = None,
+                  delay: str = "120 seconds", bounds: Bounds | None = Bounds(), now: Instant = None,
                   every: str | None = None, more_sinks: Mapping[str, Sink | None] | None = None,
                   failed_path: str | None = None, mode: str = "append") -> StreamingQuery:
     """Readings, checked, windowed and upserted into the table; optionally to more sinks.
@@ -73,7 +74,7 @@ def _table_then(table: Sink, others: Sink) -> Sink:
 
 
 def start_quarantine(readings: DataFrame, path: str, checkpoint: str, *, bounds: Bounds = Bounds(),
-                     now: Now = None, every: str | None = None) -> StreamingQuery:
+                     now: Instant = None, every: str | None = None) -> StreamingQuery:
     return (trigger(quarantine(readings, bounds, now).writeStream.format("parquet"), every)
             .option("checkpointLocation", checkpoint).start(path))
 
