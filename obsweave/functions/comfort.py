@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .numeric import clip_sql, round_sql
+from .numeric import round_sql
 
 # Fixed values of the comfort score: ideal temperature and humidity, penalty weights.
 IDEAL_TEMP = 18.0
@@ -22,7 +22,9 @@ def comfort_sql(temp: str = "avg_temp", humidity: str = "avg_humidity", wind: st
     """0..100: 100 is the ideal temperature and humidity without wind."""
     score = (f"(100D - abs({temp} - {IDEAL_TEMP}D) * {TEMP_WEIGHT}D"
              f" - abs({humidity} - {IDEAL_HUMIDITY}D) * {HUMIDITY_WEIGHT}D - {wind} * {WIND_WEIGHT}D)")
-    return round_sql(clip_sql(score, 0.0, 100.0), 1)
+    # NULL and NaN stay what they are; a score within 0..100 is rounded by cutting
+    return (f"(CASE WHEN {score} IS NULL OR isnan({score}) THEN {score}"
+            f" ELSE floor(least(greatest({score}, 0D), 100D) * 10D + 0.5D) / 10D END)")
 
 
 def comfort_index(temp: str = "avg_temp", humidity: str = "avg_humidity", wind: str = "avg_wind_speed") -> Column:

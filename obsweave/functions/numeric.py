@@ -10,7 +10,7 @@ expression.  The others return the same as a Column.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,54 +50,70 @@ def fixed_point_sql(x: str, digits: int = DIGITS) -> str:
             f" CASE WHEN ({x}) < 0 THEN -floor(-({x}) * {p} + 0.5D) ELSE floor(({x}) * {p} + 0.5D) END END)")
 
 
-def _pieces(x: str, digits: int) -> dict[str, str]:
-    v = fixed_point_sql(x, digits)
-    return {"high": f"sum(shiftright({v}, {_LOW_BITS}))", "low": f"sum({v} & {(1 << _LOW_BITS) - 1}L)",
-            "fitted": f"count({v})", "present": f"count({x})", "plain": f"sum(CAST({x} AS DOUBLE))"}
+def _mean_sql(name: str) -> str:
+    """Mean from summed pieces: exact, or the plain one if NaN, infinite or huge values are in it."""
+    total = (f"CAST(CAST({name}__high AS DECIMAL(20,0)) * {1 << _LOW_BITS}"
+             f" + CAST({name}__low AS DECIMAL(20,0)) AS DOUBLE)")
+    return (f"CASE WHEN {name}__fitted = {name}__present"
+            f" THEN {total} / {10 ** DIGITS}D / nullif({name}__fitted, 0)"
+            f" ELSE {name}__plain / nullif({name}__present, 0) END")
 
 
-def _mean_sql(p: Mapping[str, str], digits: int) -> str:
-    total = (f"CAST(CAST({p['high']} AS DECIMAL(20,0)) * {1 << _LOW_BITS}"
-             f" + CAST({p['low']} AS DECIMAL(20,0)) AS DOUBLE)")
-    return (f"(CASE WHEN {p['fitted']} = {p['present']}"
-            f" THEN {total} / {10 ** digits}D / nullif({p['fitted']}, 0)"
-            f" ELSE {p['plain']} / nullif({p['present']}, 0) END)")
+class Means:
+    """Exact means of some columns: what to add before, in and after an aggregate.
 
-
-def exact_avg_sql(x: str, digits: int = DIGITS, over: str = "") -> str:
-    """Mean from integer sums; with NaN, infinite or huge values in it the plain mean.
-
-    ``over`` is an ``OVER (...)`` clause that is put behind every aggregate.
+    Each step is its own projection over named columns, so that no expression is repeated.
     """
-    return _mean_sql({k: f"{v} {over}" for k, v in _pieces(x, digits).items()}, digits)
-
-
-def exact_avg(x: str, digits: int = DIGITS, over: str = "") -> Column:
-    return F.expr(exact_avg_sql(x, digits, over))
-
-
-def _is_integral(df: DataFrame, name: str) -> bool:
-    return dict(df.dtypes).get(name) in _INTEGRAL
 
-
-def mean(df: DataFrame, name: str, digits: int = 2) -> Column:
-    """Rounded mean of a column of ``df``; whole numbers are added exactly as they are."""
-    return F.expr(round_sql(f"avg({name})" if _is_integral(df, name) else exact_avg_sql(name), digits))
-
-
-def avg_parts(df: DataFrame, name: str, out: str) -> list[Column]:
-    """Mergeable pieces of a mean, for aggregates that run in two levels."""
-    if _is_integral(df, name):
-        pieces = {"plain": f"sum({name})", "present": f"count({name})"}
-    else:
-        pieces = _pieces(name, DIGITS)
-    return [F.expr(f"{sql} AS {out}__{part}") for part, sql in pieces.items()]
-
-
-def merged_mean(parts: DataFrame, out: str, digits: int = 2) -> Column:
-    sums = {part: f"sum({out}__{part})" for part in ("high", "low", "fitted", "present", "plain")}
-    if f"{out}__high" in parts.columns:
-        value = _mean_sql(sums, DIGITS)
-    else:
-        value = f"({sums['plain']} / nullif({sums['present']}, 0))"
-    return F.expr(f"{round_sql(value, digits)} AS {out}")
+    def __init__(self, df: DataFrame, columns: Iterable[str]) -> None:
+        types = dict(df.dtypes)
+        self.columns = list(dict.fromkeys(columns))
+        # whole numbers are added as they are
+        self.whole = {c for c in self.columns if types[c] in _INTEGRAL}
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        return df.selectExpr("*", *[f"{fixed_point_sql(c)} AS {c}__v"
+                                    for c in self.columns if c not in self.whole])
+
+    def pieces(self) -> dict[str, str]:
+        """Aggregates over prepared rows; they merge by adding."""
+        out = {}
+        for c in self.columns:
+            out[f"{c}__present"] = f"count({c})"
+            if c in self.whole:
+                out[f"{c}__plain"] = f"sum({c})"
+            else:
+                out[f"{c}__plain"] = f"sum(CAST({c} AS DOUBLE))"
+                out[f"{c}__fitted"] = f"count({c}__v)"
+                out[f"{c}__high"] = f"sum(shiftright({c}__v, {_LOW_BITS}))"
+                out[f"{c}__low"] = f"sum({c}__v & {(1 << _LOW_BITS) - 1}L)"
+        return out
+
+    def value(self, column: str) -> str:
+        """The mean from the pieces."""
+        if column in self.whole:
+            return f"{column}__plain / nullif({column}__present, 0)"
+        return _mean_sql(column)
+
+
+def summarize(df: DataFrame, by: Sequence[str], means: Mapping[str, tuple[str, int | None]],
+              others: Mapping[str, str] | None = None) -> DataFrame:
+    """Group and compute exact means (output name -> column, decimals or None) and other aggregates.
+
+    ``by`` holds column names or ``expression AS name``; without it there is one row.
+    """
+    others = others or {}
+    m = Means(df, [c for c, _ in means.values()])
+    grouped = m.prepare(df).groupBy(*[F.expr(b) for b in by]).agg(
+        *[F.expr(f"{sql} AS {name}") for name, sql in {**others, **m.pieces()}.items()])
+    keep = [b.rsplit(" AS ", 1)[-1] for b in by] + list(others)
+    valued = grouped.selectExpr(*keep, *[f"{m.value(c)} AS {out}" for out, (c, _) in means.items()])
+    return valued.selectExpr(*keep, *[out if digits is None else f"{round_sql(out, digits)} AS {out}"
+                                      for out, (_, digits) in means.items()])
+
+
+def rolling_avg(df: DataFrame, column: str, frame: str, out: str) -> DataFrame:
+    """Add the exact mean of ``column`` over a window frame (``OVER (...)``)."""
+    m = Means(df, [column])
+    over = m.prepare(df).selectExpr("*", *[f"{sql} {frame} AS {name}" for name, sql in m.pieces().items()])
+    return over.selectExpr(*df.columns, f"{m.value(column)} AS {out}")

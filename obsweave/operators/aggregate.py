@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.comfort import comfort_index
-from ..functions.numeric import exact_avg_sql, mean, round_half_away, round_sql
+from ..functions.numeric import round_sql, summarize
 from ..session import spool
 from .latest import latest_per_key
 from .ranks import percentiles
@@ -17,38 +17,34 @@ from .ranks import percentiles
 
 def city_summary(df: DataFrame) -> DataFrame:
     """All-time summary per city, warmest first; ``avg_comfort`` is NULL on a table not enriched."""
-    comfort = mean(df, "comfort_index", 1) if "comfort_index" in df.columns else F.lit(None).cast("double")
-    return (df.groupBy("city").agg(
-        mean(df, "avg_temp", 2).alias("overall_avg_temp"),
-        F.min("min_temp").alias("overall_min_temp"),
-        F.max("max_temp").alias("overall_max_temp"),
-        mean(df, "avg_humidity", 1).alias("overall_avg_humidity"),
-        mean(df, "avg_pressure", 1).alias("overall_avg_pressure"),
-        mean(df, "avg_wind_speed", 2).alias("overall_avg_wind"),
-        F.sum("count").alias("total_readings"),
-        F.count(F.lit(1)).alias("window_count"),
-        comfort.alias("avg_comfort"))
-        .orderBy(F.col("overall_avg_temp").desc(), "city"))
+    means = {"overall_avg_temp": ("avg_temp", 2), "overall_avg_humidity": ("avg_humidity", 1),
+             "overall_avg_pressure": ("avg_pressure", 1), "overall_avg_wind": ("avg_wind_speed", 2)}
+    if "comfort_index" in df.columns:
+        means["avg_comfort"] = ("comfort_index", 1)
+    out = summarize(df, ["city"], means, {
+        "overall_min_temp": "min(min_temp)", "overall_max_temp": "max(max_temp)",
+        "total_readings": "sum(count)", "window_count": "count(1)"})
+    return out.selectExpr(
+        "city", "overall_avg_temp", "overall_min_temp", "overall_max_temp", "overall_avg_humidity",
+        "overall_avg_pressure", "overall_avg_wind", "total_readings", "window_count",
+        "avg_comfort" if "avg_comfort" in means else "CAST(NULL AS DOUBLE) AS avg_comfort",
+    ).orderBy(F.col("overall_avg_temp").desc(), "city")
 
 
 def top_cities_by_temp(df: DataFrame, top_n: int = 5) -> DataFrame:
-    return (df.groupBy("city").agg(
-        mean(df, "avg_temp", 2).alias("mean_temp"),
-        round_half_away("min(min_temp)", 2).alias("abs_min_temp"),
-        round_half_away("max(max_temp)", 2).alias("abs_max_temp"),
-        F.sum("count").alias("total_readings"),
-        F.count(F.lit(1)).alias("window_count"))
-        .orderBy(F.col("mean_temp").desc(), "city").limit(top_n))
+    found = summarize(df, ["city"], {"mean_temp": ("avg_temp", 2)}, {
+        "coldest": "min(min_temp)", "hottest": "max(max_temp)",
+        "total_readings": "sum(count)", "window_count": "count(1)"})
+    return found.selectExpr(
+        "city", "mean_temp", f"{round_sql('coldest')} AS abs_min_temp", f"{round_sql('hottest')} AS abs_max_temp",
+        "total_readings", "window_count").orderBy(F.col("mean_temp").desc(), "city").limit(top_n)
 
 
 def hourly_stats(df: DataFrame, time_col: str = "window_start") -> DataFrame:
     """Means per hour of day over all cities."""
-    return (df.groupBy(F.hour(time_col).cast("bigint").alias("hour_of_day")).agg(
-        mean(df, "avg_temp", 2).alias("avg_temp"),
-        mean(df, "avg_humidity", 1).alias("avg_humidity"),
-        mean(df, "avg_wind_speed", 2).alias("avg_wind"),
-        F.count(F.lit(1)).alias("samples"))
-        .orderBy("hour_of_day"))
+    return summarize(df, [f"CAST(hour({time_col}) AS BIGINT) AS hour_of_day"], {
+        "avg_temp": ("avg_temp", 2), "avg_humidity": ("avg_humidity", 1), "avg_wind": ("avg_wind_speed", 2),
+    }, {"samples": "count(1)"}).orderBy("hour_of_day")
 
 
 # The reported percentiles.
@@ -76,8 +72,8 @@ def anomalies(df: DataFrame, z_threshold: float = 2.0) -> DataFrame:
     Runs one job: the per-city statistics are written to the work folder, so that the table
     itself is joined without a shuffle whenever the statistics measure small enough.
     """
-    stats = spool(df.groupBy("city").agg(F.expr(f"{exact_avg_sql('avg_temp')} AS mean_t"),
-                                         F.stddev("avg_temp").alias("std_t")), "city-stats")
+    stats = spool(summarize(df, ["city"], {"mean_t": ("avg_temp", None)},
+                            {"std_t": "stddev_samp(avg_temp)"}), "city-stats")
     scored = df.select("city", "window_start", "avg_temp").join(stats, "city").selectExpr(
         "city", "window_start", "avg_temp", "abs(avg_temp - mean_t) / nullif(std_t, 0D) AS score")
     return (scored.where(F.col("score") > float(z_threshold))
@@ -87,38 +83,32 @@ def anomalies(df: DataFrame, z_threshold: float = 2.0) -> DataFrame:
 
 def humidity_by_hour(df: DataFrame) -> DataFrame:
     """Mean humidity per city and hour of ``window_end``."""
-    return (df.groupBy("city", F.hour("window_end").cast("bigint").alias("hour"))
-            .agg(mean(df, "avg_humidity", 1).alias("humidity")).orderBy("city", "hour"))
+    return summarize(df, ["city", "CAST(hour(window_end) AS BIGINT) AS hour"],
+                     {"humidity": ("avg_humidity", 1)}).orderBy("city", "hour")
 
 
 def comfort_by_city(df: DataFrame) -> DataFrame:
     if "comfort_index" not in df.columns:
         df = df.withColumn("comfort_index", comfort_index())
-    return (df.groupBy("city").agg(mean(df, "comfort_index", 1).alias("avg_comfort"))
+    return (summarize(df, ["city"], {"avg_comfort": ("comfort_index", 1)})
             .orderBy(F.col("avg_comfort").desc(), "city"))
 
 
 def demo_summary(df: DataFrame) -> DataFrame:
-    return (df.groupBy("city").agg(mean(df, "avg_temp", 2).alias("mean_temp"),
-                                   F.sum("count").alias("total_readings"))
+    return (summarize(df, ["city"], {"mean_temp": ("avg_temp", 2)}, {"total_readings": "sum(count)"})
             .orderBy(F.col("mean_temp").desc(), "city"))
 
 
 def mean_by_city(df: DataFrame) -> DataFrame:
-    return (df.groupBy("city").agg(mean(df, "avg_temp", 2).alias("mean_temp"))
+    return (summarize(df, ["city"], {"mean_temp": ("avg_temp", 2)})
             .orderBy(F.col("mean_temp").desc(), "city"))
 
 
-MEAN_BY_CITY_SQL = (f"SELECT city, {round_sql(exact_avg_sql('avg_temp'), 2)} AS mean_temp FROM {{src}}"
-                    " GROUP BY city ORDER BY mean_temp DESC, city")
-
-
 def kpi_latest(df: DataFrame) -> DataFrame:
     """One row: means over the latest row of every city."""
-    return latest_per_key(df).selectExpr(
-        *[f"{exact_avg_sql(c)} AS {out}" for c, out in
-          [("avg_temp", "avg_temp"), ("avg_humidity", "avg_humidity"),
-           ("avg_pressure", "avg_pressure"), ("avg_wind_speed", "avg_wind")]])
+    return summarize(latest_per_key(df), [], {
+        "avg_temp": ("avg_temp", None), "avg_humidity": ("avg_humidity", None),
+        "avg_pressure": ("avg_pressure", None), "avg_wind": ("avg_wind_speed", None)})
 
 
 def distinct_cities(df: DataFrame) -> DataFrame:

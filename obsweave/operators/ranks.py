@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -77,7 +77,7 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str,
     return found.selectExpr(*keys, *[f"{between(p)} AS {name}" for name, p in wanted.items()])
 
 
-def largest_n(df: DataFrame, n: int, column: str, ties: Sequence[Column] = ()) -> DataFrame:
+def largest_n(df: DataFrame, n: int, column: str, ties: Sequence[str] = ()) -> DataFrame:
     """The ``n`` rows with the largest ``column`` without a global sort.
 
     Buckets above the one holding the n-th row are kept whole; only that one is ranked.
@@ -90,7 +90,8 @@ def largest_n(df: DataFrame, n: int, column: str, ties: Sequence[Column] = ()) -
             .where("__room > 0"))
     tagged = bucketed.join(room, "__b")
     whole = tagged.where("__room >= __c")
-    edge = Window.partitionBy("__b").orderBy(F.col(column).desc(), *ties)
-    cut = (tagged.where("__room < __c").withColumn("__r", F.row_number().over(edge))
+    edge = ", ".join([f"{column} DESC", *ties])
+    cut = (tagged.where("__room < __c")
+           .selectExpr("*", f"row_number() OVER (PARTITION BY __b ORDER BY {edge}) AS __r")
            .where("__r <= __room").drop("__r"))
     return whole.unionByName(cut).drop("__b", "__c", "__room")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_avg_sql, round_sql
+from ..functions.numeric import round_sql, summarize
 from .ranks import counted_values, values_at
 
 PERCENTS = (50, 95, 99)      # fixed values: the reported percentiles
@@ -16,11 +16,10 @@ PERCENTS = (50, 95, 99)      # fixed values: the reported percentiles
 def request_stats(log: DataFrame, round_col: str = "round", latency: str = "response_time_ms",
                   error: str = "error") -> DataFrame:
     """Per poll round: total, success, errors, mean latency of the successes (0 if none)."""
-    of_successes = exact_avg_sql(f"(CASE WHEN {error} IS NULL THEN {latency} END)")
-    return log.groupBy(round_col).agg(
-        F.expr("count(1) AS total"), F.expr(f"count_if({error} IS NULL) AS success"),
-        F.expr(f"count_if({error} IS NOT NULL) AS errors"),
-        F.expr(f"coalesce({round_sql(of_successes, 2)}, 0D) AS avg_response_ms"))
+    ok = log.selectExpr(round_col, error, f"CASE WHEN {error} IS NULL THEN {latency} END AS ok_ms")
+    found = summarize(ok, [round_col], {"ms": ("ok_ms", 2)}, {
+        "total": "count(1)", "success": f"count_if({error} IS NULL)", "errors": f"count_if({error} IS NOT NULL)"})
+    return found.selectExpr(round_col, "total", "success", "errors", "coalesce(ms, 0D) AS avg_response_ms")
 
 
 def indexed_percentiles(log: DataFrame, keys: Sequence[str], value: str,
@@ -35,20 +34,21 @@ def indexed_percentiles(log: DataFrame, keys: Sequence[str], value: str,
         for p in percents])
 
 
-def latency_summary(log: DataFrame, elapsed: str, name_col: str = "name",
+def latency_summary(log: DataFrame, elapsed: str | None = None, name_col: str = "name",
                     latency: str = "response_time_ms", error: str = "error") -> DataFrame:
     """One row per run: counts, throughput, mean/min/max and index-based p50/p95/p99.
 
-    ``elapsed`` is SQL for an aggregate that gives a run's duration in seconds.  Failed
-    requests count towards the latencies.  Throughput of a run without duration is NULL.
+    ``elapsed`` is SQL for an aggregate that gives a run's duration in seconds; None means
+    the requests were sent one after the other.  Failed requests count towards the
+    latencies.  Throughput of a run without duration is NULL.
     """
-    base = log.groupBy(name_col).agg(
-        F.expr("count(1) AS total_requests"),
-        F.expr(f"count_if({error} IS NULL) AS successful"),
-        F.expr(f"count_if({error} IS NOT NULL) AS failed"),
-        F.expr(f"CAST({elapsed} AS DOUBLE) AS elapsed"),
-        F.expr(f"{exact_avg_sql(latency)} AS mean_ms"),
-        F.expr(f"min({latency}) AS min_ms"), F.expr(f"max({latency}) AS max_ms"))
+    base = summarize(log, [name_col], {"mean_ms": (latency, None)}, {
+        "total_requests": "count(1)", "successful": f"count_if({error} IS NULL)",
+        "failed": f"count_if({error} IS NOT NULL)", "timed": f"count({latency})",
+        "min_ms": f"min({latency})", "max_ms": f"max({latency})",
+        **({"elapsed": f"CAST({elapsed} AS DOUBLE)"} if elapsed else {})})
+    if not elapsed:
+        base = base.selectExpr("*", "mean_ms * timed / 1000D AS elapsed")
     ranks = indexed_percentiles(log, [name_col], latency).withColumnRenamed(name_col, "r_name")
     return (base.join(ranks, F.expr(f"{name_col} <=> r_name"), "left").selectExpr(
         name_col, "total_requests", "successful", "failed",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_avg_sql, round_sql
+from ..functions.numeric import rolling_avg, round_sql
 
 
 def rolling_mean(df: DataFrame, n: int = 5, key: str = "city", order: str = "window_end",
@@ -28,7 +28,7 @@ def rolling_mean(df: DataFrame, n: int = 5, key: str = "city", order: str = "win
         rows = rows.unionByName(_carried(chunked, n, key, order, value, ties), allowMissingColumns=True)
     frame = (f"OVER (PARTITION BY {key}, __chunk ORDER BY {by}"
              f" ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)")
-    rolled = rows.selectExpr("*", f"{exact_avg_sql(value, over=frame)} AS __mean").where("NOT __carried")
+    rolled = rolling_avg(rows, value, frame, "__mean").where("NOT __carried")
     return rolled.selectExpr(*df.columns, f"{round_sql('__mean', 2)} AS rolling_{value}_{n}w").orderBy(
         key, order, *ties)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.comfort import comfort_band, comfort_index, temp_range, whole_seconds
@@ -16,6 +16,12 @@ KELVIN_OFFSET = 273.15         # fixed value
 SMALL_LIMIT = 10_000           # up to here ORDER BY ... LIMIT is a per-task heap
 
 
+def _ordered(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Order by SQL terms such as ``window_end DESC``."""
+    return df.orderBy(*[F.col(c.removesuffix(" DESC")).desc() if c.endswith(" DESC") else F.col(c)
+                        for c in order])
+
+
 def enrich(df: DataFrame) -> DataFrame:
     """Add temp_range, window_duration_sec and comfort_index."""
     return df.withColumns({
@@ -68,7 +74,7 @@ def to_celsius(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def latest_records(df: DataFrame, n: int = 20) -> DataFrame:
     """The newest ``n`` rows, rounded for display."""
-    top = df.orderBy(F.col("window_end").desc(), *tie_break(df, ["window_end"])).limit(n)
+    top = _ordered(df, ["window_end DESC", *tie_break(df, ["window_end"])]).limit(n)
     return top.selectExpr(
         "city", "window_end",
         *[f"{round_sql(c, 1)} AS {c}" for c in ("avg_temp", "min_temp", "max_temp")],
@@ -95,11 +101,11 @@ def comfort_gauges(df: DataFrame, cities: Sequence[str], show: int = 4) -> DataF
             .orderBy(F.col("comfort").desc(), "city").limit(show))
 
 
-def retain_last_n(df: DataFrame, n: int, sequence: str, ties: Sequence[Column] | None = None) -> DataFrame:
+def retain_last_n(df: DataFrame, n: int, sequence: str, ties: Sequence[str] | None = None) -> DataFrame:
     """Only the ``n`` rows with the highest arrival sequence, oldest first."""
     rest = tie_break(df, [sequence]) if ties is None else list(ties)
     if n <= SMALL_LIMIT:
-        kept = df.orderBy(F.col(sequence).desc(), *rest).limit(n)
+        kept = _ordered(df, [f"{sequence} DESC", *rest]).limit(n)
     else:
         from .ranks import largest_n
         kept = largest_n(df, n, sequence, rest)
@@ -124,6 +130,6 @@ def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
             .where("__room > 0"))
     tagged = hashed.join(F.broadcast(room), "__prefix")   # <= 65536 rows by construction
     whole = tagged.where("__room >= __c")
-    edge = Window.partitionBy("__prefix").orderBy(*order)
-    cut = tagged.where("__room < __c").withColumn("__r", F.row_number().over(edge)).where("__r <= __room").drop("__r")
+    edge = f"row_number() OVER (PARTITION BY __prefix ORDER BY {', '.join(order)}) AS __r"
+    cut = tagged.where("__room < __c").selectExpr("*", edge).where("__r <= __room").drop("__r")
     return whole.unionByName(cut).drop("__hash", "__prefix", "__c", "__room")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import avg_parts, mean, merged_mean
+from ..functions.numeric import Means, round_sql
 
 # Output column and the reading column it averages.
 AVERAGES = {
@@ -29,24 +29,30 @@ def tumbling(df: DataFrame, size: str = "60 seconds", key: str = "city",
     and the second level sees a handful of rows per window.  A stream keeps one state row
     per (window, key) instead.
     """
+    means = Means(df, AVERAGES.values())
+    rows = means.prepare(df)
     window = F.window(time_col, size).alias("w")
+    pieces = {"count": "count(1)", "min_temp": "min(temperature)", "max_temp": "max(temperature)",
+              **means.pieces()}
     if shard_col is None or df.isStreaming:
-        grouped = df.groupBy(window, key).agg(
-            F.expr("count(1) AS count"),
-            F.expr("min(temperature) AS min_temp"), F.expr("max(temperature) AS max_temp"),
-            *[mean(df, src).alias(out) for out, src in AVERAGES.items()],
-            *([] if shard_col is None else
-              [F.expr(f"min_by({shard_col}, struct({time_col}, {shard_col})) AS shard_id")]))
+        shard = f"min_by({shard_col}, struct({time_col}, {shard_col}))"
+        grouped = rows.groupBy(window, key).agg(*_named(pieces, shard_id=shard_col and shard))
     else:
-        per_shard = df.groupBy(window, key, shard_col).agg(
-            F.expr("count(1) AS n"), F.expr(f"min({time_col}) AS first_at"),
-            F.expr("min(temperature) AS lo"), F.expr("max(temperature) AS hi"),
-            *[part for out, src in AVERAGES.items() for part in avg_parts(df, src, out)])
-        grouped = per_shard.groupBy("w", key).agg(
-            F.expr("sum(n) AS count"), F.expr("min(lo) AS min_temp"), F.expr("max(hi) AS max_temp"),
-            *[merged_mean(per_shard, out) for out in AVERAGES],
-            F.expr(f"min_by({shard_col}, struct(first_at, {shard_col})) AS shard_id"))
-    return grouped.select(
-        key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "count", "avg_temp", "min_temp", "max_temp", "avg_humidity", "avg_pressure", "avg_wind_speed",
-        *([] if shard_col is None else ["shard_id"]))
+        merged = {name: f"{sql[:3] if sql[:3] in ('min', 'max') else 'sum'}({name})"
+                  for name, sql in pieces.items()}
+        grouped = (rows.groupBy(window, key, shard_col)
+                   .agg(*_named(pieces, first_at=f"min({time_col})"))
+                   .groupBy("w", key)
+                   .agg(*_named(merged, shard_id=f"min_by({shard_col}, struct(first_at, {shard_col}))")))
+    tail = [] if shard_col is None else ["shard_id"]
+    valued = grouped.selectExpr(key, "w", "count", "min_temp", "max_temp", *tail,
+                                *[f"{means.value(src)} AS {out}" for out, src in AVERAGES.items()])
+    rounded = {out: f"{round_sql(out, 2)} AS {out}" for out in AVERAGES}
+    return valued.selectExpr(
+        key, "w.start AS window_start", "w.end AS window_end", "count",
+        rounded["avg_temp"], "min_temp", "max_temp",
+        rounded["avg_humidity"], rounded["avg_pressure"], rounded["avg_wind_speed"], *tail)
+
+
+def _named(aggregates: dict[str, str], **more: str | None) -> list[Column]:
+    return [F.expr(f"{sql} AS {name}") for name, sql in {**aggregates, **more}.items() if sql]

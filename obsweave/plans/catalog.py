@@ -241,7 +241,7 @@ def dim_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = inputs.request_log(inputs.table(spark, sf_dir, "events"))
-    return requests.latency_summary(log, inputs.BUSY_SECONDS)
+    return requests.latency_summary(log)
 
 
 @query

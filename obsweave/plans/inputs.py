@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..functions.numeric import exact_avg_sql
 from ..functions.times import iso_text_sql
 from ..operators.windows import tumbling
 
@@ -90,7 +89,3 @@ def request_log(events: DataFrame) -> DataFrame:
         "CASE WHEN user_id % 2 = 0 THEN 'run-a' ELSE 'run-b' END AS name",
         "date_format(ts, 'yyyy-MM-dd') AS round", "value AS response_time_ms",
         "CASE WHEN event_type = 'error' THEN 'failed' END AS error")
-
-
-# Duration of a run that sends one request after the other.
-BUSY_SECONDS = f"{exact_avg_sql('response_time_ms')} * count(response_time_ms) / 1000D"

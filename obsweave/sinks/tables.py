@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.latest import dedup_latest
+from ..operators.latest import dedup_latest, tie_break
 from ..operators.select import by_city, retain_last_n
 from ..schemas import AGGREGATE
 from ..sources.files import load_parquet
@@ -68,9 +68,8 @@ def _touched_part(stored: DataFrame, fresh: DataFrame, name: str, touched: list)
     return stored.where(wanted | F.col(name).isNull() if None in touched else wanted)
 
 
-def _prefer_fresh(new: DataFrame, keys: Sequence[str], by: str) -> list[Column]:
-    return [F.col("__fresh").desc(),
-            *[F.col(c).desc() for c in new.columns if c not in (*keys, by)]]
+def _prefer_fresh(new: DataFrame, keys: Sequence[str], by: str) -> list[str]:
+    return ["__fresh DESC", *tie_break(new, [*keys, by])]
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
