@@ -51,12 +51,10 @@ def fixed_point_sql(x: str, digits: int = DIGITS) -> str:
 
 
 def _mean_sql(name: str) -> str:
-    """Mean from summed pieces: exact, or the plain one if NaN, infinite or huge values are in it."""
+    """Mean from summed pieces; values that do not fit the integer sums are added as they are."""
     total = (f"CAST(CAST({name}__high AS DECIMAL(20,0)) * {1 << _LOW_BITS}"
-             f" + CAST({name}__low AS DECIMAL(20,0)) AS DOUBLE)")
-    return (f"CASE WHEN {name}__fitted = {name}__present"
-            f" THEN {total} / {10 ** DIGITS}D / nullif({name}__fitted, 0)"
-            f" ELSE {name}__plain / nullif({name}__present, 0) END")
+             f" + CAST({name}__low AS DECIMAL(20,0)) AS DOUBLE) / {10 ** DIGITS}D")
+    return f"(coalesce({total}, 0D) + coalesce({name}__odd, 0D)) / nullif({name}__present, 0)"
 
 
 class Means:
@@ -76,23 +74,22 @@ class Means:
                                     for c in self.columns if c not in self.whole])
 
     def pieces(self) -> dict[str, str]:
-        """Aggregates over prepared rows; they merge by adding."""
+        """Aggregates over prepared rows, all with fixed-width buffers."""
         out = {}
         for c in self.columns:
             out[f"{c}__present"] = f"count({c})"
             if c in self.whole:
-                out[f"{c}__plain"] = f"sum({c})"
+                out[f"{c}__sum"] = f"sum({c})"
             else:
-                out[f"{c}__plain"] = f"sum(CAST({c} AS DOUBLE))"
-                out[f"{c}__fitted"] = f"count({c}__v)"
                 out[f"{c}__high"] = f"sum(shiftright({c}__v, {_LOW_BITS}))"
                 out[f"{c}__low"] = f"sum({c}__v & {(1 << _LOW_BITS) - 1}L)"
+                out[f"{c}__odd"] = f"sum(CASE WHEN {c}__v IS NULL THEN CAST({c} AS DOUBLE) END)"
         return out
 
     def value(self, column: str) -> str:
         """The mean from the pieces."""
         if column in self.whole:
-            return f"{column}__plain / nullif({column}__present, 0)"
+            return f"{column}__sum / nullif({column}__present, 0)"
         return _mean_sql(column)
 
 

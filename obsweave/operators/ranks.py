@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spool
+
 
 def _outer(digits: int) -> int:
     return 10 ** (digits + 4)       # bucket of infinities; NaN comes after it
@@ -31,28 +33,30 @@ def value_bucket_sql(x: str, digits: int = 3) -> str:
             f" WHEN {x} < 0 THEN -{code} ELSE {code} END)")
 
 
-def counted_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """``keys, b, v, n``: how often each non-NULL value occurs.  Combined before the shuffle."""
-    return (df.where(f"{value} IS NOT NULL").select(*keys, F.col(value).alias("v"))
-            .groupBy(*keys, F.expr(value_bucket_sql("v")).alias("b"), "v")
-            .agg(F.expr("count(1) AS n")))
-
-
-def values_at(counted: DataFrame, keys: Sequence[str], wanted: str) -> DataFrame:
-    """The values at given 0-based positions of every group's sorted values.
+def values_at(df: DataFrame, keys: Sequence[str], value: str, wanted: str) -> DataFrame:
+    """The values at given 0-based positions of every group's sorted non-NULL values.
 
     ``wanted`` is SQL for an array of bigint positions computed from the group size, which
     it may call ``total``.  Returns ``keys, total, pos, v``.
+
+    Two narrow passes over ``df``: the first counts rows per bucket (combined before the
+    shuffle; one job, kept in the work folder), the second looks only at the buckets in
+    which a wanted position lies.
     """
     by = ", ".join(keys)
+    rows = (df.where(f"{value} IS NOT NULL").selectExpr(*keys, f"{value} AS v")
+            .withColumn("b", F.expr(value_bucket_sql("v"))))
     # windows over buckets: a few thousand rows per group at most
-    targets = (counted.groupBy(*keys, "b").agg(F.expr("sum(n) AS n"))
-               .selectExpr(*keys, "b", "n", f"sum(n) OVER (PARTITION BY {by} ORDER BY b) AS upto",
-                           f"sum(n) OVER (PARTITION BY {by}) AS total")
-               .select("*", F.expr(f"explode(array_distinct({wanted})) AS pos"))
-               .where("pos >= upto - n AND pos < upto")
-               .selectExpr(*[f"{k} AS t_{k}" for k in keys], "b AS t_b", "total", "pos", "upto - n AS before"))
+    targets = spool(
+        rows.groupBy(*keys, "b").agg(F.expr("count(1) AS n"))
+        .selectExpr(*keys, "b", "n", f"sum(n) OVER (PARTITION BY {by} ORDER BY b) AS upto",
+                    f"sum(n) OVER (PARTITION BY {by}) AS total")
+        .select("*", F.expr(f"explode(array_distinct({wanted})) AS pos"))
+        .where("pos >= upto - n AND pos < upto")
+        .selectExpr(*[f"{k} AS t_{k}" for k in keys], "b AS t_b", "total", "pos", "upto - n AS before"), "targets")
     same = " AND ".join(["b = t_b", *[f"{k} <=> t_{k}" for k in keys]])
+    buckets = targets.select(*[f"t_{k}" for k in keys], "t_b").distinct()
+    counted = rows.join(buckets, F.expr(same), "left_semi").groupBy(*keys, "b", "v").agg(F.expr("count(1) AS n"))
     return (counted.join(targets, F.expr(same))
             .selectExpr("*", f"before + sum(n) OVER (PARTITION BY {by}, b, pos ORDER BY v) AS upto")
             .where("pos >= upto - n AND pos < upto").select(*keys, "total", "pos", "v"))
@@ -65,7 +69,7 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str,
         return f"({float(p)!r}D * (total - 1))"
 
     ends = ", ".join(f"floor({place(p)}), ceil({place(p)})" for p in wanted.values())
-    at = values_at(counted_values(df, keys, value), keys, f"array({ends})")
+    at = values_at(df, keys, value, f"array({ends})")
     # at most two values per percentile and group
     found = at.groupBy(*keys).agg(F.expr("first(total) AS total"),
                                   F.expr("map_from_entries(collect_list(struct(pos, v))) AS m"))

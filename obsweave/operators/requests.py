@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_sql, summarize
-from .ranks import counted_values, values_at
+from .ranks import values_at
 
 PERCENTS = (50, 95, 99)      # fixed values: the reported percentiles
 
@@ -28,7 +28,7 @@ def indexed_percentiles(log: DataFrame, keys: Sequence[str], value: str,
     def place(p: float) -> str:
         return f"least(floor(total * {p} / 100), total - 1)"
 
-    at = values_at(counted_values(log, keys, value), keys, f"array({', '.join(map(place, percents))})")
+    at = values_at(log, keys, value, f"array({', '.join(map(place, percents))})")
     return at.groupBy(*keys).agg(*[
         F.expr(f"{round_sql(f'max(CASE WHEN pos = {place(p)} THEN v END)', 2)} AS p{p}_latency_ms")
         for p in percents])

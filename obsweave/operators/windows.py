@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions.numeric import Means, round_sql
@@ -16,43 +18,67 @@ AVERAGES = {
 }
 
 
+FEW_SHARDS = 64      # beyond this the first shard is found by a sort-based aggregate
+
+
 def tumbling(df: DataFrame, size: str = "60 seconds", key: str = "city",
-             time_col: str = "collected_at", shard_col: str | None = "shard_id") -> DataFrame:
+             time_col: str = "collected_at", shard_col: str | None = "shard_id",
+             shards: Sequence[str] | None = None) -> DataFrame:
     """Per key and window: count, mean/min/max temperature, mean humidity, pressure, wind.
 
     Windows are event-time and aligned to the epoch.  Means are rounded to two decimals,
     half away from zero; min and max are not rounded.  ``shard_id`` is the shard of the
     earliest reading (equal times: the smallest shard id).
 
-    In batch the raw rows are first aggregated per (window, key, shard): that level holds
-    only fixed-width buffers, so it stays a hash aggregate although the shard is a string,
-    and the second level sees a handful of rows per window.  A stream keeps one state row
-    per (window, key) instead.
+    A text buffer would turn the aggregate into a sort of all readings.  Therefore, in
+    batch, the earliest shard is the minimum of one bigint: time within the window, then the
+    number of the shard in the sorted list of shards.  That list is ``shards`` or is read
+    from the data, which runs one job over that column.  A stream keeps the shard as it is.
     """
     means = Means(df, AVERAGES.values())
     rows = means.prepare(df)
-    window = F.window(time_col, size).alias("w")
     pieces = {"count": "count(1)", "min_temp": "min(temperature)", "max_temp": "max(temperature)",
               **means.pieces()}
-    if shard_col is None or df.isStreaming:
-        shard = f"min_by({shard_col}, struct({time_col}, {shard_col}))"
-        grouped = rows.groupBy(window, key).agg(*_named(pieces, shard_id=shard_col and shard))
+    if df.isStreaming:
+        if shard_col:
+            pieces["shard_id"] = f"min_by({shard_col}, struct({time_col}, {shard_col}))"
+        grouped = (_aggregate(rows.groupBy(F.window(time_col, size).alias("w"), key), pieces)
+                   .selectExpr("*", "w.start AS window_start", "w.end AS window_end"))
+        shard = "shard_id"
     else:
-        merged = {name: f"{sql[:3] if sql[:3] in ('min', 'max') else 'sum'}({name})"
-                  for name, sql in pieces.items()}
-        grouped = (rows.groupBy(window, key, shard_col)
-                   .agg(*_named(pieces, first_at=f"min({time_col})"))
-                   .groupBy("w", key)
-                   .agg(*_named(merged, shard_id=f"min_by({shard_col}, struct(first_at, {shard_col}))")))
-    tail = [] if shard_col is None else ["shard_id"]
-    valued = grouped.selectExpr(key, "w", "count", "min_temp", "max_temp", *tail,
+        rows = rows.select("*", F.window(time_col, size).alias("w")).selectExpr("*", "w.start AS window_start")
+        shard = _add_first_shard(df, pieces, time_col, shard_col, shards) if shard_col else ""
+        grouped = (_aggregate(rows.groupBy("window_start", key), pieces)
+                   .selectExpr("*", f"window_start + INTERVAL {size} AS window_end"))
+    tail = [f"{shard} AS shard_id"] if shard_col else []
+    valued = grouped.selectExpr(key, "window_start", "window_end", "count", "min_temp", "max_temp", *tail,
                                 *[f"{means.value(src)} AS {out}" for out, src in AVERAGES.items()])
     rounded = {out: f"{round_sql(out, 2)} AS {out}" for out in AVERAGES}
     return valued.selectExpr(
-        key, "w.start AS window_start", "w.end AS window_end", "count",
-        rounded["avg_temp"], "min_temp", "max_temp",
-        rounded["avg_humidity"], rounded["avg_pressure"], rounded["avg_wind_speed"], *tail)
+        key, "window_start", "window_end", "count", rounded["avg_temp"], "min_temp", "max_temp",
+        rounded["avg_humidity"], rounded["avg_pressure"], rounded["avg_wind_speed"],
+        *(["shard_id"] if shard_col else []))
+
+
+def _aggregate(grouped: GroupedData, pieces: dict[str, str]) -> DataFrame:
+    return grouped.agg(*[F.expr(f"{sql} AS {name}") for name, sql in pieces.items()])
 
 
-def _named(aggregates: dict[str, str], **more: str | None) -> list[Column]:
-    return [F.expr(f"{sql} AS {name}") for name, sql in {**aggregates, **more}.items() if sql]
+def _add_first_shard(df: DataFrame, pieces: dict[str, str], time_col: str, shard_col: str,
+                     shards: Sequence[str] | None) -> str:
+    """Add the piece that finds the earliest shard; returns the SQL that reads it afterwards."""
+    if shards is None:
+        found = df.select(shard_col).where(f"{shard_col} IS NOT NULL").distinct().limit(FEW_SHARDS + 1).collect()
+        shards = [r[0] for r in found]
+    if len(shards) > FEW_SHARDS:
+        pieces["shard_id"] = f"min_by({shard_col}, struct({time_col}, {shard_col}))"
+        return "shard_id"
+    quoted = ", ".join("'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'" for s in sorted(set(shards)))
+    listed = f"array({quoted})" if quoted else "CAST(array() AS ARRAY<STRING>)"
+    bits = FEW_SHARDS.bit_length()
+    number = f"coalesce(array_position({listed}, {shard_col}), 0L)"
+    known = (f"IF({shard_col} IS NOT NULL AND {number} = 0, raise_error('shard not in the list of shards'),"
+             f" {number})")
+    pieces["first_shard"] = (f"min(shiftleft(unix_micros({time_col}) - unix_micros(window_start), {bits})"
+                             f" | {known})")
+    return f"try_element_at({listed}, CAST(nullif(first_shard & {(1 << bits) - 1}L, 0L) AS INT))"

@@ -12,7 +12,7 @@ from ..functions.comfort import register_sql_functions
 from ..functions.quality import Bounds
 from ..operators import aggregate as agg
 from ..operators import assign, latest, requests, reshape, rolling, select, sqltext, validate
-from ..session import use_utc, work_path
+from ..session import spool, use_utc, work_path
 from ..sinks import tables
 from ..sources import messages as msg
 from ..sources.files import PARTITION_DATE, load_parquet
@@ -54,6 +54,14 @@ def _on_aggregates(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
     query(run)
 
 
+def _on_stored(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+    """For operators that read their input more than once: the aggregates stored as a table."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(spool(inputs.aggregates(spark, sf_dir), "aggregates"))
+    run.__name__ = name
+    query(run)
+
+
 def _on_readings(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(inputs.readings(spark, sf_dir))
@@ -67,8 +75,8 @@ _on_aggregates("tumbling_aggregate", lambda a: a)
 _on_aggregates("enrich", select.enrich)
 _on_aggregates("city_summary", lambda a: agg.city_summary(select.enrich(a)))
 _on_aggregates("hourly_stats", agg.hourly_stats)
-_on_aggregates("percentiles", agg.temperature_percentiles)
-_on_aggregates("anomalies", agg.anomalies)
+_on_stored("percentiles", agg.temperature_percentiles)
+_on_stored("anomalies", agg.anomalies)
 _on_aggregates("humidity_by_hour", agg.humidity_by_hour)
 _on_aggregates("humidity_pivot", reshape.humidity_pivot)
 _on_aggregates("comfort_by_city", agg.comfort_by_city)
@@ -77,8 +85,8 @@ _on_aggregates("mean_by_city", agg.mean_by_city)
 _on_aggregates("kpi_latest", agg.kpi_latest)
 _on_aggregates("distinct_cities", agg.distinct_cities)
 _on_aggregates("table_counts", agg.table_counts)
-_on_aggregates("histogram", agg.histogram)
-_on_aggregates("rolling_mean", lambda a: rolling.rolling_mean(a, 5))
+_on_stored("histogram", agg.histogram)
+_on_stored("rolling_mean", lambda a: rolling.rolling_mean(a, 5))
 _on_aggregates("latest_per_key", latest.latest_per_key)
 _on_aggregates("current_temps", select.current_temps)
 _on_aggregates("scatter_points", select.scatter_points)
@@ -87,8 +95,8 @@ _on_aggregates("latest_records", select.latest_records)
 _on_aggregates("timeline", lambda a: select.timeline(a, CITIES, 48, as_of="2024-01-30 00:00:00"))
 _on_aggregates("by_city", lambda a: select.by_city(a, "click"))
 _on_aggregates("city_timeline_sorted", select.city_timeline_sorted)
-_on_aggregates("union_diagonal", lambda a: reshape.union_diagonal(a, select.enrich(a)))
-_on_aggregates("report_top10", lambda a: report(a)["top10"])
+_on_stored("union_diagonal", lambda a: reshape.union_diagonal(a, select.enrich(a)))
+_on_stored("report_top10", lambda a: report(a)["top10"])
 
 
 @query

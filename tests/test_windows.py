@@ -59,10 +59,35 @@ def test_without_shard_nothing_but_hash_aggregates(spark):
     assert "SortAggregate" not in plan_of(out)
 
 
-def test_raw_rows_are_hash_aggregated_before_the_first_shuffle(spark):
+def test_one_hash_aggregate_and_one_shuffle(spark):
     plan = plan_of(tumbling(readings(spark, [("A", 1.0, 1, 1, 1.0, 0)])))
-    below_first_exchange = plan.rsplit("Exchange", 1)[1]
-    assert "HashAggregate" in below_first_exchange and "SortAggregate" not in below_first_exchange
+    assert "SortAggregate" not in plan and plan.count("Exchange") == 1
+
+
+def test_many_shards_and_few_shards_agree(spark, monkeypatch):
+    rows = [("A", 1.0, 1, 1, 1.0, 9 - i % 10, s) for i, s in enumerate(["b'", "a", "\\", None, "c", "ü", "b'"])]
+    df = readings(spark, rows + [("B", 1.0, 1, 1, 1.0, 3, "z"), ("B", 1.0, 1, 1, 1.0, 3, "y"),
+                                 ("C", 1.0, 1, 1, 1.0, 1, None), ("C", 1.0, 1, 1, 1.0, 1, "a")])
+    few = sorted(tumbling(df).collect())
+    monkeypatch.setattr("obsweave.operators.windows.FEW_SHARDS", 2)
+    many = tumbling(df)
+    assert "SortAggregate" in plan_of(many)
+    assert few == sorted(many.collect())
+    assert {r.city: r.shard_id for r in few} == {"A": "b'", "B": "y", "C": None}
+
+
+def test_given_shards_are_used_and_an_unknown_one_is_an_error(spark):
+    df = readings(spark, [("A", 1.0, 1, 1, 1.0, 0, "s1")])
+    assert tumbling(df, shards=["s0", "s1"]).first().shard_id == "s1"
+    with pytest.raises(Exception, match="not in the list"):
+        tumbling(df, shards=["s0"]).collect()
+
+
+def test_readings_before_1970(spark):
+    df = readings(spark, [("A", 1.0, 1, 1, 1.0, 0, "s1"), ("A", 1.0, 1, 1, 1.0, 1, "s0")]).withColumn(
+        "collected_at", F.expr("collected_at - INTERVAL 100 YEARS"))
+    row = tumbling(df).first()
+    assert row.shard_id == "s1" and row.window_start.year == 1924
 
 
 def test_stream_form_agrees_with_batch_form(spark):
