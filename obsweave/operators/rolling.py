@@ -28,9 +28,11 @@ def rolling_mean(df: DataFrame, n: int = 5, key: str = "city", order: str = "win
         rows = rows.unionByName(_carried(chunked, n, key, order, value, ties), allowMissingColumns=True)
     frame = (f"OVER (PARTITION BY {key}, __chunk ORDER BY {by}"
              f" ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)")
-    rolled = rolling_avg(rows, value, frame, "__mean").where("NOT __carried")
-    return rolled.selectExpr(*df.columns, f"{round_sql('__mean', 2)} AS rolling_{value}_{n}w").orderBy(
-        key, order, *ties)
+    # One range shuffle serves the window (equal key and chunk stay together) and the final
+    # order: a later chunk holds only later times, so ordering by chunk changes nothing.
+    rolled = rolling_avg(rows.repartitionByRange(key, "__chunk"), value, frame, "__mean").where("NOT __carried")
+    out = rolled.selectExpr(*df.columns, "__chunk", f"{round_sql('__mean', 2)} AS rolling_{value}_{n}w")
+    return out.orderBy(key, "__chunk", order, *ties).drop("__chunk")
 
 
 def _carried(chunked: DataFrame, n: int, key: str, order: str, value: str,

@@ -149,6 +149,15 @@ def test_rolling_mean_across_chunks_equals_plain_window(spark, n, chunk):
         assert (got[k] is None and v is None) or got[k] == pytest.approx(v, abs=0.0051)
 
 
+def test_rolling_mean_is_sorted_by_one_shuffle(spark):
+    df = spark.range(2000).selectExpr("concat('c', id % 3) AS city", "timestamp_seconds(id * 977) AS window_end",
+                                      "CAST(id % 17 AS DOUBLE) AS avg_temp")
+    out = rolling.rolling_mean(df.repartition(5), 1)
+    assert plan_of(out).count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan_of(out)
+    rows = [(r.city, r.window_end) for r in rolling.rolling_mean(df.repartition(5), 3).collect()]
+    assert rows == sorted(rows)
+
+
 def test_latest_per_key_and_its_aggregate_form(spark):
     df = aggs(spark, agg_row("A", start=1, temp=1.0), agg_row("A", start=5, temp=2.0), agg_row("A", start=5, temp=3.0),
               agg_row("B", start=0, temp=9.0))
