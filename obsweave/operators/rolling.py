@@ -12,13 +12,16 @@ from ..functions.numeric import rolling_avg, round_sql
 
 def rolling_mean(df: DataFrame, n: int = 5, key: str = "city", order: str = "window_end",
                  value: str = "avg_temp", ties: Sequence[str] = ("window_start",),
-                 chunk: str = "day") -> DataFrame:
+                 chunk: str = "month") -> DataFrame:
     """Add ``rolling_{value}_{n}w``: mean of the last ``n`` rows (fewer at the start).
 
     Work is split by (key, time chunk).  The first rows of a chunk also need up to n-1 rows
     from earlier chunks; these are looked up among the last n-1 rows of every chunk and
     added to it as carried rows, which are dropped again after the window.  The result is
     sorted by key and time.
+
+    ``chunk`` is a ``date_trunc`` unit; any gives the same result.  It should hold many times
+    ``n`` rows of a key, yet few enough for one task: a month of one-minute windows is 43,000.
     """
     ties = [t for t in ties if t in df.columns]
     by = ", ".join([order, *ties])
