@@ -12,6 +12,7 @@ from ..schemas import AGGREGATE, PAYLOAD
 
 _TIMES = ("window_start", "window_end")
 _TEXTS = ("city", "shard_id")
+_NUMBERS = tuple(n for n in AGGREGATE.names if n not in (*_TIMES, *_TEXTS, "count"))
 
 
 class Decoded(NamedTuple):
@@ -19,18 +20,37 @@ class Decoded(NamedTuple):
     dead: DataFrame     # message column and ``reason``
 
 
-def _conversion(name: str) -> tuple[str, str]:
-    """SQL that converts the text of a key, and the default for an absent key."""
-    text = f"raw['{name}']"
+def _names(names: tuple[str, ...]) -> str:
+    return "array(" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+def _if_given(key: str, converted: str, default: str) -> str:
+    return f"IF(map_contains_key(raw, {key}), {converted}, {default})"
+
+
+def _message_sql() -> str:
+    """SQL for the typed message; what is NULL in it (but for texts) could not be converted.
+
+    Fields of one kind are converted by one lambda.  Written out one by one, the generated
+    code outgrows what the JVM compiles and runs several times slower.
+    """
+    wide = "try_cast(raw['count'] AS DOUBLE)"
+    whole = (f"coalesce(try_cast(raw['count'] AS BIGINT),"
+             f" CASE WHEN abs({wide}) < 9.0e18D THEN CAST({wide} AS BIGINT) END)")
+    return f"""struct(
+        {_if_given("'city'", "raw['city']", "''")} AS city,
+        {_if_given("'shard_id'", "raw['shard_id']", "''")} AS shard_id,
+        {_if_given("'count'", whole, "0L")} AS count,
+        transform({_names(_TIMES)},
+                  k -> {_if_given("k", time_from_text_sql("raw[k]"), "timestamp_seconds(0)")}) AS times,
+        transform({_names(_NUMBERS)}, k -> {_if_given("k", "try_cast(raw[k] AS DOUBLE)", "0D")}) AS numbers)"""
+
+
+def _place(name: str) -> str:
+    """Where the typed message has a field."""
     if name in _TIMES:
-        return time_from_text_sql(text), "timestamp_seconds(0)"
-    if name in _TEXTS:
-        return text, "''"
-    wide = f"try_cast({text} AS DOUBLE)"
-    if name == "count":
-        whole = f"CASE WHEN abs({wide}) < 9.0e18D THEN CAST({wide} AS BIGINT) END"
-        return f"coalesce(try_cast({text} AS BIGINT), {whole})", "0L"
-    return wide, "0D"
+        return f"m.times[{_TIMES.index(name)}]"
+    return f"m.numbers[{_NUMBERS.index(name)}]" if name in _NUMBERS else f"m.{name}"
 
 
 def decode_aggregates(df: DataFrame, value: str = "value") -> Decoded:
@@ -39,21 +59,17 @@ def decode_aggregates(df: DataFrame, value: str = "value") -> Decoded:
     A missing key takes its default ("" or 0; times: the epoch).  A key that is present but
     cannot be converted, or text that is not a JSON object, makes the message a dead letter.
     """
-    # The text is parsed in a generator, so that the optimizer neither copies the parse into
-    # every use of its result nor into the filters on it; so is the conversion.
-    typed, problems = [], ["WHEN raw IS NULL THEN 'not a JSON object'"]
-    for f in AGGREGATE.fields:
-        converted, default = _conversion(f.name)
-        typed.append(f"IF(map_contains_key(raw, '{f.name}'), {converted}, {default}) AS {f.name}")
-        if f.name not in _TEXTS:
-            problems.append(f"WHEN map_contains_key(raw, '{f.name}') AND m.{f.name} IS NULL THEN 'bad {f.name}'")
+    # Parse and conversion are generators, so that the optimizer copies neither into every
+    # use of its result nor into the filters on it.
+    problems = [f"WHEN {_place(n)} IS NULL THEN 'bad {n}'" for n in AGGREGATE.names if n not in _TEXTS]
     d = (df.select("*", F.expr(
             f"explode_outer(array(from_json(CAST({value} AS STRING), 'MAP<STRING, STRING>'))) AS raw"))
-         .select("*", F.expr(f"explode_outer(array(struct({', '.join(typed)}))) AS m"))
-         .withColumn("reason", F.expr(f"CASE {' '.join(problems)} END")))
+         .select("*", F.expr(f"explode_outer(array({_message_sql()})) AS m"))
+         .withColumn("reason", F.expr(f"CASE WHEN raw IS NULL THEN 'not a JSON object' {' '.join(problems)} END")))
     keep = [c for c in df.columns if c != value and c not in AGGREGATE.names]
-    return Decoded(good=d.where("reason IS NULL").select(*keep, "m.*"),
-                   dead=d.where("reason IS NOT NULL").select(*keep, value, "reason"))
+    return Decoded(
+        good=d.where("reason IS NULL").selectExpr(*keep, *[f"{_place(n)} AS {n}" for n in AGGREGATE.names]),
+        dead=d.where("reason IS NOT NULL").select(*keep, value, "reason"))
 
 
 def encode_aggregates(columns: list[str]) -> Column:
