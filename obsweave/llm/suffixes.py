@@ -250,7 +250,7 @@ def _bytes_of(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
                 out["data"].append(raw[r["first"]:r["last"] + length])
         return out
 
-    return over_texts(wanted.join(texts, "row").select("text", "runs"), "text", each,
+    return over_texts(wanted.hint("merge").join(texts, "row").select("text", "runs"), "text", each,
                       "key long, fp1 long, fp2 long, big boolean, data binary")
 
 
@@ -336,7 +336,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
         "key", "fp1", "fp2", "n", "one", (F.col("size") > block_bytes).alias("big"),
         ((F.col("kinds") > 1) | F.col("any_inner")).alias("sort")), "kinds")
     touched = runs.join(known.select("key", "fp1", "fp2", "n"), ["key", "fp1", "fp2"])
-    texts = spool(docs.join(touched.select("row").distinct(), "row", "left_semi"), "texts")
+    texts = spool(docs.join(touched.select("row").distinct().hint("merge"), "row", "left_semi"), "texts")
 
     # kinds in buckets with one kind only need no look at their bytes
     wanted = known.where("sort").select("one.row", F.struct("key", "fp1", "fp2", "one.first", "one.last", "big").alias("r"))
@@ -368,7 +368,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
             out["spans"].append([{"first": a, "stop": b + 1} for a, b in zip(starts, ends, strict=True)])
         return out
 
-    cuts = over_texts(per_row.join(texts.select("row", "text"), "row").select("row", "text", "low", "high"), "text", cut,
+    cuts = over_texts(per_row.hint("merge").join(texts.select("row", "text"), "row").select("row", "text", "low", "high"), "text", cut,
                       "row long, n_removed long, sha string, spans array<struct<first:int, stop:int>>")
     heads = made.where("key IS NULL").select("row", "doc_id", "n_bytes", F.col("sha").alias("whole"))
     return heads.join(cuts, "row", "left").select(
