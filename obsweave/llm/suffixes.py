@@ -125,13 +125,14 @@ def fingerprints(data: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple
     return mix(a), mix(b)
 
 
-def _rank(*columns: np.ndarray) -> np.ndarray:
-    """Dense ranks of rows of columns, in their order."""
-    out = np.unique(columns[0], return_inverse=True)[1].astype(np.int64)
-    for c in columns[1:]:
-        inner = np.unique(c, return_inverse=True)[1].astype(np.int64)
-        out = np.unique(out * (int(inner.max(initial=0)) + 1) + inner, return_inverse=True)[1].astype(np.int64)
-    return out
+def _rank(column: np.ndarray) -> np.ndarray:
+    """Dense ranks in the column's order."""
+    return np.unique(column, return_inverse=True)[1]
+
+
+def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Dense ranks of the pairs of two columns of ranks; b may hold -1."""
+    return _rank(a * (int(b.max(initial=0)) + 2) + b + 1)
 
 
 def cover_ranks(data: np.ndarray, periods: int) -> np.ndarray:
@@ -142,14 +143,14 @@ def cover_ranks(data: np.ndarray, periods: int) -> np.ndarray:
     words = np.lib.stride_tricks.sliding_window_view(data, 8)
     word = np.ascontiguousarray(words[place]).view(">u8").ravel()
     rest = np.ascontiguousarray(words[place + 5]).view(">u8").ravel()  # bytes 5..12: with the first, all 13
-    by_size = {1: _rank(word, rest)}
+    by_size = {1: _join(_rank(word), _rank(rest))}
 
     def joined(a: np.ndarray, size: int, b: np.ndarray) -> np.ndarray:
         """Rank of the bytes that ``a`` ranks, followed by those that ``b`` ranks ``size`` periods on."""
         where[:] = -1
         where[place] = b
         nxt = where[np.minimum(place + MODULUS * size, len(data) - 1)]
-        return _rank(a, nxt)
+        return _join(a, nxt)
 
     size = 1
     while 2 * size <= periods:
@@ -168,9 +169,10 @@ def cover_ranks(data: np.ndarray, periods: int) -> np.ndarray:
 def repeated_starts(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Which of these starts have ``length`` bytes that another of them has too.
 
-    The starts of a block are sorted by (first 16 bytes, last bytes, rank at the cover distance).  As only
-    pairs at a suitable distance can be compared, each start is entered at the four distances at
-    which it meets the cover; two starts share one of them at least.
+    The starts of a block are sorted by a packed key of first and last bytes and of the rank at the cover
+    distance; neighbours of one key are then compared in full.  As only pairs at a suitable
+    distance can be compared, each start is entered at the four distances at which it meets
+    the cover; two starts share one of them at least.
     """
     periods = (length - (MODULUS - 1)) // MODULUS
     head, tail = 16, 24
@@ -185,23 +187,28 @@ def repeated_starts(data: np.ndarray, starts: np.ndarray, length: int = LENGTH)
     def word(at):
         return np.ascontiguousarray(words[at]).view(">u8").ravel()
 
-    ends = _rank(word(starts), word(starts + 8), *[word(starts + length - back) for back in (24, 16, 8)])
+    ends = [word(starts), word(starts + 8), *[word(starts + length - back) for back in (24, 16, 8)]]
+    packed = np.zeros(len(starts), U64)
+    with np.errstate(over="ignore"):
+        for w in ends:
+            packed = mix(packed * U64(3) + w.astype(U64))
     out = np.zeros(len(starts), bool)
-    # ties are cheap to leave out: a start alone with its first and last bytes is not repeated
-    many = np.bincount(ends)[ends] > 1
-    tied = np.flatnonzero(many)
+    residue = starts % MODULUS
     for distance in range(MODULUS):
-        at = tied[np.isin((starts[tied] + distance) % MODULUS, COVER)]
+        at = np.flatnonzero(np.isin((residue + distance) % MODULUS, COVER))
         if len(at) < 2:
             continue
         r = rank[starts[at] + distance]
-        key = ends[at] * (int(r.max()) + 2) + r + 1
-        order = np.argsort(key, kind="stable")
-        same = key[order][1:] == key[order][:-1]
-        hit = np.zeros(len(at), bool)
-        hit[order[1:]] |= same
-        hit[order[:-1]] |= same
-        out[at[hit]] = True
+        with np.errstate(over="ignore"):
+            key = packed[at] + mix(r.astype(U64))
+        order = np.argsort(key)
+        same = np.flatnonzero(key[order][1:] == key[order][:-1])
+        one, two = order[same], order[same + 1]
+        fine = r[one] == r[two]
+        for w in ends:
+            fine &= w[at[one]] == w[at[two]]
+        out[at[one[fine]]] = True
+        out[at[two[fine]]] = True
     return out
 
 
