@@ -12,9 +12,11 @@ or the plain Jaccard of their sets, is at least ``threshold``.
 
 No group is expanded into pairs.  Texts with the same shingles are one class from the start.
 In each bucket members are compared with one hub, the text that shares most buckets with
-others; each text with one hub only, the one it shares most bands with.  Buckets that still hold different components
-go on: their members of other components are compared with another hub, in turn, until every
-candidate pair is in one component or was compared.  Comparing is a sorted stream per (hub, chunk of members).
+others; each text with one hub only, the one it shares most bands with.  Texts in buckets that still hold
+different components go on to an exact prefix filter: with shingles ordered from rare to frequent,
+two similar texts share one of their first shingles, those up to 1 - ``threshold`` of the mass, and
+what stands before the shared one bounds their similarity.  Pairs of different components that pass are
+verified too.  Comparing is a sorted stream per (hub, chunk of members).
 
 Result: one row per document.  ``class_id`` is the least id in its class, ``class_size`` the number of rows in it.
 
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import spool
@@ -37,8 +40,6 @@ THRESHOLD = 0.8
 BANDS = 26
 BAND_ROWS = 5
 CHUNK = 64
-#: Rounds with one hub per bucket; what is left after them is compared pair by pair.
-HUB_ROUNDS = 4
 
 
 def shingle_runs(texts: list[str | None], size: int = SIZE):
@@ -156,7 +157,7 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> D
                          F.lit(0).alias("kind"))
     members = pairs.join(chunks, "hub").select(
         "row", "hub", F.pmod(F.hash("row"), F.col("chunks")).alias("chunk"), F.lit(1).alias("kind"))
-    wanted = hubs.unionByName(members).join(texts.select("row", "text"), "row")
+    wanted = hubs.unionByName(members).hint("merge").join(texts.select("row", "text"), "row")
     stream = wanted.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "kind")
 
     def setup():
@@ -179,13 +180,54 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> D
     return over_texts(stream.select("row", "hub", "kind", "text"), "text", None, "row long, hub long", setup=setup)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``row``, ``root``: the least row that the edges (``a``, ``b``) connect it with.
+def prefix_pairs(rows: DataFrame, texts: DataFrame, tested: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Pairs (``row``, ``hub``) of different roots that may reach the threshold, without those tested.
+
+    All pairs of ``rows`` (``row``, ``root``) that reach it are among them, whatever their buckets.
+    """
+    def each(part):
+        shingles, counts, bounds = shingle_runs(part["text"], size)
+        return {"row": np.repeat(part["row"], np.diff(bounds)), "root": np.repeat(part["root"], np.diff(bounds)),
+                "shingle": shingles.view(np.int64), "w": counts}
+
+    cells = over_texts(rows.hint("merge").join(texts, "row").select("row", "root", "text"), "text", each,
+                       "row long, root long, shingle long, w long")
+    # a shingle of one text only cannot be shared; it comes first in the order and needs no entry
+    spread = cells.groupBy("shingle").agg(F.count("*").alias("df"))
+    whole = W.partitionBy("row")
+    rising = whole.orderBy("df", "shingle").rowsBetween(W.unboundedPreceding, -1)
+    ordered = cells.join(spread, "shingle").select(
+        "row", "root", "shingle", "df", F.sum("w").over(whole).alias("mass"), F.count("*").over(whole).alias("n"),
+        F.coalesce(F.sum("w").over(rising), F.lit(0)).alias("mass_before"), F.count("*").over(rising).alias("n_before"))
+    most = 1 - threshold + 1e-9
+    prefix = spool(ordered.where(f"df > 1 AND (mass_before <= {most} * mass OR n_before <= {most} * n)").select(
+        "shingle", "row", "root", "n", "mass", (F.col("mass") - F.col("mass_before")).alias("rest"),
+        (F.col("n") - F.col("n_before")).alias("left")), "prefixes")
+    # the largest component at a shingle is only the other side of the join
+    share = prefix.groupBy("shingle", "root").agg(F.count("*").alias("k")).groupBy("shingle").agg(
+        F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    mine = prefix.join(share, "shingle")
+    other = prefix.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("row", "root", "n", "mass", "rest", "left")])
+    least = threshold - 1e-9
+    # the most that they can share, as a share of either's mass: what is left from here on, and not more
+    # shingles than the other has left (all weights above one allowed for)
+    few = "least(`left`, left2)"
+    p, q = f"(least(rest, {few} + mass - n) / mass)", f"(least(rest2, {few} + mass2 - n2) / mass2)"
+    found = mine.where("root <> main").join(other, "shingle").where(
+        f"root <> root2 AND ({p} * {q} >= {least} * ({p} + {q} - {p} * {q}) OR "
+        f"{few} * (1 + {least}) >= {least} * (n + n2))")
+    pairs = found.select(F.least("row", "row2").alias("row"), F.greatest("row", "row2").alias("hub")).distinct()
+    old = tested.select(F.least("row", "hub").alias("row"), F.greatest("row", "hub").alias("hub"))
+    return pairs.join(old, ["row", "hub"], "left_anti")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``row``, ``root``: the least row that the links (``row``, ``hub``) connect it with.
 
     Least labels spread along the edges, and every label is then replaced by its own label, so
     long chains shorten fast.  All of it is joins and aggregates.
     """
-    spark = edges.sparkSession
+    edges = links.select(F.col("row").alias("a"), F.col("hub").alias("b"))
     both = spool(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = spool(both.groupBy(F.col("a").alias("row")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
     while True:
@@ -215,37 +257,20 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     ranks = member.groupBy("row").agg(F.sum("n").alias("degree"))
     ranked = spool(member.join(ranks, "row").select("bucket", "row", F.struct("degree", (-F.col("row")).alias("minus")).alias("rank")),
                    "buckets")
-    texts = spool(docs.join(ranks.select("row"), "row", "left_semi").select("row", "text"), "texts")
+    texts = spool(docs.join(ranks.select("row").hint("merge"), "row", "left_semi").select("row", "text"), "texts")
 
     top = ranked.groupBy("bucket").agg((-F.max("rank")["minus"]).alias("hub"))
     shared = ranked.join(top, "bucket").where("row <> hub").groupBy("row", "hub").agg(F.count("*").alias("bands"))
     best = shared.groupBy("row").agg(F.max_by("hub", F.struct("bands", (-F.col("hub")).alias("minus"))).alias("hub"))
     tested = spool(best, "tested")
     links = spool(verify(tested, texts, size, threshold), "links")
-    round_ = 0
-    while True:
-        round_ += 1
-        roots = components(links.select(F.col("row").alias("a"), F.col("hub").alias("b")))
-        placed = ranked.join(roots, "row", "left").select("bucket", "row", "rank", F.coalesce("root", "row").alias("root"))
-        mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        still = spool(placed.join(mixed.select("bucket"), "bucket"), "mixed")
-        if still.limit(1).count() == 0:
-            break
-        if round_ <= HUB_ROUNDS:
-            order = F.struct(F.xxhash64("row", "bucket", F.lit(round_)), F.col("row"))
-            hub = still.groupBy("bucket").agg(F.min_by(F.struct(F.col("row").alias("hub"), F.col("root").alias("hub_root")), order).alias("h"))
-            pairs = still.join(hub, "bucket").where("root <> h.hub_root").select("row", F.col("h.hub").alias("hub"))
-        else:
-            other = still.select("bucket", F.col("row").alias("hub"), F.col("root").alias("hub_root"))
-            pairs = still.join(other, "bucket").where("root <> hub_root AND row < hub").select("row", "hub")
-        pairs = pairs.select(F.least("row", "hub").alias("row"), F.greatest("row", "hub").alias("hub")).distinct()
-        old = tested.select(F.least("row", "hub").alias("row"), F.greatest("row", "hub").alias("hub"))
-        fresh = spool(pairs.join(old, ["row", "hub"], "left_anti"), "tested")
-        tested = tested.unionByName(fresh)
-        links = links.unionByName(spool(verify(fresh, texts, size, threshold), "links"))
-        if round_ > HUB_ROUNDS:
-            roots = components(links.select(F.col("row").alias("a"), F.col("hub").alias("b")))
-            break
+    roots = components(links)
+    placed = ranked.join(roots, "row", "left").select("bucket", "row", F.coalesce("root", "row").alias("root"))
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    open_ = spool(placed.join(mixed.select("bucket"), "bucket").select("row", "root").distinct(), "open")
+    pairs = spool(prefix_pairs(open_, texts, tested, size, threshold), "tested")
+    links = links.unionByName(spool(verify(pairs, texts, size, threshold), "links"))
+    roots = components(links)
 
     rooted = leaders.select("fp1", "fp2", "leader").join(roots, F.col("leader") == F.col("row"), "left").select(
         "fp1", "fp2", F.coalesce("root", "leader").alias("class"))
