@@ -189,3 +189,14 @@ def test_pipeline_stages(spark):
     want = {d for d, t in texts.items() if any(c.isalpha() for c in t or "") and classes[d] == d
             and not any(i in t for i in items)}
     assert ids == want
+
+
+def test_queries_are_registered_and_quality_equals_its_sql(spark):
+    import __spark_entry__ as contract
+    from check import compare, connect
+    from obsweave.llm.queries import ORACLE_SQL, QUERIES
+
+    assert {*QUERIES, "pipeline"} <= set(contract.queries())
+    for name in ORACLE_SQL:
+        state, _, _, note = compare(spark, connect("/root/testdata/sf0.01"), name, "/root/testdata/sf0.01")
+        assert state == "ok" and note == "", note
