@@ -126,10 +126,11 @@ def histogram(df: DataFrame, key: str = "city", value: str = "avg_temp", bins: i
 
     Empty bins are present with 0.  If all values of a key are equal the range is widened
     by 0.5 on both sides.  Edges are ``low + i * step``; a value that floating point puts
-    on the wrong side of an edge is moved to the bin whose edges hold it.  Runs one job for
+    on the wrong side of an edge is moved to the bin whose edges hold it.  NULL and NaN have
+    no bin; a NULL key is a key.  Runs one job for
     the ranges (see :func:`~obsweave.session.spool`).
     """
-    found = df.where(f"{value} IS NOT NULL").select(key, F.col(value).alias("v"))
+    found = df.where(f"{value} IS NOT NULL AND NOT isnan({value})").select(key, F.col(value).alias("v"))
     ends = found.groupBy(key).agg(F.expr("min(v) AS a"), F.expr("max(v) AS z"))
     ranges = spool(ends.selectExpr(key, "IF(a = z, a - 0.5D, a) AS low", "IF(a = z, z + 0.5D, z) AS high"),
                    "ranges")
@@ -139,13 +140,14 @@ def histogram(df: DataFrame, key: str = "city", value: str = "avg_temp", bins: i
         return f"(low + ({i}) * {step})"
 
     last = bins - 1
-    counts = (found.join(ranges, key)
+    known = ranges.withColumnRenamed(key, "__key")
+    counts = (found.join(known, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
               .selectExpr("*", f"least(floor((v - low) / {step}), {last}L) AS g")
               .selectExpr(key, f"CASE WHEN v < {edge('g')} THEN g - 1"
                                f" WHEN g < {last} AND v >= {edge('g + 1')} THEN g + 1 ELSE g END AS bin")
-              .groupBy(key, "bin").agg(F.expr("count(1) AS n")))
+              .groupBy(F.col(key).alias("__key"), F.col("bin").alias("__bin")).agg(F.expr("count(1) AS n")))
     frame = ranges.selectExpr("*", f"explode(sequence(0L, {last}L)) AS bin")
-    return (frame.join(counts, [key, "bin"], "left")
+    return (frame.join(counts, F.col(key).eqNullSafe(F.col("__key")) & (F.col("bin") == F.col("__bin")), "left")
             .selectExpr(key, "bin", f"{edge('bin')} AS bin_start",
                         f"IF(bin = {last}, high, {edge('bin + 1')}) AS bin_end", "coalesce(n, 0L) AS n")
             .orderBy(key, "bin"))

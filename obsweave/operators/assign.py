@@ -22,7 +22,7 @@ def assign_round_robin(items: DataFrame, shards: DataFrame, pos: str = "pos",
                        shard_col: str = "shard") -> DataFrame:
     """Give item ``pos`` to the shard with rank ``pos mod n`` (ids sorted).
 
-    Adds ``shard``.  Without shards every item keeps NULL, meaning everyone takes it.
+    Adds ``shard``; it is NULL for an item without a position.  Without shards every item keeps NULL, meaning everyone takes it.
     The position is the item's place in the agreed order, counted from 0.  Runs one small
     job over the shard registry.
     """
@@ -31,7 +31,7 @@ def assign_round_robin(items: DataFrame, shards: DataFrame, pos: str = "pos",
     if n is None:
         return items.withColumn("shard", F.lit(None).cast("string"))
     return (items.withColumn("__slot", F.pmod(F.col(pos), F.lit(n)).cast("int"))
-            .join(ranked.select(F.col("rank").alias("__slot"), "shard"), "__slot").drop("__slot"))
+            .join(ranked.select(F.col("rank").alias("__slot"), "shard"), "__slot", "left").drop("__slot"))
 
 
 def assigned_to(items: DataFrame, shards: DataFrame, my_id: str, pos: str = "pos",
@@ -50,16 +50,19 @@ def assigned_to(items: DataFrame, shards: DataFrame, my_id: str, pos: str = "pos
 
 def dim_lookup(requests: DataFrame, dimension: DataFrame, key: str, dim_key: str,
                defaults: Mapping[str, object]) -> DataFrame:
-    """Look up keys whatever their case and outer spaces.
+    """Look up keys whatever their case and outer white space.
 
     Every request row is kept.  ``found`` tells whether the key is known; the columns named
-    in ``defaults`` come from the dimension, or are the default for an unknown key.  The
-    dimension must have one row per key.
+    in ``defaults`` come from the dimension, or are the default for an unknown key.  Of
+    dimension rows whose keys differ in case or white space only, the first in the order of
+    (key, looked-up columns) counts.
     """
     def norm(c: str):
-        return F.lower(F.trim(F.col(c)))
+        return F.lower(F.regexp_replace(F.col(c), r"^\s+|\s+$", ""))
 
-    dim = dimension.select(norm(dim_key).alias("__k"), *defaults, F.lit(True).alias("__hit"))
+    first = F.min(F.struct(F.col(dim_key).alias("__key"), *[F.col(c) for c in defaults]))
+    dim = (dimension.groupBy(norm(dim_key).alias("__k")).agg(first.alias("__d"))
+           .select("__k", *[F.col(f"__d.{c}").alias(c) for c in defaults], F.lit(True).alias("__hit")))
     joined = requests.withColumn("__k", norm(key)).join(dim, "__k", "left")
     return joined.select(
         *requests.columns, F.coalesce("__hit", F.lit(False)).alias("found"),

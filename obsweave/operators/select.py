@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.comfort import comfort_band, comfort_index, temp_range, whole_seconds
 from ..functions.numeric import clip, round_sql
@@ -108,21 +109,24 @@ def retain_last_n(df: DataFrame, n: int, sequence: str, ties: Sequence[str] | No
         kept = _ordered(df, [f"{sequence} DESC", *rest]).limit(n)
     else:
         from .ranks import largest_n
-        kept = largest_n(df, n, sequence, rest)
+        kind = df.schema[sequence].dataType
+        number = ("unix_micros" if isinstance(kind, T.TimestampType) else "unix_date" if isinstance(kind, T.DateType)
+                  else None)
+        ranked = df.withColumn("__seq", F.expr(f"{number}({sequence})") if number else F.col(sequence))
+        kept = largest_n(ranked, n, "__seq", rest).drop("__seq")
     return kept.orderBy(sequence)
 
 
 def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement, the same for any partitioning.
 
-    The order is a hash of id and seed.  A large ``n`` is not sorted globally: rows are
+    The order is a hash of id and seed; a NULL id has a hash too.  Nothing is sorted globally: rows are
     counted by the first 16 bits of the hash, prefixes that fit wholly are kept wholly, and
     only the one prefix in which the n-th row falls is ranked.
     """
     order = ["__hash", id_col]
-    hashed = df.withColumn("__hash", F.expr(f"md5(concat(CAST({id_col} AS STRING), '-{seed}'))"))
-    if n <= SMALL_LIMIT:
-        return hashed.orderBy(*order).limit(n).drop("__hash")
+    hashed = df.withColumn("__hash", F.expr(
+        f"md5(concat(coalesce(CAST({id_col} AS STRING), 'no id'), '-{seed}'))"))
     hashed = hashed.withColumn("__prefix", F.substring("__hash", 1, 4))
     # at most 65536 rows, whatever the table size
     room = (hashed.groupBy("__prefix").agg(F.expr("count(1) AS __c"))

@@ -30,7 +30,7 @@ def fan_out(sinks: Mapping[str, Sink | None], failed_path: str) -> Sink:
                     sink(batch, batch_id)
                 except Exception as problem:
                     log.warning("sink %s failed on batch %d: %s", name, batch_id, problem)
-                    (batch.withColumn("error", F.lit(str(problem)[:2000])).write.mode("overwrite")
+                    (batch.withColumn("error", F.lit(str(problem))).write.mode("overwrite")
                      .parquet(f"{failed_path}/sink={name}/batch={batch_id}"))
         finally:
             batch.unpersist()

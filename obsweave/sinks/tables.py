@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,11 +13,9 @@ from pyspark.sql import types as T
 from ..operators.latest import dedup_latest, tie_break
 from ..operators.select import by_city, retain_last_n
 from ..schemas import AGGREGATE
-from ..sources.files import load_parquet
 
 DATE_PARTITION = ("window_date", "to_date(window_start)")
 _LISTED_PARTITIONS = 4_000     # a filter on this many partition values is still a filter
-ARROW_ROWS = 1_000             # fixed value: the recent-history size that is exported
 
 
 def _laid_out(df: DataFrame, partition: str, order: Sequence[str]) -> DataFrame:
@@ -38,7 +37,8 @@ def upsert_parquet(new: DataFrame, path: str, keys: Sequence[str] = ("city", "wi
     """Merge rows into the table, keeping per key the row with the latest ``by``.
 
     On equal ``by`` the newly arrived row wins, and among new rows the largest in the
-    remaining columns, so running the same batch again changes nothing.  The partition value must follow from
+    remaining columns, so running the same batch again changes nothing.  Either side may lack columns of the
+    other; its rows have NULL there.  The partition value must follow from
     the keys.  Only partitions that ``new`` touches are read and rewritten; their files are
     swapped when the job commits, so the job may read what it replaces.
     """
@@ -49,10 +49,10 @@ def upsert_parquet(new: DataFrame, path: str, keys: Sequence[str] = ("city", "wi
         touched = [r[0] for r in fresh.select(name).distinct().limit(_LISTED_PARTITIONS + 1).collect()]
         if not touched:
             return
-        stored = load_parquet(spark, path, new.schema, fresh.schema[name])
+        stored = _stored(spark, path, fresh, name)
         merged = dedup_latest(
             _touched_part(stored, fresh, name, touched).withColumn("__fresh", F.lit(0))
-            .unionByName(fresh.withColumn("__fresh", F.lit(1))),
+            .unionByName(fresh.withColumn("__fresh", F.lit(1)), allowMissingColumns=True),
             keys, by, ties=_prefer_fresh(new, keys, by)).drop("__fresh")
         (_laid_out(merged, name, keys).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path))
@@ -60,6 +60,17 @@ def upsert_parquet(new: DataFrame, path: str, keys: Sequence[str] = ("city", "wi
         fresh.unpersist()
 
 
+def _stored(spark: SparkSession, path: str, fresh: DataFrame, name: str) -> DataFrame:
+    """The table with all columns that any of its files has; empty if there is none yet."""
+    try:
+        found = spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], fresh.schema)
+    return found.withColumn(name, F.col(name).cast(fresh.schema[name].dataType))
+
+
 def _touched_part(stored: DataFrame, fresh: DataFrame, name: str, touched: list) -> DataFrame:
     if len(touched) > _LISTED_PARTITIONS:
         values = fresh.select(F.col(name).alias("__v")).distinct()
@@ -85,8 +96,8 @@ def arrow_columns(df: DataFrame) -> DataFrame:
         else F.col(f.name) for f in AGGREGATE.fields])
 
 
-def to_arrow(df: DataFrame, sequence: str, city: str | None = None, rows: int = ARROW_ROWS) -> pa.Table:
-    """The recent history (of one city, or all) as an Arrow table of at most ``rows`` rows."""
+def to_arrow(df: DataFrame, sequence: str, city: str | None = None, *, rows: int) -> pa.Table:
+    """The recent history (of one city, or all) as an Arrow table: its last ``rows`` rows, a size the caller has to state."""
     # retention first, city second: the history is kept over all cities
     recent = by_city(retain_last_n(df, rows, sequence), city)
     out = arrow_columns(recent).toArrow()

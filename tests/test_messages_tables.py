@@ -189,11 +189,11 @@ def test_jsonl_appends_and_keeps_nulls(spark, folder):
 def test_arrow_export(spark):
     df = aggs(spark, *[agg_row("Moscow" if i < 3 else "London", start=i + 0.01) for i in range(5)]).withColumn(
         "seq", F.unix_micros("window_start"))
-    out = tables.to_arrow(df, "seq")
+    out = tables.to_arrow(df, "seq", rows=1000)
     assert out.num_rows == 5 and out.column_names == AGGREGATE.names
     assert out.schema.field("count").type == pa.int32()
     assert pa.types.is_timestamp(out.schema.field("window_start").type) and out.schema.field("window_start").type.unit == "s"
-    assert [tables.to_arrow(df, "seq", c).num_rows for c in ("Moscow", "Berlin", "all")] == [3, 0, 5]
+    assert [tables.to_arrow(df, "seq", c, rows=1000).num_rows for c in ("Moscow", "Berlin", "all")] == [3, 0, 5]
     assert tables.to_arrow(df, "seq", rows=3).num_rows == 3
     assert tables.to_arrow(df, "seq", "Moscow", rows=3).num_rows == 1
 
@@ -225,3 +225,11 @@ def test_frames_from_records_and_conform(spark):
     assert conform(other).schema == AGGREGATE and conform(other).first().avg_temp is None
     assert frame_of(spark, []).schema == AGGREGATE
     assert at(1) - at(0) == timedelta(minutes=1) and AnalysisException
+
+
+def test_upsert_keeps_columns_that_a_batch_lacks(spark, folder):
+    path = folder + "/t"
+    tables.upsert_parquet(aggs(spark, agg_row("A", 0), agg_row("B", 0)).withColumn("extra", F.lit(7)), path)
+    tables.upsert_parquet(aggs(spark, agg_row("A", 0, 1)).withColumn("other", F.lit("x")), path)
+    rows = {r.city: (r.extra, r.other) for r in spark.read.option("mergeSchema", "true").parquet(path).collect()}
+    assert rows == {"A": (None, "x"), "B": (7, None)}

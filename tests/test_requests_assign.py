@@ -112,3 +112,27 @@ def test_lookup(spark):
         (True, "GB", 51.5), (False, "", 0.0), (True, "JP", 35.7), (False, "", 0.0)]
     assert assign.lookup_one(dim, "name", "TOKYO").count() == 1
     assert assign.lookup_one(dim, "name", "Atlantis").count() == 0
+
+
+def test_lookup_with_doubled_and_padded_keys(spark):
+    from obsweave.operators import assign, select
+
+    dim = spark.createDataFrame([("Oslo", 1), ("OSLO", 2), (None, 3)], "name STRING, v INT")
+    asked = spark.createDataFrame([("\toslo ",), ("x",), (None,)], "k STRING")
+    got = sorted((str(r.k), r.found, r.v) for r in assign.dim_lookup(asked, dim, "k", "name", {"v": 0}).collect())
+    assert got == [("\toslo ", True, 2), ("None", False, 0), ("x", False, 0)]
+    items = spark.createDataFrame([(0,), (None,)], "pos INT")
+    shards = spark.createDataFrame([("s0",)], "shard STRING")
+    assert {r.pos: r.shard for r in assign.assign_round_robin(items, shards).collect()} == {0: "s0", None: None}
+    many = spark.range(30_000).selectExpr("IF(id % 10 = 0, NULL, id) AS id", "timestamp_seconds(id) AS at")
+    assert [select.sample_n(many, n, "id").count() for n in (9_000, 30_000, 40_000)] == [9_000, 30_000, 30_000]
+    assert select.retain_last_n(many, 12_000, "at").count() == 12_000
+
+
+def test_histogram_with_nan_and_null_key(spark):
+    from obsweave.operators import aggregate
+
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", float("nan")), (None, 5.0)], "city STRING, avg_temp DOUBLE")
+    rows = aggregate.histogram(df, bins=2).collect()
+    assert sum(r.n for r in rows if r.city == "a") == 2 and sum(r.n for r in rows if r.city is None) == 1
+    assert all(r.bin_start == r.bin_start for r in rows)
