@@ -371,7 +371,11 @@ def train(df: DataFrame, key: str = "url", html: str = "html", sample_pages: int
     """Weights from at most ``sample_pages`` pages of at most ``sample_chars`` characters."""
     used = df.select(F.xxhash64(F.col(f"`{key}`")).alias("h"), F.col(f"`{html}`").alias("html")).where(
         (F.length("html") > 0) & (F.length("html") <= sample_chars))
-    return fit([r.html for r in used.orderBy("h", F.xxhash64("html")).limit(sample_pages).collect()])
+    least = [r.h for r in used.select("h").distinct().orderBy("h").limit(sample_pages).collect()]  # hashes only
+    if not least:
+        return fit([])
+    drawn = used.where(F.col("h") <= least[-1]).groupBy("h").agg(F.min("html").alias("html"))
+    return fit([r.html for r in sorted(drawn.collect())])
 
 
 def extract(df: DataFrame, weights: np.ndarray, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -401,8 +401,12 @@ def train(df: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, sam
     """
     used = df.select(F.col(f"`{text}`").alias("text")).where(
         (F.length("text") <= sample_chars) & F.col("text").rlike("[0-9@]"))
-    rows = used.select("text", F.xxhash64("text").alias("h")).distinct().orderBy("h", "text").limit(sample_rows)
-    return fit([r.text for r in rows.collect()])
+    hashed = used.select(F.xxhash64("text").alias("h"), "text")
+    least = [r.h for r in hashed.select("h").distinct().orderBy("h").limit(sample_rows).collect()]  # hashes only
+    if not least:
+        return None
+    drawn = hashed.where(F.col("h") <= least[-1]).groupBy("h").agg(F.min("text").alias("text"))
+    return fit([r.text for r in sorted(drawn.collect())])
 
 
 def find(df: DataFrame, weights, key: str = "doc_id", text: str = "text") -> DataFrame:
