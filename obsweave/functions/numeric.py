@@ -15,8 +15,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIGITS = 9           # decimals kept by the integer sums
-_LOW_BITS = 24       # a value is summed as two bigints, high part and low part
+DIGITS = 9           # decimals kept by the integer sums, unless the caller wants others
+_LIMB = 22           # a value is summed as three bigints of 22, 22 and 20 bits: safe for 2e12 rows a group
+_LARGE = "1.0e18D"   # below it, what does not fit the integer sums is summed as decimals
 _INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -50,27 +51,37 @@ def fixed_point_sql(x: str, digits: int = DIGITS) -> str:
             f" CASE WHEN ({x}) < 0 THEN -floor(-({x}) * {p} + 0.5D) ELSE floor(({x}) * {p} + 0.5D) END END)")
 
 
-def _mean_sql(name: str) -> str:
-    """Mean from summed pieces; values that do not fit the integer sums are added as they are."""
-    total = (f"CAST(CAST({name}__high AS DECIMAL(20,0)) * {1 << _LOW_BITS}"
-             f" + CAST({name}__low AS DECIMAL(20,0)) AS DOUBLE) / {10 ** DIGITS}D")
-    return f"(coalesce({total}, 0D) + coalesce({name}__odd, 0D)) / nullif({name}__present, 0)"
+def _mean_sql(name: str, digits: int) -> str:
+    """Mean from summed pieces."""
+    def limb(part: str) -> str:
+        return f"CAST({name}__{part} AS DECIMAL(20,0))"
+
+    whole = (f"CAST(({limb('high')} * {1 << _LIMB} + {limb('mid')}) * {1 << _LIMB} + {limb('low')} AS DOUBLE)"
+             f" / {10 ** digits}D")
+    return (f"(coalesce({whole}, 0D) + coalesce(CAST({name}__large AS DOUBLE), 0D) + coalesce({name}__odd, 0D))"
+            f" / nullif({name}__present, 0)")
 
 
 class Means:
     """Exact means of some columns: what to add before, in and after an aggregate.
 
+    Doubles are rounded to ``digits`` decimals and added as integers; those too large for
+    that (9e9 and more at 9 decimals) as decimals of six places.  Neither depends on the
+    order of rows.  Only values of 1e18 and more, infinities and NaN are added as doubles.
+
     Each step is its own projection over named columns, so that no expression is repeated.
     """
 
-    def __init__(self, df: DataFrame, columns: Iterable[str]) -> None:
+    def __init__(self, df: DataFrame, columns: Iterable[str], digits: int = DIGITS) -> None:
+        self.digits = digits
         types = dict(df.dtypes)
         self.columns = list(dict.fromkeys(columns))
         # whole numbers are added as they are
         self.whole = {c for c in self.columns if types[c] in _INTEGRAL}
+        self.wide = {c for c in self.whole if types[c] == "bigint"}
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        return df.selectExpr("*", *[f"{fixed_point_sql(c)} AS {c}__v"
+        return df.selectExpr("*", *[f"{fixed_point_sql(c, self.digits)} AS {c}__v"
                                     for c in self.columns if c not in self.whole])
 
     def pieces(self) -> dict[str, str]:
@@ -79,34 +90,40 @@ class Means:
         for c in self.columns:
             out[f"{c}__present"] = f"count({c})"
             if c in self.whole:
-                out[f"{c}__sum"] = f"sum({c})"
+                # up to 32 bits a bigint holds the sum; beyond, a decimal
+                out[f"{c}__sum"] = f"sum({f'CAST({c} AS DECIMAL(20,0))' if c in self.wide else c})"
             else:
-                out[f"{c}__high"] = f"sum(shiftright({c}__v, {_LOW_BITS}))"
-                out[f"{c}__low"] = f"sum({c}__v & {(1 << _LOW_BITS) - 1}L)"
-                out[f"{c}__odd"] = f"sum(CASE WHEN {c}__v IS NULL THEN CAST({c} AS DOUBLE) END)"
+                mask = f"{(1 << _LIMB) - 1}L"
+                out[f"{c}__high"] = f"sum(shiftright({c}__v, {2 * _LIMB}))"
+                out[f"{c}__mid"] = f"sum(shiftright({c}__v, {_LIMB}) & {mask})"
+                out[f"{c}__low"] = f"sum({c}__v & {mask})"
+                out[f"{c}__large"] = (f"sum(CASE WHEN {c}__v IS NULL AND abs({c}) < {_LARGE}"
+                                      f" THEN CAST({c} AS DECIMAL(38,6)) END)")
+                out[f"{c}__odd"] = (f"sum(CASE WHEN {c}__v IS NULL AND NOT abs({c}) < {_LARGE}"
+                                    f" THEN CAST({c} AS DOUBLE) END)")
         return out
 
     def value(self, column: str) -> str:
         """The mean from the pieces."""
         if column in self.whole:
-            return f"{column}__sum / nullif({column}__present, 0)"
-        return _mean_sql(column)
+            return f"CAST({column}__sum AS DOUBLE) / nullif({column}__present, 0)"
+        return _mean_sql(column, self.digits)
 
 
 def summarize(df: DataFrame, by: Sequence[str], means: Mapping[str, tuple[str, int | None]],
-              others: Mapping[str, str] | None = None) -> DataFrame:
+              others: Mapping[str, str] | None = None, digits: int = DIGITS) -> DataFrame:
     """Group and compute exact means (output name -> column, decimals or None) and other aggregates.
 
     ``by`` holds column names or ``expression AS name``; without it there is one row.
     """
     others = others or {}
-    m = Means(df, [c for c, _ in means.values()])
+    m = Means(df, [c for c, _ in means.values()], digits)
     grouped = m.prepare(df).groupBy(*[F.expr(b) for b in by]).agg(
         *[F.expr(f"{sql} AS {name}") for name, sql in {**others, **m.pieces()}.items()])
     keep = [b.rsplit(" AS ", 1)[-1] for b in by] + list(others)
     valued = grouped.selectExpr(*keep, *[f"{m.value(c)} AS {out}" for out, (c, _) in means.items()])
-    return valued.selectExpr(*keep, *[out if digits is None else f"{round_sql(out, digits)} AS {out}"
-                                      for out, (_, digits) in means.items()])
+    return valued.selectExpr(*keep, *[out if places is None else f"{round_sql(out, places)} AS {out}"
+                                      for out, (_, places) in means.items()])
 
 
 def rolling_avg(df: DataFrame, column: str, frame: str, out: str) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.comfort import comfort_index
 from ..functions.numeric import round_sql, summarize
-from ..session import spool
 from .latest import latest_per_key
 from .ranks import percentiles
 
@@ -69,11 +68,11 @@ def temperature_percentiles(df: DataFrame, approximate: bool = False) -> DataFra
 def anomalies(df: DataFrame, z_threshold: float = 2.0) -> DataFrame:
     """Windows whose temperature is more than ``z_threshold`` deviations off their city's mean.
 
-    Runs one job: the per-city statistics are written to the work folder, so that the table
-    itself is joined without a shuffle whenever the statistics measure small enough.
+    Statistics and table are one plan: what both need is computed once, and the statistics
+    are broadcast only if they measure small enough when they are there.
     """
-    stats = spool(summarize(df, ["city"], {"mean_t": ("avg_temp", None)},
-                            {"std_t": "stddev_samp(avg_temp)"}), "city-stats")
+    stats = summarize(df.select("city", "avg_temp"), ["city"], {"mean_t": ("avg_temp", None)},
+                      {"std_t": "stddev_samp(avg_temp)"})
     scored = df.select("city", "window_start", "avg_temp").join(stats, "city").selectExpr(
         "city", "window_start", "avg_temp", "abs(avg_temp - mean_t) / nullif(std_t, 0D) AS score")
     return (scored.where(F.col("score") > float(z_threshold))
@@ -127,13 +126,11 @@ def histogram(df: DataFrame, key: str = "city", value: str = "avg_temp", bins: i
     Empty bins are present with 0.  If all values of a key are equal the range is widened
     by 0.5 on both sides.  Edges are ``low + i * step``; a value that floating point puts
     on the wrong side of an edge is moved to the bin whose edges hold it.  NULL and NaN have
-    no bin; a NULL key is a key.  Runs one job for
-    the ranges (see :func:`~obsweave.session.spool`).
+    no bin; a NULL key is a key.
     """
     found = df.where(f"{value} IS NOT NULL AND NOT isnan({value})").select(key, F.col(value).alias("v"))
     ends = found.groupBy(key).agg(F.expr("min(v) AS a"), F.expr("max(v) AS z"))
-    ranges = spool(ends.selectExpr(key, "IF(a = z, a - 0.5D, a) AS low", "IF(a = z, z + 0.5D, z) AS high"),
-                   "ranges")
+    ranges = ends.selectExpr(key, "IF(a = z, a - 0.5D, a) AS low", "IF(a = z, z + 0.5D, z) AS high")
     step = f"((high - low) / {float(bins)!r}D)"
 
     def edge(i: str) -> str:

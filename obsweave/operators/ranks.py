@@ -1,70 +1,70 @@
 """Exact order statistics of groups of any size.
 
-``percentile`` keeps every distinct value of a group in one task.  Here a group is cut
-into value buckets instead: bucket sizes tell in which bucket a wanted rank lies, and only
-those buckets are ranked.  No task holds a group, and the answer is exact.
+``percentile`` keeps every distinct value of a group in one task.  Here equal values are
+counted first (combined before the shuffle), and the counts are dealt by range over keys
+and value together.  A hot group, or one whose values lie close together, therefore fills
+many ranges; the sums of the ranges before it tell in which one a wanted position lies.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spool
 
 
-def _outer(digits: int) -> int:
-    return 10 ** (digits + 4)       # bucket of infinities; NaN comes after it
+def _in_ranges(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
+    """``df`` dealt by range and stored, each row with the number of its range as ``part``."""
+    return spool(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), label)
 
 
-def value_bucket_sql(x: str, digits: int = 3) -> str:
-    """A bigint that never decreases with the value: its sign, exponent and first digits.
+def _same(keys: Sequence[str]) -> str:
+    return " AND ".join([*[f"{k} <=> t_{k}" for k in keys], "part = t_part"])
 
-    With three digits there are about 900 buckets per power of ten, so the number of buckets
-    of a group is bounded by the range of the values and not by their count.
+
+def _located(ranged: DataFrame, keys: Sequence[str], order: str, wanted: str) -> DataFrame:
+    """The rows (each standing for ``n`` rows) that hold the wanted positions of their group.
+
+    Adds ``total, pos`` and ``before``, the number of the group's rows ahead of this row.
     """
-    exponent = f"floor(log10(abs({x})))"
-    code = (f"(({exponent} + 400) * {10 ** digits}"
-            f" + floor(abs({x}) / pow(10D, {exponent} - {digits - 1})))")
-    return (f"(CASE WHEN isnan({x}) THEN {_outer(digits) + 1}L WHEN abs({x}) <= 1.0e-300D THEN 0L"
-            f" WHEN abs({x}) >= 1.0e300D THEN CAST(sign({x}) AS BIGINT) * {_outer(digits)}L"
-            f" WHEN {x} < 0 THEN -{code} ELSE {code} END)")
+    by = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    # one row per key and range: never more than keys + ranges
+    sums = ranged.groupBy(*keys, "part").agg(F.expr("sum(n) AS held"))
+    targets = (sums.selectExpr(*keys, "part", "held", f"sum(held) OVER ({by}ORDER BY part) AS upto",
+                               f"sum(held) OVER ({by.strip()}) AS total")
+               .select("*", F.expr(f"explode(array_distinct({wanted})) AS pos"))
+               .where("pos >= upto - held AND pos < upto")
+               .selectExpr(*[f"{k} AS t_{k}" for k in keys], "part AS t_part", "total", "pos", "upto - held AS ahead"))
+    hit = targets.select(*[f"t_{k}" for k in keys], "t_part").distinct()
+    placed = ranged.join(hit, F.expr(_same(keys)), "left_semi").selectExpr(
+        "*", f"sum(n) OVER (PARTITION BY {', '.join([*keys, 'part'])} ORDER BY {order}) - n AS inside")
+    return (placed.join(targets, F.expr(_same(keys)))
+            .withColumn("before", F.expr("ahead + inside"))
+            .where("pos >= before AND pos < before + n"))
 
 
 def values_at(df: DataFrame, keys: Sequence[str], value: str, wanted: str) -> DataFrame:
     """The values at given 0-based positions of every group's sorted non-NULL values.
 
     ``wanted`` is SQL for an array of bigint positions computed from the group size, which
-    it may call ``total``.  Returns ``keys, total, pos, v``.
-
-    Two narrow passes over ``df``: the first counts rows per bucket (combined before the
-    shuffle; one job, kept in the work folder), the second looks only at the buckets in
-    which a wanted position lies.
+    it may call ``total``.  Returns ``keys, total, pos, v``.  NaN is the largest value, a
+    NULL key is a key.  One narrow pass over ``df``; its counts are kept in the work folder.
     """
-    by = ", ".join(keys)
-    rows = (df.where(f"{value} IS NOT NULL").selectExpr(*keys, f"{value} AS v")
-            .withColumn("b", F.expr(value_bucket_sql("v"))))
-    # windows over buckets: a few thousand rows per group at most
-    targets = spool(
-        rows.groupBy(*keys, "b").agg(F.expr("count(1) AS n"))
-        .selectExpr(*keys, "b", "n", f"sum(n) OVER (PARTITION BY {by} ORDER BY b) AS upto",
-                    f"sum(n) OVER (PARTITION BY {by}) AS total")
-        .select("*", F.expr(f"explode(array_distinct({wanted})) AS pos"))
-        .where("pos >= upto - n AND pos < upto")
-        .selectExpr(*[f"{k} AS t_{k}" for k in keys], "b AS t_b", "total", "pos", "upto - n AS before"), "targets")
-    same = " AND ".join(["b = t_b", *[f"{k} <=> t_{k}" for k in keys]])
-    buckets = targets.select(*[f"t_{k}" for k in keys], "t_b").distinct()
-    counted = rows.join(buckets, F.expr(same), "left_semi").groupBy(*keys, "b", "v").agg(F.expr("count(1) AS n"))
-    return (counted.join(targets, F.expr(same))
-            .selectExpr("*", f"before + sum(n) OVER (PARTITION BY {by}, b, pos ORDER BY v) AS upto")
-            .where("pos >= upto - n AND pos < upto").select(*keys, "total", "pos", "v"))
+    counted = (df.where(f"{value} IS NOT NULL").selectExpr(*keys, f"{value} AS v")
+               .groupBy(*keys, "v").agg(F.expr("count(1) AS n")))
+    ranged = _in_ranges(counted, [F.col(c) for c in (*keys, "v")], "value-counts")
+    return _located(ranged, keys, "v", wanted).select(*keys, "total", "pos", "v")
 
 
 def percentiles(df: DataFrame, keys: Sequence[str], value: str,
                 wanted: dict[str, float]) -> DataFrame:
-    """Continuous percentiles (linear interpolation) of every group, one column each."""
+    """Continuous percentiles (linear interpolation) of every group, one column each.
+
+    Between equal values, infinities included, the percentile is that value.
+    """
     def place(p: float) -> str:
         return f"({float(p)!r}D * (total - 1))"
 
@@ -75,27 +75,39 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str,
                                   F.expr("map_from_entries(collect_list(struct(pos, v))) AS m"))
 
     def between(p: float) -> str:
+        low, high = f"m[floor({place(p)})]", f"m[ceil({place(p)})]"
         share = f"({place(p)} - floor({place(p)}))"
-        return f"m[floor({place(p)})] * (1D - {share}) + m[ceil({place(p)})] * {share}"
+        return f"IF({low} = {high}, {low}, {low} * (1D - {share}) + {high} * {share})"
 
     return found.selectExpr(*keys, *[f"{between(p)} AS {name}" for name, p in wanted.items()])
 
 
 def largest_n(df: DataFrame, n: int, column: str, ties: Sequence[str] = ()) -> DataFrame:
-    """The ``n`` rows with the largest ``column`` without a global sort.
+    """The ``n`` rows with the largest ``column`` (any type that sorts; NULL is the smallest).
 
-    Buckets above the one holding the n-th row are kept whole; only that one is ranked.
+    A narrow pass finds the value at which the n-th row lies.  Rows above it are kept as
+    they are; only rows equal to it are ordered, by ``ties`` (``name`` or ``name DESC``),
+    dealt by range as well.  Nothing is sorted in one task, however large ``n`` is.
     """
-    digits = 6
-    bucketed = df.withColumn("__b", F.expr(
-        f"coalesce({value_bucket_sql(column, digits)}, {-_outer(digits) - 1}L)"))
-    room = (bucketed.groupBy("__b").agg(F.expr("count(1) AS __c"))
-            .selectExpr("__b", "__c", f"{n} - sum(__c) OVER (ORDER BY __b DESC) + __c AS __room")
-            .where("__room > 0"))
-    tagged = bucketed.join(room, "__b")
-    whole = tagged.where("__room >= __c")
-    edge = ", ".join([f"{column} DESC", *ties])
-    cut = (tagged.where("__room < __c")
-           .selectExpr("*", f"row_number() OVER (PARTITION BY __b ORDER BY {edge}) AS __r")
-           .where("__r <= __room").drop("__r"))
-    return whole.unionByName(cut).drop("__b", "__c", "__room")
+    if n <= 0:
+        return df.limit(0)
+    last = f"array(least({int(n)}L, total) - 1)"
+    counted = df.select(F.col(column).alias("v")).groupBy("v").agg(F.expr("count(1) AS n"))
+    ranged = _in_ranges(counted, [F.col("v").desc()], "sequence-counts")
+    # a single row: the value, and how many of its rows still belong to the result
+    cut = spool(_located(ranged, [], "v DESC", last).selectExpr("v AS edge", "pos - before + 1 AS room"), "edge")
+    edge, room = cut.select("edge").scalar(), cut.select("room").scalar()
+    above = df.where((F.col(column) > edge) | (edge.isNull() & F.col(column).isNotNull()))
+    terms = list(ties) or [column]
+    level = df.where(F.col(column).eqNullSafe(edge)).select(
+        F.struct("*").alias("row"), *[F.col(t.removesuffix(" DESC")).alias(f"o{i}") for i, t in enumerate(terms)])
+    down = [t.endswith(" DESC") for t in terms]
+    dealt = _in_ranges(level, [F.col(f"o{i}").desc() if d else F.col(f"o{i}").asc() for i, d in enumerate(down)],
+                       "edge-rows")
+    order = ", ".join(f"o{i} DESC" if d else f"o{i}" for i, d in enumerate(down))
+    ahead = (dealt.groupBy("part").agg(F.expr("count(1) AS held"))
+             .selectExpr("part AS t_part", "sum(held) OVER (ORDER BY part) - held AS ahead"))
+    chosen = (dealt.join(ahead, F.expr("part = t_part")).where(F.col("ahead") < room)
+              .selectExpr("row", f"ahead + row_number() OVER (PARTITION BY part ORDER BY {order}) AS place")
+              .where(F.col("place") <= room))
+    return above.unionByName(chosen.select("row.*"))

@@ -6,15 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.comfort import comfort_band, comfort_index, temp_range, whole_seconds
 from ..functions.numeric import clip, round_sql
 from ..functions.times import Instant, instant_sql
 from .latest import latest_per_key, tie_break
+from .ranks import largest_n
 
 KELVIN_OFFSET = 273.15         # fixed value
-SMALL_LIMIT = 10_000           # up to here ORDER BY ... LIMIT is a per-task heap
 
 
 def _ordered(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -103,18 +102,12 @@ def comfort_gauges(df: DataFrame, cities: Sequence[str], show: int = 4) -> DataF
 
 
 def retain_last_n(df: DataFrame, n: int, sequence: str, ties: Sequence[str] | None = None) -> DataFrame:
-    """Only the ``n`` rows with the highest arrival sequence, oldest first."""
+    """Only the ``n`` rows with the highest arrival sequence, oldest first.
+
+    ``sequence`` is a column of any type that sorts; ties go by the other columns, largest first.
+    """
     rest = tie_break(df, [sequence]) if ties is None else list(ties)
-    if n <= SMALL_LIMIT:
-        kept = _ordered(df, [f"{sequence} DESC", *rest]).limit(n)
-    else:
-        from .ranks import largest_n
-        kind = df.schema[sequence].dataType
-        number = ("unix_micros" if isinstance(kind, T.TimestampType) else "unix_date" if isinstance(kind, T.DateType)
-                  else None)
-        ranked = df.withColumn("__seq", F.expr(f"{number}({sequence})") if number else F.col(sequence))
-        kept = largest_n(ranked, n, "__seq", rest).drop("__seq")
-    return kept.orderBy(sequence)
+    return largest_n(df, n, sequence, rest).orderBy(sequence)
 
 
 def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:

@@ -73,10 +73,10 @@ def _add_first_shard(df: DataFrame, pieces: dict[str, str], time_col: str, shard
     if len(shards) > FEW_SHARDS:
         pieces["shard_id"] = f"min_by({shard_col}, struct({time_col}, {shard_col}))"
         return "shard_id"
-    quoted = ", ".join("'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'" for s in sorted(set(shards)))
+    quoted = ", ".join("'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'" for s in sorted({str(s) for s in shards}))
     listed = f"array({quoted})" if quoted else "CAST(array() AS ARRAY<STRING>)"
     bits = FEW_SHARDS.bit_length()
-    number = f"coalesce(array_position({listed}, {shard_col}), 0L)"
+    number = f"coalesce(array_position({listed}, CAST({shard_col} AS STRING)), 0L)"
     known = (f"IF({shard_col} IS NOT NULL AND {number} = 0, raise_error('shard not in the list of shards'),"
              f" {number})")
     pieces["first_shard"] = (f"min(shiftleft(unix_micros({time_col}) - unix_micros(window_start), {bits})"

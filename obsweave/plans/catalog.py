@@ -75,8 +75,8 @@ _on_aggregates("tumbling_aggregate", lambda a: a)
 _on_aggregates("enrich", select.enrich)
 _on_aggregates("city_summary", lambda a: agg.city_summary(select.enrich(a)))
 _on_aggregates("hourly_stats", agg.hourly_stats)
-_on_stored("percentiles", agg.temperature_percentiles)
-_on_stored("anomalies", agg.anomalies)
+_on_aggregates("percentiles", agg.temperature_percentiles)
+_on_aggregates("anomalies", agg.anomalies)
 _on_aggregates("humidity_by_hour", agg.humidity_by_hour)
 _on_aggregates("humidity_pivot", reshape.humidity_pivot)
 _on_aggregates("comfort_by_city", agg.comfort_by_city)
@@ -85,7 +85,7 @@ _on_aggregates("mean_by_city", agg.mean_by_city)
 _on_aggregates("kpi_latest", agg.kpi_latest)
 _on_aggregates("distinct_cities", agg.distinct_cities)
 _on_aggregates("table_counts", agg.table_counts)
-_on_stored("histogram", agg.histogram)
+_on_aggregates("histogram", agg.histogram)
 _on_stored("rolling_mean", lambda a: rolling.rolling_mean(a, 5))
 _on_aggregates("latest_per_key", latest.latest_per_key)
 _on_aggregates("current_temps", select.current_temps)
@@ -103,7 +103,7 @@ _on_stored("report_top10", lambda a: report(a)["top10"])
 def top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings checked, folded into windows, best five cities."""
     good = validate.clean(inputs.readings(spark, sf_dir), BOUNDS, NOW)
-    return agg.top_cities_by_temp(inputs.tumbling(good, inputs.WINDOW), 5)
+    return agg.top_cities_by_temp(inputs.tumbling(good, inputs.WINDOW, shards=inputs.SHARDS), 5)
 
 
 @query
@@ -174,7 +174,14 @@ _on_aggregates("kv_projection", msg.key_value)
 
 @query
 def flatten_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return msg.flatten_payload(inputs.payloads(inputs.table(spark, sf_dir, "events")))
+    return msg.split_payloads(inputs.payloads(inputs.table(spark, sf_dir, "events"))).good
+
+
+@query
+def payload_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads cut short or with a word where a number belongs."""
+    dead = msg.split_payloads(inputs.payloads(inputs.table(spark, sf_dir, "events"))).dead
+    return dead.select("event_id", "reason")
 
 
 @query
@@ -221,6 +228,13 @@ def retain_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.retain_last_n(inputs.table(spark, sf_dir, "events"), 1000, "event_id")
 
 
+@query
+def retain_last_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows than a heap should hold, by a sequence of times."""
+    return select.retain_last_n(inputs.table(spark, sf_dir, "lineitem"), 12_000, "l_shipdate",
+                                ["l_orderkey DESC", "l_linenumber DESC"])
+
+
 @query
 def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inputs.table(spark, sf_dir, "events").select("event_id", "event_type", "value")

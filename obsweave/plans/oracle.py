@@ -242,7 +242,9 @@ _BODIES: dict[str, tuple[str, str]] = {
                CAST(user_id % 101 AS INTEGER) AS clouds_all,
                CASE WHEN event_type = 'error' THEN '' ELSE props END AS description,
                ts AS collected_at, CONCAT('shard-', CAST(user_id % 3 AS VARCHAR)) AS shard_id
-        FROM events"""),
+        FROM events WHERE event_id % 40 NOT IN (1, 2, 3)"""),
+    "payload_dead_letters": ("", """
+        SELECT event_id, 'payload cannot be read' AS reason FROM events WHERE event_id % 40 IN (1, 2, 3)"""),
     "epoch_roundtrip": ("a", """SELECT city, CAST(epoch(window_start) AS BIGINT) AS start_s, window_start,
         window_end, CAST(count AS INTEGER) AS count FROM aggs"""),
     "upsert_latest": ("a", f"""
@@ -254,6 +256,8 @@ _BODIES: dict[str, tuple[str, str]] = {
             ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
                      l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
         FROM lineitem) WHERE rn = 1"""),
+    "retain_last_by_time": ("", """SELECT * FROM lineitem
+        ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC LIMIT 12000"""),
     "retain_last_n": ("", "SELECT * FROM events ORDER BY event_id DESC LIMIT 1000"),
     "sample_n": ("", """SELECT event_id, event_type, value FROM events
         ORDER BY md5(CONCAT(CAST(event_id AS VARCHAR), '-42')), event_id LIMIT 500"""),

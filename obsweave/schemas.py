@@ -23,6 +23,7 @@ AGGREGATE = T.StructType([
     T.StructField("shard_id", T.StringType()),
 ])
 
+# A flat reading.
 READING = T.StructType([
     T.StructField("city", T.StringType()),
     T.StructField("country", T.StringType()),
@@ -42,7 +43,7 @@ READING = T.StructType([
     T.StructField("shard_id", T.StringType()),
 ])
 
-# A reading as the request log keeps it: with its latency and, if it failed, the error.
+# A reading as the request log keeps it: with its latency and, if it failed, the error.
 REQUEST = T.StructType([
     T.StructField("city", T.StringType()),
     T.StructField("country", T.StringType()),
@@ -57,6 +58,7 @@ REQUEST = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+# What of the API payload is read.
 PAYLOAD = """
     id INT, name STRING, dt BIGINT,
     main STRUCT<temp: DOUBLE, feels_like: DOUBLE, temp_min: DOUBLE, temp_max: DOUBLE,
@@ -68,6 +70,7 @@ PAYLOAD = """
     sys STRUCT<country: STRING>
 """
 
+# The summary of a run, in the order of its report.
 RUN_RESULT = """
     name STRING, total_requests BIGINT, successful BIGINT, failed BIGINT,
     total_time_sec DOUBLE, throughput_rps DOUBLE, avg_latency_ms DOUBLE,

@@ -95,15 +95,33 @@ _FLAT = [
 ]
 
 
-def flatten_payload(df: DataFrame, value: str = "value", collected_at: str = "collected_at",
-                    shard_id: str = "shard_id") -> DataFrame:
-    """Nested API payload to a flat reading; absent keys become "" or 0.
+_BROKEN = "__broken"
+
 
-    The description is that of the first weather entry.  Collection time and shard are
-    columns or SQL expressions of the caller's (for a broker: the message timestamp).
-    Text that is not a JSON object gives a reading of defaults, which validation rejects.
+def split_payloads(df: DataFrame, value: str = "value", collected_at: str = "collected_at",
+                   shard_id: str = "shard_id") -> Decoded:
+    """Nested API payloads to flat readings, and those that cannot be read as dead letters.
+
+    An absent key (or null) becomes "" or 0; the description is that of the first weather
+    entry.  A key whose value has the wrong type, text that is not a JSON object, and NULL
+    make a dead letter: a corrupt number must not become a valid reading of 0.
+    Collection time and shard are columns or SQL expressions of the caller's (for a broker:
+    the message timestamp).
     """
     keep = [c for c in df.columns if c not in (value, "collected_at", "shard_id")]
     flat = [f"coalesce({path}, {default}) AS {name}" for name, path, default in _FLAT]
-    parsed = df.select("*", F.from_json(F.col(value).cast("string"), PAYLOAD).alias("p"))
-    return parsed.selectExpr(*keep, *flat, f"{collected_at} AS collected_at", f"{shard_id} AS shard_id")
+    parsed = df.select("*", F.expr(f"""explode_outer(array(from_json(CAST({value} AS STRING),
+        '{" ".join(PAYLOAD.split())}, {_BROKEN} STRING', map('columnNameOfCorruptRecord', '{_BROKEN}')))) AS p"""))
+    bad = f"p IS NULL OR p.{_BROKEN} IS NOT NULL OR NOT startswith(ltrim(CAST({value} AS STRING)), '{{')"
+    told = parsed.withColumn("reason", F.expr(
+        f"CASE WHEN {value} IS NULL THEN 'no payload' WHEN {bad} THEN 'payload cannot be read' END"))
+    return Decoded(
+        good=told.where("reason IS NULL").selectExpr(
+            *keep, *flat, f"{collected_at} AS collected_at", f"{shard_id} AS shard_id"),
+        dead=told.where("reason IS NOT NULL").select(*[c for c in df.columns if c != "reason"], "reason"))
+
+
+def flatten_payload(df: DataFrame, value: str = "value", collected_at: str = "collected_at",
+                    shard_id: str = "shard_id") -> DataFrame:
+    """The readings of :func:`split_payloads`."""
+    return split_payloads(df, value, collected_at, shard_id).good

@@ -9,9 +9,10 @@ import pytest
 from helpers import agg_row, aggs, at, dicts, optimized, plan_of
 from pyspark.sql import functions as F
 
+from obsweave.functions import numeric
 from obsweave.functions.comfort import register_sql_functions
 from obsweave.operators import aggregate as agg
-from obsweave.operators import latest, reshape, rolling, select, sqltext
+from obsweave.operators import latest, ranks, reshape, rolling, select, sqltext
 
 
 def test_enrich(spark):
@@ -224,18 +225,14 @@ def test_union_fills_missing_columns(spark):
     assert out.count() == 2 and out.where("temp_range IS NULL").count() == 1
 
 
-@pytest.mark.parametrize("limit", [10_000, 5])
-def test_retain_last_n(spark, monkeypatch, limit):
-    monkeypatch.setattr(select, "SMALL_LIMIT", limit)
+def test_retain_last_n(spark):
     df = spark.range(1000).selectExpr("id * 37 % 1009 - 300 AS seq", "id AS v")
     want = sorted(r.seq for r in df.collect())
-    for n in (1, 3, 10, 777, 1000, 5000):
+    for n in (1, 10, 777, 5000):
         assert [r.seq for r in select.retain_last_n(df, n, "seq").collect()] == want[-n:]
 
 
-@pytest.mark.parametrize("limit", [10_000, 5])
-def test_sample_is_exact_and_stable(spark, monkeypatch, limit):
-    monkeypatch.setattr(select, "SMALL_LIMIT", limit)
+def test_sample_is_exact_and_stable(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     for n in (0, 7, 400, 1000, 2000):
         a = {r.k for r in select.sample_n(df, n, "k").collect()}
@@ -244,11 +241,53 @@ def test_sample_is_exact_and_stable(spark, monkeypatch, limit):
     assert a != {r.k for r in select.sample_n(df, 400, "k", seed=43).collect()}
 
 
-def test_both_sampling_ways_choose_the_same_rows(spark, monkeypatch):
-    df = spark.range(1000).withColumnRenamed("id", "k")
-    small = {r.k for r in select.sample_n(df, 400, "k").collect()}
-    monkeypatch.setattr(select, "SMALL_LIMIT", 5)
-    assert small == {r.k for r in select.sample_n(df, 400, "k").collect()}
+@pytest.mark.parametrize("kind", ["TIMESTAMP", "DATE", "STRING", "DOUBLE"])
+def test_retain_takes_any_sequence_at_any_size(spark, kind):
+    value = {"TIMESTAMP": "timestamp_seconds(s)", "DATE": "date_from_unix_date(CAST(s AS INT))",
+             "STRING": "lpad(CAST(s AS STRING), 6, '0')", "DOUBLE": "IF(s = 40, double('NaN'), CAST(s AS DOUBLE))"}[kind]
+    # one value holds a third of the rows, some have none
+    df = spark.range(900).selectExpr("id AS n", "IF(id % 3 = 0, 20, id % 41) AS s").selectExpr(
+        "n", f"IF(n % 50 = 1, NULL, {value}) AS seq")
+    rows = df.orderBy(F.col("seq").desc(), F.col("n").desc()).collect()
+    for n in (0, 300, 5000):
+        got = {r.n for r in select.retain_last_n(df, n, "seq").collect()}
+        assert got == {r.n for r in rows[:n]}
+
+
+def test_close_values_of_a_hot_group_fill_many_tasks(spark):
+    df = spark.range(40_000).selectExpr("IF(id % 20 = 0, 'cold', 'hot') AS city", "1010D + (id * 7919 % 9901) / 1000D AS v")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        counts = df.groupBy("city", "v").agg(F.expr("count(1) AS n"))
+        held = ranks._in_ranges(counts, [F.col("city"), F.col("v")], "t").where("city = 'hot'").groupBy("part").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(held) > 2 and max(r["count"] for r in held) < 5000
+    got = {r.city: r.m for r in ranks.percentiles(df, ["city"], "v", {"m": 0.5}).collect()}
+    want = {r.city: r.m for r in df.groupBy("city").agg(F.expr("percentile(v, 0.5) AS m")).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_percentiles_of_infinities_and_missing_keys(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([("a", 1.0), ("a", inf), ("a", inf), ("a", inf), (None, 2.0), (None, None), ("b", None)],
+                               "k STRING, v DOUBLE")
+    got = {r.k: (r.low, r.high) for r in ranks.percentiles(df, ["k"], "v", {"low": 0.0, "high": 0.95}).collect()}
+    assert got == {"a": (1.0, inf), None: (2.0, 2.0)}
+
+
+def test_means_neither_overflow_nor_depend_on_order(spark):
+    def mean(df, **more):
+        return {numeric.summarize(df.repartition(n), [], {"m": ("v", None)}, **more).first().m for n in (1, 4, 13)}
+
+    assert mean(spark.range(10).selectExpr("1.0e-10D AS v"), digits=15) == {1e-10}
+    assert mean(spark.range(10_000).selectExpr("CAST(1.7e15 AS BIGINT) AS v")) == {1.7e15}
+    assert len(mean(spark.range(999).selectExpr("(id + 0.1D) * 1.37e11D AS v"))) == 1
+    assert mean(spark.range(10).selectExpr("IF(id = 3, double('Infinity'), 1D) AS v")) == {float("inf")}
+    assert mean(spark.createDataFrame([(None,)], "v DOUBLE")) == {None}
+    # far more than one bigint could hold
+    assert numeric.summarize(spark.range(30_000_000).selectExpr("8.0e9D AS v"), [], {"m": ("v", None)}).first().m == 8e9
 
 
 def test_sql_over_frame_and_path(spark, folder):
