@@ -40,6 +40,7 @@ BITS = 3
 SEED = 11
 MAX_ITEM_CHARS = 50_000_000
 PENDING = 2_000  # windows embedded together
+SCAN_CHARS = 2_000_000  # characters whose places are looked up together
 _SIZES = (16, 8, 4, 2, 1)
 
 
@@ -267,6 +268,20 @@ class Scanner:
         return out
 
 
+def leaking(texts: list[str | None], index: Index, bits: int = BITS) -> set[int]:
+    """Numbers of the texts that hold an item; the windows of all of them walk together."""
+    scanner, hit = Scanner(index, bits), set()
+    ends = np.cumsum([len(t or "") for t in texts])
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + SCAN_CHARS, side="right")))
+        if found := scanner.add(list(range(start, stop)), texts[start:stop]):
+            hit.update(found["doc_id"])
+        start = stop
+    return hit.union(scanner.flush()["doc_id"])
+
+
 def read_items(df: DataFrame, key: str = "item_id", text: str = "text", max_chars: int = MAX_ITEM_CHARS):
     """All items; their size is checked before they are collected."""
     used = df.select(F.col(f"`{key}`").cast("long").alias("item_id"), F.col(f"`{text}`").alias("text")).where(
@@ -309,11 +324,9 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         index = Index(**shared.value)
 
         def each(rows):
-            scanner = Scanner(index)
-            scanner.add(list(range(len(rows["text"]))), rows["text"])
-            hit = set(scanner.flush()["doc_id"])
+            hit = leaking(rows["text"], index)
             return {k: [x for i, x in enumerate(v) if i not in hit] for k, v in rows.items()}
 
         return each, None
 
-    return over_texts(used, "text", None, used.schema, setup=setup)
+    return over_texts(used, "text", None, used.schema, limit=8 * SCAN_CHARS, setup=setup)

@@ -286,3 +286,14 @@ def test_feistel_is_a_permutation():
 
 def test_fingerprint_of_kept_bytes():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_leaks_found_before_the_last_windows_count(monkeypatch):
+    """Windows are verified in several rounds when there are many; each round's leaks are kept."""
+    items = [(i, "the quick brown fox number %d jumps over the lazy dog by the river bank" % i) for i in range(5)]
+    index = decontam.build_index(items)
+    texts = [f"before {t} after" if i % 2 else "nothing of the kind" for i, t in items] + [None, ""]
+    monkeypatch.setattr(decontam, "PENDING", 1)
+    monkeypatch.setattr(decontam, "SCAN_CHARS", 50)
+    assert decontam.leaking(texts, index) == {1, 3}
+    assert decontam.leaking([], index) == set()
