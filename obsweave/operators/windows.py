@@ -18,9 +18,6 @@ AVERAGES = {
 }
 
 
-FEW_SHARDS = 64      # beyond this the first shard is found by a sort-based aggregate
-
-
 def tumbling(df: DataFrame, size: str = "60 seconds", key: str = "city",
              time_col: str = "collected_at", shard_col: str | None = "shard_id",
              shards: Sequence[str] | None = None) -> DataFrame:
@@ -31,9 +28,11 @@ def tumbling(df: DataFrame, size: str = "60 seconds", key: str = "city",
     earliest reading (equal times: the smallest shard id).
 
     A text buffer would turn the aggregate into a sort of all readings.  Therefore, in
-    batch, the earliest shard is the minimum of one bigint: time within the window, then the
-    number of the shard in the sorted list of shards.  That list is ``shards`` or is read
-    from the data, which runs one job over that column.  A stream keeps the shard as it is.
+    batch, given the list ``shards``, the earliest shard is the minimum of one bigint: time
+    within the window, then the number of the shard in the sorted list.  Without the list a
+    second, narrow aggregate takes the earliest time per window and shard and is joined; it
+    reads the input once more, so this should be a stored table.  No job runs while the plan
+    is built.  A stream keeps the shard as it is.
     """
     means = Means(df, AVERAGES.values())
     rows = means.prepare(df)
@@ -47,9 +46,13 @@ def tumbling(df: DataFrame, size: str = "60 seconds", key: str = "city",
         shard = "shard_id"
     else:
         rows = rows.select("*", F.window(time_col, size).alias("w")).selectExpr("*", "w.start AS window_start")
-        shard = _add_first_shard(df, pieces, time_col, shard_col, shards) if shard_col else ""
+        listed = shard_col and shards is not None
+        shard = _add_first_shard(pieces, time_col, shard_col, shards) if listed else "first_shard"
         grouped = (_aggregate(rows.groupBy("window_start", key), pieces)
                    .selectExpr("*", f"window_start + INTERVAL {size} AS window_end"))
+        if shard_col and not listed:
+            first = _first_shards(df, size, key, time_col, shard_col)
+            grouped = grouped.join(first, F.expr(f"window_start = first_start AND {key} <=> first_key"))
     tail = [f"{shard} AS shard_id"] if shard_col else []
     valued = grouped.selectExpr(key, "window_start", "window_end", "count", "min_temp", "max_temp", *tail,
                                 *[f"{means.value(src)} AS {out}" for out, src in AVERAGES.items()])
@@ -64,18 +67,20 @@ def _aggregate(grouped: GroupedData, pieces: dict[str, str]) -> DataFrame:
     return grouped.agg(*[F.expr(f"{sql} AS {name}") for name, sql in pieces.items()])
 
 
-def _add_first_shard(df: DataFrame, pieces: dict[str, str], time_col: str, shard_col: str,
-                     shards: Sequence[str] | None) -> str:
+def _first_shards(df: DataFrame, size: str, key: str, time_col: str, shard_col: str) -> DataFrame:
+    """``first_start, first_key, first_shard``: readings are reduced to one row per window and shard first."""
+    times = (df.select(F.window(time_col, size)["start"].alias("first_start"), F.col(key).alias("first_key"),
+                       F.col(shard_col).alias("s"), F.col(time_col).alias("t"))
+             .groupBy("first_start", "first_key", "s").agg(F.min("t").alias("t")))
+    return times.groupBy("first_start", "first_key").agg(F.expr("min_by(s, struct(t, s)) AS first_shard"))
+
+
+def _add_first_shard(pieces: dict[str, str], time_col: str, shard_col: str, shards: Sequence[str]) -> str:
     """Add the piece that finds the earliest shard; returns the SQL that reads it afterwards."""
-    if shards is None:
-        found = df.select(shard_col).where(f"{shard_col} IS NOT NULL").distinct().limit(FEW_SHARDS + 1).collect()
-        shards = [r[0] for r in found]
-    if len(shards) > FEW_SHARDS:
-        pieces["shard_id"] = f"min_by({shard_col}, struct({time_col}, {shard_col}))"
-        return "shard_id"
-    quoted = ", ".join("'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'" for s in sorted({str(s) for s in shards}))
+    names = sorted({str(s) for s in shards})
+    quoted = ", ".join("'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'" for s in names)
     listed = f"array({quoted})" if quoted else "CAST(array() AS ARRAY<STRING>)"
-    bits = FEW_SHARDS.bit_length()
+    bits = max(1, len(names)).bit_length()
     number = f"coalesce(array_position({listed}, CAST({shard_col} AS STRING)), 0L)"
     known = (f"IF({shard_col} IS NOT NULL AND {number} = 0, raise_error('shard not in the list of shards'),"
              f" {number})")

@@ -276,6 +276,13 @@ def latency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(spark, sf_dir)
 
 
+@query
+def latency_wall_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Throughput by the time from a run's first request to its last."""
+    log = inputs.request_log(inputs.table(spark, sf_dir, "events"))
+    return requests.latency_summary(log, "(unix_micros(max(sent_at)) - unix_micros(min(sent_at))) / 1000000D")
+
+
 @query
 def throughput_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.throughput_ratio(_summary(spark, sf_dir))
@@ -306,11 +313,30 @@ def stream_windows_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = jobs.start_windows(live, table, checkpoint, size=inputs.WINDOW, delay="2 hours", bounds=None)
     run.awaitTermination()
     still_open = stream_windows.drain(inputs.readings(spark, sf_dir),
-                                      stream_windows.final_watermark(run), inputs.WINDOW)
+                                      stream_windows.final_watermark(run), inputs.WINDOW, shards=inputs.SHARDS)
     tables.upsert_parquet(still_open.select(*_AGG_COLUMNS), table)
     return load_parquet(spark, table, partition=PARTITION_DATE).select(*_AGG_COLUMNS)
 
 
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings split by a stream: the rejected ones with the number of their errors, the others marked by 0."""
+    good, bad = work_path(spark, "good"), work_path(spark, "bad")
+    live = inputs.readings_of(_event_stream(spark, sf_dir))
+    jobs.start_intake(live, good, bad, work_path(spark, "intake-checkpoint"), bounds=BOUNDS, now=NOW).awaitTermination()
+    kept = load_parquet(spark, good, live.schema).select("reading_id", F.lit(0).cast("bigint").alias("errors"))
+    return kept.unionByName(spark.read.parquet(bad).select("reading_id", F.size("errors").cast("bigint").alias("errors")))
+
+
+@query
+def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 300 events, kept by a stream."""
+    path = work_path(spark, "history")
+    live = _event_stream(spark, sf_dir)
+    jobs.start_history(live, path, work_path(spark, "history-checkpoint"), n=300, sequence="event_id").awaitTermination()
+    return jobs.history(spark, path, live.schema)
+
+
 @query
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest event of every type, kept by a stream."""

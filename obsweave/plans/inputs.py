@@ -98,4 +98,4 @@ def request_log(events: DataFrame) -> DataFrame:
     return events.selectExpr(
         "CASE WHEN user_id % 2 = 0 THEN 'run-a' ELSE 'run-b' END AS name",
         "date_format(ts, 'yyyy-MM-dd') AS round", "value AS response_time_ms",
-        "CASE WHEN event_type = 'error' THEN 'failed' END AS error")
+        "CASE WHEN event_type = 'error' THEN 'failed' END AS error", "CAST(ts AS TIMESTAMP) AS sent_at")

@@ -48,6 +48,7 @@ def _windows(source: str) -> str:
     """
 
 
+# Weights of the comfort score; limits and message texts of the rules.
 _SCORE = "100 - ABS(avg_temp - 18.0) * 2 - ABS(avg_humidity - 50.0) * 0.3::DOUBLE - avg_wind_speed * 1.5::DOUBLE"
 _COMFORT = _rnd(f"LEAST(GREATEST({_SCORE}, 0.0), 100.0)", 1)
 _ENRICHED = f"""
@@ -85,7 +86,7 @@ _KIND = "hour(window_start) % 4"
 _REQUESTS = """
     SELECT CASE WHEN user_id % 2 = 0 THEN 'run-a' ELSE 'run-b' END AS name,
            strftime(ts, '%Y-%m-%d') AS round, value AS ms,
-           event_type = 'error' AS failed
+           event_type = 'error' AS failed, ts AS sent_at
     FROM events
 """
 
@@ -95,11 +96,15 @@ def _at(p: int) -> str:
 
 
 _BUSY = f"({_avg('ms')} * COUNT(ms) / 1000.0::DOUBLE)"
-_SUMMARY = f"""
+_WALL = "((epoch_us(MAX(sent_at)) - epoch_us(MIN(sent_at))) / 1e6::DOUBLE)"
+
+
+def _summary(seconds: str) -> str:
+    return f"""
     SELECT name, COUNT(*) AS total_requests, COUNT(*) FILTER (NOT failed) AS successful,
            COUNT(*) FILTER (failed) AS failed,
-           {_rnd(_BUSY, 3)} AS total_time_sec,
-           {_rnd(f'(COUNT(*) / {_BUSY})')} AS throughput_rps,
+           {_rnd(seconds, 3)} AS total_time_sec,
+           {_rnd(f'(COUNT(*) / {seconds})')} AS throughput_rps,
            {_mean('ms')} AS avg_latency_ms,
            {_rnd(_at(50))} AS p50_latency_ms, {_rnd(_at(95))} AS p95_latency_ms,
            {_rnd(_at(99))} AS p99_latency_ms,
@@ -108,6 +113,9 @@ _SUMMARY = f"""
                  COUNT(*) OVER (PARTITION BY name) AS n FROM requests) GROUP BY name
 """
 
+
+_SUMMARY = _summary(_BUSY)
+
 _HIST = """
     ranges AS (SELECT city, CASE WHEN a = z THEN a - 0.5 ELSE a END AS low,
                       CASE WHEN a = z THEN z + 0.5 ELSE z END AS high
@@ -276,6 +284,9 @@ _BODIES: dict[str, tuple[str, str]] = {
                COALESCE({_mean('(CASE WHEN NOT failed THEN ms END)')}, 0.0) AS avg_response_ms
         FROM requests GROUP BY round"""),
     "latency_summary": ("q", _SUMMARY),
+    "latency_wall_clock": ("q", _summary(_WALL)),
+    "stream_quarantine": ("r", f"SELECT reading_id, {_ERROR_COUNT} AS errors FROM readings"),
+    "stream_history": ("", "SELECT * FROM events ORDER BY event_id DESC LIMIT 300"),
     "throughput_ratio": ("q", f"""
         SELECT ARG_MAX(name, ROW(throughput_rps, name)) AS winner,
                {_rnd('(MAX(throughput_rps) / MIN(throughput_rps))', 1)} AS ratio

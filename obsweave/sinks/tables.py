@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,6 @@ from ..operators.select import by_city, retain_last_n
 from ..schemas import AGGREGATE
 
 DATE_PARTITION = ("window_date", "to_date(window_start)")
-_LISTED_PARTITIONS = 4_000     # a filter on this many partition values is still a filter
 
 
 def _laid_out(df: DataFrame, partition: str, order: Sequence[str]) -> DataFrame:
@@ -46,12 +45,13 @@ def upsert_parquet(new: DataFrame, path: str, keys: Sequence[str] = ("city", "wi
     spark = new.sparkSession
     fresh = new.withColumn(name, F.expr(how)).persist()
     try:
-        touched = [r[0] for r in fresh.select(name).distinct().limit(_LISTED_PARTITIONS + 1).collect()]
+        # partition values only; a driver lists the partitions of a table in any case
+        touched = [r[0] for r in fresh.select(name).distinct().collect()]
         if not touched:
             return
         stored = _stored(spark, path, fresh, name)
         merged = dedup_latest(
-            _touched_part(stored, fresh, name, touched).withColumn("__fresh", F.lit(0))
+            _touched_part(stored, name, touched).withColumn("__fresh", F.lit(0))
             .unionByName(fresh.withColumn("__fresh", F.lit(1)), allowMissingColumns=True),
             keys, by, ties=_prefer_fresh(new, keys, by)).drop("__fresh")
         (_laid_out(merged, name, keys).write.mode("overwrite")
@@ -71,10 +71,7 @@ def _stored(spark: SparkSession, path: str, fresh: DataFrame, name: str) -> Data
     return found.withColumn(name, F.col(name).cast(fresh.schema[name].dataType))
 
 
-def _touched_part(stored: DataFrame, fresh: DataFrame, name: str, touched: list) -> DataFrame:
-    if len(touched) > _LISTED_PARTITIONS:
-        values = fresh.select(F.col(name).alias("__v")).distinct()
-        return stored.join(values, F.col(name).eqNullSafe(F.col("__v")), "left_semi")
+def _touched_part(stored: DataFrame, name: str, touched: list) -> DataFrame:
     wanted = F.col(name).isin([v for v in touched if v is not None])
     return stored.where(wanted | F.col(name).isNull() if None in touched else wanted)
 

@@ -29,9 +29,11 @@ def kafka_options(brokers: Sequence[str], topic: str, group: str | None = None,
 def open_stream(spark: SparkSession, kind: str, *, path: str | None = None,
                 schema: T.StructType | str | None = None, brokers: Sequence[str] = (), topic: str = "",
                 group: str | None = None, max_offsets: int | None = None,
-                max_files: int | None = None, files: str | None = None) -> DataFrame:
+                max_files: int | None = None, files: str | None = None, start: str = "latest") -> DataFrame:
     """A streaming DataFrame.
 
+    ``start`` is where a broker source without a checkpoint begins: ``latest``, ``earliest``, or offsets as JSON.
+
     ``max_offsets`` and ``max_files`` bound a micro-batch; backlog waits at the source and
     nothing is dropped.  ``files`` is a name pattern for a folder that holds other files too.
     """
@@ -39,7 +41,7 @@ def open_stream(spark: SparkSession, kind: str, *, path: str | None = None,
         raise ValueError(f"unknown source {kind!r}; one of {', '.join(FORMATS)}")
     reader = spark.readStream.format(kind)
     if kind == "kafka":
-        return (reader.options(**kafka_options(brokers, topic, group, max_offsets)).load()
+        return (reader.options(**kafka_options(brokers, topic, group, max_offsets, start)).load()
                 .selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value",
                             "topic", "partition", "offset", "timestamp"))
     if max_files:

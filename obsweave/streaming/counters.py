@@ -26,6 +26,32 @@ def count_published(df: DataFrame) -> DataFrame:
     return df.observe(PUBLISHED, F.count(F.lit(1)).alias("publishes"))
 
 
+class LateRows(StreamingQueryListener):
+    """Rows dropped behind the watermark, per query id, over all batches; register before starting.
+
+    A query itself remembers the progress of its last batches only.
+    """
+
+    def __init__(self) -> None:
+        self._lock = threading.Lock()
+        self.totals: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        with self._lock:
+            query = str(event.progress.id)
+            self.totals[query] = self.totals.get(query, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 class RunningCounters(StreamingQueryListener):
     """Adds up the observed counts over batches; register with ``spark.streams.addListener``."""
 

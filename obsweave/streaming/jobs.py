@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.quality import Bounds
 from ..operators.latest import latest_per_key_agg
 from ..operators.select import retain_last_n
 from ..functions.times import Instant
-from ..operators.validate import clean, quarantine
+from ..operators.validate import clean, quarantine, tag
+from ..schemas import empty_frame
 from ..sinks.fanout import Sink, fan_out
 from ..sinks.tables import DATE_PARTITION, upsert_parquet
 from ..sources.files import load_parquet
 from ..sources.messages import decode_aggregates, key_value
 from .windows import windowed
 
-KEY_PARTITION = ("bucket", "CAST(pmod(xxhash64(city), 16) AS INT)")
-
-
 def trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     """``every`` is a processing-time interval; None takes what is there and stops."""
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
@@ -50,7 +48,8 @@ def start_windows(readings: DataFrame, table: str, checkpoint: str, *, size: str
     """Readings, checked, windowed and upserted into the table; optionally to more sinks.
 
     Validation is here, on readings.  Rejected rows are the business of
-    :func:`start_quarantine`, which reads the same source.
+    :func:`start_quarantine`, which reads the same source but judges ages by its own clock;
+    where each reading must reach one of both, use :func:`start_intake` first.
     """
     checked = readings if bounds is None else clean(readings, bounds, now)
     sink = upsert_sink(table)
@@ -73,6 +72,21 @@ def _table_then(table: Sink, others: Sink) -> Sink:
     return write
 
 
+def start_intake(readings: DataFrame, good_path: str, bad_path: str, checkpoint: str, *,
+                 bounds: Bounds = Bounds(), now: Instant = None, every: str | None = None) -> StreamingQuery:
+    """Every reading goes to exactly one of two tables: valid ones, or rejected ones with their reasons.
+
+    A batch is judged by one clock, its own time, which the checkpoint keeps; so a batch
+    that is repeated after a failure is split alike, and replaces what it wrote.  Windows
+    over the valid readings are another stream, from ``good_path`` with ``bounds=None``.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for path, rows in ((good_path, batch.where("is_valid").drop("errors")), (bad_path, batch.where("NOT is_valid"))):
+            rows.drop("is_valid").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return (trigger(tag(readings, bounds, now).writeStream.foreachBatch(write), every)
+            .option("checkpointLocation", checkpoint).start())
+
+
 def start_quarantine(readings: DataFrame, path: str, checkpoint: str, *, bounds: Bounds = Bounds(),
                      now: Instant = None, every: str | None = None) -> StreamingQuery:
     return (trigger(quarantine(readings, bounds, now).writeStream.format("parquet"), every)
@@ -95,10 +109,15 @@ def start_messages(messages: DataFrame, table: str, dead_path: str, checkpoint:
 
 
 def start_latest(aggregates: DataFrame, table: str, checkpoint: str, *,
-                 every: str | None = None) -> StreamingQuery:
-    """Keep a table with the latest row of every city."""
+                 every: str | None = None, buckets: int = 16) -> StreamingQuery:
+    """Keep a table with the latest row of every city.
+
+    A batch rewrites the buckets its cities fall into: choose as many as leave one bucket
+    small, and the same number for the whole life of a table.
+    """
+    partition = ("bucket", f"CAST(pmod(xxhash64(city), {buckets}) AS INT)")
     return (trigger(latest_per_key_agg(aggregates).writeStream.outputMode("update")
-                    .foreachBatch(upsert_sink(table, KEY_PARTITION, ("city",))), every)
+                    .foreachBatch(upsert_sink(table, partition, ("city",))), every)
             .option("checkpointLocation", checkpoint).start())
 
 
@@ -107,21 +126,38 @@ def start_history(stream: DataFrame, path: str, checkpoint: str, *, n: int, sequ
     """Keep the last ``n`` rows; ``n`` is small, as this is what a screen shows.
 
     Every batch writes the whole history as a new version and reads the one before, so a
-    repeated batch gives the same.
+    repeated batch gives the same.  The version before is kept for readers at work, older ones go.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         before = history(batch.sparkSession, path, batch.schema, below=batch_id)
         kept = retain_last_n(before.unionByName(batch), n, sequence)
         kept.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        earlier = [v for v in _versions(batch.sparkSession, path) if v < batch_id]
+        _drop_versions(batch.sparkSession, path, earlier[:-1])
     return (trigger(stream.writeStream.foreachBatch(write), every)
             .option("checkpointLocation", checkpoint).start())
 
 
-def history(spark: SparkSession, path: str, schema, below: int | None = None) -> DataFrame:
-    """The newest stored version (before version ``below``)."""
-    from pyspark.sql import types as T
-    stored = load_parquet(spark, path, schema, T.StructField("version", T.LongType()))
-    if below is not None:
-        stored = stored.where(F.col("version") < below)
-    newest = stored.agg(F.max("version")).first()[0]
-    return stored.where(F.col("version") == newest).drop("version")
+def history(spark: SparkSession, path: str, schema: T.StructType, below: int | None = None) -> DataFrame:
+    """The newest stored version (before version ``below``); only names are listed to find it."""
+    found = [v for v in _versions(spark, path) if below is None or v < below]
+    return load_parquet(spark, f"{path}/version={found[-1]}", schema) if found else empty_frame(spark, schema)
+
+
+def _files(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The finished versions, oldest first."""
+    fs, folder = _files(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version=")
+                  and fs.exists(_files(spark, f"{path}/{n}/_SUCCESS")[1]))
+
+
+def _drop_versions(spark: SparkSession, path: str, versions: Sequence[int]) -> None:
+    for v in versions:
+        fs, folder = _files(spark, f"{path}/version={v}")
+        fs.delete(folder, True)

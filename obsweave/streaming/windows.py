@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -31,18 +32,22 @@ def final_watermark(query: StreamingQuery) -> datetime | None:
 
 
 def dropped_late(query: StreamingQuery) -> int:
+    """Late rows of the batches whose progress the query still holds (100 by default).
+
+    :class:`~obsweave.streaming.counters.LateRows` counts those of every batch.
+    """
     return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
 
 
 def drain(readings: DataFrame, watermark: datetime | None, size: str = "60 seconds",
-          key: str = "city", time_col: str = "collected_at") -> DataFrame:
+          key: str = "city", time_col: str = "collected_at", shards: Sequence[str] | None = None) -> DataFrame:
     """The windows an append-mode stream has not emitted, computed from the source in batch.
 
     Emitted windows end at or before the watermark.  Only the tail of the source is read:
     the filter on the time column reaches the scan.
     """
     if watermark is None:
-        return tumbling(readings, size, key, time_col)
+        return tumbling(readings, size, key, time_col, shards=shards)
     mark = F.lit(watermark)
     tail = readings.where(F.col(time_col) >= mark - F.expr(f"INTERVAL {size}"))
-    return tumbling(tail, size, key, time_col).where(F.col("window_end") > mark)
+    return tumbling(tail, size, key, time_col, shards=shards).where(F.col("window_end") > mark)

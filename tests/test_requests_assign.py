@@ -47,9 +47,9 @@ def test_request_stats_counts_only_successes(spark):
 
 
 def test_ratio_and_rates(spark):
-    runs = spark.createDataFrame([("a", 9, 1, 3867.45), ("b", 3, 0, 5.97), ("none", 0, 0, 10.0)],
+    runs = spark.createDataFrame([("a", 9, 1, 812.5), ("b", 3, 0, 3.25), ("none", 0, 0, 10.0)],
                                  "name STRING, successful BIGINT, failed BIGINT, throughput_rps DOUBLE")
-    assert dicts(requests.throughput_ratio(runs.where("name <> 'none'"))) == [{"winner": "a", "ratio": 647.8}]
+    assert dicts(requests.throughput_ratio(runs.where("name <> 'none'"))) == [{"winner": "a", "ratio": 250.0}]
     assert requests.throughput_ratio(runs.limit(1)).count() == 0
     stopped = runs.selectExpr("name", "CASE name WHEN 'a' THEN 0D ELSE throughput_rps END AS throughput_rps")
     assert requests.throughput_ratio(stopped).count() == 0
