@@ -2,8 +2,9 @@
 
 The patterns (e-mail, IP address, card, phone) give the base spans.  A bidirectional LSTM
 with CRF transitions over BIO tags is trained in numpy on a bounded sample of rows, labelled
-by the base spans; candidates that a check refused (a bad Luhn sum, say) are negatives.  Its
-spans are added where they touch neither a base span nor a refused candidate.
+by the base spans; candidates that a check refused are negatives.  Its spans are added where they touch neither a
+base span nor a refused candidate of their own kind.  Refused are only candidates that reached the check: 16 to 19
+digits with a bad Luhn sum, four parts with one over 255, a + and too few or too many digits.
 
 A text is tiled by windows of ``WINDOW`` characters, ``WINDOW // 2`` apart, from its first to
 its last character.  Every tag sequence that the decoder admits holds a digit or an ``@``
@@ -71,7 +72,7 @@ def _emails(text: str) -> Iterable[Span]:
 
 
 def base_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """Spans that hold, and candidates that a check refused."""
+    """Spans that hold, and candidates that reached their kind's check and were refused by it."""
     if not _worth.search(text):
         return [], []
     good, refused = list(_emails(text)), []
@@ -80,7 +81,8 @@ def base_spans(text: str) -> tuple[list[Span], list[Span]]:
         (good if fine else refused).append(("ip", m.start(), m.end()))
     for m in _card.finditer(text):
         digits = re.sub("[^0-9]", "", m.group())
-        (good if 16 <= len(digits) <= 19 and luhn(digits) else refused).append(("card", m.start(), m.end()))
+        if 16 <= len(digits) <= 19:
+            (good if luhn(digits) else refused).append(("card", m.start(), m.end()))
     for m in _phone.finditer(text):
         n = len(re.sub("[^0-9]", "", m.group()))
         (good if 8 <= n <= 15 else refused).append(("phone", m.start(), m.end()))
@@ -373,8 +375,8 @@ def all_spans(texts: list[str], w) -> tuple[list[list[Span]], list[list[Span]]]:
     order = lambda spans: sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1]))
     out = []
     for b, r, more in zip(base, refused, added, strict=True):
-        taken = [(s[1], s[2]) for s in (*b, *r)]
-        new = [s for s in more if all(s[2] <= a or s[1] >= e for a, e in taken)]
+        new = [s for s in more if all(s[2] <= a or s[1] >= e for _, a, e in b)
+               and all(s[0] != k or s[2] <= a or s[1] >= e for k, a, e in r)]
         out.append(order(b + new))
     return [order(b) for b in base], out
 
