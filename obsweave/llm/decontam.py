@@ -1,7 +1,8 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edits.
 
 A document leaks an item if some part of it is within ``max_edit_rate`` x the item's length edits
-(insertions, deletions, substitutions of code points) of the item.
+(insertions, deletions, substitutions of code points) of the item.  Case does not count: items and texts are
+folded, code point by code point, so lengths and offsets stay those of the original (ss for a sharp s is two edits).
 
 1. Windows.  An item allowed k edits is cut into k + 1 tiles; one of them survives any k
    edits unchanged.  So each place of a text that spells a tile of an item gives one
@@ -26,6 +27,7 @@ repeated document rows are found once per id; a NULL id is kept as NULL; other c
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,6 +50,25 @@ def points_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+@functools.cache
+def _folds() -> np.ndarray:
+    """The folded form of each code point that may have case; one code point for one."""
+    out = np.arange(0x20000, dtype=np.uint32)
+    for i in range(len(out)):
+        c = chr(i)
+        out[i] = next((ord(f) for f in (c.casefold(), c.lower()) if len(f) == 1), i)
+    return out
+
+
+def fold(text: str) -> str:
+    """The text without differences of case, of the same length."""
+    if text.isascii():
+        return text.lower()
+    points, table_ = points_of(text), _folds()
+    folded = np.where(points < len(table_), table_[np.minimum(points, len(table_) - 1)], points)
+    return folded.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def rolling(points: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` characters from each place; ``size`` is a power of two."""
     with np.errstate(over="ignore"):
@@ -71,7 +92,7 @@ class Index:
 
 def build_index(items: list[tuple[int | None, str]], rate: float = MAX_EDIT_RATE, target: float = TARGET_RECALL,
                 bits: int = BITS) -> Index:
-    items = sorted({(i, t) for i, t in items if t}, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    items = sorted({(i, fold(t)) for i, t in items if t}, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
     ids, texts = [i for i, _ in items], [t for _, t in items]
     edits = [int(rate * len(t)) for t in texts]
     found: dict[int, list] = {}
@@ -244,6 +265,7 @@ class Scanner:
         self.waiting: list[tuple] = []
 
     def add(self, ids: list, texts: list[str | None]) -> dict | None:
+        texts = [fold(t or "") for t in texts]
         owner, item, start = candidates(texts, self.index)
         for o, i, s in zip(owner.tolist(), item.tolist(), start.tolist(), strict=True):
             n, k = len(self.index.items[i]), self.index.edits[i]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from obsweave.llm import pii
+from obsweave.llm import decontam, pii
 
 
 @pytest.mark.parametrize(("text", "kind", "piece"), [
@@ -26,3 +26,21 @@ def test_refused_candidates_veto_their_own_kind(monkeypatch):
     text = "no card: 4111 1111 1111 1112"
     monkeypatch.setattr(pii, "model_spans", lambda texts, w: [[("card", 9, 28), ("phone", 9, 23)]])
     assert pii.all_spans([text], {})[1] == [[("phone", 9, 23)]]
+
+
+@pytest.mark.parametrize("change", [str.upper, str.title, str.swapcase])
+def test_leaks_in_other_case_are_found(change):
+    items = [(1, "Which river runs through the old town of Görlitz, and who built its first bridge?"), (2, "ΟΔΟΣ οδος Ωδη")]
+    index = decontam.build_index(items)
+    texts = [f"İ\U0001f600 before {change(t)} after" for _, t in items]
+    scanner = decontam.Scanner(index)
+    scanner.add([10, 20], texts)
+    found = scanner.flush()
+    got = sorted(zip(found["doc_id"], found["item_id"], found["edits"], found["end"], strict=True))
+    assert {(d, i, e, end) for d, i, e, end in got} == {(10, 1, 0, 10 + len(items[0][1])), (20, 2, 0, 10 + len(items[1][1]))}
+    assert decontam.leaking(texts, index) == {0, 1}
+
+
+def test_folding_keeps_lengths():
+    text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x20100)])) + "\ud800"
+    assert len(decontam.fold(text)) == len(text) and decontam.fold("ẞSſς\u212a") == "ßssσk"
