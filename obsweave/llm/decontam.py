@@ -12,9 +12,10 @@ folded, code point by code point, so lengths and offsets stay those of the origi
    if the random bit of (t, character) says so.  Windows that are few edits apart soon walk
    together again, so their embeddings differ at few steps: edit distance became Hamming distance.
 3. LSH.  A repetition has its own walk and samples ``bits`` steps; a window goes on if it agrees with the item
-   at all of them in at least one repetition.  The number of repetitions is planned: items with
-   the most edits allowed are simulated, and as many repetitions are taken as bring the
-   chance of a miss under 1 - ``target_recall``.
+   at all of them in at least one repetition.  The number of repetitions is planned for each length class (a power
+   of two) from items with the most edits allowed: as many as bring the class's mean chance of a miss under
+   1 - ``target_recall``.  Where ``MOST_REPETITIONS`` do not, or texts are too long to simulate, all windows
+   of the class are verified; so they are already few.
 4. Verification.  The smallest number of edits between the item and any part of the text around
    the window is computed exactly; pairs within the bound are returned.
 
@@ -41,6 +42,8 @@ TARGET_RECALL = 0.99
 BITS = 3
 SEED = 11
 MAX_ITEM_CHARS = 50_000_000
+MOST_REPETITIONS = 64
+SIMULATED_CHARS = 1 << 13  # items of more characters are not simulated: their windows are all verified
 PENDING = 2_000  # windows embedded together
 SCAN_CHARS = 2_000_000  # characters whose places are looked up together
 _SIZES = (16, 8, 4, 2, 1)
@@ -86,7 +89,7 @@ class Index:
     ids: list[int | None]
     items: list[str]
     edits: list[int]
-    repetitions: int
+    repetitions: np.ndarray  # of each item; 0: all its windows are verified
     tiles: dict[int, tuple]  # size -> (filter, sorted hashes, item of each, place of each)
 
 
@@ -146,11 +149,13 @@ def embed(windows: list[np.ndarray], repetition: int, bits: int = BITS,
     return out
 
 
-def collide(windows: list[np.ndarray], items: list[np.ndarray], repetitions: int, bits: int = BITS) -> np.ndarray:
-    """Which windows agree with their item in at least one repetition."""
-    hit = np.zeros(len(windows), bool)
-    for r in range(repetitions):
-        todo = np.flatnonzero(~hit)
+def collide(windows: list[np.ndarray], items: list[np.ndarray], repetitions: int | np.ndarray,
+            bits: int = BITS) -> np.ndarray:
+    """Which windows agree with their item in at least one of their repetitions, or have none to pass."""
+    planned = np.broadcast_to(np.asarray(repetitions, np.int64), len(windows))
+    hit = planned == 0
+    for r in range(int(planned.max(initial=0))):
+        todo = np.flatnonzero(~hit & (planned > r))
         if not len(todo):
             break
         lengths = np.array([len(items[i]) for i in todo])
@@ -161,12 +166,27 @@ def collide(windows: list[np.ndarray], items: list[np.ndarray], repetitions: int
 
 
 def plan_repetitions(items: list[str], edits: list[int], target: float, bits: int, trials: int = 200,
-                     tries: int = 12, most: int = 64) -> int:
-    """Repetitions after which a window with the most edits allowed is missed with chance 1 - target at most."""
-    rng = np.random.default_rng(SEED)
-    chosen = [i for i in rng.permutation(len(items))[:trials] if edits[i] > 0]
-    if not chosen:
-        return 1
+                     tries: int = 12, most: int = MOST_REPETITIONS) -> np.ndarray:
+    """For each item, the repetitions that its length class needs to miss a window with the most edits allowed
+    with a mean chance of 1 - target at most; 0 if ``most`` are not enough, or the items too long to simulate.
+
+    An item without edits needs one.  Each class has its own ``trials``, drawn from all its items.
+    """
+    out = np.ones(len(items), np.int64)
+    classes: dict[int, list[int]] = {}
+    for i, (t, k) in enumerate(zip(items, edits, strict=True)):
+        if k > 0:
+            classes.setdefault(len(t).bit_length(), []).append(i)
+    for size, members in classes.items():
+        long = max(len(items[i]) for i in members) > SIMULATED_CHARS
+        out[members] = 0 if long else _class_repetitions(items, edits, members, target, bits, trials, tries, most, size)
+    return out
+
+
+def _class_repetitions(items: list[str], edits: list[int], members: list[int], target: float, bits: int, trials: int,
+                       tries: int, most: int, size: int) -> int:
+    rng = np.random.default_rng(SEED + size)
+    chosen = np.resize(rng.permutation(members), trials).tolist()  # few items: each is edited in several ways
     windows, sources = [], []
     for i in chosen:
         p = points_of(items[i]).tolist()
@@ -188,7 +208,7 @@ def plan_repetitions(items: list[str], edits: list[int], target: float, bits: in
         missed = missed * (1 - chance)
         if missed.mean() <= 1 - target:
             return r
-    return most
+    return 0
 
 
 # -- verification --------------------------------------------------------------------
@@ -280,7 +300,8 @@ class Scanner:
         for at in range(0, len(rows), PENDING):
             part = rows[at:at + PENDING]
             windows = [windows_of(points_of(r), s, len(self.items[i])) for _, i, r, s, _ in part]
-            near = collide(windows, [self.items[i] for _, i, *_ in part], self.index.repetitions, self.bits)
+            numbers = [i for _, i, *_ in part]
+            near = collide(windows, [self.items[i] for i in numbers], self.index.repetitions[numbers], self.bits)
             for (key, i, region, _, a), hit in zip(part, near, strict=True):
                 if hit and (best := least_edits(self.index.items[i], region, self.index.edits[i])):
                     out["doc_id"].append(key)

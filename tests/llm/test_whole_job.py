@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 
 from obsweave.llm import decontam, pii
@@ -44,3 +45,21 @@ def test_leaks_in_other_case_are_found(change):
 def test_folding_keeps_lengths():
     text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x20100)])) + "\ud800"
     assert len(decontam.fold(text)) == len(text) and decontam.fold("ẞSſς\u212a") == "ßssσk"
+
+
+def test_repetitions_are_planned_for_rare_long_items():
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("etaoinshr"), rng.integers(2, 9))) for _ in range(300)]
+    long = [" ".join(rng.choice(words, n)) for n in (25, 60)]
+    items = [f"short {i}" for i in range(3000)] + long
+    plan = decontam.plan_repetitions(items, [int(0.05 * len(t)) for t in items], 0.99, decontam.BITS)
+    assert (plan[:-2] == 1).all() and (plan[-2:] != 1).all()
+
+
+def test_windows_are_verified_where_no_number_of_repetitions_is_enough():
+    items = ["a line of some length that is edited twice, here and there", "x" * 20]
+    plan = decontam.plan_repetitions(items, [2, 0], 1.0, decontam.BITS)
+    assert plan.tolist() == [0, 1]
+    far = [np.full(20, 97, np.uint32)] * 2
+    assert decontam.collide(far, [decontam.points_of(t) for t in items], plan).tolist() == [True, False]
+    assert decontam.plan_repetitions(["y" * 9000], [450], 0.99, decontam.BITS).tolist() == [0]
