@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..session import spool
+
 #: Bytes of text that a task works on at once; a longer text is one slice of its own.
 SLICE_BYTES = 2_000_000
 #: Words are runs of anything but space and the control characters 9 to 13.
@@ -49,12 +51,20 @@ def fold_of(key: Column, folds: int) -> Column:
 def rows_with_number(df: DataFrame, *columns: str) -> DataFrame:
     """The named columns and ``row``, a number that tells repeated and NULL keys apart.
 
-    The number follows from the partition and the place in it, so the input has to be a
-    stored table (or another source that is read alike each time).
+    The number follows from the partition and the place in it; what several jobs use has to be stored with it
+    (``stored_rows``).
     """
     return df.select(*[F.col(f"`{c}`") for c in columns]).withColumn("row", F.monotonically_increasing_id())
 
 
+def stored_rows(df: DataFrame, label: str, *columns: str) -> DataFrame:
+    """``rows_with_number``, stored: for use in several jobs, between which the input may be split anew.
+
+    Spark splits files by the cores that are alive, so numbers taken twice need not agree.
+    """
+    return spool(rows_with_number(df, *columns), label, "zstd")
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts have about ``limit`` bytes."""
     sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)

@@ -22,7 +22,7 @@ Result: one row per document.  ``class_id`` is the least id in its class, ``clas
 
 Defined cases: NULL texts and texts without a word are classes of their own; repeated rows are
 duplicates of each other; a class of NULL ids only has a NULL class_id; other columns are ignored.
-The documents have to be a stored table, read alike each time.
+Rows are numbered once and stored with their texts; all later steps read that table.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import spool
-from .common import U64, byte_text, mix, over_texts, rows_with_number, table, uniform, word_hashes
+from .common import U64, byte_text, mix, over_texts, stored_rows, table, uniform, word_hashes
 
 SIZE = 5
 THRESHOLD = 0.8
@@ -244,8 +244,13 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE,
                     threshold: float = THRESHOLD, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
     """``row``, ``doc_id``, ``class_id``, ``class_size``, ``kept`` (the first row of its class)."""
-    docs = rows_with_number(df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")),
-                            "doc_id", "text")
+    used = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return classes_of(stored_rows(used, "documents", "doc_id", "text"), size, threshold, bands, band_rows)
+
+
+def classes_of(docs: DataFrame, size: int = SIZE, threshold: float = THRESHOLD, bands: int = BANDS,
+               band_rows: int = BAND_ROWS) -> DataFrame:
+    """``near_duplicates`` of stored, numbered documents (``row``, ``doc_id``, ``text``)."""
     made = spool(sketches(docs, size, bands, band_rows), "sketches")
     # one row per set of weighted shingles
     leaders = made.where("bands IS NOT NULL").groupBy("fp1", "fp2").agg(
@@ -257,7 +262,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     ranks = member.groupBy("row").agg(F.sum("n").alias("degree"))
     ranked = spool(member.join(ranks, "row").select("bucket", "row", F.struct("degree", (-F.col("row")).alias("minus")).alias("rank")),
                    "buckets")
-    texts = spool(docs.join(ranks.select("row").hint("merge"), "row", "left_semi").select("row", "text"), "texts")
+    texts = spool(docs.join(ranks.select("row").hint("merge"), "row", "left_semi").select("row", "text"), "texts", "zstd")
 
     top = ranked.groupBy("bucket").agg((-F.max("rank")["minus"]).alias("hub"))
     shared = ranked.join(top, "bucket").where("row <> hub").groupBy("row", "hub").agg(F.count("*").alias("bands"))
@@ -290,6 +295,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays: the one with the least id."""
-    used = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    kept = near_duplicates(used).where("kept").select("row")
-    return used.withColumn("row", F.monotonically_increasing_id()).join(kept, "row", "left_semi").drop("row")
+    used = stored_rows(docs, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    kept = classes_of(used.select("row", "doc_id", "text")).where("kept").select("row")
+    return used.join(kept, "row", "left_semi").drop("row")

@@ -19,7 +19,7 @@ text, overlaps count, and all is judged on the input.
 
 Defined cases: NULL is the empty text; texts shorter than ``length`` lose nothing; repeated rows
 remove each other; a NULL id stays NULL; other columns are ignored.
-The documents have to be a stored table, read alike each time.
+Rows are numbered once and stored with their texts; all later steps read that table.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import spool
-from .common import U64, mix, over_texts, rows_with_number, table
+from .common import U64, mix, over_texts, stored_rows, table
 
 LENGTH = 400
 GRAM = 32
@@ -328,8 +328,8 @@ def _counted_suffixes(runs: DataFrame, length: int) -> DataFrame:
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``row``, ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``spans`` (removed byte ranges)."""
-    docs = rows_with_number(df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")),
-                            "doc_id", "text")
+    used = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    docs = stored_rows(used, "documents", "doc_id", "text")
     made = spool(text_runs(docs, length), "runs")
     runs = made.where("key IS NOT NULL").select("row", "key", "fp1", "fp2", "first", "last", "inner")
     kinds = runs.groupBy("key", "fp1", "fp2").agg(
@@ -343,12 +343,12 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
         "key", "fp1", "fp2", "n", "one", (F.col("size") > block_bytes).alias("big"),
         ((F.col("kinds") > 1) | F.col("any_inner")).alias("sort")), "kinds")
     touched = runs.join(known.select("key", "fp1", "fp2", "n"), ["key", "fp1", "fp2"])
-    texts = spool(docs.join(touched.select("row").distinct().hint("merge"), "row", "left_semi"), "texts")
+    texts = spool(docs.join(touched.select("row").distinct().hint("merge"), "row", "left_semi"), "texts", "zstd")
 
     # kinds in buckets with one kind only need no look at their bytes
     wanted = known.where("sort").select("one.row", F.struct("key", "fp1", "fp2", "one.first", "one.last", "big").alias("r"))
     content = spool(_bytes_of(wanted.groupBy("row").agg(F.collect_list("r").alias("runs")), texts.select("row", "text"),
-                              length), "blocks")
+                              length), "blocks", "zstd")
     marks = _sorted_blocks(content.where("NOT big").drop("big"), length, block_bytes).unionByName(
         _counted_suffixes(content.where("big").drop("big"), length))
     # all of a run that occurs twice is repeated

@@ -59,7 +59,7 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/obsweave/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def spool(df: DataFrame, label: str) -> DataFrame:
+def spool(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write a reduced intermediate result to the work folder and read it back.
 
     Three uses: its lineage is cut in storage that outlives executors, it is computed
@@ -69,5 +69,5 @@ def spool(df: DataFrame, label: str) -> DataFrame:
     splitting hot keys) otherwise; no hint is needed.
     """
     path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

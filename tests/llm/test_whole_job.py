@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from obsweave.llm import decontam, pii
+from obsweave.llm import decontam, neardup, pii, suffixes
 
 
 @pytest.mark.parametrize(("text", "kind", "piece"), [
@@ -63,3 +63,45 @@ def test_windows_are_verified_where_no_number_of_repetitions_is_enough():
     far = [np.full(20, 97, np.uint32)] * 2
     assert decontam.collide(far, [decontam.points_of(t) for t in items], plan).tolist() == [True, False]
     assert decontam.plan_repetitions(["y" * 9000], [450], 0.99, decontam.BITS).tolist() == [0]
+
+
+@pytest.fixture
+def splits(spark, folder):
+    """A stored table, and a way to change how Spark splits it, as after the loss of an executor."""
+    words = [" ".join(f"w{(i * 7919 + j * j) % 9973}" for j in range(150)) for i in range(60)]
+    rows = [(i, words[i % 40], "en", "s", len(words[i % 40])) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    frame.repartition(12).write.parquet(f"{folder}/d")
+    setting = "spark.sql.files.openCostInBytes"
+    most = "spark.sql.files.maxPartitionBytes"
+    before = {k: spark.conf.get(k) for k in (setting, most)}
+
+    def split(small):
+        spark.conf.set(setting, "1" if small else before[setting])
+        spark.conf.set(most, "2k" if small else before[most])
+
+    yield spark.read.parquet(f"{folder}/d"), split
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_rows_keep_their_numbers_when_files_are_split_anew(spark, splits, monkeypatch, small):
+    docs, split = splits
+    spool = neardup.spool
+
+    def spool_and_split(*args):
+        made = spool(*args)
+        split(small)  # between the first job and all others
+        return made
+
+    for module in (neardup, suffixes, neardup.over_texts.__globals__):
+        if isinstance(module, dict):
+            monkeypatch.setitem(module, "spool", spool_and_split)
+        else:
+            monkeypatch.setattr(module, "spool", spool_and_split)
+    split(not small)
+    assert sorted(r.doc_id for r in neardup.stage(spark, docs, "").collect()) == list(range(40))
+    split(not small)
+    got = {r.doc_id: r.n_removed > 0 for r in suffixes.remove_repeats(docs).collect()}
+    assert got == {i: i < 20 or i >= 40 for i in range(60)}
