@@ -5,14 +5,15 @@ letter: each word's UTF-8 bytes and a space, then an end sign, so its probabilit
 
 Learning.  One pass counts tokens, and strings of ``DEPTH`` bytes of history with the next byte, over all
 training texts, pre-aggregated in each task.  A context (the last 1 to DEPTH bytes, which may begin with the text's
-start) is retained if it has at least the share ``P_MIN`` of all symbols and its next-byte distribution diverges
+start) is retained if it was seen ``MIN_COUNT`` times and its next-byte distribution diverges
 from that of the context one byte shorter: count x Kullback-Leibler divergence of at least ``MIN_GAIN`` nats.
-Of these the ``MAX_STATES`` with the largest gain stay, with all their suffixes: this bounds the
-tree and with it the broadcast, whatever the size of the corpus.  Distributions are smoothed
+All of these stay, with all their suffixes, so the tree grows with the corpus.  Distributions are smoothed
 towards the shorter context's (Witten-Bell), at the root towards the uniform one.
 
-Scoring.  The tree becomes an automaton: a state is the longest suffix of the history among the
-contexts and their prefixes, so a text is scored in one table step per byte, thousands of pieces at once.
+Scoring.  A symbol's probability is folded along the retained suffixes of its history, from the root to the longest.
+A tree of at most ``BROADCAST_CELLS`` entries is broadcast as sorted tables, in which a task looks up its distinct strings.
+A larger tree stays on Spark: the distinct strings of all texts find their contexts in joins, and the
+texts their strings; this needs a shuffle of about all symbols, and no part of the tree is left out.
 Tokens of at least the share ``P_FREQUENT`` of all training tokens (at most 1 / P_FREQUENT, therefore) have their
 counts broadcast for the base; the rest, of which none is hot by this choice, find theirs in a join.
 
@@ -28,21 +29,23 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import spool
-from .common import fold_of, over_texts, rows_with_number, table
+from .common import fold_of, over_texts, rows_with_number, stored_rows, table
 
-DEPTH = 5
-P_MIN = 1e-6
+DEPTH = 7
+MIN_COUNT = 16
 MIN_GAIN = 8.0
-MAX_STATES = 20_000
+#: Entries (context and next byte) of a tree that is broadcast.
+BROADCAST_CELLS = 3_000_000
 P_FREQUENT = 4e-6
 END = 10
 SPACE = 32
 #: Entries that a task holds before it sends its counts on.
-FLUSH = 1_500_000
+FLUSH = 500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -102,8 +105,9 @@ def count(docs: DataFrame) -> DataFrame:
             if not words and not state["keys"]:
                 return None
             keys, n = packed()
-            out = {"token": [*words, *[None] * len(keys)], "gram": [*[None] * len(words), *keys.tolist()],
-                   "n": [*words.values(), *n.tolist()]}
+            out = {"token": pa.concat_arrays([pa.array(list(words), pa.string()), pa.nulls(len(keys), pa.string())]),
+                   "gram": pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array(keys, pa.int64())]),
+                   "n": pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.array(n, pa.int64())])}
             words.clear()
             state.update(keys=[], n=[], held=0)
             return out
@@ -133,147 +137,147 @@ def count(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Tree:
-    """Automaton: next state and log10 probability by state x symbol class."""
-    classes: np.ndarray  # symbol class of each byte
-    following: np.ndarray
-    log10p: np.ndarray
-    start: int
+    """Sorted contexts and entries of each depth."""
+    root: np.ndarray  # probability of each byte without history
+    contexts: list[np.ndarray]  # by depth - 1
+    back: list[np.ndarray]  # weight of the shorter context's probability
+    cells: list[np.ndarray]  # context << 8 | next
+    share: list[np.ndarray]  # what an entry adds
 
 
-def retained(counted: DataFrame, p_min: float = P_MIN, min_gain: float = MIN_GAIN, max_states: int = MAX_STATES):
-    """Rows (``depth``, ``context``, ``next``, ``n``) of the root and of the retained contexts, collected."""
-    base = counted.where("gram IS NOT NULL").select(F.shiftright("gram", 8).alias("history"),
+def retained(counted: DataFrame, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> DataFrame:
+    """Rows (``depth``, ``context``, ``next``, ``n``) of the root and of all retained contexts, stored."""
+    base = counted.where("gram IS NOT NULL").select(F.shiftrightunsigned("gram", 8).alias("history"),
                                                    F.col("gram").bitwiseAND(255).alias("next"), "n")
-    by_depth = base.select("next", "n", "history", F.explode(F.array([F.lit(d) for d in range(DEPTH + 1)])).alias("depth"))
-    context = F.col("history").bitwiseAND(F.expr("shiftleft(1L, 8 * depth) - 1"))
-    known = by_depth.where("depth = 0 OR shiftright(history, 8 * (depth - 1)) > 0")
-    cells = spool(known.groupBy("depth", context.alias("context"), "next").agg(F.sum("n").alias("n")), "contexts")
+    known = _suffixes(base, "next", "n")
+    cells = spool(known.groupBy("depth", "context", "next").agg(F.sum("n").alias("n")), "contexts", "zstd")
     totals = cells.groupBy("depth", "context").agg(F.sum("n").alias("total"))
-    everything = cells.where("depth = 0").agg(F.sum("n")).first()[0] or 0
-    if not everything:
-        return [], 0
-    heavy = spool(totals.where(F.col("total") >= F.lit(p_min * everything)), "heavy")
+    heavy = spool(totals.where((F.col("total") >= F.lit(min_count)) | (F.col("depth") == 0)), "heavy")
     here = cells.join(heavy, ["depth", "context"])
     above = here.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("parent"), "next",
                         F.col("n").alias("parent_n"), F.col("total").alias("parent_total"))
     parent = F.expr("context & (shiftleft(1L, 8 * (depth - 1)) - 1)")
     gain = F.sum(F.col("n") * F.ln((F.col("n") / F.col("total")) / (F.col("parent_n") / F.col("parent_total"))))
-    gains = here.where("depth > 0").withColumn("parent", parent).join(above, ["depth", "parent", "next"]).groupBy(
+    best = here.where("depth > 0").withColumn("parent", parent).join(above, ["depth", "parent", "next"]).groupBy(
         "depth", "context").agg(gain.alias("gain")).where(F.col("gain") >= min_gain)
-    best = gains.orderBy(F.round("gain", 6).desc(), "depth", "context").limit(max_states)
     tree = best.select(F.explode(F.expr("sequence(1, depth)")).alias("depth"), "context").select(
         "depth", F.expr("context & (shiftleft(1L, 8 * depth) - 1)").alias("context")).distinct()
     rows = cells.join(spool(tree, "tree"), ["depth", "context"]).unionByName(cells.where("depth = 0"))
-    return rows.select("depth", "context", "next", "n").toPandas().sort_values(["depth", "context", "next"]), everything
+    return spool(rows.select("depth", "context", "next", "n"), "retained")
+
+
+def _suffixes(strings: DataFrame, *columns: str) -> DataFrame:
+    """``depth`` and ``context`` of each suffix of ``history``, with the named columns."""
+    by_depth = strings.select(*columns, "history", F.explode(F.array([F.lit(d) for d in range(DEPTH + 1)])).alias("depth"))
+    context = F.col("history").bitwiseAND(F.expr("shiftleft(1L, 8 * depth) - 1"))
+    return by_depth.where("depth = 0 OR shiftright(history, 8 * (depth - 1)) > 0").select(
+        *columns, "depth", context.alias("context"))
 
 
 def build(cells) -> Tree:
-    """The automaton of the collected rows of ``retained``."""
-    if not len(cells):
-        return Tree(np.zeros(256, np.int64), np.zeros((1, 1), np.int32), np.full((1, 1), -math.log10(256), np.float32), 0)
+    """The tables of the collected rows of ``retained``."""
     depth, context, nxt, n = (cells[c].to_numpy(dtype=np.int64) for c in ("depth", "context", "next", "n"))
-    seen = np.unique(nxt[depth == 0])
-    classes = np.zeros(256, np.int64)  # class 0: bytes that training did not show
-    classes[seen] = np.arange(1, len(seen) + 1)
-    width = len(seen) + 1
-    # contexts, shortest first, so that a parent's distribution is ready
-    first = np.flatnonzero(np.concatenate([[True], (depth[1:] != depth[:-1]) | (context[1:] != context[:-1])]))
-    keys = list(zip(depth[first].tolist(), context[first].tolist(), strict=True))
-    number = {k: i for i, k in enumerate(keys)}
-    p = np.zeros((len(keys), width))
-    for i, (a, b) in enumerate(zip(first, [*first[1:], len(n)], strict=True)):
-        d, c = keys[i]
-        if d == 0:
-            p[i] = 0.5
-            p[i, classes[nxt[a:b]]] += n[a:b]
-            p[i] /= 0.5 * 256 + n[a:b].sum()
-        else:
-            kinds, total = b - a, n[a:b].sum()
-            p[i] = kinds * p[number[(d - 1, c & ((1 << 8 * (d - 1)) - 1))]]
-            p[i, classes[nxt[a:b]]] += n[a:b]
-            p[i] /= kinds + total
-    # states: all prefixes too (a prefix lacks the newest symbols)
-    states = {(0, 0)}
-    for d, c in keys:
-        for drop in range(d):
-            states.add((d - drop, c >> (8 * drop)))
-    # and their suffixes, so that the longest suffix is found by shortening
-    for d, c in list(states):
-        for keep in range(d):
-            states.add((keep, c & ((1 << 8 * keep) - 1)))
-    order = sorted(states)
-    codes = np.array([c | d << 48 for d, c in order], np.int64)
-
-    def longest(value: np.ndarray, longest_depth: np.ndarray) -> np.ndarray:
-        """State of the longest suffix of these histories."""
-        out = np.full(len(value), -1, np.int64)
-        for d in range(DEPTH, -1, -1):
-            todo = np.flatnonzero((out < 0) & (longest_depth >= d))
-            code = (value[todo] & ((1 << 8 * d) - 1)) | d << 48
-            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            hit = codes[at] == code
-            out[todo[hit]] = at[hit]
-        return out
-
-    source = np.array([number[next((k, c & ((1 << 8 * k) - 1)) for k in range(d, -1, -1)
-                                   if (k, c & ((1 << 8 * k) - 1)) in number)] for d, c in order])
-    d_of, c_of = np.array([d for d, _ in order]), np.array([c for _, c in order], np.int64)
-    following = np.zeros((len(order), width), np.int32)
-    for b in seen.tolist():
-        if b == END:
-            state = longest(np.array([END]), np.array([1]))[0]
-            following[:, classes[b]] = state
-        else:
-            value = (c_of << 8 | b) & ((1 << 8 * DEPTH) - 1)
-            following[:, classes[b]] = longest(value, np.minimum(d_of + 1, DEPTH))
-    return Tree(classes, following, np.log10(p[source]).astype(np.float32), int(longest(np.array([END]), np.array([1]))[0]))
-
-
-def score_symbols(tree: Tree, syms: np.ndarray, piece: int = 128) -> np.ndarray:
-    """log10 probability of each symbol; pieces run side by side, each after DEPTH symbols of its history."""
-    n = len(syms)
-    many = -(-n // piece)
-    ids = tree.classes[np.concatenate([np.full(DEPTH, END, np.uint8), syms, np.full(many * piece - n, END, np.uint8)])]
-    width = tree.following.shape[1]
-    following, log10p = tree.following.ravel(), tree.log10p.ravel()
-    state = np.zeros(many, np.int64)  # the root; DEPTH symbols lead to the right state from anywhere
-    base = np.arange(many) * piece
-    out = np.empty((piece, many), np.float32)
-    for t in range(DEPTH + piece):
-        at = state * width + ids[base + t]
-        if t >= DEPTH:
-            out[t - DEPTH] = log10p[at]
-        state = following[at].astype(np.int64)
-    return out.T.ravel()[:n]
+    root = np.full(256, 0.5)
+    root[nxt[depth == 0]] += n[depth == 0]
+    tree = Tree(root / root.sum(), [], [], [], [])
+    for d in range(1, DEPTH + 1):
+        at = depth == d
+        keys = context[at].astype(np.uint64) << np.uint64(8) | nxt[at].astype(np.uint64)
+        order = np.argsort(keys)
+        keys, own = keys[order], n[at][order]
+        known, place, kinds = np.unique(keys >> np.uint64(8), return_inverse=True, return_counts=True)
+        both = kinds + np.bincount(place, own, len(known))
+        for part, values in ((tree.contexts, known), (tree.back, kinds / both), (tree.cells, keys), (tree.share, own / both[place])):
+            part.append(values)
+    return tree
+
+
+def log10_of(tree: Tree, strings: np.ndarray) -> np.ndarray:
+    """log10 probability of the last byte of each string (as of ``grams``)."""
+    strings = strings.astype(np.uint64)
+    p = tree.root[(strings & np.uint64(255)).astype(np.int64)]
+    left = np.arange(len(strings))
+    for d, (contexts, back, cells, share) in enumerate(zip(tree.contexts, tree.back, tree.cells, tree.share, strict=True), 1):
+        if not len(contexts):
+            break
+        g = strings[left] if d == DEPTH else strings[left] & np.uint64((1 << 8 * (d + 1)) - 1)
+        # a history that ends before has a zero as its oldest byte, which no context has
+        at = np.minimum(np.searchsorted(contexts, g >> np.uint64(8)), len(contexts) - 1)
+        hit = contexts[at] == g >> np.uint64(8)
+        left, at, g = left[hit], at[hit], g[hit]
+        here = p[left] * back[at]
+        cell = np.minimum(np.searchsorted(cells, g), len(cells) - 1)
+        p[left] = here + np.where(cells[cell] == g, share[cell], 0.0)
+    return np.log10(p)
+
+
+def score_symbols(tree: Tree, syms: np.ndarray, piece: int = 1 << 18) -> np.ndarray:
+    """log10 probability of each symbol; ``piece`` distinct strings are looked up together."""
+    starts = np.concatenate([[0], np.flatnonzero(syms == END) + 1])
+    swapped = grams(syms, starts).view(np.uint64).byteswap()  # newest bytes first: neighbours share their contexts
+    distinct, place = np.unique(swapped, return_inverse=True)
+    strings = distinct.byteswap()
+    found = [log10_of(tree, strings[at:at + piece]) for at in range(0, len(strings), piece)]
+    return np.concatenate([*found, np.zeros(0)])[place]
 
 
 def score_texts(tree: Tree, texts: list[str | None]) -> np.ndarray:
     syms, starts = symbols(texts)
-    return np.add.reduceat(score_symbols(tree, syms).astype(np.float64), starts[:-1])
-
-
-def score(df: DataFrame, training: Column, key: str = "doc_id", text: str = "text", p_min: float = P_MIN,
-          min_gain: float = MIN_GAIN, max_states: int = MAX_STATES) -> DataFrame:
+    return np.add.reduceat(score_symbols(tree, syms), starts[:-1])
+
+
+def joined_scores(docs: DataFrame, cells: DataFrame) -> DataFrame:
+    """``row`` and ``score``, by joins with the rows of ``retained``, for a tree of any size."""
+    def each(rows):
+        syms, starts = symbols(rows["text"])
+        owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        g = grams(syms, starts)
+        order = np.lexsort((g, owner))
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(g[order]) != 0) | (np.diff(owner[order]) != 0)]))
+        return {"row": np.array(rows["row"])[owner[order][first]], "gram": g[order][first],
+                "k": np.diff(np.append(first, len(order)))}
+
+    strings = spool(over_texts(docs.select("row", "text"), "text", each, "row long, gram long, k long"), "strings", "zstd")
+    distinct = strings.select("gram", F.shiftrightunsigned("gram", 8).alias("history"),
+                              F.col("gram").bitwiseAND(255).alias("next")).distinct()
+    contexts = cells.groupBy("depth", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    chain = _suffixes(distinct, "gram", "next").join(contexts, ["depth", "context"]).join(
+        cells, ["depth", "context", "next"], "left").groupBy("gram").agg(F.array_sort(F.collect_list(
+            F.struct("depth", F.coalesce("n", F.lit(0)).alias("n"), "kinds", "total"))).alias("chain"))
+    # the root's row gives the start; at most DEPTH + 1 rows a string
+    p = F.aggregate("chain", F.lit(0.0).cast("double"), lambda p, c: F.when(
+        c["depth"] == 0, (c["n"] + 0.5) / (c["total"] + 128.0)).otherwise((c["n"] + c["kinds"] * p) / (c["kinds"] + c["total"])))
+    known = spool(chain.select("gram", F.log10(p).alias("log10p")), "log10p")
+    lone = -math.log10(256)  # nothing was learned
+    return strings.join(known, "gram", "left").groupBy("row").agg(
+        F.sum(F.col("k") * F.coalesce("log10p", F.lit(lone))).alias("score"))
+
+
+def score(df: DataFrame, training: Column, key: str = "doc_id", text: str = "text", min_count: int = MIN_COUNT,
+          min_gain: float = MIN_GAIN, broadcast_cells: int = BROADCAST_CELLS) -> DataFrame:
     """Scores of all rows by a model of those for which ``training`` (a condition on ``doc_id``) holds."""
     spark = df.sparkSession
-    docs = rows_with_number(df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")),
-                            "doc_id", "text")
-    counted = spool(count(docs.where(training)), "counts")
-    cells, _ = retained(counted, p_min, min_gain, max_states)
-    tree = build(cells)
+    used = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    docs = rows_with_number(used, "doc_id", "text")
+    counted = spool(count(docs.where(training)), "counts", "zstd")
+    cells = retained(counted, min_count, min_gain)
+    small = cells.count() <= broadcast_cells
+    if not small:  # two jobs use the row numbers
+        docs = stored_rows(used, "documents", "doc_id", "text")
+    tree = build(cells.toPandas()) if small else None
     words = counted.where("token IS NOT NULL").select("token", F.col("n").alias("c"))
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     least = max(1, math.ceil(P_FREQUENT * n))
     frequent = {r.token: r.c for r in words.where(F.col("c") >= least).collect()}
-    shared = spark.sparkContext.broadcast((vars(tree), frequent))
+    shared = spark.sparkContext.broadcast((tree and vars(tree), frequent))
 
     def setup():
-        tree, known = Tree(**shared.value[0]), shared.value[1]
+        tree, known = shared.value[0] and Tree(**shared.value[0]), shared.value[1]
         end = known.get("\n")
 
         def each(rows):
             syms, starts = symbols(rows["text"])
-            scores = np.add.reduceat(score_symbols(tree, syms).astype(np.float64), starts[:-1])
+            scores = np.add.reduceat(score_symbols(tree, syms), starts[:-1]) if tree else np.zeros(len(starts) - 1)
             out = {k: [] for k in ("row", "doc_id", "n_tokens", "n_known", "base", "score", "token", "k")}
             at = starts.tolist()
             row_, token_, k_ = out["row"], out["token"], out["k"]
@@ -317,6 +321,8 @@ def score(df: DataFrame, training: Column, key: str = "doc_id", text: str = "tex
         (F.max("n_known") + F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0))).alias("n_known"),
         (F.max("base") + F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 1.0))).alias("base"),
         F.max("score").alias("score"))
+    if not small:
+        summed = summed.drop("score").join(joined_scores(docs, cells), "row")
     return summed.select(
         "row", "doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * F.lit(math.log10(n + v + 1))).alias("base_score"), "score")

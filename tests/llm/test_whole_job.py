@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from obsweave.llm import decontam, neardup, pii, suffixes
+from obsweave.llm import decontam, lm, neardup, pii, suffixes
 
 
 @pytest.mark.parametrize(("text", "kind", "piece"), [
@@ -105,3 +105,24 @@ def test_rows_keep_their_numbers_when_files_are_split_anew(spark, splits, monkey
     split(not small)
     got = {r.doc_id: r.n_removed > 0 for r in suffixes.remove_repeats(docs).collect()}
     assert got == {i: i < 20 or i >= 40 for i in range(60)}
+
+
+def test_tree_grows_with_the_corpus_and_joins_score_as_the_broadcast_does(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("etaoinshrdlé日"), rng.integers(3, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words, 400)) for _ in range(300)] + ["", None, "zebra é"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    contexts = [lm.retained(lm.count(docs.where(f"doc_id < {n}")), min_count=2, min_gain=1.0).select("depth", "context").distinct() for n in (60, 300)]
+    few, many = (c.count() for c in contexts)
+    assert many > 1.5 * few and many > 20_000
+    assert contexts[1].where("depth > 5").count() > 0
+    train = F.col("doc_id") < 300
+    near = {r.doc_id: r for r in lm.score(docs, train).collect()}
+    far = {r.doc_id: r for r in lm.score(docs, train, broadcast_cells=0).collect()}
+    assert near.keys() == far.keys() == set(range(len(texts)))
+    for k in near:
+        assert far[k].score == pytest.approx(near[k].score) and far[k].base_score == pytest.approx(near[k].base_score)
+    lone = lm.score(docs.limit(1), F.lit(False), broadcast_cells=-1).first()
+    assert lone.score == pytest.approx(lm.score(docs.limit(1), F.lit(False)).first().score)
