@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.comfort import comfort_band, comfort_index, temp_range, whole_seconds
 from ..functions.numeric import clip, round_sql
 from ..functions.times import Instant, instant_sql
+from ..session import spool
 from .latest import latest_per_key, tie_break
 from .ranks import largest_n
 
@@ -113,20 +114,24 @@ def retain_last_n(df: DataFrame, n: int, sequence: str, ties: Sequence[str] | No
 def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement, the same for any partitioning.
 
-    The order is a hash of id and seed; a NULL id has a hash too.  Nothing is sorted globally: rows are
-    counted by the first 16 bits of the hash, prefixes that fit wholly are kept wholly, and
-    only the one prefix in which the n-th row falls is ranked.
+    The order is a hash of id and seed, then the other columns that sort, largest first; a NULL id has a hash too.
+    Nothing is sorted globally: rows are counted by the first 16 bits of the hash, prefixes that fit wholly are
+    kept wholly, and the one prefix in which the n-th row falls is dealt by range (``largest_n``), however
+    many rows share an id.
     """
-    order = ["__hash", id_col]
     hashed = df.withColumn("__hash", F.expr(
         f"md5(concat(coalesce(CAST({id_col} AS STRING), 'no id'), '-{seed}'))"))
     hashed = hashed.withColumn("__prefix", F.substring("__hash", 1, 4))
     # at most 65536 rows, whatever the table size
-    room = (hashed.groupBy("__prefix").agg(F.expr("count(1) AS __c"))
-            .selectExpr("__prefix", "__c", f"{n} - sum(__c) OVER (ORDER BY __prefix) + __c AS __room")
-            .where("__room > 0"))
-    tagged = hashed.join(F.broadcast(room), "__prefix")   # <= 65536 rows by construction
-    whole = tagged.where("__room >= __c")
-    edge = f"row_number() OVER (PARTITION BY __prefix ORDER BY {', '.join(order)}) AS __r"
-    cut = tagged.where("__room < __c").selectExpr("*", edge).where("__r <= __room").drop("__r")
-    return whole.unionByName(cut).drop("__hash", "__prefix", "__c", "__room")
+    room = spool(hashed.groupBy("__prefix").agg(F.expr("count(1) AS __c"))
+                 .selectExpr("__prefix", "__c", f"{n} - sum(__c) OVER (ORDER BY __prefix) + __c AS __room")
+                 .where("__room > 0"), "room")
+    whole = hashed.join(F.broadcast(room.where("__room >= __c").select("__prefix")), "__prefix", "left_semi")
+    edge = room.where("__room < __c").first()
+    if edge is None:
+        return whole.drop("__hash", "__prefix")
+    # the least hashes are the largest of their complements
+    cut = hashed.where(F.col("__prefix") == edge["__prefix"]).withColumn(
+        "__hash", F.translate("__hash", "0123456789abcdef", "fedcba9876543210"))
+    rest = [f"`{c}` DESC" for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    return whole.unionByName(largest_n(cut, edge["__room"], "__hash", rest)).drop("__hash", "__prefix")
