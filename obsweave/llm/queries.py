@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, html, langid, lm, neardup, pieces, pii, quality, shards, suffixes
+from . import alignment, decontam, html, langid, lm, neardup, packing, phrases, pieces, pii, quality, shards, suffixes
 
 QUERIES = {
     "op1_minhash_neardup": neardup.query,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_personal_data": pii.query,
     "op9_main_text": html.query,
     "op10_training_shards": shards.query,
+    "op11_cost_packing": packing.query,
+    "op12_phrase_mining": phrases.query,
+    "op13_token_alignment": alignment.query,
 }
-ORACLE_SQL = {"op6_line_quality": quality.ORACLE}
+ORACLE_SQL = {"op6_line_quality": quality.ORACLE, "op12_phrase_mining": phrases.ORACLE}
