@@ -13,7 +13,7 @@ from ..functions.quality import Bounds
 from ..operators import aggregate as agg
 from ..operators import assign, latest, requests, reshape, rolling, select, sqltext, validate
 from ..session import spool, use_utc, work_path
-from ..sinks import tables
+from ..sinks import tables, versions
 from ..sources import messages as msg
 from ..sources.files import PARTITION_DATE, load_parquet
 from ..sources.streams import open_stream
@@ -208,12 +208,12 @@ def scan_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table with a second delivery for some cities: later window end, more readings."""
     path = work_path(spark, "aggregates")
-    first = inputs.aggregates(spark, sf_dir).select(*_AGG_COLUMNS)
-    tables.save_parquet(first, path)
+    versions.save_table(inputs.aggregates(spark, sf_dir).select(*_AGG_COLUMNS), path)
+    first = versions.load_table(spark, path).select(*_AGG_COLUMNS)
     second = select.in_cities(first, CITIES).withColumns({
         "window_end": F.col("window_end") + F.expr("INTERVAL 10 MINUTES"),
         "count": F.col("count") + 100})
-    tables.upsert_parquet(second, path)
+    versions.upsert_table(second, path)
     return load_parquet(spark, path, partition=PARTITION_DATE).select(*_AGG_COLUMNS)
 
 
@@ -314,7 +314,7 @@ def stream_windows_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
     run.awaitTermination()
     still_open = stream_windows.drain(inputs.readings(spark, sf_dir),
                                       stream_windows.final_watermark(run), inputs.WINDOW, shards=inputs.SHARDS)
-    tables.upsert_parquet(still_open.select(*_AGG_COLUMNS), table)
+    versions.upsert_table(still_open.select(*_AGG_COLUMNS), table)
     return load_parquet(spark, table, partition=PARTITION_DATE).select(*_AGG_COLUMNS)
 
 

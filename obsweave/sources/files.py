@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import AGGREGATE, RUN_RESULT, empty_frame
+from ..schemas import AGGREGATE, RUN_RESULT, conform, empty_frame
+from ..sinks.versions import is_versioned, load_table
 
 PARTITION_DATE = T.StructField("window_date", T.DateType())
 
@@ -17,9 +18,11 @@ def load_parquet(spark: SparkSession, path: str, schema: T.StructType = AGGREGAT
     """Scan a Parquet table with a fixed schema; a missing path is an empty table.
 
     ``partition`` names the directory column, which then can be filtered on.  An unreadable
-    file is an error, not an empty table.
+    file is an error, not an empty table.  Of a table with versions it is the newest one.
     """
     full = T.StructType([*schema.fields, partition]) if partition else schema
+    if is_versioned(spark, path):
+        return conform(load_table(spark, path), full)
     try:
         return spark.read.schema(full).parquet(path)
     except AnalysisException as problem:

@@ -15,7 +15,7 @@ from ..functions.times import Instant
 from ..operators.validate import clean, quarantine, tag
 from ..schemas import empty_frame
 from ..sinks.fanout import Sink, fan_out
-from ..sinks.tables import DATE_PARTITION, upsert_parquet
+from ..sinks.versions import DATE_PARTITION, upsert_table
 from ..sources.files import load_parquet
 from ..sources.messages import decode_aggregates, key_value
 from .windows import windowed
@@ -27,9 +27,9 @@ def trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
 
 def upsert_sink(path: str, partition: tuple[str, str] = DATE_PARTITION,
                 keys: tuple[str, ...] = ("city", "window_start")) -> Sink:
-    """Idempotent: repeating a batch after a failure leaves the table as it is."""
+    """Idempotent: repeating a batch after a failure leaves the table as it is.  Readers see whole batches."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_parquet(batch, path, keys, partition=partition)
+        upsert_table(batch, path, keys, partition=partition)
     return write
 
 
@@ -100,7 +100,7 @@ def start_messages(messages: DataFrame, table: str, dead_path: str, checkpoint:
         batch = batch.select(value).persist()
         try:
             good, dead = decode_aggregates(batch, value)
-            upsert_parquet(good, table)
+            upsert_table(good, table)
             dead.write.mode("overwrite").parquet(f"{dead_path}/batch={batch_id}")
         finally:
             batch.unpersist()
