@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import spool
 from .common import over_texts, ship_code, table
-from .packing import vocabulary_path
+from .packing import byte_alphabet, vocabulary_path
 from .units import UnitCache, pieces_keep_spaces, units_of
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -41,13 +41,6 @@ SHIFT = 20
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def byte_alphabet() -> dict[str, int]:
-    """Character -> byte of byte-level BPE: printable Latin-1 stands for itself, the others follow from 256 on."""
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    others = [b for b in range(256) if b not in set(own)]
-    return {**{chr(b): b for b in own}, **{chr(256 + i): b for i, b in enumerate(others)}}
-
-
 class Aligner:
     """Both tokenizers, the bytes of their ids, and the alignment of single texts."""
 
@@ -186,8 +179,10 @@ def _slices(df: DataFrame, byte_level: str, pieces: str, key: str, text: str) ->
         def each(rows):
             n = len(rows["text"])
             lists = [(units_of(t) if aligner.divisible else [t]) if t else [] for t in rows["text"]]
-            if cache.chars > cache.limit:
+            if cache.chars > cache.limit:  # numbers of parts are places in the table: both start anew
                 known.forget()
+                cache.clear()
+                cache.chars = 0
             cache.learn(lists)
             sizes = np.fromiter(map(len, lists), np.int64, n)
             unit = np.fromiter((cache[u] for units in lists for u in units), np.int64, int(sizes.sum()))

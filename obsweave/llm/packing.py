@@ -21,6 +21,7 @@ The documents have to be a stored table, read alike when a task is repeated.
 
 from __future__ import annotations
 
+import functools
 import heapq
 
 import numpy as np
@@ -37,6 +38,8 @@ END = 1
 LENGTH = 2048
 #: Bytes of text whose tokens are packed together.
 POOL_BYTES = 4_000_000
+#: Parts that are encoded in one call.
+AT_ONCE = 5000
 LINEAR, QUADRATIC = 6144, 1
 
 
@@ -46,18 +49,43 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_alphabet() -> dict[str, int]:
+    """Character -> byte of byte-level BPE: printable Latin-1 stands for itself, the others follow from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = [b for b in range(256) if b not in set(own)]
+    return {**{chr(b): b for b in own}, **{chr(256 + i): b for i, b in enumerate(others)}}
+
+
+@functools.cache
 def word_encoder(path: str):
-    """texts -> one little-endian 16-bit array of ids each."""
+    """One per worker process: texts -> one little-endian 16-bit array of ids each."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     if tokenizer.get_vocab_size() > 1 << 16:
         raise ValueError("ids do not fit into 16 bits")
 
+    alphabet = byte_alphabet()
+    width = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        width[i] = len(token) if all(c in alphabet for c in token) else len(token.encode())
+
     def raw(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    inner = UnitCache(lambda units: raw([f" {u}" for u in units]))
+    def together(units: list[str]) -> list[bytes]:
+        """Parts are encoded as long texts; the bytes of the tokens tell which part each belongs to."""
+        out: list[bytes] = []
+        for start in range(0, len(units), AT_ONCE):
+            some = [f" {u}" for u in units[start:start + AT_ONCE]]
+            ids = np.array(tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u2")
+            ends = np.cumsum([len(u) if u.isascii() else len(u.encode()) for u in some])
+            cuts = [0, *(2 * np.searchsorted(np.cumsum(width[ids]), ends, side="right")).tolist()]
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return out
+
+    inner = UnitCache(together)
 
     def encode(texts: list[str | None]) -> list[np.ndarray]:
         lists = [units_of(t) if t else [] for t in texts]

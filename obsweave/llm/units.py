@@ -7,20 +7,28 @@ checks the model), so no merge crosses it.  Encoding the parts one by one theref
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from itertools import chain
 
 #: Characters of parts that a task remembers before it starts anew.
-CACHE_CHARS = 8_000_000
+CACHE_CHARS = 3_000_000
 
 
 def _sticks(left: str, right: str) -> bool:
     return not left or not right or left[-1].isspace() or right[0].isspace()
 
 
+#: White space that a single space may touch; a text without any of these pairs is cut at every space.
+_PAIRS = [pair for c in map(chr, range(0x3001)) if c.isspace() for pair in (f" {c}", f"{c} ")]
+_USUAL, _RARE = _PAIRS[:20], re.compile("|".join(_PAIRS[20:]))
+
+
 def units_of(text: str) -> list[str]:
     """Parts with ``" ".join(parts) == text``; every space between two parts is a safe cut."""
     words = text.split(" ")
-    if all(words) and not any(w[0].isspace() or w[-1].isspace() for w in words):
+    plain = words[0] and words[-1] and not any(pair in text for pair in _USUAL)
+    if plain and (text.isascii() or not _RARE.search(text)) and not words[0][-1].isspace():
         return words
     out, held = [], [words[0]]
     for w in words[1:]:
@@ -38,21 +46,25 @@ def pieces_keep_spaces(pieces: Iterable[str], mark: str = "▁") -> bool:
 
 
 class UnitCache(dict):
-    """Part -> value, filled for many parts by one call of ``make``; forgotten when it grows large."""
+    """Part -> value, filled for many parts by one call of ``make``.
+
+    When it has grown large, only what is wanted again is kept.
+    """
 
     def __init__(self, make, limit: int = CACHE_CHARS):
         super().__init__()
-        self.make, self.limit, self.chars = make, limit, 0
+        self.make, self.limit, self.chars, self.before = make, limit, 0, {}
 
     def learn(self, lists: Iterable[list[str]]) -> None:
         """Have a value for every part of the lists."""
         if self.chars > self.limit:
+            self.before = dict(self)
             self.clear()
             self.chars = 0
-        new: dict[str, None] = {}
-        for units in lists:
-            new.update((u, None) for u in units if u not in self)
-        wanted = list(new)
-        if wanted:
-            self.update(zip(wanted, self.make(wanted), strict=True))
-            self.chars += sum(map(len, wanted))
+        missing = set(chain.from_iterable(lists)).difference(self)
+        known = missing & self.before.keys()
+        self.update((u, self.before[u]) for u in known)
+        new = list(missing - known)
+        if new:
+            self.update(zip(new, self.make(new), strict=True))
+        self.chars += sum(map(len, missing))

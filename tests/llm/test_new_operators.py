@@ -237,7 +237,7 @@ def plain_groups(text):
     if not text:
         return []
     a, b = both()
-    alphabet = alignment.byte_alphabet()
+    alphabet = packing.byte_alphabet()
     left = [(i, bytes(alphabet[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids]
     right = [(i, bytes([int(b.id_to_piece(i)[3:-1], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode())
              for i in b.encode(text)]
