@@ -16,6 +16,7 @@ from ..session import spool, use_utc, work_path
 from ..sinks import tables, versions
 from ..sources import messages as msg
 from ..sources.files import PARTITION_DATE, load_parquet
+from ..sources.message_log import append_log, read_log, stream_log
 from ..sources.streams import open_stream
 from ..streaming import jobs, windows as stream_windows
 from . import inputs
@@ -346,3 +347,38 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "value")
     jobs.start_latest(live, table, checkpoint).awaitTermination()
     return load_parquet(spark, table, live.schema).select("city", "window_end", "event_id", "value")
+
+
+@query
+def log_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aggregates as messages of a log, one part sent twice; a stream with an admission limit brings them into the table."""
+    log, table = work_path(spark, "log"), work_path(spark, "replayed")
+    sent = spool(inputs.aggregates(spark, sf_dir), "aggregates")
+    for epoch in (0, 1, 1):
+        append_log(msg.key_value(sent.where(f"hour(window_start) % 2 = {epoch}")), log, "collector", epoch)
+    live = stream_log(spark, log, "earliest", "table", max_offsets=20_000)
+    jobs.run_until_idle(jobs.start_messages(live, table, work_path(spark, "dead"), work_path(spark, "replay-checkpoint"),
+                                            every="0 seconds"))
+    return load_parquet(spark, table, partition=PARTITION_DATE).select(*_AGG_COLUMNS)
+
+
+@query
+def log_last_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest message of every key of a log."""
+    log = work_path(spark, "log")
+    events = inputs.table(spark, sf_dir, "events").orderBy("event_id")
+    append_log(events.selectExpr("event_type AS key", "CAST(event_id AS STRING) AS value"), log)
+    return read_log(spark, log, startingOffsets="lastPerKey").selectExpr("key", "CAST(value AS BIGINT) AS event_id")
+
+
+@query
+def log_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per key, and whether the offsets of their log partition have no gap."""
+    log = work_path(spark, "log")
+    events = inputs.table(spark, sf_dir, "events")
+    append_log(events.selectExpr("event_type AS key", "props AS value"), log)
+    read = read_log(spark, log)
+    parts = read.groupBy("partition").agg(F.expr(
+        "min(offset) = 0 AND max(offset) = count(1) - 1 AND count(DISTINCT offset) = count(1) AS gapless"))
+    return (read.groupBy("partition", "key").agg(F.count(F.lit(1)).alias("n")).join(parts, "partition")
+            .select("key", "n", "gapless"))

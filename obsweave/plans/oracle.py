@@ -136,6 +136,9 @@ _BODIES: dict[str, tuple[str, str]] = {
     "scan_aggregates": ("a", "SELECT * FROM aggs"),
     "stream_windows_drained": ("a", "SELECT * FROM aggs"),
     "city_timeline_sorted": ("a", "SELECT * FROM aggs"),
+    "log_stream_replay": ("a", "SELECT * FROM aggs"),
+    "log_last_per_key": ("", "SELECT event_type AS key, MAX(event_id) AS event_id FROM events GROUP BY event_type"),
+    "log_offsets": ("", "SELECT event_type AS key, COUNT(*) AS n, TRUE AS gapless FROM events GROUP BY event_type"),
     "enrich": ("a", _ENRICHED),
     "comfort_sql": ("a", f"SELECT city, window_start, {_COMFORT} AS comfort_index FROM aggs"),
     "city_summary": ("a", f"""

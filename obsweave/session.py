@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,6 +26,7 @@ SETTINGS = {
 }
 
 _local_work_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "obsweave", master: str | None = None,
@@ -71,3 +74,13 @@ def spool(df: DataFrame, label: str, compression: str | None = None) -> DataFram
     path = work_path(df.sparkSession, label)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for what runs Python there."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        package = os.path.dirname(os.path.abspath(__file__))
+        spark.sparkContext.addPyFile(shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(), "package"), "zip", os.path.dirname(package), os.path.basename(package)))

@@ -17,6 +17,7 @@ from ..schemas import empty_frame
 from ..sinks.fanout import Sink, fan_out
 from ..sinks.versions import DATE_PARTITION, upsert_table
 from ..sources.files import load_parquet
+from ..sources.message_log import append_log, register as register_log
 from ..sources.messages import decode_aggregates, key_value
 from .windows import windowed
 
@@ -41,6 +42,29 @@ def broker_sink(brokers: str, topic: str) -> Sink:
     return write
 
 
+def log_sink(path: str, writer: str = "writer") -> Sink:
+    """A broker's topic kept as files: JSON value, city as key; a batch that is repeated is not written twice."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_log(key_value(batch), path, writer, batch_id)
+    return write
+
+
+def start_log(aggregates: DataFrame, path: str, checkpoint: str, *, writer: str = "writer",
+              every: str | None = None) -> StreamingQuery:
+    """Aggregates as messages appended to a log."""
+    register_log(aggregates.sparkSession)
+    return (trigger(key_value(aggregates).writeStream.format("message_log").outputMode("append"), every)
+            .options(path=path, writer=writer, checkpointLocation=checkpoint).start())
+
+
+def run_until_idle(query: StreamingQuery) -> None:
+    """Let a stream with an admission limit take, batch by batch, all that is there, and stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def start_windows(readings: DataFrame, table: str, checkpoint: str, *, size: str = "60 seconds",
                   delay: str = "120 seconds", bounds: Bounds | None = Bounds(), now: Instant = None,
                   every: str | None = None, more_sinks: Mapping[str, Sink | None] | None = None,
