@@ -1,9 +1,9 @@
 """Phrases that occur together more often than their parts: counted over a prefix-free parse of the corpus.
 
 1. Texts are lower-cased (A-Z), split into pieces at punctuation and line ends, and pieces into words.  A new chunk
-   begins where the hash of two consecutive words says so, with each piece, and after ``CHUNK_WORDS`` words; it
-   carries the next ``MOST - 1`` words of its piece as overlap.  Equal content is therefore cut alike everywhere,
-   and repeated passages become the same chunks.  The dictionary of distinct chunks with their frequencies is stored.
+   begins where the hash of a word and the word before says so, with each text, and after ``CHUNK_WORDS`` words; it
+   carries the next ``MOST - 1`` words, as far as its last piece goes on, as overlap.  Equal content is therefore cut alike
+   everywhere, and repeated passages become the same chunks.  The dictionary of distinct chunks with their frequencies is stored.
 2. n-grams are counted inside the distinct chunks, weighted by frequency.  An n-gram belongs to the chunk that owns its first
    word, so each occurrence counts once.  Lengths are counted one after the other: an n-gram is looked at only if both n-grams one
    word shorter are in a bit map of those frequent enough.  The bit map has one size (16 MB) for every corpus; a
@@ -27,6 +27,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -37,30 +38,27 @@ from .common import U64, as_batch, mix, over_texts, ship_code, slices, table, wo
 
 LEAST, MOST, TOP = 100, 5, 2000
 UNKNOWN = "und"
-#: One pair of words in so many begins a chunk; a chunk owns at most so many words.
-TRIGGER, CHUNK_WORDS = 16, 64
+#: One word in so many begins a chunk; a chunk owns at most so many words.
+TRIGGER, CHUNK_WORDS = 32, 128
 BITS = 27
 #: Distinct keys that a task adds up before it sends them on.
-HELD = 200_000
+HELD = 400_000
 
 _PREPARE = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
-_SPACES = re.compile(rb" {2,}")
+_BLANKS = re.compile(rb"[ \n]{2,}")
 
 
 class _Words:
-    """The words of lines of bytes (separated by spaces): hashes, places, and the line of each."""
+    """The words of lines (pieces) of bytes that end with a line feed: hashes, places, and where their line stops."""
 
     def __init__(self, raw: bytes):
-        data = np.frombuffer(raw + b"\n", np.uint8)
+        data = np.frombuffer(raw, np.uint8)
         self.raw = raw
         self.hashes, self.starts = word_hashes(data)
         blank = (data == 32) | (data == 10)
         self.ends = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
-        if len(self.starts) and not blank[0] and len(self.ends) < len(self.starts):
-            raise AssertionError("words without an end")
-        self.line = np.searchsorted(np.flatnonzero(data == 10), self.starts)
-        #: behind the last word of the line
-        self.stop = np.searchsorted(self.line, self.line, side="right")
+        line = np.searchsorted(np.flatnonzero(data == 10), self.starts)
+        self.stop = np.searchsorted(line, line, side="right")
 
 
 def _lists_by(keys: list, values: list) -> dict:
@@ -71,22 +69,25 @@ def _lists_by(keys: list, values: list) -> dict:
 
 
 def chunks_of(texts: list[str]) -> list[tuple[int, bytes]]:
-    """Every chunk of the texts: (words of overlap, words joined by spaces)."""
-    w = _Words(_SPACES.sub(b" ", "\n".join(texts).encode().translate(_PREPARE)))
+    """Every chunk of the texts: (words of overlap, words with a space or line feed after each; a line is a piece)."""
+    clean = [_BLANKS.sub(lambda m: b"\n" if b"\n" in m[0] else b" ", t.encode().translate(_PREPARE) + b"\n").lstrip()
+             for t in texts]
+    w = _Words(b"".join(clean))
     n = len(w.starts)
     if not n:
         return []
     index = np.arange(n)
-    begins = np.concatenate([[True], w.line[1:] != w.line[:-1]])
+    begins = np.zeros(n + 1, bool)
+    begins[np.searchsorted(w.starts, np.cumsum([0, *map(len, clean)]))] = True
+    begins = begins[:-1]
     with np.errstate(over="ignore"):
-        begins[:-1] |= (mix(w.hashes[:-1] * U64(3) + w.hashes[1:]) % U64(TRIGGER) == 0) & (w.line[1:] == w.line[:-1])
+        begins[1:] |= mix(w.hashes[:-1] * U64(3) + w.hashes[1:]) % U64(TRIGGER) == 0
     since = index - np.maximum.accumulate(np.where(begins, index, 0))
     first = np.flatnonzero(begins | (since % CHUNK_WORDS == 0))
     after = np.append(first[1:], n)
-    stop = w.stop[first]
-    over = np.minimum(stop - after, MOST - 1)
-    return [(o, w.raw[a:b]) for o, a, b in zip(over.tolist(), w.starts[first].tolist(),
-                                               w.ends[after + over - 1].tolist(), strict=True)]
+    over = np.clip(w.stop[after - 1] - after, 0, MOST - 1)
+    return [(o, w.raw[a:b] + b"\n") for o, a, b in zip(over.tolist(), w.starts[first].tolist(),
+                                                      w.ends[after + over - 1].tolist(), strict=True)]
 
 
 class _Sums:
@@ -145,38 +146,48 @@ def ngrams(stored: DataFrame, words: int, shorter: bytes | None) -> DataFrame:
     """``lang``, ``phrase``, ``n`` of the n-grams whose parts are in the packed bit map ``shorter`` (None: all)."""
     shared = stored.sparkSession.sparkContext.broadcast(shorter)
 
-    def setup():
+    arrow = to_arrow_schema(T._parse_datatype_string("lang string, phrase binary, n long"))
+
+    def count(batches):
         packed = shared.value and np.frombuffer(zlib.decompress(shared.value), np.uint8)
         sums = _Sums(lambda lang, key, n: (lang, key, n))
-
-        def give(last):
-            got = sums.give(last)
-            return got and dict(zip(("lang", "phrase", "n"), map(list, zip(*got, strict=True)), strict=True))
-
-        def each(rows):
-            numbers = _lists_by(rows["lang"], range(len(rows["lang"])))
-            for lang, at in numbers.items():
-                w = _Words(b"\n".join(rows["chunk"][i] for i in at))
-                times = np.array([rows["times"][i] for i in at], np.int64)
-                over = np.array([rows["over"][i] for i in at], np.int64)
-                index = np.arange(len(w.starts))
-                good = (index < w.stop - over[w.line]) & (index + words <= w.stop)
-                if packed is not None:
-                    many = len(index) - words + 2  # the n-grams one word shorter
-                    bits = _gram_bits(lang, [w.hashes[k:k + max(0, many)] for k in range(words - 1)])
-                    known = np.zeros(len(index) + 1, bool)
-                    known[:len(bits)] = packed[bits >> U64(3)] >> (bits & U64(7)).astype(np.uint8) & 1
-                    good &= known[:-1] & known[1:]
-                first = np.flatnonzero(good)
-                into = sums.counts[lang]
-                for a, b, n in zip(w.starts[first].tolist(), w.ends[first + words - 1].tolist(),
-                                   times[w.line[first]].tolist(), strict=True):
-                    into[w.raw[a:b]] += n
-            return give(False)
-
-        return each, lambda: give(True)
-
-    return over_texts(stored, "chunk", None, "lang string, phrase binary, n long", setup=setup)
+        for batch in batches:
+            for part in slices(batch, "chunk"):
+                for lang, rows in _by_lang(part):
+                    _count(sums.counts[lang], lang, rows, words, packed)
+                if (got := sums.give()) is not None:
+                    yield as_batch(dict(zip(arrow.names, map(list, zip(*got, strict=True)), strict=True)), arrow)
+        if (got := sums.give(True)) is not None:
+            yield as_batch(dict(zip(arrow.names, map(list, zip(*got, strict=True)), strict=True)), arrow)
+
+    return stored.select("lang", "over", "chunk", "times").mapInArrow(count, "lang string, phrase binary, n long")
+
+
+def _by_lang(batch: pa.RecordBatch):
+    langs = batch.column(0)
+    for lang in langs.unique():
+        yield lang.as_py(), batch.filter(pc.equal(langs, lang))
+
+
+def _count(into: dict, lang: str, rows: pa.RecordBatch, words: int, packed: np.ndarray | None) -> None:
+    over, times = (rows.column(i).to_numpy() for i in (1, 3))
+    chunks = rows.column(2)
+    w = _Words(b"".join(chunks.to_pylist()))
+    bounds = np.cumsum(pc.binary_length(chunks).to_numpy())
+    chunk = np.searchsorted(bounds, w.starts, side="right")
+    owned = np.searchsorted(w.starts, bounds)[chunk] - over[chunk]
+    index = np.arange(len(w.starts))
+    good = (index < owned) & (index + words <= w.stop)
+    if packed is not None:
+        many = max(0, len(index) - words + 2)  # the n-grams one word shorter
+        bits = _gram_bits(lang, [w.hashes[k:k + many] for k in range(words - 1)])
+        known = np.zeros(len(index) + 1, bool)
+        known[:len(bits)] = packed[bits >> U64(3)] >> (bits & U64(7)).astype(np.uint8) & 1
+        good &= known[:-1] & known[1:]
+    first = np.flatnonzero(good)
+    raw = w.raw
+    for a, b, n in zip(w.starts[first].tolist(), w.ends[first + words - 1].tolist(), times[chunk[first]].tolist(), strict=True):
+        into[raw[a:b]] += n
 
 
 def bit_map(frequent: DataFrame, words: int) -> bytes:

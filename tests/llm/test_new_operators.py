@@ -199,13 +199,14 @@ def test_chunks_own_every_ngram_once(monkeypatch):
     monkeypatch.setattr(phrases, "TRIGGER", 3)
     text = " ".join(str(i * i % 97) for i in range(400)) + ". a b c\n d"
     counts = Counter()
-    for over, chunk in phrases.chunks_of([text]):
-        ws = chunk.decode().split(" ")
-        for m in (1, 3, 5):
-            for i in range(len(ws) - over):
-                if i + m <= len(ws):
-                    counts[m, tuple(ws[i:i + m])] += 1
-    want = Counter((m, tuple(p.split()[i:i + m])) for p in re.split("[.\n]", text) for m in (1, 3, 5)
+    for over, chunk in phrases.chunks_of([text, "", "again " + text]):
+        assert chunk.endswith(b"\n")
+        at, total = 0, len(chunk.split())
+        for ws in (line.split() for line in chunk.decode().split("\n")):
+            for m in (1, 3, 5):
+                counts.update((m, tuple(ws[i:i + m])) for i in range(len(ws) - m + 1) if at + i < total - over)
+            at += len(ws)
+    want = Counter((m, tuple(p.split()[i:i + m])) for t in (text, "again " + text) for p in re.split("[.\n]", t) for m in (1, 3, 5)
                    for i in range(len(p.split()) - m + 1))
     assert counts == want
 
