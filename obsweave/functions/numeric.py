@@ -80,9 +80,12 @@ class Means:
         self.whole = {c for c in self.columns if types[c] in _INTEGRAL}
         self.wide = {c for c in self.whole if types[c] == "bigint"}
 
+    def prepared(self) -> dict[str, str]:
+        """Columns to add before the aggregate."""
+        return {f"{c}__v": fixed_point_sql(c, self.digits) for c in self.columns if c not in self.whole}
+
     def prepare(self, df: DataFrame) -> DataFrame:
-        return df.selectExpr("*", *[f"{fixed_point_sql(c, self.digits)} AS {c}__v"
-                                    for c in self.columns if c not in self.whole])
+        return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in self.prepared().items()])
 
     def pieces(self) -> dict[str, str]:
         """Aggregates over prepared rows, all with fixed-width buffers."""

@@ -8,24 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rolling_avg, round_sql
+from ..session import spool
 
 
 def rolling_mean(df: DataFrame, n: int = 5, key: str = "city", order: str = "window_end",
                  value: str = "avg_temp", ties: Sequence[str] = ("window_start",),
-                 chunk: str = "month") -> DataFrame:
+                 chunk: str | None = None, ranges: int | None = None) -> DataFrame:
     """Add ``rolling_{value}_{n}w``: mean of the last ``n`` rows (fewer at the start).
 
-    Work is split by (key, time chunk).  The first rows of a chunk also need up to n-1 rows
+    Rows are dealt by range over key and order, so a chunk has about the same number of rows whatever they are, and a hot
+    key fills many chunks.  The first rows of a chunk also need up to n-1 rows
     from earlier chunks; these are looked up among the last n-1 rows of every chunk and
     added to it as carried rows, which are dropped again after the window.  The result is
     sorted by key and time.
 
-    ``chunk`` is a ``date_trunc`` unit; any gives the same result.  It should hold many times
-    ``n`` rows of a key, yet few enough for one task: a month of one-minute windows is 43,000.
+    The input is read once and kept in the work folder when this is called.  There are ``ranges`` chunks (as many as
+    shuffle partitions by default).  With ``chunk``, a ``date_trunc`` unit, rows are cut by time instead and nothing is stored.
     """
     ties = [t for t in ties if t in df.columns]
     by = ", ".join([order, *ties])
-    rows = chunked = df.withColumn("__chunk", F.date_trunc(chunk, order))
+    if chunk:
+        rows = chunked = df.withColumn("__chunk", F.date_trunc(chunk, order))
+    else:
+        spark = df.sparkSession
+        wanted = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        once = spool(df, "rolling-input")   # the boundaries are sampled from it
+        rows = chunked = spool(once.repartitionByRange(wanted, key, order, *ties)
+                               .withColumn("__chunk", F.spark_partition_id()), "rolling-ranges")
     rows = rows.withColumn("__carried", F.lit(False))
     if n > 1:
         rows = rows.unionByName(_carried(chunked, n, key, order, value, ties), allowMissingColumns=True)

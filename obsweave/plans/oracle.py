@@ -137,6 +137,18 @@ _BODIES: dict[str, tuple[str, str]] = {
     "stream_windows_drained": ("a", "SELECT * FROM aggs"),
     "city_timeline_sorted": ("a", "SELECT * FROM aggs"),
     "log_stream_replay": ("a", "SELECT * FROM aggs"),
+    "mean_by_city_sql": ("a", f"SELECT city, {_mean('avg_temp')} AS mean_temp FROM aggs GROUP BY city"),
+    "timeline_table": ("a", f"""SELECT city, window_end, avg_temp FROM aggs
+        WHERE {_IN_CITIES} AND window_end >= TIMESTAMP '2024-01-28 00:00:00'"""),
+    "percentile_sketches": ("a", """SELECT DISTINCT city, name, TRUE AS within FROM aggs,
+        (SELECT UNNEST(['p05', 'p25', 'median', 'p75', 'p95']) AS name)"""),
+    "arrow_roundtrip": ("a", "SELECT * REPLACE (CAST(count AS INTEGER) AS count) FROM aggs"),
+    "stream_late_rows": ("r", f"""
+        SELECT reading_id, CASE WHEN {_BROKEN} THEN 'rejected'
+            WHEN reading_id % 2 = 1 AND date_trunc('hour', collected_at) + INTERVAL 1 HOUR <= (
+                SELECT MAX(collected_at) FROM readings WHERE reading_id % 2 = 0 AND {_GOOD}) - INTERVAL 2 HOUR
+            THEN 'late' ELSE 'on time' END AS kind
+        FROM readings"""),
     "log_last_per_key": ("", "SELECT event_type AS key, MAX(event_id) AS event_id FROM events GROUP BY event_type"),
     "log_offsets": ("", "SELECT event_type AS key, COUNT(*) AS n, TRUE AS gapless FROM events GROUP BY event_type"),
     "enrich": ("a", _ENRICHED),
@@ -309,6 +321,15 @@ _BODIES: dict[str, tuple[str, str]] = {
             FROM events) WHERE rn = 1"""),
 }
 
+_PARTS = {"top10": ("''", "mean_temp", "report_top10"),
+          "timeline": ("strftime(window_end, '%Y-%m-%d %H:%M')", "avg_temp", "tumbling_aggregate"),
+          "histogram": ("CAST(bin AS VARCHAR)", "CAST(n AS DOUBLE)", None),
+          "humidity_by_hour": ("CAST(hour AS VARCHAR)", "humidity", "humidity_by_hour"),
+          "comfort": ("''", "avg_comfort", "comfort_by_city"), "mean_by_city": ("''", "mean_temp", "mean_by_city")}
+_BODIES["report_tables"] = ("a", " UNION ALL ".join(
+    f"SELECT '{part}' AS part, city, {place} AS place, {value} AS value FROM "
+    f"({_BODIES[source][1] if source else 'WITH ' + _HIST})" for part, (place, value, source) in _PARTS.items()))
+
 _JSON = ("to_json({city: city, window_start: strftime(window_start, '%Y-%m-%dT%H:%M:%S'), "
          "window_end: strftime(window_end, '%Y-%m-%dT%H:%M:%S'), count: count, avg_temp: avg_temp, "
          "min_temp: min_temp, max_temp: max_temp, avg_humidity: avg_humidity, avg_pressure: avg_pressure, "

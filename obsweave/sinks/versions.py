@@ -59,7 +59,7 @@ def _drop(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
+def read_text(spark: SparkSession, path: str) -> str:
     fs, file = _hadoop(spark, path)
     stream = fs.open(file)
     try:
@@ -107,7 +107,7 @@ def manifest(spark: SparkSession, path: str, version: int | None = None) -> Mani
         if not found:
             return None
         version = found[-1]
-    raw = json.loads(_read_text(spark, f"{path}/_versions/{version:012d}.json"))
+    raw = json.loads(read_text(spark, f"{path}/_versions/{version:012d}.json"))
     return Manifest(version, T.StructType.fromJson(raw["schema"]), T.StructField.fromJson(raw["partition"]),
                     raw["folders"], {int(v): n for v, n in raw["written"].items()}, raw["longest_us"])
 

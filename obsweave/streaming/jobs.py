@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -15,7 +17,7 @@ from ..functions.times import Instant
 from ..operators.validate import clean, quarantine, tag
 from ..schemas import empty_frame
 from ..sinks.fanout import Sink, fan_out
-from ..sinks.versions import DATE_PARTITION, upsert_table
+from ..sinks.versions import DATE_PARTITION, Conflict, create_file, read_text, upsert_table
 from ..sources.files import load_parquet
 from ..sources.message_log import append_log, register as register_log
 from ..sources.messages import decode_aggregates, key_value
@@ -68,7 +70,8 @@ def run_until_idle(query: StreamingQuery) -> None:
 def start_windows(readings: DataFrame, table: str, checkpoint: str, *, size: str = "60 seconds",
                   delay: str = "120 seconds", bounds: Bounds | None = Bounds(), now: Instant = None,
                   every: str | None = None, more_sinks: Mapping[str, Sink | None] | None = None,
-                  failed_path: str | None = None, mode: str = "append") -> StreamingQuery:
+                  failed_path: str | None = None, mode: str = "append",
+                  shards: Sequence[str] | None = None) -> StreamingQuery:
     """Readings, checked, windowed and upserted into the table; optionally to more sinks.
 
     Validation is here, on readings.  Rejected rows are the business of
@@ -79,7 +82,7 @@ def start_windows(readings: DataFrame, table: str, checkpoint: str, *, size: str
     sink = upsert_sink(table)
     if more_sinks:
         sink = _table_then(sink, fan_out(more_sinks, failed_path or f"{table}_failed"))
-    out = windowed(checked, size, delay)
+    out = windowed(checked, size, delay, shards=shards)
     return (trigger(out.writeStream.outputMode(mode).foreachBatch(sink), every)
             .option("checkpointLocation", checkpoint).start())
 
@@ -97,20 +100,58 @@ def _table_then(table: Sink, others: Sink) -> Sink:
 
 
 def start_intake(readings: DataFrame, good_path: str, bad_path: str, checkpoint: str, *,
-                 bounds: Bounds = Bounds(), now: Instant = None, every: str | None = None) -> StreamingQuery:
-    """Every reading goes to exactly one of two tables: valid ones, or rejected ones with their reasons.
+                 bounds: Bounds = Bounds(), now: Instant = None, every: str | None = None,
+                 late_path: str | None = None, size: str = "60 seconds", delay: str = "120 seconds",
+                 time_col: str = "collected_at") -> StreamingQuery:
+    """Every reading goes to exactly one table: valid ones, or rejected ones with their reasons.
 
     A batch is judged by one clock, its own time, which the checkpoint keeps; so a batch
     that is repeated after a failure is split alike, and replaces what it wrote.  Windows
     over the valid readings are another stream, from ``good_path`` with ``bounds=None``.
+
+    With ``late_path``, valid readings whose window of ``size`` ended at or before the watermark go to a third table instead
+    of being dropped later.  The watermark is the latest valid time of all earlier batches less ``delay``, kept with the
+    table; a stream of windows with the same delay reads on-time readings no earlier than they came, so it drops none.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        for path, rows in ((good_path, batch.where("is_valid").drop("errors")), (bad_path, batch.where("NOT is_valid"))):
-            rows.drop("is_valid").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        parts = {good_path: "is_valid", bad_path: "NOT is_valid"}
+        seen = Observation()
+        if late_path:
+            mark = _mark_before(spark, late_path, batch_id)
+            end = f"unix_micros(window({time_col}, '{size}').end)"
+            batch = batch.withColumn("__late", F.expr("false" if mark is None else f"coalesce({end} <= {mark}L, false)"))
+            parts = {good_path: "is_valid AND NOT __late", late_path: "is_valid AND __late", bad_path: "NOT is_valid"}
+        for path, kind in parts.items():
+            rows = batch.where(kind)
+            rows = rows.drop("is_valid", "__late") if path == bad_path else rows.drop("is_valid", "__late", "errors")
+            if late_path and path == good_path:
+                behind = f"unix_micros(timestamp_micros(0L) + INTERVAL {delay})"
+                rows = rows.observe(seen, F.expr(f"max(unix_micros({time_col})) - {behind}").alias("mark"))
+            rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if late_path:
+            reached = [m for m in (mark, seen.get["mark"]) if m is not None]
+            _keep_mark(spark, late_path, batch_id, max(reached, default=None))
     return (trigger(tag(readings, bounds, now).writeStream.foreachBatch(write), every)
             .option("checkpointLocation", checkpoint).start())
 
 
+def _mark_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """The watermark in microseconds that the batches before this one reached."""
+    fs, folder = _files(spark, f"{path}/_marks")
+    known = [int(s.getPath().getName()) for s in fs.listStatus(folder)
+             if s.getPath().getName().isdigit()] if fs.exists(folder) else []
+    before = [n for n in known if n < batch_id]
+    return json.loads(read_text(spark, f"{path}/_marks/{max(before)}")) if before else None
+
+
+def _keep_mark(spark: SparkSession, path: str, batch_id: int, mark: int | None) -> None:
+    try:
+        create_file(spark, f"{path}/_marks/{batch_id}", json.dumps(mark))
+    except Conflict:
+        pass    # a repeated batch reaches the same
+
+
 def start_quarantine(readings: DataFrame, path: str, checkpoint: str, *, bounds: Bounds = Bounds(),
                      now: Instant = None, every: str | None = None) -> StreamingQuery:
     return (trigger(quarantine(readings, bounds, now).writeStream.format("parquet"), every)

@@ -5,22 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.windows import tumbling
+from ..operators.windows import from_state, tumbling
 
 
 def windowed(readings: DataFrame, size: str = "60 seconds", delay: str = "120 seconds",
-             key: str = "city", time_col: str = "collected_at") -> DataFrame:
-    """Windows of a stream of readings.
+             key: str = "city", time_col: str = "collected_at", shards: Sequence[str] | None = None) -> DataFrame:
+    """Windows of a stream of readings; given the list of ``shards``, their state has a fixed width.
 
     ``delay`` is how late a reading may come (default: two windows).  In append mode a
     window is emitted once, when the watermark passes its end; readings later than that are
     counted by :func:`dropped_late`.
     """
-    return tumbling(readings.withWatermark(time_col, delay), size, key, time_col)
+    return tumbling(readings.withWatermark(time_col, delay), size, key, time_col, shards=shards)
 
 
 def final_watermark(query: StreamingQuery) -> datetime | None:
@@ -51,3 +51,13 @@ def drain(readings: DataFrame, watermark: datetime | None, size: str = "60 secon
     mark = F.lit(watermark)
     tail = readings.where(F.col(time_col) >= mark - F.expr(f"INTERVAL {size}"))
     return tumbling(tail, size, key, time_col, shards=shards).where(F.col("window_end") > mark)
+
+
+def drain_state(spark: SparkSession, checkpoint: str, like: DataFrame, key: str = "city",
+                shards: Sequence[str] | None = None) -> DataFrame:
+    """The windows still open when a stream stopped, from its own state: the source is not read again.
+
+    ``like`` is any frame with the columns of the readings (the stream itself will do), ``shards`` the list that the
+    stream was given.  An append-mode stream drops a window from its state when it emits it, so state and emitted windows are disjoint.
+    """
+    return from_state(spark.read.format("statestore").load(checkpoint), like, key, shards=shards)
