@@ -5,7 +5,8 @@
    character, or tokens of B are byte fallbacks, the ends between are found from the decoded bytes.
    Offsets where tokens of both end cut the text into groups.  A text whose joined bytes of either differ from
    the space and the text has no tokens.
-2. Parts between safe cuts (``units``) are aligned once per task and added up.
+2. Parts between safe cuts (``units``) are aligned once per task, thousands as one text, and added up.  Where that text's bytes are not
+   kept, or a part is very long, parts are aligned one by one.
 3. A slice of texts (about 2 MB) becomes one stored row: figures per document, the distinct id pairs of the slice and, per
    document, which of them it links how often.  The pairs of all slices, with the number of their
    documents, are summed corpus-wide; the highest count per id of A is taken over at most all ids of B.
@@ -38,6 +39,10 @@ from .units import UnitCache, pieces_keep_spaces, units_of
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: A pair of ids as one number: A's id above these bits, B's id in them.
 SHIFT = 20
+#: Parts aligned as one text; longer parts are aligned on their own.
+AT_ONCE, LONG = 4000, 400
+#: Characters of parts that a task remembers.
+CACHE_CHARS = 5_000_000
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -59,6 +64,10 @@ class Aligner:
         self.b_bytes = [bytes([int(n[3:-1], 16)]) if f else n.replace("▁", " ").encode()
                         for n, f in zip(names, self.fallback, strict=True)]
         self.divisible = pieces_keep_spaces(names)
+        self.a_width = np.array([len(self.a_bytes[i]) for i in range(len(self.a_bytes))], np.int64)
+        self.b_width = np.array([len(b) for b in self.b_bytes], np.int64)
+        self.is_fallback = np.array(self.fallback)
+        self.numerals = np.array([str(i) for i in range(max(len(self.a_bytes), len(names)))], object)
 
     def align_all(self, texts: list[str]) -> list[list[tuple[list[int], list[int]]] | None]:
         """Per text the groups (ids of A, ids of B), None where bytes are not kept."""
@@ -92,6 +101,29 @@ class Aligner:
         return ends
 
 
+    def ends_of_joined(self, text: str):
+        """Ids and byte ends of both sides over a text that begins with a space; None if bytes are not kept."""
+        raw = text.encode()
+        encoded = self.a.encode_batch([text], add_special_tokens=False)[0]
+        pieces = self.b.encode(text[1:], return_type="proto", num_threads=1).pieces
+        a_ids = np.array(encoded.ids, np.int64)
+        b_ids = np.fromiter((p.id for p in pieces), np.int64, len(pieces))
+        if (b"".join(map(self.a_bytes.__getitem__, a_ids.tolist())) != raw
+                or b"".join(map(self.b_bytes.__getitem__, b_ids.tolist())) != raw):
+            return None
+        offsets = np.array(encoded.offsets, np.int64).reshape(-1, 2)
+        place = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        at = np.concatenate([[0], np.cumsum(1 + (place >= 0x80) + (place >= 0x800) + (place >= 0x10000))])
+        a_ends = at[offsets[:, 1]]
+        overlap = offsets[1:, 0] < offsets[:-1, 1]      # tokens that share a character
+        shared = np.concatenate([[False], overlap]) | np.concatenate([overlap, [False]])
+        a_ends[shared] = np.cumsum(self.a_width[a_ids])[shared]
+        b_ends = np.fromiter((p.end for p in pieces), np.int64, len(pieces)) + 1
+        bytewise = self.is_fallback[b_ids]
+        b_ends[bytewise] = np.cumsum(self.b_width[b_ids])[bytewise]
+        return a_ids, a_ends, b_ids, b_ends
+
+
 def cut_groups(a_ids: list[int], a_ends: list[int], b_ids: list[int],
                b_ends: list[int]) -> list[tuple[list[int], list[int]]]:
     groups, i, j, from_a, from_b = [], 0, 0, 0, 0
@@ -121,6 +153,13 @@ def links(groups: list[tuple[list[int], list[int]]]) -> Counter:
     return found
 
 
+def _counted(unit: np.ndarray, key: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Distinct (unit, key) in order, and how often each occurs."""
+    low = 2 * SHIFT     # both ids of a pair
+    both, times = np.unique(unit << low | key, return_counts=True)
+    return (both >> low, both & ((1 << low) - 1)), times
+
+
 class _Table:
     """What is known of the units, in growing arrays: figures, group texts, pairs."""
 
@@ -137,20 +176,76 @@ class _Table:
         self.texts: list[bytes] = []
 
     def add(self, units: list[str]) -> list[int]:
-        numbers = []
-        for groups in self.aligner.align_all(units):
-            numbers.append(self.n)
+        numbers: dict[str, int] = {}
+        alone = [u for u in units if len(u) > LONG]
+        together = [u for u in units if len(u) <= LONG]
+        for start in range(0, len(together), AT_ONCE):
+            some = together[start:start + AT_ONCE]
+            base = self.n
+            if self._many(some):
+                numbers.update(zip(some, range(base, self.n), strict=True))
+            else:
+                alone += some
+        for u, groups in zip(alone, self.aligner.align_all(alone) if alone else (), strict=True):
+            numbers[u] = self.n
             self._one(groups)
-        return numbers
+        return [numbers[u] for u in units]
 
-    def _one(self, groups):
-        found = links(groups or [])
-        while self.n + 1 >= len(self.kept):
+    def _room(self, units: int, pairs: int) -> None:
+        while self.n + units >= len(self.kept):
             self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
             self.kept = np.concatenate([self.kept, np.zeros_like(self.kept)])
             self.first = np.concatenate([self.first, np.zeros(len(self.first) - 1, np.int64)])
-        while self.m + len(found) > len(self.pairs):
+        while self.m + pairs > len(self.pairs):
             self.pairs, self.times = (np.concatenate([x, np.zeros_like(x)]) for x in (self.pairs, self.times))
+
+    def _many(self, units: list[str]) -> bool:
+        """Add parts that are aligned as one text; False (and nothing added) where its bytes are not kept."""
+        text = "".join(f" {u}" for u in units)
+        found = self.aligner.ends_of_joined(text)
+        if found is None:
+            return False
+        a_ids, a_ends, b_ids, b_ends = found
+        unit_ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        common = np.intersect1d(a_ends, b_ends)
+        if not np.isin(unit_ends, common).all():
+            return False
+        n, a_group, b_group = len(units), np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        unit = np.searchsorted(unit_ends, common)           # of each group
+        many_a, many_b = (np.bincount(g, minlength=len(common)) for g in (a_group, b_group))
+        figures = [np.bincount(unit, w, n).astype(np.int64) for w in (many_a, many_b, np.ones(len(unit)), many_a * many_b)]
+        # links: each token of A with the tokens of B in its group, which lie side by side
+        count = many_b[a_group]
+        flat = np.arange(count.sum()) + np.repeat((np.cumsum(many_b) - many_b)[a_group] - (np.cumsum(count) - count), count)
+        key = np.repeat(a_ids << SHIFT, count) | b_ids[flat]
+        both, times = _counted(np.repeat(unit[a_group], count), key)
+        self._room(n, len(times))
+        at, to = self.n, self.n + n
+        self.kept[at:to] = True
+        self.figures[at:to] = np.stack(figures, 1)
+        self.pairs[self.m:self.m + len(times)] = both[1]
+        self.times[self.m:self.m + len(times)] = times
+        self.first[at + 1:to + 1] = self.m + np.searchsorted(both[0], np.arange(n), side="right")
+        self.n, self.m = to, self.m + len(times)
+        self.texts += self._texts(a_ids, a_group, b_ids, b_group, unit)
+        return True
+
+    def _texts(self, a_ids, a_group, b_ids, b_group, unit) -> list[bytes]:
+        """The groups of every part as text."""
+        side = np.concatenate([2 * a_group, 2 * b_group + 1])
+        order = np.argsort(side, kind="stable")
+        side, ids = side[order], np.concatenate([a_ids, b_ids])[order]
+        following = np.append(side[1:], -2)
+        same_group = following >> 1 == side >> 1
+        last = np.concatenate([unit[side >> 1][1:] != unit[side >> 1][:-1], [True]])
+        code = np.where(following == side, 0, np.where(same_group, 1, np.where(last, 3, 2)))
+        marks = np.array([",", "|", ";", "\n"], object)[code].tolist()
+        names = self.aligner.numerals[ids].tolist()
+        return "".join([x for pair in zip(names, marks, strict=True) for x in pair]).encode().split(b"\n")[:-1]
+
+    def _one(self, groups):
+        found = links(groups or [])
+        self._room(1, len(found))
         self.kept[self.n] = groups is not None
         if groups:
             self.figures[self.n] = (sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups),
@@ -173,7 +268,7 @@ def _slices(df: DataFrame, byte_level: str, pieces: str, key: str, text: str) ->
     def setup():
         aligner = Aligner(byte_level, pieces)
         known = _Table(aligner)
-        cache = UnitCache(known.add)
+        cache = UnitCache(known.add, CACHE_CHARS)
         base, seen = TaskContext.get().partitionId() << 33, [0]
 
         def each(rows):
