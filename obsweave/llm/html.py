@@ -51,8 +51,10 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 SCOPES = frozenset("ul ol dl table body html div article section main".split())
 
 _markup = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
-_tag_end = re.compile(r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>""")
-_attribute = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+# a quote opens a value only right after the equals sign
+_value = r"""\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+))"""
+_attribute = re.compile(rf"([^\s/>][^\s/>=]*+)(?:{_value})?")
+_tag_end = re.compile(rf"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_value})?)*+>")
 _sentence = re.compile(r"[.!?…。:;\"”»)][\s\"'”»)]*$")
 
 SMOOTHNESS = 0.8
@@ -172,10 +174,10 @@ def blocks_of(page: str) -> list[Block]:
         hinted, role = False, ""
         if attributes and tag not in ("body", "html", "article", "main"):
             for a in _attribute.finditer(attributes):
-                value = (a.group(2) or a.group(3) or a.group(4) or "").lower()
-                if a.group(1).lower() == "role":
+                name, value = a.group(1).lower(), (a.group(2) or a.group(3) or a.group(4) or "").lower()
+                if name == "role":
                     role = value
-                elif HINTS.search(value.replace("_", " ")):
+                elif name in ("class", "id") and HINTS.search(value.replace("_", " ")):
                     hinted = True
         outside = top.outside or tag in OUTSIDE_TAGS or role in OUTSIDE_ROLES or (tag == "header" and not top.inside)
         count += 1

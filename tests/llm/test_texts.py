@@ -9,6 +9,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from obsweave.llm import decontam, html, langid, lm, neardup, pieces, pii, quality, shards, suffixes
 from obsweave.llm.common import byte_text, word_hashes
@@ -297,3 +299,56 @@ def test_leaks_found_before_the_last_windows_count(monkeypatch):
     monkeypatch.setattr(decontam, "SCAN_CHARS", 50)
     assert decontam.leaking(texts, index) == {1, 3}
     assert decontam.leaking([], index) == set()
+
+
+def plain_tag_end(rest):
+    """Place behind the tag's end by the states of an HTML tokenizer; None if a quote is never closed or the tag never ends."""
+    state, quote = "before name", ""
+    for i, c in enumerate(rest):
+        blank = c in " \t\n\f\r"
+        if state == "quoted":
+            if c == quote:
+                state = "before name"
+        elif state == "before value":
+            if c in "\"'":
+                state, quote = "quoted", c
+            elif c == ">":
+                return i + 1
+            elif not blank:
+                state = "unquoted"
+        elif c == ">":
+            return i + 1
+        elif state == "unquoted":
+            state = "before name" if blank else state
+        elif state == "before name":
+            if not blank and c != "/":
+                state = "name"      # an equals sign here is part of the name
+        elif state == "name":
+            state = "before value" if c == "=" else "after name" if blank else "before name" if c == "/" else state
+        elif state == "after name":
+            state = "before value" if c == "=" else state if blank else "before name" if c == "/" else "name"
+    return None
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.text(alphabet="ab =\"'/>\n", max_size=25))
+def test_tags_end_like_a_tokenizer_says(rest):
+    want = plain_tag_end(rest)
+    got = html._tag_end.match(rest)
+    if want is not None:
+        assert got is not None and got.end() == want
+
+
+@pytest.mark.parametrize("attribute", ["title=it's", 'alt=5"', "a='x>y'", 'b="x>y"', "c = it's", "checked", "d=/a/b'", '"', "=\"q"])
+def test_quotes_in_attributes_lose_no_paragraph(attribute):
+    w = html.fit([PAGE] * 3)
+    first, second = "Hello, you there, read on and don't lose it, whatever comes.", "Second paragraph with many words, and more of them."
+    page = f"<html><body><article><h1>A title</h1><p {attribute}>{first}</p><p>{second}</p></article></body></html>"
+    assert html.main_text(page, w).endswith(f"{first}\n{second}")
+
+
+def test_names_in_values_are_no_attributes():
+    w = html.fit([PAGE] * 3)
+    text = "A paragraph that has words enough, and a sentence that ends."
+    page = f"""<html><body><article><p title="class='sidebar ad'">{text}</p><p>{text}</p></article></body></html>"""
+    assert html.main_text(page, w) == f"{text}\n{text}"
