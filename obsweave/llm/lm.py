@@ -4,15 +4,20 @@ Tokens are the words of a text, A-Z lower-cased, and one end.  The tree models t
 letter: each word's UTF-8 bytes and a space, then an end sign, so its probabilities of token sequences add up to one.
 
 Learning.  One pass counts tokens, and strings of ``DEPTH`` bytes of history with the next byte, over all
-training texts, pre-aggregated in each task.  A context (the last 1 to DEPTH bytes, which may begin with the text's
+training texts, pre-aggregated in each task and packed into blocks by hash, about ``BLOCK_BYTES`` of text each.  A context (the last
+1 to DEPTH bytes, which may begin with the text's
 start) is retained if it was seen ``MIN_COUNT`` times and its next-byte distribution diverges
 from that of the context one byte shorter: count x Kullback-Leibler divergence of at least ``MIN_GAIN`` nats.
-All of these stay, with all their suffixes, so the tree grows with the corpus.  Distributions are smoothed
+All of these stay, with all their suffixes, so the tree grows with the corpus.  The tree is grown depth by depth: a
+context can be frequent only if the one a byte shorter is, so only strings whose shorter context is in a bit map of the
+frequent ones (16 MB at every size; a false hit is counted and then dropped) go into the shuffle, and only frequent
+contexts are stored.  Distributions are smoothed
 towards the shorter context's (Witten-Bell), at the root towards the uniform one.
 
 Scoring.  A symbol's probability is folded along the retained suffixes of its history, from the root to the longest.
 A tree of at most ``BROADCAST_CELLS`` entries is broadcast as sorted tables, in which a task looks up its distinct strings.
-A larger tree stays on Spark: the distinct strings of all texts find their contexts in joins, and the
+A larger tree stays on Spark: its first ``TOP_DEPTH`` levels (at most 256 ** 3 entries) are broadcast, as their few contexts would be
+hot keys; for the rest the distinct strings of all texts find their contexts in joins, and the
 texts their strings; this needs a shuffle of about all symbols, and no part of the tree is left out.
 Tokens of at least the share ``P_FREQUENT`` of all training tokens (at most 1 / P_FREQUENT, therefore) have their
 counts broadcast for the base; the rest, of which none is hot by this choice, find theirs in a join.
@@ -25,16 +30,17 @@ are answered each; other columns are ignored.  The documents have to be a stored
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import spool
-from .common import fold_of, over_texts, rows_with_number, stored_rows, table
+from .common import U64, fold_of, mix, over_texts, rows_with_number, ship_code, stored_rows, table
 
 DEPTH = 7
 MIN_COUNT = 16
@@ -46,10 +52,16 @@ END = 10
 SPACE = 32
 #: Entries that a task holds before it sends its counts on.
 FLUSH = 500_000
+#: Bytes of training text per block of counted strings.
+BLOCK_BYTES = 4_000_000
+#: The bit map of frequent contexts has 2 ** BITS places.
+BITS = 27
+TOP_DEPTH = 2
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_LOWER[0] = 1  # byte 0 marks the absence of history
+NUL = 255
+_LOWER[0] = NUL  # byte 0 marks the absence of history; 255 occurs in no UTF-8
 
 
 def symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -83,47 +95,53 @@ def grams(syms: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def tokens_of(part: np.ndarray) -> list[str]:
     """Words of one text's symbols (without its end)."""
-    words = part.tobytes()[:-1].decode("utf-8").split(" ")
+    return words_of(part.tobytes()[:-1])
+
+
+def words_of(raw: bytes) -> list[str]:
+    words = raw.replace(bytes([NUL]), b"\0").decode("utf-8").split(" ")
     words.pop()
     return words
 
 
-def count(docs: DataFrame) -> DataFrame:
-    """``token`` or ``gram`` with ``n``: counts over the training texts; the end is the token of a line feed."""
+def count(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``token, n``; ``gram, n``): counts over the training texts, stored; the end is the token of a line feed."""
+    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    blocks = max(1, -(-total // BLOCK_BYTES))
+
     def setup():
         words: Counter = Counter()
         state = {"keys": [], "n": [], "held": 0}
 
-        def packed():
-            keys, n = np.concatenate(state["keys"]), np.concatenate(state["n"])
-            order = np.argsort(keys, kind="stable")
-            keys = keys[order]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            return keys[first], np.add.reduceat(n[order], first)
-
         def send():
             if not words and not state["keys"]:
                 return None
-            keys, n = packed()
-            out = {"token": pa.concat_arrays([pa.array(list(words), pa.string()), pa.nulls(len(keys), pa.string())]),
-                   "gram": pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array(keys, pa.int64())]),
-                   "n": pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.array(n, pa.int64())])}
+            keys, n = _summed(state["keys"], state["n"])
+            block = (mix(keys) % U64(blocks)).astype(np.int64)
+            order = np.argsort(block, kind="stable")
+            keys, n, block = keys[order], n[order], block[order]
+            known, first = np.unique(block, return_index=True)
+            cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=True))
+            w, k = len(words), len(known)
+            out = {"token": pa.concat_arrays([pa.array(list(words), pa.string()), pa.nulls(k, pa.string())]),
+                   "n": pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.nulls(k, pa.int64())]),
+                   "block": pa.concat_arrays([pa.nulls(w, pa.int64()), pa.array(known, pa.int64())]),
+                   "keys": [None] * w + [zlib.compress(np.diff(keys[a:b], prepend=0).tobytes(), 1) for a, b in cuts],
+                   "counts": [None] * w + [zlib.compress(n[a:b].tobytes(), 1) for a, b in cuts]}
             words.clear()
             state.update(keys=[], n=[], held=0)
             return out
 
         def each(rows):
             syms, starts = symbols(rows["text"])
-            found = syms[syms != END].tobytes().decode("utf-8").split(" ")
-            found.pop()
-            words.update(found)
+            words.update(words_of(syms[syms != END].tobytes()))
             words["\n"] += len(rows["text"])
             keys, n = np.unique(grams(syms, starts), return_counts=True)
             state["keys"].append(keys)
             state["n"].append(n)
             state["held"] += len(keys)
             if state["held"] > FLUSH:
-                keys, n = packed()
+                keys, n = _summed(state["keys"], state["n"])
                 state.update(keys=[keys], n=[n], held=0)
             if len(words) > FLUSH or (state["keys"] and len(state["keys"][0]) > FLUSH):
                 return send()
@@ -131,8 +149,28 @@ def count(docs: DataFrame) -> DataFrame:
 
         return each, send
 
-    sent = over_texts(docs.select("text"), "text", None, "token string, gram long, n long", setup=setup)
-    return sent.groupBy("token", "gram").agg(F.sum("n").alias("n"))
+    sent = spool(over_texts(docs.select("text"), "text", None, "token string, n long, block long, keys binary, counts binary",
+                            setup=setup), "blocks", "zstd")
+    tokens = sent.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))
+
+    def merge(t: pa.Table) -> pa.Table:
+        keys = [np.cumsum(np.frombuffer(zlib.decompress(b), np.int64)) for b in t.column("keys").to_pylist()]
+        keys, n = _summed(keys, [np.frombuffer(zlib.decompress(b), np.int64) for b in t.column("counts").to_pylist()])
+        return pa.table({"gram": keys, "n": n})
+
+    strings = sent.where("block IS NOT NULL").groupBy("block").applyInArrow(merge, "gram long, n long")
+    return spool(tokens, "tokens", "zstd"), spool(strings, "strings", "zstd")
+
+
+def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their counts."""
+    if not keys:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, n = np.concatenate(keys), np.concatenate(n)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[:len(keys)]
+    return keys[first], np.add.reduceat(n[order], first)
 
 
 @dataclass
@@ -145,25 +183,104 @@ class Tree:
     share: list[np.ndarray]  # what an entry adds
 
 
-def retained(counted: DataFrame, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> DataFrame:
+def retained(strings: DataFrame, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> DataFrame:
     """Rows (``depth``, ``context``, ``next``, ``n``) of the root and of all retained contexts, stored."""
-    base = counted.where("gram IS NOT NULL").select(F.shiftrightunsigned("gram", 8).alias("history"),
-                                                   F.col("gram").bitwiseAND(255).alias("next"), "n")
-    known = _suffixes(base, "next", "n")
-    cells = spool(known.groupBy("depth", "context", "next").agg(F.sum("n").alias("n")), "contexts", "zstd")
-    totals = cells.groupBy("depth", "context").agg(F.sum("n").alias("total"))
-    heavy = spool(totals.where((F.col("total") >= F.lit(min_count)) | (F.col("depth") == 0)), "heavy")
-    here = cells.join(heavy, ["depth", "context"])
-    above = here.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("parent"), "next",
-                        F.col("n").alias("parent_n"), F.col("total").alias("parent_total"))
-    parent = F.expr("context & (shiftleft(1L, 8 * (depth - 1)) - 1)")
-    gain = F.sum(F.col("n") * F.ln((F.col("n") / F.col("total")) / (F.col("parent_n") / F.col("parent_total"))))
-    best = here.where("depth > 0").withColumn("parent", parent).join(above, ["depth", "parent", "next"]).groupBy(
-        "depth", "context").agg(gain.alias("gain")).where(F.col("gain") >= min_gain)
-    tree = best.select(F.explode(F.expr("sequence(1, depth)")).alias("depth"), "context").select(
-        "depth", F.expr("context & (shiftleft(1L, 8 * depth) - 1)").alias("context")).distinct()
-    rows = cells.join(spool(tree, "tree"), ["depth", "context"]).unionByName(cells.where("depth = 0"))
-    return spool(rows.select("depth", "context", "next", "n"), "retained")
+    ship_code(strings.sparkSession)
+    root = strings.groupBy(F.col("gram").bitwiseAND(255).alias("next")).agg(F.sum("n").alias("n"))
+    levels, shorter = [], None
+    for depth in range(1, DEPTH + 1):
+        level = spool(_grown(strings, depth, shorter, min_count), f"depth-{depth}", "zstd")
+        levels.append(level)
+        if depth < DEPTH:
+            shorter = _bit_map(level, depth)
+    # from the longest contexts down: those that pass the test, and the suffixes of those that stay
+    kept, longer = [root.select(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("context"), "next", "n")], None
+    for depth in range(DEPTH, 0, -1):
+        level, passed = levels[depth - 1], F.col("gain") >= min_gain
+        stays = level.where(passed)
+        if longer is not None:
+            suffix = longer.select(F.col("context").bitwiseAND((1 << 8 * depth) - 1).alias("context")).distinct()
+            stays = stays.unionByName(level.where(~passed).join(suffix, "context", "left_semi"))
+        longer = spool(stays.select(F.lit(depth).alias("depth"), "context", "next", "n"), "kept", "zstd")
+        kept.append(longer)
+    out = kept[0]
+    for level in kept[1:]:
+        out = out.unionByName(level)
+    return spool(out, "retained", "zstd")
+
+
+def _grown(strings: DataFrame, depth: int, shorter: bytes | None, min_count: int) -> DataFrame:
+    """``context``, ``next``, ``n``, ``gain`` of the contexts of one depth that were seen ``min_count`` times.
+
+    ``shorter`` is the packed bit map of the frequent contexts one byte shorter (None: all).  A history that ends
+    at the shorter context has no context here, but counts for the shorter one (``context`` NULL until then).
+    """
+    shared = strings.sparkSession.sparkContext.broadcast(shorter)
+    above, own = (1 << 8 * (depth - 1)) - 1, (1 << 8 * depth) - 1
+    arrow = pa.schema([("parent", pa.int64()), ("context", pa.int64()), ("next", pa.int64()), ("n", pa.int64())])
+
+    def cut(batches):
+        packed = shared.value and np.frombuffer(zlib.decompress(shared.value), np.uint8)
+        keys, counts, held = [], [], 0
+
+        def rows():
+            k, n = _summed(keys, counts)
+            k = k.view(np.uint64)
+            history = (k >> U64(8)).astype(np.int64)
+            here = history & own
+            deep = here >> (8 * (depth - 1)) > 0
+            return pa.RecordBatch.from_arrays([
+                pa.array(here & above), pa.array(here, mask=~deep), pa.array((k & U64(255)).astype(np.int64)), pa.array(n)], schema=arrow)
+
+        for batch in batches:
+            gram, n = (batch.column(i).to_numpy() for i in (0, 1))
+            gram = gram.view(np.uint64)
+            parent = (gram >> U64(8)) & U64(above)
+            # the shorter context itself has to exist: its oldest byte is no absence
+            known = np.ones(len(gram), bool) if depth == 1 else parent >> U64(8 * (depth - 2)) > 0
+            if packed is not None:
+                at = _places(parent)
+                known &= (packed[at >> U64(3)] >> (at & U64(7)).astype(np.uint8) & 1).astype(bool)
+            low = np.uint64((1 << 8 * (depth + 1)) - 1) if depth < DEPTH else ~U64(0)
+            keys.append((gram[known] & low).view(np.int64))
+            counts.append(n[known])
+            held += int(known.sum())
+            if held > FLUSH:
+                yield rows()
+                keys, counts, held = [], [], 0
+        if held:
+            yield rows()
+
+    made = strings.select("gram", "n").mapInArrow(cut, "parent long, context long, next long, n long")
+    cells = made.groupBy("parent", "context", "next").agg(F.sum("n").alias("n"))
+    by_parent, by_context = Window.partitionBy("parent"), Window.partitionBy("parent", "context")
+    totals = (cells.withColumn("parent_total", F.sum("n").over(by_parent))
+              .withColumn("parent_n", F.sum("n").over(Window.partitionBy("parent", "next")))
+              .withColumn("total", F.sum("n").over(by_context))
+              .where(F.col("context").isNotNull() & (F.col("total") >= min_count)))
+    term = F.col("n") * F.ln((F.col("n") / F.col("total")) / (F.col("parent_n") / F.col("parent_total")))
+    return totals.withColumn("gain", F.sum(term).over(by_context)).select("context", "next", "n", "gain")
+
+
+def _places(contexts: np.ndarray) -> np.ndarray:
+    return mix(contexts.astype(np.uint64)) >> U64(64 - BITS)
+
+
+def _bit_map(level: DataFrame, depth: int) -> bytes:
+    """The contexts of a level as a compressed bit map of fixed size; executors put its bytes together."""
+    arrow = pa.schema([("place", pa.int32()), ("bits", pa.int32())])
+
+    def places(batches):
+        for batch in batches:
+            at = _places(np.unique(batch.column(0).to_numpy()))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> U64(3)).astype(np.int32)),
+                                              pa.array(1 << (at & U64(7)).astype(np.int32))], schema=arrow)
+
+    rows = (level.select("context").mapInArrow(places, "place int, bits int")
+            .groupBy("place").agg(F.bit_or("bits").alias("bits"))).toArrow()
+    out = np.zeros(1 << BITS - 3, np.uint8)
+    out[rows.column("place").to_numpy()] = rows.column("bits").to_numpy()
+    return zlib.compress(out, 1)
 
 
 def _suffixes(strings: DataFrame, *columns: str) -> DataFrame:
@@ -227,30 +344,41 @@ def score_texts(tree: Tree, texts: list[str | None]) -> np.ndarray:
 
 
 def joined_scores(docs: DataFrame, cells: DataFrame) -> DataFrame:
-    """``row`` and ``score``, by joins with the rows of ``retained``, for a tree of any size."""
-    def each(rows):
-        syms, starts = symbols(rows["text"])
-        owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        g = grams(syms, starts)
-        order = np.lexsort((g, owner))
-        first = np.flatnonzero(np.concatenate([[True], (np.diff(g[order]) != 0) | (np.diff(owner[order]) != 0)]))
-        return {"row": np.array(rows["row"])[owner[order][first]], "gram": g[order][first],
-                "k": np.diff(np.append(first, len(order)))}
-
-    strings = spool(over_texts(docs.select("row", "text"), "text", each, "row long, gram long, k long"), "strings", "zstd")
-    distinct = strings.select("gram", F.shiftrightunsigned("gram", 8).alias("history"),
-                              F.col("gram").bitwiseAND(255).alias("next")).distinct()
-    contexts = cells.groupBy("depth", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    chain = _suffixes(distinct, "gram", "next").join(contexts, ["depth", "context"]).join(
-        cells, ["depth", "context", "next"], "left").groupBy("gram").agg(F.array_sort(F.collect_list(
+    """``row`` and ``score``, by joins with the rows of ``retained``, for a tree of any size.
+
+    The first levels, whose contexts every text has, are broadcast.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vars(build(cells.where(F.col("depth") <= TOP_DEPTH).toPandas())))
+
+    def setup():
+        top = Tree(**shared.value)
+
+        def each(rows):
+            syms, starts = symbols(rows["text"])
+            owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+            g = grams(syms, starts)
+            order = np.lexsort((g, owner))
+            first = np.flatnonzero(np.concatenate([[True], (np.diff(g[order]) != 0) | (np.diff(owner[order]) != 0)]))
+            g = g[order][first]
+            return {"row": np.array(rows["row"])[owner[order][first]], "gram": g, "k": np.diff(np.append(first, len(order))),
+                    "p": 10.0 ** log10_of(top, g)}
+
+        return each, None
+
+    strings = spool(over_texts(docs.select("row", "text"), "text", None, "row long, gram long, k long, p double", setup=setup),
+                    "strings", "zstd")
+    distinct = strings.groupBy("gram").agg(F.first("p").alias("p")).select(
+        "gram", "p", F.shiftrightunsigned("gram", 8).alias("history"), F.col("gram").bitwiseAND(255).alias("next"))
+    deep = cells.where(F.col("depth") > TOP_DEPTH)
+    contexts = deep.groupBy("depth", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    chain = _suffixes(distinct, "gram", "next", "p").where(F.col("depth") > TOP_DEPTH).join(contexts, ["depth", "context"]).join(
+        deep, ["depth", "context", "next"], "left").groupBy("gram").agg(F.first("p").alias("p"), F.array_sort(F.collect_list(
             F.struct("depth", F.coalesce("n", F.lit(0)).alias("n"), "kinds", "total"))).alias("chain"))
-    # the root's row gives the start; at most DEPTH + 1 rows a string
-    p = F.aggregate("chain", F.lit(0.0).cast("double"), lambda p, c: F.when(
-        c["depth"] == 0, (c["n"] + 0.5) / (c["total"] + 128.0)).otherwise((c["n"] + c["kinds"] * p) / (c["kinds"] + c["total"])))
+    # at most DEPTH rows a string, from the shortest context on
+    p = F.aggregate("chain", F.col("p"), lambda p, c: (c["n"] + c["kinds"] * p) / (c["kinds"] + c["total"]))
     known = spool(chain.select("gram", F.log10(p).alias("log10p")), "log10p")
-    lone = -math.log10(256)  # nothing was learned
     return strings.join(known, "gram", "left").groupBy("row").agg(
-        F.sum(F.col("k") * F.coalesce("log10p", F.lit(lone))).alias("score"))
+        F.sum(F.col("k") * F.coalesce("log10p", F.log10("p"))).alias("score"))
 
 
 def score(df: DataFrame, training: Column, key: str = "doc_id", text: str = "text", min_count: int = MIN_COUNT,
@@ -259,13 +387,13 @@ def score(df: DataFrame, training: Column, key: str = "doc_id", text: str = "tex
     spark = df.sparkSession
     used = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     docs = rows_with_number(used, "doc_id", "text")
-    counted = spool(count(docs.where(training)), "counts", "zstd")
-    cells = retained(counted, min_count, min_gain)
+    counted, strings = count(docs.where(training))
+    cells = retained(strings, min_count, min_gain)
     small = cells.count() <= broadcast_cells
     if not small:  # two jobs use the row numbers
         docs = stored_rows(used, "documents", "doc_id", "text")
     tree = build(cells.toPandas()) if small else None
-    words = counted.where("token IS NOT NULL").select("token", F.col("n").alias("c"))
+    words = counted.select("token", F.col("n").alias("c"))
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     least = max(1, math.ceil(P_FREQUENT * n))
     frequent = {r.token: r.c for r in words.where(F.col("c") >= least).collect()}

@@ -301,3 +301,53 @@ def test_alignment_of_no_documents_and_a_very_long_text(spark):
 def test_links_of_one_large_group():
     found = alignment.links([([1, 1, 2] * 1000, [5] * 2000)])
     assert found == {1 << alignment.SHIFT | 5: 2000 * 2000, 2 << alignment.SHIFT | 5: 1000 * 2000}
+
+
+# -- the suffix tree, grown depth by depth -----------------------------------------------------------
+
+def plain_tree(texts, min_count, min_gain):
+    """Retained contexts and their counts by dictionaries."""
+    from obsweave.llm import lm
+
+    counts = defaultdict(Counter)
+    syms, starts = lm.symbols(texts)
+    for g in lm.grams(syms, starts).view(np.uint64).tolist():
+        history, symbol = g >> 8, g & 255
+        for d in range(lm.DEPTH + 1):
+            if d == 0 or history >> (8 * (d - 1)):
+                counts[d, history & ((1 << 8 * d) - 1)][symbol] += 1
+    stays = {(0, 0)}
+    for (d, c), own in counts.items():
+        total = sum(own.values())
+        if d and total >= min_count:
+            parent = counts[d - 1, c & ((1 << 8 * (d - 1)) - 1)]
+            gain = sum(n * np.log((n / total) / (parent[x] / sum(parent.values()))) for x, n in own.items())
+            if gain >= min_gain:
+                stays |= {(k, c & ((1 << 8 * k) - 1)) for k in range(1, d + 1)}
+    return {(d, c, x, n) for d, c in stays for x, n in counts[d, c].items()}
+
+
+def test_tree_equals_brute_force(spark, monkeypatch):
+    from obsweave.llm import lm
+
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 700)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "there", "sea", "seal", "é日", "x\0y", "a"]) for _ in range(rng.randint(0, 40))) for _ in range(80)]
+    df = documents(spark, [(i, t, None) for i, t in enumerate([*texts, None, ""])]).repartition(3)
+    tokens, strings = lm.count(df)
+    got = {(r.depth, r.context, r.next, r.n) for r in lm.retained(strings, 4, 2.0).collect()}
+    assert got == plain_tree([*texts, None, ""], 4, 2.0)
+    want = Counter(w for t in texts for w in t.split()) + Counter({"\n": 82})
+    assert {r.token: r.n for r in tokens.collect()} == want
+
+
+def test_nul_and_byte_one_are_different_tokens(spark):
+    from pyspark.sql import functions as F
+
+    from obsweave.llm import lm
+
+    df = documents(spark, [(0, "a\0b", None), (1, "a\1b", None)])
+    rows = {r.doc_id: r for r in lm.score(df, F.lit(True)).collect()}
+    n, v = 4, 3
+    want = np.log10(2 / (n + v + 1)) + np.log10(3 / (n + v + 1))
+    assert [rows[i].base_score for i in (0, 1)] == pytest.approx([want, want])

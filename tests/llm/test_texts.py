@@ -59,7 +59,7 @@ def test_sketch_estimates_probability_jaccard():
 
 def test_symbols_and_grams_restart_at_each_text():
     syms, starts = lm.symbols(["Ab  c\n", None, "\x00z"])
-    assert syms.tobytes() == b"ab c \n\n\x01z \n" and starts.tolist() == [0, 6, 7, 11]
+    assert syms.tobytes() == b"ab c \n\n\xffz \n" and starts.tolist() == [0, 6, 7, 11]
     g = lm.grams(syms, starts)
     assert g[0] == 10 << 8 | ord("a") and g[6] == 10 << 8 | 10 and g[1] == (10 << 16) | (ord("a") << 8) | ord("b")
 

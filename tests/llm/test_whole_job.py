@@ -114,7 +114,7 @@ def test_tree_grows_with_the_corpus_and_joins_score_as_the_broadcast_does(spark)
     words = ["".join(rng.choice(list("etaoinshrdlé日"), rng.integers(3, 9))) for _ in range(3000)]
     texts = [" ".join(rng.choice(words, 400)) for _ in range(300)] + ["", None, "zebra é"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    contexts = [lm.retained(lm.count(docs.where(f"doc_id < {n}")), min_count=2, min_gain=1.0).select("depth", "context").distinct() for n in (60, 300)]
+    contexts = [lm.retained(lm.count(docs.where(f"doc_id < {n}"))[1], min_count=2, min_gain=1.0).select("depth", "context").distinct() for n in (60, 300)]
     few, many = (c.count() for c in contexts)
     assert many > 1.5 * few and many > 20_000
     assert contexts[1].where("depth > 5").count() > 0
