@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from itertools import chain
 
 #: Characters of parts that a task remembers before it starts anew.
-CACHE_CHARS = 3_000_000
+CACHE_CHARS = 6_000_000
 
 
 def _sticks(left: str, right: str) -> bool:
