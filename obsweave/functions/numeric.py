@@ -62,6 +62,23 @@ def _mean_sql(name: str, digits: int) -> str:
             f" / nullif({name}__present, 0)")
 
 
+def stddev_sql(x: str) -> str:
+    """Sample standard deviation as an aggregate that does not depend on the order of rows.
+
+    Values below 1e4 are rounded to nine decimals, and they and their squares are added as whole numbers (exact for
+    1e12 rows); a group with larger ones, infinities or NaN is added as doubles.  NULL for fewer than two values.
+    """
+    v = f"(CASE WHEN abs({x}) < 1.0e4D THEN CAST({fixed_point_sql(x)} AS DECIMAL(14, 0)) END)"
+    n = f"count({x})"
+    total, squares = f"CAST(sum({v}) AS DECIMAL(26, 0))", f"CAST(sum({v} * {v}) AS DECIMAL(38, 0))"
+    near = f"CAST({total} div nullif({n}, 0) AS DECIMAL(14, 0))"        # the mean but for a fraction
+    count = f"CAST({n} AS DECIMAL(13, 0))"
+    rest = f"CAST({total} - {count} * {near} AS DOUBLE)"
+    around = f"CAST({squares} - CAST({near} * (2 * {total} - {count} * {near}) AS DECIMAL(38, 0)) AS DOUBLE)"
+    return (f"(CASE WHEN {n} = count({v}) THEN sqrt(({around} - {rest} * {rest} / nullif({n}, 0)) / nullif({n} - 1, 0)) / 1.0e9D"
+            f" ELSE stddev_samp({x}) END)")
+
+
 class Means:
     """Exact means of some columns: what to add before, in and after an aggregate.
 

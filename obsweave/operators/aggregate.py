@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.comfort import comfort_index
-from ..functions.numeric import round_sql, summarize
+from ..functions.numeric import round_sql, stddev_sql, summarize
 from .latest import latest_per_key
 from .ranks import percentiles
 
@@ -69,10 +69,11 @@ def anomalies(df: DataFrame, z_threshold: float = 2.0) -> DataFrame:
     """Windows whose temperature is more than ``z_threshold`` deviations off their city's mean.
 
     Statistics and table are one plan: what both need is computed once, and the statistics
-    are broadcast only if they measure small enough when they are there.
+    are broadcast only if they measure small enough when they are there.  Mean and deviation do not depend on
+    how rows are partitioned.
     """
     stats = summarize(df.select("city", "avg_temp"), ["city"], {"mean_t": ("avg_temp", None)},
-                      {"std_t": "stddev_samp(avg_temp)"})
+                      {"std_t": stddev_sql("avg_temp")})
     scored = df.select("city", "window_start", "avg_temp").join(stats, "city").selectExpr(
         "city", "window_start", "avg_temp", "abs(avg_temp - mean_t) / nullif(std_t, 0D) AS score")
     return (scored.where(F.col("score") > float(z_threshold))

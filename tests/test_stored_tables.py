@@ -10,6 +10,7 @@ import pytest
 from helpers import agg_row, aggs, optimized
 from pyspark.sql import functions as F
 
+from obsweave.functions.numeric import stddev_sql
 from obsweave.operators import aggregate, rolling, sketches, sqltext
 from obsweave.sinks import arrow_files
 
@@ -99,3 +100,16 @@ def test_arrow_files_hold_the_table(spark, folder):
     assert arrow_files.load_arrow(spark, folder + "/out").count() == 50_000
     arrow_files.export_arrow(df.limit(0), folder + "/none", "id")
     assert arrow_files.load_arrow(spark, folder + "/none").count() == 0
+
+
+def test_deviation_is_the_same_for_any_partitioning(spark):
+    df = spark.range(30_000).selectExpr("id % 3 AS k", "(id * 7919 % 9973) / 7 - 500 AS v").union(
+        spark.sql("SELECT 9, x FROM VALUES (double('NaN')), (1D), (2D) AS t(x)")).union(
+        spark.sql("SELECT 8, 5D")).union(spark.sql("SELECT 7, x FROM VALUES (1.0e12D), (3.0e12D) AS t(x)")).union(
+        spark.sql("SELECT 6, x FROM VALUES (20.123456789D), (20.123456789D), (NULL) AS t(x)"))
+    got = [{r.k: r.s for r in df.repartition(n).groupBy("k").agg(F.expr(f"{stddev_sql('v')} AS s")).collect()} for n in (1, 4, 13)]
+    want = {r.k: r.s for r in df.groupBy("k").agg(F.expr("stddev_samp(v) AS s")).collect()}
+    for one in got:
+        for k in (0, 1, 2):
+            assert one[k] == got[0][k] == pytest.approx(want[k], rel=1e-9)
+        assert one[9] != one[9] and one[8] is None and one[7] == pytest.approx(want[7]) and one[6] == 0.0
