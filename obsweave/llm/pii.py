@@ -1,14 +1,17 @@
 """Personal data: fixed patterns plus a character-level BiLSTM-CRF.
 
 The patterns (e-mail, IP address, card, phone) give the base spans.  A bidirectional LSTM
-with CRF transitions over BIO tags is trained in numpy on a bounded sample of rows, labelled
-by the base spans; candidates that a check refused are negatives.  Its spans are added where they touch neither a
+with CRF transitions over BIO tags is trained in numpy on a bounded sample of rows to find what they miss: its labelled
+spans are the base spans and secrets of the sample, and copies of the sample's texts in which these are written in other ways
+(national numbers, other separators, veiled addresses, keys of other alphabets) or replaced by harmless numbers (dates, prices,
+versions, book numbers), which are negatives, as are candidates that a check refused.  A fifth kind, ``secret``, exists in ``spans``
+only.  The network's spans are added where they pass their kind's plain check (length, digits, Luhn) and touch neither a
 base span nor a refused candidate of their own kind.  Refused are only candidates that reached the check: 16 to 19
 digits with a bad Luhn sum, four parts with one over 255, a + and too few or too many digits.
 
 A text is tiled by windows of ``WINDOW`` characters, ``WINDOW // 2`` apart, from its first to
-its last character.  Every tag sequence that the decoder admits holds a digit or an ``@``
-in each span, so a window with neither is all outside and the network is not run on it.
+its last character.  Every tag sequence that is kept holds a digit, an ``@`` or a bracketed ``at``
+in each span, so a window with none of them is all outside and the network is not run on it.
 Emissions of overlapping windows are averaged (near a window's middle they weigh more), and
 one Viterbi pass over each connected stretch of windows settles the tags: no window
 decides alone.
@@ -32,18 +35,25 @@ from .common import over_texts, table
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 96
-HIDDEN = 12
-TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
+HIDDEN = 16
+#: What the network tells apart; the last has no pattern.
+ALL_KINDS = (*KINDS, "secret")
+TAGS = 1 + 2 * len(ALL_KINDS)  # outside, then begin and inside of each kind
 SAMPLE_ROWS = 400
-STEPS = 140
-LEAST_CHARS = {"email": 6, "ip": 7, "card": 16, "phone": 8}
+STEPS = 240
+#: Rewritten copies of each text of the sample.
+COPIES = 3
 
 _domain = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _local = re.compile(r"[A-Za-z0-9._%+-]")
 _ip = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _card = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_worth = re.compile(r"[0-9@]")
+_worth = re.compile(r"[0-9@]|[(\[]at[)\]]")
+_secret = re.compile(r"""(?i:token|secret|passw\w*|api[_-]?key)["']?\s*[=:]\s*["']?([A-Za-z0-9_+/-]{16,})""")
+
+# years from one to another, dates, book numbers
+_numbered = re.compile(r"(?:1[89]|20)\d\d ?[-/] ?(?:1[89]|20)\d\d$|(?:1[89]|20)\d\d([-./])\d\d?\1\d\d?$|97[89]-")
 
 Span = tuple[str, int, int]
 
@@ -116,7 +126,7 @@ def char_classes(text: str) -> np.ndarray:
 def _allowed() -> np.ndarray:
     """Transitions that make sense: inside only after begin or inside of the same kind."""
     out = np.zeros((TAGS, TAGS))
-    for k in range(len(KINDS)):
+    for k in range(len(ALL_KINDS)):
         begin, inside = 1 + 2 * k, 2 + 2 * k
         out[:, inside] = -1e4
         out[begin, inside] = out[inside, inside] = 0
@@ -225,7 +235,7 @@ def tag_row(n: int, spans: Iterable[Span]) -> np.ndarray:
     out = np.zeros(n, np.int64)
     for kind, a, b in spans:
         if not out[a:b].any():
-            k = KINDS.index(kind)
+            k = ALL_KINDS.index(kind)
             out[a:b] = 2 + 2 * k
             out[a] = 1 + 2 * k
     return out
@@ -244,10 +254,94 @@ def active_windows(text: str) -> list[int]:
     return sorted(k * half for k in out)
 
 
-def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    ids, tags = [], []
-    for text in texts:
-        spans, _ = base_spans(text)
+# -- labelled spans beyond the patterns -------------------------------------------------
+
+def labelled(text: str) -> list[Span]:
+    """Base spans and the secrets that are named as such."""
+    return base_spans(text)[0] + [("secret", m.start(1), m.end(1)) for m in _secret.finditer(text)]
+
+
+def _digits(rng, n: int) -> str:
+    return "".join(map(str, rng.integers(0, 10, n)))
+
+
+def _card_digits(rng) -> str:
+    head = _digits(rng, 15)
+    return next(head + d for d in "0123456789" if luhn(head + d))
+
+
+def _groups(text: str, size: int, mark: str) -> str:
+    return mark.join(text[i:i + size] for i in range(0, len(text), size))
+
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_ALPHABETS = ("0123456789abcdef", _LETTERS + _LETTERS.upper() + "0123456789", _LETTERS.upper() + "0123456789",
+              _LETTERS + _LETTERS.upper() + "0123456789_-")
+
+
+def _pick(rng, options):
+    return options[int(rng.integers(0, len(options)))]
+
+
+def rewritten(kind: str, value: str, rng) -> str:
+    """Another way to write personal data of a kind, which the patterns miss."""
+    if kind == "email":
+        name, _, host = value.partition("@")
+        return _pick(rng, [f"{name} [at] {host}", f"{name}(at){host}", f"{name} (at) {host}", f"{name} @ {host}",
+                           f"{name}@{host.replace('.', '[.]')}"])
+    if kind == "ip":
+        parts = [str(x) for x in rng.integers(1, 255, 4)]
+        return _pick(rng, ["[.]", " . ", "(.)"]).join(parts)
+    if kind == "card":
+        return _groups(_card_digits(rng), 4, _pick(rng, [".", "/", " - ", "_", "  "]))
+    if kind == "phone":
+        a, b, c, d = _digits(rng, 2), _digits(rng, 3), _digits(rng, 4), _digits(rng, 4)
+        return _pick(rng, [f"(0{a}) {c} {d}", f"{b}-{_digits(rng, 3)}-{d}", f"{b}.{_digits(rng, 3)}.{d}", f"0{a} {c} {d}",
+                           f"({b}) {_digits(rng, 3)}-{d}", f"00{a} {b} {c}{a}", f"0{a}/{c}{b}", f"0{b}-{c}{b}"])
+    n = int(rng.integers(20, 65))
+    return "".join(_pick(rng, letters) for letters in [_pick(rng, _ALPHABETS)] for _ in range(n))
+
+
+def harmless(rng) -> str:
+    """Digits that are no personal data."""
+    y, m, d = int(rng.integers(1900, 2100)), int(rng.integers(1, 13)), int(rng.integers(1, 29))
+    return _pick(rng, [f"{y}-{m:02}-{d:02}", f"{d:02}.{m:02}.{y}", f"{m:02}/{d:02}/{y}", f"{d:02}:{m:02}:{d:02}", f"{y}-{y + 6}",
+                       f"{_digits(rng, 1)},{_digits(rng, 3)}.{_digits(rng, 2)}", f"v{m}.{d}.{m}", f"No. {_digits(rng, 5)}", str(y),
+                       f"{_digits(rng, 3)} {_digits(rng, 3)} km", f"978-{_digits(rng, 1)}-{_digits(rng, 4)}-{_digits(rng, 4)}-{_digits(rng, 1)}",
+                       f"{d} {m} {y}", f"{_digits(rng, 2)}%", f"{_digits(rng, 6)}", f"p. {d}-{d + m}", f"{_digits(rng, 16)}"])
+
+
+def varied(text: str, rng) -> tuple[str, list[Span]]:
+    """A copy of a text in which labelled spans are rewritten, replaced by harmless numbers, or stay; with its labels."""
+    out, spans, done, size = [], [], 0, 0
+    for kind, a, b in sorted(labelled(text), key=lambda s: s[1]):
+        if a < done:
+            continue
+        value, new_kind = text[a:b], kind
+        roll = rng.random()
+        if roll < 0.55:
+            value = rewritten(kind, value, rng)
+        elif roll < 0.7:
+            new_kind = "secret"
+            value = rewritten("secret", "", rng)
+        elif roll < 0.9:
+            value, new_kind = harmless(rng), None
+        lead = _pick(rng, ["key: ", 'token = "', "secret=", "api_key: "]) if new_kind == "secret" != kind else ""
+        out += [text[done:a], lead]
+        size += a - done + len(lead)
+        if new_kind:
+            spans.append((new_kind, size, size + len(value)))
+        out.append(value)
+        size, done = size + len(value), b
+    return "".join(out) + text[done:], spans
+
+
+def training_windows(texts: list[str], copies: int = COPIES, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """Windows and tags of the texts, and of copies that are written in other ways."""
+    rng, ids, tags = np.random.default_rng(seed), [], []
+    many = [(t, labelled(t)) for t in texts]
+    many += [varied(t, rng) for _ in range(copies) for t, spans in many[:len(texts)] if spans]
+    for text, spans in many:
         classes, row = char_classes(text), tag_row(len(text), spans)
         for start in active_windows(text):
             pad = max(0, start + WINDOW - len(text))
@@ -262,15 +356,20 @@ def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(texts: list[str], steps: int = STEPS, seed: int = 7, rate: float = 0.02, batch: int = 48):
-    """Weights learned with Adam from the base spans of these texts; None if they hold none."""
+    """Weights learned with Adam from the labelled spans of these texts and their copies; None if they hold none."""
     ids, tags = training_windows(texts)
     if not tags.any():
         return None
     rng = np.random.default_rng(seed)
     w = new_weights(seed)
+    # windows are drawn alike from each kind, and from those without a span
+    kinds = [np.flatnonzero(found) for k in range(len(ALL_KINDS))
+             for found in [(tags == 1 + 2 * k).any(1)] if found.any()]
+    if not tags.any(1).all():
+        kinds.append(np.flatnonzero(~tags.any(1)))
     m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
     for step in range(1, steps + 1):
-        pick = rng.integers(0, len(ids), min(batch, len(ids)))
+        pick = np.concatenate([rng.choice(k, -(-batch // len(kinds))) for k in kinds])
         _, grads = loss_and_gradients(ids[pick], tags[pick], w)
         size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         for k, g in grads.items():
@@ -358,21 +457,33 @@ def _spans_of(tags: np.ndarray, offset: int, text: str) -> list[Span]:
         piece = text[offset + t:offset + end]
         a = offset + t + len(piece) - len(piece.lstrip())
         b = offset + end - len(piece) + len(piece.rstrip())
-        kind = KINDS[k]
-        digits = len(re.sub("[^0-9]", "", text[a:b]))
-        sound = b - a >= LEAST_CHARS[kind] and ("@" in text[a:b] if kind == "email" else digits >= (
-            4 if kind == "ip" else LEAST_CHARS[kind]))
-        if sound:
+        kind = ALL_KINDS[k]
+        if _sound(kind, text[a:b]):
             found.append((kind, a, b))
         t = end
     return found
 
 
+def _sound(kind: str, value: str) -> bool:
+    """What any span of a kind has to be, whoever found it."""
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "email":
+        return len(value) >= 6 and bool(re.search(r"@|[(\[]at[)\]]", value))
+    if kind == "ip":
+        parts = re.findall("[0-9]+", value)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and luhn(digits)
+    if kind == "phone":
+        return 8 <= len(digits) <= 15 and not re.search("[A-Za-z]", value) and not _numbered.match(value)
+    return len(value) >= 16 and not re.search(r"\s", value) and bool(digits) and bool(re.search("[A-Za-z]", value))
+
+
 def all_spans(texts: list[str], w) -> tuple[list[list[Span]], list[list[Span]]]:
     """Base spans and all spans of each text, both in the order of kinds and starts."""
     base, refused = zip(*[base_spans(t) for t in texts], strict=True) if texts else ((), ())
     added = model_spans(texts, w) if w is not None else [[] for _ in texts]
-    order = lambda spans: sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1]))
+    order = lambda spans: sorted(spans, key=lambda s: (ALL_KINDS.index(s[0]), s[1]))
     out = []
     for b, r, more in zip(base, refused, added, strict=True):
         new = [s for s in more if all(s[2] <= a or s[1] >= e for _, a, e in b)

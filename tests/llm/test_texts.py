@@ -352,3 +352,41 @@ def test_names_in_values_are_no_attributes():
     text = "A paragraph that has words enough, and a sentence that ends."
     page = f"""<html><body><article><p title="class='sidebar ad'">{text}</p><p>{text}</p></article></body></html>"""
     assert html.main_text(page, w) == f"{text}\n{text}"
+
+
+def test_the_network_finds_what_the_patterns_miss():
+    """Held-out texts with other values: recall and precision of spans beyond the base."""
+    rng = np.random.default_rng(11)
+
+    def text():
+        value = [f"{'abcxyz'[rng.integers(6)]}n.{rng.integers(99)}@mail{rng.integers(9)}.example.com", ".".join(map(str, rng.integers(1, 255, 4))),
+                 pii._card_digits(rng), f"+{rng.integers(1, 9)} ({pii._digits(rng, 3)}) 555-{pii._digits(rng, 4)}",
+                 f'token = "{pii.rewritten("secret", "", rng)}"'][rng.integers(5)]
+        words = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(int(rng.integers(10, 40)))]
+        at = int(rng.integers(1, len(words)))
+        return " ".join([*words[:at], value, *words[at:]])
+
+    w = pii.fit([text() for _ in range(250)])
+    held_out = [pii.varied(text(), rng) for _ in range(250)] + [(f"on {pii.harmless(rng)} they came and {pii.harmless(rng)} left", []) for _ in range(100)]
+    base, found = pii.all_spans([t for t, _ in held_out], w)
+    wanted = hit = added = right = 0
+    for (_, labels), b, got in zip(held_out, base, found, strict=True):
+        missed = [s for s in labels if not any(a < s[2] and s[1] < e for _, a, e in b)]
+        more = [s for s in got if s not in b]
+        assert [s for s in got if s in b] == b      # base spans stay
+        wanted, added = wanted + len(missed), added + len(more)
+        hit += sum(any(k == m[0] and min(e, m[2]) - max(a, m[1]) >= 0.8 * (m[2] - m[1]) for k, a, e in more) for m in missed)
+        right += sum(any(a < m[2] and m[1] < e for m in labels) for _, a, e in more)
+    assert wanted > 100 and hit >= 0.9 * wanted
+    assert right >= 0.9 * added
+
+
+def test_rewritten_values_are_no_base_spans_and_labels_fit():
+    rng = np.random.default_rng(5)
+    for kind in pii.ALL_KINDS:
+        for _ in range(60):
+            value = pii.rewritten(kind, "jane.doe@mail.example.com", rng)
+            assert not any((k, a, b) == (kind, 0, len(value)) for k, a, b in pii.base_spans(value)[0])
+            assert pii._sound(kind, value) or kind in ("secret", "phone")
+    text, spans = pii.varied('a token = "0123456789abcdef0123" b 4111 1111 1111 1111 c x.y@z.org', rng)
+    assert all(text[a:b].strip() == text[a:b] and b <= len(text) for _, a, b in spans)
