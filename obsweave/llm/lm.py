@@ -4,7 +4,7 @@ Tokens are the words of a text, A-Z lower-cased, and one end.  The tree models t
 letter: each word's UTF-8 bytes and a space, then an end sign, so its probabilities of token sequences add up to one.
 
 Learning.  One pass counts tokens, and strings of ``DEPTH`` bytes of history with the next byte, over all
-training texts, pre-aggregated in each task and packed into blocks by hash, about ``BLOCK_BYTES`` of text each.  A context (the last
+training texts, pre-aggregated in each task and packed into blocks by the hash of their oldest bytes, about ``BLOCK_BYTES`` of text each.  A context (the last
 1 to DEPTH bytes, which may begin with the text's
 start) is retained if it was seen ``MIN_COUNT`` times and its next-byte distribution diverges
 from that of the context one byte shorter: count x Kullback-Leibler divergence of at least ``MIN_GAIN`` nats.
@@ -51,12 +51,14 @@ P_FREQUENT = 4e-6
 END = 10
 SPACE = 32
 #: Entries that a task holds before it sends its counts on.
-FLUSH = 500_000
+FLUSH = 1_500_000
 #: Bytes of training text per block of counted strings.
 BLOCK_BYTES = 4_000_000
 #: The bit map of frequent contexts has 2 ** BITS places.
 BITS = 27
 TOP_DEPTH = 2
+#: Up to this depth counts are added up before the rows of one shorter context are brought together.
+COMMON_DEPTH = 4
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -117,7 +119,8 @@ def count(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             if not words and not state["keys"]:
                 return None
             keys, n = _summed(state["keys"], state["n"])
-            block = (mix(keys) % U64(blocks)).astype(np.int64)
+            # strings with the same oldest bytes lie side by side: their differences are small
+            block = (mix(keys.view(np.uint64) >> U64(24)) % U64(blocks)).astype(np.int64)
             order = np.argsort(block, kind="stable")
             keys, n, block = keys[order], n[order], block[order]
             known, first = np.unique(block, return_index=True)
@@ -126,8 +129,8 @@ def count(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             out = {"token": pa.concat_arrays([pa.array(list(words), pa.string()), pa.nulls(k, pa.string())]),
                    "n": pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.nulls(k, pa.int64())]),
                    "block": pa.concat_arrays([pa.nulls(w, pa.int64()), pa.array(known, pa.int64())]),
-                   "keys": [None] * w + [zlib.compress(np.diff(keys[a:b], prepend=0).tobytes(), 1) for a, b in cuts],
-                   "counts": [None] * w + [zlib.compress(n[a:b].tobytes(), 1) for a, b in cuts]}
+                   "keys": [None] * w + [_packed(np.diff(keys[a:b], prepend=0)) for a, b in cuts],
+                   "counts": [None] * w + [_packed(n[a:b]) for a, b in cuts]}
             words.clear()
             state.update(keys=[], n=[], held=0)
             return out
@@ -154,14 +157,23 @@ def count(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     tokens = sent.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))
 
     def merge(t: pa.Table) -> pa.Table:
-        keys = [np.cumsum(np.frombuffer(zlib.decompress(b), np.int64)) for b in t.column("keys").to_pylist()]
-        keys, n = _summed(keys, [np.frombuffer(zlib.decompress(b), np.int64) for b in t.column("counts").to_pylist()])
+        keys = [np.cumsum(_unpacked(b)) for b in t.column("keys").to_pylist()]
+        keys, n = _summed(keys, [_unpacked(b) for b in t.column("counts").to_pylist()])
         return pa.table({"gram": keys, "n": n})
 
     strings = sent.where("block IS NOT NULL").groupBy("block").applyInArrow(merge, "gram long, n long")
     return spool(tokens, "tokens", "zstd"), spool(strings, "strings", "zstd")
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Compressed, all first bytes first."""
+    return zlib.compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with the sums of their counts."""
     if not keys:
@@ -213,25 +225,15 @@ def _grown(strings: DataFrame, depth: int, shorter: bytes | None, min_count: int
     """``context``, ``next``, ``n``, ``gain`` of the contexts of one depth that were seen ``min_count`` times.
 
     ``shorter`` is the packed bit map of the frequent contexts one byte shorter (None: all).  A history that ends
-    at the shorter context has no context here, but counts for the shorter one (``context`` NULL until then).
+    at the shorter context has no context here, but counts for the shorter one.
     """
     shared = strings.sparkSession.sparkContext.broadcast(shorter)
-    above, own = (1 << 8 * (depth - 1)) - 1, (1 << 8 * depth) - 1
-    arrow = pa.schema([("parent", pa.int64()), ("context", pa.int64()), ("next", pa.int64()), ("n", pa.int64())])
+    above = (1 << 8 * (depth - 1)) - 1
+    arrow = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
 
     def cut(batches):
         packed = shared.value and np.frombuffer(zlib.decompress(shared.value), np.uint8)
-        keys, counts, held = [], [], 0
-
-        def rows():
-            k, n = _summed(keys, counts)
-            k = k.view(np.uint64)
-            history = (k >> U64(8)).astype(np.int64)
-            here = history & own
-            deep = here >> (8 * (depth - 1)) > 0
-            return pa.RecordBatch.from_arrays([
-                pa.array(here & above), pa.array(here, mask=~deep), pa.array((k & U64(255)).astype(np.int64)), pa.array(n)], schema=arrow)
-
+        cells, counts, held = [], [], 0
         for batch in batches:
             gram, n = (batch.column(i).to_numpy() for i in (0, 1))
             gram = gram.view(np.uint64)
@@ -242,22 +244,26 @@ def _grown(strings: DataFrame, depth: int, shorter: bytes | None, min_count: int
                 at = _places(parent)
                 known &= (packed[at >> U64(3)] >> (at & U64(7)).astype(np.uint8) & 1).astype(bool)
             low = np.uint64((1 << 8 * (depth + 1)) - 1) if depth < DEPTH else ~U64(0)
-            keys.append((gram[known] & low).view(np.int64))
+            cells.append((gram[known] & low).view(np.int64))
             counts.append(n[known])
             held += int(known.sum())
             if held > FLUSH:
-                yield rows()
-                keys, counts, held = [], [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(cells, counts)], schema=arrow)
+                cells, counts, held = [], [], 0
         if held:
-            yield rows()
-
-    made = strings.select("gram", "n").mapInArrow(cut, "parent long, context long, next long, n long")
-    cells = made.groupBy("parent", "context", "next").agg(F.sum("n").alias("n"))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(cells, counts)], schema=arrow)
+
+    made = strings.select("gram", "n").mapInArrow(cut, "cell long, n long")
+    if depth <= COMMON_DEPTH:   # few contexts, which all tasks have: added up before a parent's rows come together
+        made = made.groupBy("cell").agg(F.sum("n").alias("n"))
+    history = F.shiftrightunsigned("cell", 8)
+    cells = made.select("cell", "n", history.bitwiseAND(above).alias("parent")).repartition("parent").groupBy("parent", "cell").agg(
+        F.sum("n").alias("n")).select("parent", history.alias("context"), F.col("cell").bitwiseAND(255).alias("next"), "n")
     by_parent, by_context = Window.partitionBy("parent"), Window.partitionBy("parent", "context")
+    deep = F.shiftright("context", 8 * (depth - 1)) > 0
     totals = (cells.withColumn("parent_total", F.sum("n").over(by_parent))
               .withColumn("parent_n", F.sum("n").over(Window.partitionBy("parent", "next")))
-              .withColumn("total", F.sum("n").over(by_context))
-              .where(F.col("context").isNotNull() & (F.col("total") >= min_count)))
+              .where(deep).withColumn("total", F.sum("n").over(by_context)).where(F.col("total") >= min_count))
     term = F.col("n") * F.ln((F.col("n") / F.col("total")) / (F.col("parent_n") / F.col("parent_total")))
     return totals.withColumn("gain", F.sum(term).over(by_context)).select("context", "next", "n", "gain")
 
