@@ -3,8 +3,10 @@
 A line with a word fails when it
   * repeats an earlier line of the text,
   * is boilerplate: it holds one of ``BOILERPLATE`` (any case) and has at most 30 words,
-  * is navigation: three or more ``|``, ``>`` or bullet separators, and these are at least a fifth of its words,
-  * lacks punctuation: over 40 words and not one of ``. ! ? ; :`` in it,
+  * is navigation: three or more ``|``, ``>`` or bullet separators, and these are at least a fifth of its words; or an entry of a
+    menu: at most 4 words without a sentence mark at its end, in a run of six or more such lines (lines without a word
+    do not end a run),
+  * lacks punctuation: over 40 words and no sentence mark of any script in it,
   * is made of symbols: characters of ``[#*$%&|<>]`` are over a tenth of its word characters.
 A document is kept if the base rules pass and its lines lost at most half of the words.
 
@@ -29,22 +31,51 @@ BOILERPLATE = [
 ]
 SYMBOL = r"[#*$%&|<>]"
 NAVIGATION = "[|>»›•·]"
-PUNCTUATION = r"[.!?;:]"
+# Marks that end sentences or parts of them, of Latin, Greek, Devanagari, Arabic, Armenian, Ethiopic, Khmer,
+# Burmese, Tibetan and East Asian scripts; closing signs may follow them.
+MARKS = ".!?;:…‽·।॥؟۔؛։።፧៕။༎。！？；：｡"
+PUNCTUATION = f"[{MARKS}]"
+ENDED = rf"[{MARKS}][\x20\x09-\x0D\x22\x27”’»)\]]*$"
+MAX_ENTRY_WORDS = 4
+LEAST_ENTRIES = 6
 MAX_BOILERPLATE_WORDS = 30
 MAX_UNPUNCTUATED_WORDS = 40
 MAX_LOST_PERCENT = 50
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-_symbol, _navigation, _punctuation = re.compile(SYMBOL), re.compile(NAVIGATION), re.compile(PUNCTUATION)
+_symbol, _navigation, _punctuation, _ended = (re.compile(p) for p in (SYMBOL, NAVIGATION, PUNCTUATION, ENDED))
 _boilerplate = re.compile("|".join(re.escape(p) for p in BOILERPLATE), re.ASCII | re.IGNORECASE)
 
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           "base_failed boolean, kept boolean, n_bad_lines long, words_left long, cleaned string")
 
 
-def bad_line(line: str, words: int, seen: bool) -> bool:
-    if seen:
+def menu_lines(lines: list[tuple[str, int]]) -> list[bool]:
+    """Which lines (with their numbers of words) are entries of a menu."""
+    out, run = [], 0
+    for line, words in [*lines, ("", MAX_ENTRY_WORDS + 1)]:
+        if not words:
+            out.append(False)
+            continue
+        entry = words <= MAX_ENTRY_WORDS and not _ended.search(line)
+        if not entry:
+            if run >= LEAST_ENTRIES:
+                at = len(out) - 1
+                while run:
+                    if lines[at][1]:
+                        out[at] = True
+                        run -= 1
+                    at -= 1
+            run = 0
+        else:
+            run += 1
+        out.append(False)
+    return out[:-1]
+
+
+def bad_line(line: str, words: int, seen: bool, entry: bool = False) -> bool:
+    if seen or entry:
         return True
     if words <= MAX_BOILERPLATE_WORDS and _boilerplate.search(line):
         return True
@@ -78,15 +109,15 @@ def judge(text: str | None) -> tuple:
     text = text or ""
     words = WORD.findall(text)
     n, seen, kept_lines, bad, dup, left = len(words), set(), [], 0, 0, 0
-    for line in text.split("\n"):
-        count = len(WORD.findall(line))
+    lines = [(line, len(WORD.findall(line))) for line in text.split("\n")]
+    for (line, count), entry in zip(lines, menu_lines(lines), strict=True):
         if not count:
             kept_lines.append(line)
             continue
         again = line in seen
         seen.add(line)
         dup += again
-        if bad_line(line, count, again):
+        if bad_line(line, count, again, entry):
             bad += 1
         else:
             left += count
@@ -130,11 +161,15 @@ lw AS (SELECT r, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS
               len(regexp_extract_all(line, '{SYMBOL}')) AS symbols,
               len(regexp_extract_all(line, '{NAVIGATION}')) AS bars,
               row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again FROM lines),
+es AS (SELECT *, n <= {MAX_ENTRY_WORDS} AND NOT regexp_matches(line, '{ENDED}') AS entry FROM lw WHERE n > 0),
+isles AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY i)
+                    - row_number() OVER (PARTITION BY r, entry ORDER BY i) AS isle FROM es),
+runs AS (SELECT *, entry AND count(*) OVER (PARTITION BY r, entry, isle) >= {LEAST_ENTRIES} AS menu FROM isles),
 judged AS (SELECT r, n, again,
-              again OR (n <= {MAX_BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{_QUOTED}'))
+              again OR menu OR (n <= {MAX_BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{_QUOTED}'))
               OR (bars >= 3 AND 5 * bars >= n)
               OR (n > {MAX_UNPUNCTUATED_WORDS} AND NOT regexp_matches(line, '{PUNCTUATION}'))
-              OR (symbols > 0 AND 10 * symbols > chars) AS bad FROM lw WHERE n > 0),
+              OR (symbols > 0 AND 10 * symbols > chars) AS bad FROM runs),
 l AS (SELECT r, count(*) FILTER (again) AS dup, count(*) FILTER (bad) AS bad,
              coalesce(sum(n) FILTER (NOT bad), 0) AS words_left FROM judged GROUP BY r),
 f AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,

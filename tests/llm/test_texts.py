@@ -390,3 +390,31 @@ def test_rewritten_values_are_no_base_spans_and_labels_fit():
             assert pii._sound(kind, value) or kind in ("secret", "phone")
     text, spans = pii.varied('a token = "0123456789abcdef0123" b 4111 1111 1111 1111 c x.y@z.org', rng)
     assert all(text[a:b].strip() == text[a:b] and b <= len(text) for _, a, b in spans)
+
+
+def test_menus_go_line_by_line_and_other_scripts_stay():
+    menu = "\n".join(f"Entry {w}" for w in ("home about news team contact imprint jobs press blog shop help login".split() * 5))
+    assert not quality.judge(menu)[6] and quality.judge(menu)[7] == 60      # every entry is a bad line
+    prose = "\n".join("A title\n" + " ".join(f"{w}{i}" for i in range(12)) + "." for w in "abcdefgh")
+    assert quality.judge(prose)[6] and quality.judge(prose)[7] == 7         # only the titles that come again
+    five = "\n".join(["one two", "three", "", "four", "five", "six"])
+    assert quality.judge(five)[7] == 0 and quality.judge(five + "\nseven")[7] == 6
+    assert quality.judge("one.\n" * 1 + "two!\nthree?\nfour。\nfive।\nsix \u06d4 ")[7] == 0
+    hindi = " ".join(f"शब्द{i}" for i in range(60)) + "।"
+    assert quality.judge(hindi)[6] and not quality.judge(hindi[:-1])[6]
+
+
+def test_runs_of_entries_are_brute_force():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        lines = [["", "a b", "c", "a b c d e", "ends."][k] for k in rng.integers(0, 5, 25) if k < 5]
+        pairs = [(x, len(x.split())) for x in lines]
+        entry = [0 < n <= 4 and not x.endswith(".") for x, n in pairs]
+        worded = [i for i, (_, n) in enumerate(pairs) if n]
+        want = [False] * len(lines)
+        for a in range(len(worded)):
+            for b in range(a + quality.LEAST_ENTRIES, len(worded) + 1):
+                if all(entry[i] for i in worded[a:b]):
+                    for i in worded[a:b]:
+                        want[i] = True
+        assert quality.menu_lines(pairs) == want
