@@ -19,16 +19,27 @@ def _sticks(left: str, right: str) -> bool:
     return not left or not right or left[-1].isspace() or right[0].isspace()
 
 
-#: White space that a single space may touch; a text without any of these pairs is cut at every space.
-_PAIRS = [pair for c in map(chr, range(0x3001)) if c.isspace() for pair in (f" {c}", f"{c} ")]
-_USUAL, _RARE = _PAIRS[:20], re.compile("|".join(_PAIRS[20:]))
+# white space other than the space and the line feed: rare, so first only looked for
+_CONTROLS = [c for c in map(chr, range(128)) if c.isspace() and c not in " \n"]
+_BEYOND = [c for c in map(chr, range(128, 0x3001)) if c.isspace()]
+_beyond = re.compile(f"[{''.join(_BEYOND)}]").search
+
+
+def _touches(text: str, c: str) -> bool:
+    return f" {c}" in text or f"{c} " in text
+
+
+def _is_plain(text: str) -> bool:
+    """No single space of the text touches white space or an end of the text."""
+    if "  " in text or _touches(text, "\n") or any(c in text and _touches(text, c) for c in _CONTROLS):
+        return False
+    return text.isascii() or not _beyond(text) or not any(c in text and _touches(text, c) for c in _BEYOND)
 
 
 def units_of(text: str) -> list[str]:
     """Parts with ``" ".join(parts) == text``; every space between two parts is a safe cut."""
     words = text.split(" ")
-    plain = words[0] and words[-1] and not any(pair in text for pair in _USUAL)
-    if plain and (text.isascii() or not _RARE.search(text)) and not words[0][-1].isspace():
+    if words[0] and words[-1] and _is_plain(text):
         return words
     out, held = [], [words[0]]
     for w in words[1:]:
