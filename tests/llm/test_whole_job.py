@@ -126,12 +126,3 @@ def test_tree_grows_with_the_corpus_and_joins_score_as_the_broadcast_does(spark)
         assert far[k].score == pytest.approx(near[k].score) and far[k].base_score == pytest.approx(near[k].base_score)
     lone = lm.score(docs.limit(1), F.lit(False), broadcast_cells=-1).first()
     assert lone.score == pytest.approx(lm.score(docs.limit(1), F.lit(False)).first().score)
-
-
-def test_sample_of_rows_that_share_an_id_is_fixed(spark):
-    from obsweave.operators import select
-
-    df = spark.range(3000).selectExpr("IF(id % 3 = 0, NULL, 7L) AS k", "id AS v", "map('a', id) AS m")
-    for n in (500, 1500, 2500, 3000, 9000):
-        a, b = ({r.v for r in select.sample_n(d.repartition(p, "v"), n, "k").collect()} for d, p in ((df, 3), (df.orderBy(df.v.desc()), 13)))
-        assert len(a) == min(n, 3000) and a == b
