@@ -43,6 +43,8 @@ TRIGGER, CHUNK_WORDS = 32, 128
 BITS = 27
 #: Distinct keys that a task adds up before it sends them on.
 HELD = 400_000
+#: Parts of a lang whose first phrases are ranked on their own.
+PARTS = 64
 
 _PREPARE = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
 _BLANKS = re.compile(rb"[ \n]{2,}")
@@ -254,9 +256,12 @@ def scored(kept: DataFrame, totals: DataFrame, top: int = TOP) -> DataFrame:
     best = (least.groupBy("lang", "phrase", "a", "n")
             .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
             .select("lang", "phrase", "a", "n", "cut.score", "cut.l", "cut.r"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # Spark takes the first rows of every task before it brings a lang together
-    return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # a lang may hold any number of phrases: the first of each of many parts come together, not all of them
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    first = best.withColumn("part", part).withColumn(
+        "place", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("place") <= top)
+    return (first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
 
 
