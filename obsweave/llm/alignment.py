@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -107,18 +108,19 @@ class Aligner:
         encoded = self.a.encode_batch([text], add_special_tokens=False)[0]
         pieces = self.b.encode(text[1:], return_type="proto", num_threads=1).pieces
         a_ids = np.array(encoded.ids, np.int64)
-        b_ids = np.fromiter((p.id for p in pieces), np.int64, len(pieces))
+        spans = np.fromiter([x for p in pieces for x in (p.id, p.end)], np.int64, 2 * len(pieces))
+        b_ids = spans[::2]
         if (b"".join(map(self.a_bytes.__getitem__, a_ids.tolist())) != raw
                 or b"".join(map(self.b_bytes.__getitem__, b_ids.tolist())) != raw):
             return None
-        offsets = np.array(encoded.offsets, np.int64).reshape(-1, 2)
+        offsets = np.fromiter(chain.from_iterable(encoded.offsets), np.int64, 2 * len(a_ids)).reshape(-1, 2)
         place = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         at = np.concatenate([[0], np.cumsum(1 + (place >= 0x80) + (place >= 0x800) + (place >= 0x10000))])
         a_ends = at[offsets[:, 1]]
         overlap = offsets[1:, 0] < offsets[:-1, 1]      # tokens that share a character
         shared = np.concatenate([[False], overlap]) | np.concatenate([overlap, [False]])
         a_ends[shared] = np.cumsum(self.a_width[a_ids])[shared]
-        b_ends = np.fromiter((p.end for p in pieces), np.int64, len(pieces)) + 1
+        b_ends = spans[1::2] + 1
         bytewise = self.is_fallback[b_ids]
         b_ends[bytewise] = np.cumsum(self.b_width[b_ids])[bytewise]
         return a_ids, a_ends, b_ids, b_ends
@@ -153,6 +155,13 @@ def links(groups: list[tuple[list[int], list[int]]]) -> Counter:
     return found
 
 
+def _among(values: np.ndarray, rising: np.ndarray) -> np.ndarray:
+    """Which of the values are in an array that rises."""
+    if not len(rising):
+        return np.zeros(len(values), bool)
+    return rising[np.minimum(np.searchsorted(rising, values), len(rising) - 1)] == values
+
+
 def _counted(unit: np.ndarray, key: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
     """Distinct (unit, key) in order, and how often each occurs."""
     low = 2 * SHIFT     # both ids of a pair
@@ -207,8 +216,8 @@ class _Table:
             return False
         a_ids, a_ends, b_ids, b_ends = found
         unit_ends = np.cumsum([len(u.encode()) + 1 for u in units])
-        common = np.intersect1d(a_ends, b_ends)
-        if not np.isin(unit_ends, common).all():
+        common = a_ends[_among(a_ends, b_ends)]     # ends rise on both sides
+        if not _among(unit_ends, common).all():
             return False
         n, a_group, b_group = len(units), np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
         unit = np.searchsorted(unit_ends, common)           # of each group
@@ -227,14 +236,17 @@ class _Table:
         self.times[self.m:self.m + len(times)] = times
         self.first[at + 1:to + 1] = self.m + np.searchsorted(both[0], np.arange(n), side="right")
         self.n, self.m = to, self.m + len(times)
-        self.texts += self._texts(a_ids, a_group, b_ids, b_group, unit)
+        self.texts += self._texts(a_ids, a_group, many_a, b_ids, b_group, many_b, unit)
         return True
 
-    def _texts(self, a_ids, a_group, b_ids, b_group, unit) -> list[bytes]:
+    def _texts(self, a_ids, a_group, many_a, b_ids, b_group, many_b, unit) -> list[bytes]:
         """The groups of every part as text."""
-        side = np.concatenate([2 * a_group, 2 * b_group + 1])
-        order = np.argsort(side, kind="stable")
-        side, ids = side[order], np.concatenate([a_ids, b_ids])[order]
+        # a token's place: those of its side before it, and those of the other side up to its group
+        from_a = np.arange(len(a_ids)) + (np.cumsum(many_b) - many_b)[a_group]
+        from_b = np.arange(len(b_ids)) + np.cumsum(many_a)[b_group]
+        side, ids = (np.empty(len(a_ids) + len(b_ids), np.int64) for _ in "ab")
+        side[from_a], side[from_b] = 2 * a_group, 2 * b_group + 1
+        ids[from_a], ids[from_b] = a_ids, b_ids
         following = np.append(side[1:], -2)
         same_group = following >> 1 == side >> 1
         last = np.concatenate([unit[side >> 1][1:] != unit[side >> 1][:-1], [True]])
@@ -280,7 +292,7 @@ def _slices(df: DataFrame, byte_level: str, pieces: str, key: str, text: str) ->
                 cache.chars = 0
             cache.learn(lists)
             sizes = np.fromiter(map(len, lists), np.int64, n)
-            unit = np.fromiter((cache[u] for units in lists for u in units), np.int64, int(sizes.sum()))
+            unit = np.fromiter(map(cache.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
             doc = np.repeat(np.arange(n), sizes)
             lost = np.bincount(doc, ~known.kept[unit], n) > 0
             unit, doc = unit[~lost[doc]], doc[~lost[doc]]

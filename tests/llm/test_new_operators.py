@@ -351,3 +351,34 @@ def test_nul_and_byte_one_are_different_tokens(spark):
     n, v = 4, 3
     want = np.log10(2 / (n + v + 1)) + np.log10(3 / (n + v + 1))
     assert [rows[i].base_score for i in (0, 1)] == pytest.approx([want, want])
+
+
+# -- alignment of many parts: each token is read once, nothing is sorted ---------------------------
+
+
+def test_parts_aligned_together_read_each_piece_once_and_sort_no_tokens(monkeypatch):
+    aligner = alignment.Aligner(packing.vocabulary_path(alignment.BYTE_LEVEL), packing.vocabulary_path(alignment.PIECES))
+    parts = ["zebra", "日本", "x1,y", "naïve", "a", "😀b"]
+    want = [";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups).encode()
+            for groups in aligner.align_all(parts)]
+    rounds, encode = [], aligner.b.encode
+
+    class Pieces(list):
+        def __iter__(self):
+            rounds.append(len(self))
+            return super().__iter__()
+
+    class Once:
+        def __init__(self, pieces):
+            self.pieces = Pieces(pieces)
+
+    class Model:
+        def encode(self, *args, **kw):
+            return Once(encode(*args, **kw).pieces)
+
+    monkeypatch.setattr(aligner, "b", Model())
+    monkeypatch.setattr(np, "argsort", None)
+    monkeypatch.setattr(np, "intersect1d", None)
+    known = alignment._Table(aligner)
+    assert known.add(parts) == list(range(len(parts))) and known.texts == want
+    assert len(rounds) == 1
