@@ -3,44 +3,44 @@
 Tokens are the words of a text, A-Z lower-cased, and one end.  The tree models the same tokens letter by
 letter: each word's UTF-8 bytes and a space, then an end sign, so its probabilities of token sequences add up to one.
 
-Learning.  One pass counts tokens, and strings of ``DEPTH`` bytes of history with the next byte, over all
-training texts, pre-aggregated in each task and packed into blocks by the hash of their oldest bytes, about ``BLOCK_BYTES`` of text each.  A context (the last
-1 to DEPTH bytes, which may begin with the text's
-start) is retained if it was seen ``MIN_COUNT`` times and its next-byte distribution diverges
+Learning.  One pass over all texts cuts them into slices of at most about ``FLUSH`` different strings of ``DEPTH`` bytes of history
+with the next byte.  A slice keeps its texts once and its distinct strings with their counts in training texts, packed into
+blocks: strings whose newest ``KEY_DEPTH`` bytes of history agree share a block, about ``BLOCK_BYTES`` of text each.  A context (the last
+1 to DEPTH bytes, which may begin with the text's start) is retained if it was seen ``MIN_COUNT`` times and its next-byte distribution diverges
 from that of the context one byte shorter: count x Kullback-Leibler divergence of at least ``MIN_GAIN`` nats.
-All of these stay, with all their suffixes, so the tree grows with the corpus.  The tree is grown depth by depth: a
-context can be frequent only if the one a byte shorter is, so only strings whose shorter context is in a bit map of the
-frequent ones (16 MB at every size; a false hit is counted and then dropped) go into the shuffle, and only frequent
-contexts are stored.  Distributions are smoothed
+All of these stay, with all their suffixes, so the tree grows with the corpus.  A block holds every string of its
+contexts, so one shuffle grows all depths from ``KEY_DEPTH`` on: sorted with the newest byte first, a context is a range.  The levels above have few
+entries (strings of KEY_DEPTH bytes; 53,000 for 25 MB of text); their sums are collected and broadcast.  Distributions are smoothed
 towards the shorter context's (Witten-Bell), at the root towards the uniform one.
 
 Scoring.  A symbol's probability is folded along the retained suffixes of its history, from the root to the longest.
 A tree of at most ``BROADCAST_CELLS`` entries is broadcast as sorted tables, in which a task looks up its distinct strings.
-A larger tree stays on Spark: its first ``TOP_DEPTH`` levels (at most 256 ** 3 entries) are broadcast, as their few contexts would be
-hot keys; for the rest the distinct strings of all texts find their contexts in joins, and the
-texts their strings; this needs a shuffle of about all symbols, and no part of the tree is left out.
+A larger tree stays in its blocks, and so do the strings to be looked up: each block answers each slice, once per longest
+context and next byte, and a second shuffle brings the answers (rounded to 1e-8) to the slice's texts.  No part of the tree is left out.
 Tokens of at least the share ``P_FREQUENT`` of all training tokens (at most 1 / P_FREQUENT, therefore) have their
 counts broadcast for the base; the rest, of which none is hot by this choice, find theirs in a join.
 
 Defined cases: a NULL or empty text is its end alone; a NULL id is neither learned from nor held out; with
 nothing to learn from, base scores follow the formula with N = V = 0 and bytes are uniform; repeated rows count and
-are answered each; other columns are ignored.  The documents have to be a stored table, read alike each time.
+are answered each; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import spool
-from .common import U64, fold_of, mix, over_texts, rows_with_number, ship_code, stored_rows, table
+from .common import U64, as_batch, fold_of, mix, over_texts, rows_with_number, ship_code, table
 
 DEPTH = 7
 MIN_COUNT = 16
@@ -50,15 +50,21 @@ BROADCAST_CELLS = 3_000_000
 P_FREQUENT = 4e-6
 END = 10
 SPACE = 32
-#: Entries that a task holds before it sends its counts on.
-FLUSH = 1_500_000
-#: Bytes of training text per block of counted strings.
-BLOCK_BYTES = 4_000_000
-#: The bit map of frequent contexts has 2 ** BITS places.
-BITS = 27
-TOP_DEPTH = 2
-#: Up to this depth counts are added up before the rows of one shorter context are brought together.
-COMMON_DEPTH = 4
+#: Distinct strings, and symbols, of a slice.
+FLUSH = 3_000_000
+SLICE_SYMBOLS = 20_000_000
+#: Strings that a task gathers before it adds them up.
+GATHERED = 1_200_000
+#: Distinct tokens that a task holds before it sends its counts on.
+TOKENS = 1_000_000
+#: Bytes of text per block of counted strings.
+BLOCK_BYTES = 8_000_000
+#: Strings go to blocks by the newest KEY_DEPTH bytes of history; the levels above are broadcast.
+KEY_DEPTH = 4
+#: Answers of blocks are rounded to 1 / FINE in log10.
+FINE = 1e8
+TOP_DEPTH = KEY_DEPTH - 1
+TOP_BYTES = U64((1 << 64) - (1 << 8 * (8 - TOP_DEPTH)) | 255)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -106,78 +112,146 @@ def words_of(raw: bytes) -> list[str]:
     return words
 
 
-def count(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(``token, n``; ``gram, n``): counts over the training texts, stored; the end is the token of a line feed."""
+def turned(strings: np.ndarray) -> np.ndarray:
+    """Strings (as of ``grams``) with the newest byte of history first and the next byte last: suffixes become prefixes."""
+    strings = strings.view(U64)
+    return strings.byteswap() << U64(8) | strings & U64(255)
+
+
+def turned_back(keys: np.ndarray) -> np.ndarray:
+    return ((keys >> U64(8)).byteswap() | keys & U64(255)).view(np.int64)
+
+
+def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
+    return (mix(keys >> U64(64 - 8 * KEY_DEPTH)) % U64(blocks)).astype(np.int64)
+
+
+_SENT = ("token string, n long, slice long, block long, keys binary, counts binary, row array<long>, doc_id array<long>, "
+         "ends array<int>, text binary")
+
+
+def count(docs: DataFrame, training: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(``token, n``; slices), stored.  The end is the token of a line feed.
+
+    Slices have one row with their symbols (``n`` is the number of blocks), and per block the strings that occur in them (``keys``, in the order of
+    ``turned``) with their numbers in training texts; block -1 has the strings of the first ``TOP_DEPTH`` levels.
+    """
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
 
     def setup():
         words: Counter = Counter()
-        state = {"keys": [], "n": [], "held": 0}
+        state = {"keys": [], "n": [], "held": 0, "row": [], "doc_id": [], "size": [], "syms": [], "long": 0}
+        base, sent = TaskContext.get().partitionId() << 33, [0]
 
         def send():
-            if not words and not state["keys"]:
+            if not state["row"]:
                 return None
             keys, n = _summed(state["keys"], state["n"])
-            # strings with the same oldest bytes lie side by side: their differences are small
-            block = (mix(keys.view(np.uint64) >> U64(24)) % U64(blocks)).astype(np.int64)
+            state.update(keys=[], n=[])
+            block = block_of(keys, blocks)
             order = np.argsort(block, kind="stable")
             keys, n, block = keys[order], n[order], block[order]
             known, first = np.unique(block, return_index=True)
             cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=True))
-            w, k = len(words), len(known)
-            out = {"token": pa.concat_arrays([pa.array(list(words), pa.string()), pa.nulls(k, pa.string())]),
-                   "n": pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.nulls(k, pa.int64())]),
-                   "block": pa.concat_arrays([pa.nulls(w, pa.int64()), pa.array(known, pa.int64())]),
-                   "keys": [None] * w + [_packed(np.diff(keys[a:b], prepend=0)) for a, b in cuts],
-                   "counts": [None] * w + [_packed(n[a:b]) for a, b in cuts]}
+            top, top_n = _summed([keys[n > 0] & TOP_BYTES], [n[n > 0]])
+            w, k = len(words), len(known) + 1
+            syms = np.concatenate(state["syms"])
+
+            def one(kind, value):
+                return pa.array([None] * (w + k) + [value], kind)
+
+            out = {"token": pa.concat_arrays([pa.array(list(words), pa.string()), pa.nulls(k + 1, pa.string())]),
+                   "n": pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.nulls(k, pa.int64()), pa.array([blocks], pa.int64())]),
+                   "slice": [None] * w + [base + sent[0]] * (k + 1),
+                   "block": [None] * w + [*known.tolist(), -1, None],
+                   "keys": [None] * w + [_packed_keys(keys[a:b]) for a, b in cuts] + [_packed_keys(top), None],
+                   "counts": [None] * w + [_packed(n[a:b]) for a, b in cuts] + [_packed(top_n), None],
+                   "row": one(pa.list_(pa.int64()), state["row"]), "doc_id": one(pa.list_(pa.int64()), state["doc_id"]),
+                   "ends": one(pa.list_(pa.int32()), np.cumsum(state["size"]).astype(np.int32)),
+                   "text": one(pa.binary(), _squeezed(syms.tobytes(), len(syms)))}
             words.clear()
-            state.update(keys=[], n=[], held=0)
+            state.update(keys=[], n=[], held=0, row=[], doc_id=[], size=[], syms=[], long=0)
+            sent[0] += 1
             return out
 
         def each(rows):
             syms, starts = symbols(rows["text"])
-            words.update(words_of(syms[syms != END].tobytes()))
-            words["\n"] += len(rows["text"])
-            keys, n = np.unique(grams(syms, starts), return_counts=True)
-            state["keys"].append(keys)
-            state["n"].append(n)
-            state["held"] += len(keys)
-            if state["held"] > FLUSH:
+            sizes, flags = np.diff(starts), np.array(rows["training"], bool)
+            learn = np.repeat(flags, sizes)
+            if flags.any():
+                words.update(words_of(syms[learn & (syms != END)].tobytes()))
+                words["\n"] += int(flags.sum())
+            g = turned(grams(syms, starts))
+            for part, counted in ((g[learn], True), (g[~learn], False)):
+                keys, n = np.unique(part, return_counts=True)
+                state["keys"].append(keys)
+                state["n"].append(n * counted)
+                state["held"] += len(keys)
+            state["row"] += rows["row"]
+            state["doc_id"] += rows["doc_id"]
+            state["size"] += sizes.tolist()
+            state["syms"].append(syms)
+            state["long"] += len(syms)
+            if state["held"] > GATHERED:
                 keys, n = _summed(state["keys"], state["n"])
                 state.update(keys=[keys], n=[n], held=0)
-            if len(words) > FLUSH or (state["keys"] and len(state["keys"][0]) > FLUSH):
+            if len(words) > TOKENS or state["long"] > SLICE_SYMBOLS or len(state["keys"][0]) > FLUSH:
                 return send()
             return None
 
         return each, send
 
-    sent = spool(over_texts(docs.select("text"), "text", None, "token string, n long, block long, keys binary, counts binary",
-                            setup=setup), "blocks", "zstd")
+    used = rows_with_number(docs, "doc_id", "text").withColumn(
+        "training", F.coalesce(F.lit(True) if training is None else training, F.lit(False)))
+    sent = spool(over_texts(used, "text", None, _SENT, setup=setup), "slices", "zstd")
     tokens = sent.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))
+    return spool(tokens, "tokens", "zstd"), sent.where("token IS NULL").drop("token")
+
 
-    def merge(t: pa.Table) -> pa.Table:
-        keys = [np.cumsum(_unpacked(b)) for b in t.column("keys").to_pylist()]
-        keys, n = _summed(keys, [_unpacked(b) for b in t.column("counts").to_pylist()])
-        return pa.table({"gram": keys, "n": n})
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Rising keys of 8 bytes: how many leading bytes are the last key's, then the others, place by place."""
+    raw = np.ascontiguousarray(keys.astype(">u8")).view(np.uint8).reshape(-1, 8)
+    same = np.zeros(len(keys), np.uint8)
+    same[1:] = np.argmax(raw[1:] != raw[:-1], 1)
+    return _squeezed(b"".join([same.tobytes(), *(raw[same <= j, j].tobytes() for j in range(8))]), len(keys))
 
-    strings = sent.where("block IS NOT NULL").groupBy("block").applyInArrow(merge, "gram long, n long")
-    return spool(tokens, "tokens", "zstd"), spool(strings, "strings", "zstd")
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    rest, n = _spread(data)
+    same, at = rest[:n], n
+    raw = np.zeros((n, 8), np.uint8)
+    for j in range(8):
+        fresh = np.cumsum(same <= j)
+        known = int(fresh[-1]) if n else 0
+        raw[:, j] = rest[at:at + known][fresh - 1]
+        at += known
+    return raw.reshape(-1).view(">u8").astype(U64)
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Compressed, all first bytes first."""
-    return zlib.compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+    """Whole numbers, all first bytes first."""
+    return _squeezed(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), len(values))
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+    rest, n = _spread(data)
+    return np.ascontiguousarray(rest.reshape(8, n).T).view("<i8").ravel()
+
+
+def _squeezed(raw: bytes, n: int) -> bytes:
+    return np.array([len(raw), n], "<i8").tobytes() + pa.Codec("zstd", compression_level=9).compress(raw, asbytes=True)
+
+
+def _spread(data: bytes) -> tuple[np.ndarray, int]:
+    size, n = np.frombuffer(data[:16], "<i8").tolist()
+    return np.frombuffer(pa.decompress(data[16:], size, "zstd"), np.uint8), n
 
 
 def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with the sums of their counts."""
     if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, U64), np.zeros(0, np.int64)
     keys, n = np.concatenate(keys), np.concatenate(n)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -195,111 +269,122 @@ class Tree:
     share: list[np.ndarray]  # what an entry adds
 
 
-def retained(strings: DataFrame, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> DataFrame:
-    """Rows (``depth``, ``context``, ``next``, ``n``) of the root and of all retained contexts, stored."""
-    ship_code(strings.sparkSession)
-    root = strings.groupBy(F.col("gram").bitwiseAND(255).alias("next")).agg(F.sum("n").alias("n"))
-    levels, shorter = [], None
-    for depth in range(1, DEPTH + 1):
-        level = spool(_grown(strings, depth, shorter, min_count), f"depth-{depth}", "zstd")
-        levels.append(level)
-        if depth < DEPTH:
-            shorter = _bit_map(level, depth)
-    # from the longest contexts down: those that pass the test, and the suffixes of those that stay
-    kept, longer = [root.select(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("context"), "next", "n")], None
-    for depth in range(DEPTH, 0, -1):
-        level, passed = levels[depth - 1], F.col("gain") >= min_gain
-        stays = level.where(passed)
-        if longer is not None:
-            suffix = longer.select(F.col("context").bitwiseAND((1 << 8 * depth) - 1).alias("context")).distinct()
-            stays = stays.unionByName(level.where(~passed).join(suffix, "context", "left_semi"))
-        longer = spool(stays.select(F.lit(depth).alias("depth"), "context", "next", "n"), "kept", "zstd")
-        kept.append(longer)
-    out = kept[0]
-    for level in kept[1:]:
-        out = out.unionByName(level)
-    return spool(out, "retained", "zstd")
-
-
-def _grown(strings: DataFrame, depth: int, shorter: bytes | None, min_count: int) -> DataFrame:
-    """``context``, ``next``, ``n``, ``gain`` of the contexts of one depth that were seen ``min_count`` times.
-
-    ``shorter`` is the packed bit map of the frequent contexts one byte shorter (None: all).  A history that ends
-    at the shorter context has no context here, but counts for the shorter one.
+@dataclass
+class Level:
+    """Counts of one depth, in the order of ``turned``."""
+    cells: np.ndarray  # context << 8 | next
+    n: np.ndarray
+    contexts: np.ndarray
+    place: np.ndarray  # context of each cell
+    totals: np.ndarray
+
+
+def _level(keys: np.ndarray, n: np.ndarray, depth: int) -> Level:
+    """Contexts of one depth; histories that end before it have none."""
+    context = keys >> U64(8 * (8 - depth)) if depth else np.zeros_like(keys)
+    known = (context & U64(255) > 0) | (depth == 0)
+    cells, n = _summed([context[known] << U64(8) | keys[known] & U64(255)], [n[known]])
+    contexts, place = np.unique(cells >> U64(8), return_inverse=True)
+    return Level(cells, n, contexts, place, np.bincount(place, n, len(contexts)))
+
+
+def _gain(level: Level, above: Level) -> np.ndarray:
+    """Count x divergence of each context from the one a byte shorter."""
+    at = np.searchsorted(above.cells, level.cells >> U64(16) << U64(8) | level.cells & U64(255))
+    parent = np.searchsorted(above.contexts, level.contexts >> U64(8))
+    term = level.n * np.log((level.n / level.totals[level.place])
+                            / (above.n[at] / above.totals[parent][level.place]))
+    return np.bincount(level.place, term, len(level.contexts))
+
+
+def _kept(levels: list[Level], longer: np.ndarray, min_count: int, min_gain: float) -> list[np.ndarray]:
+    """Retained contexts of all levels but the first, which is the one above them; ``longer``: suffixes to be kept."""
+    out = []
+    for above, level in zip(levels[-2::-1], levels[:0:-1], strict=True):
+        stays = (level.totals >= min_count) & (_gain(level, above) >= min_gain) | np.isin(level.contexts, longer)
+        longer = np.unique(level.contexts[stays] >> U64(8))
+        out.insert(0, stays)
+    return out
+
+
+def _rows(level: Level, stays: np.ndarray, depth: int) -> dict[str, np.ndarray]:
+    at = stays[level.place]
+    context = ((level.cells[at] >> U64(8)) << U64(8 * (8 - depth)) if depth else np.zeros(int(at.sum()), U64)).byteswap()
+    return {"depth": np.full(len(context), depth, np.int32), "context": context.view(np.int64),
+            "next": (level.cells[at] & U64(255)).astype(np.int64), "n": level.n[at]}
+
+
+_CELLS = pa.schema([("depth", pa.int32()), ("context", pa.int64()), ("next", pa.int64()), ("n", pa.int64())])
+
+
+def grow(strings: DataFrame, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> tuple[pa.Table, DataFrame]:
+    """(retained rows of the first ``TOP_DEPTH`` levels; per block its strings by slice, and the retained rows below), stored.
+
+    The contexts that end in the same ``KEY_DEPTH`` bytes lie in one block, so all longer ones are counted there at once.
     """
-    shared = strings.sparkSession.sparkContext.broadcast(shorter)
-    above = (1 << 8 * (depth - 1)) - 1
-    arrow = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
+    ship_code(strings.sparkSession)
 
-    def cut(batches):
-        packed = shared.value and np.frombuffer(zlib.decompress(shared.value), np.uint8)
-        cells, counts, held = [], [], 0
+    def unpack(batches):
         for batch in batches:
-            gram, n = (batch.column(i).to_numpy() for i in (0, 1))
-            gram = gram.view(np.uint64)
-            parent = (gram >> U64(8)) & U64(above)
-            # the shorter context itself has to exist: its oldest byte is no absence
-            known = np.ones(len(gram), bool) if depth == 1 else parent >> U64(8 * (depth - 2)) > 0
-            if packed is not None:
-                at = _places(parent)
-                known &= (packed[at >> U64(3)] >> (at & U64(7)).astype(np.uint8) & 1).astype(bool)
-            low = np.uint64((1 << 8 * (depth + 1)) - 1) if depth < DEPTH else ~U64(0)
-            cells.append((gram[known] & low).view(np.int64))
-            counts.append(n[known])
-            held += int(known.sum())
-            if held > FLUSH:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(cells, counts)], schema=arrow)
-                cells, counts, held = [], [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(cells, counts)], schema=arrow)
-
-    made = strings.select("gram", "n").mapInArrow(cut, "cell long, n long")
-    if depth <= COMMON_DEPTH:   # few contexts, which all tasks have: added up before a parent's rows come together
-        made = made.groupBy("cell").agg(F.sum("n").alias("n"))
-    history = F.shiftrightunsigned("cell", 8)
-    cells = made.select("cell", "n", history.bitwiseAND(above).alias("parent")).repartition("parent").groupBy("parent", "cell").agg(
-        F.sum("n").alias("n")).select("parent", history.alias("context"), F.col("cell").bitwiseAND(255).alias("next"), "n")
-    by_parent, by_context = Window.partitionBy("parent"), Window.partitionBy("parent", "context")
-    deep = F.shiftright("context", 8 * (depth - 1)) > 0
-    totals = (cells.withColumn("parent_total", F.sum("n").over(by_parent))
-              .withColumn("parent_n", F.sum("n").over(Window.partitionBy("parent", "next")))
-              .where(deep).withColumn("total", F.sum("n").over(by_context)).where(F.col("total") >= min_count))
-    term = F.col("n") * F.ln((F.col("n") / F.col("total")) / (F.col("parent_n") / F.col("parent_total")))
-    return totals.withColumn("gain", F.sum(term).over(by_context)).select("context", "next", "n", "gain")
-
-
-def _places(contexts: np.ndarray) -> np.ndarray:
-    return mix(contexts.astype(np.uint64)) >> U64(64 - BITS)
-
-
-def _bit_map(level: DataFrame, depth: int) -> bytes:
-    """The contexts of a level as a compressed bit map of fixed size; executors put its bytes together."""
-    arrow = pa.schema([("place", pa.int32()), ("bits", pa.int32())])
-
-    def places(batches):
+            for keys, counts in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(_unpacked_keys(keys).view(np.int64)), pa.array(_unpacked(counts))],
+                                                 names=["key", "n"])
+
+    first = (strings.where("block = -1").select("keys", "counts").mapInArrow(unpack, "key long, n long")
+             .groupBy("key").agg(F.sum("n").alias("n")).toArrow())
+    keys, n = (first.column(i).to_numpy().astype(t) for i, t in ((0, np.int64), (1, np.int64)))
+    top = [_level(keys.view(U64), n, d) for d in range(TOP_DEPTH + 1)]
+    shared = strings.sparkSession.sparkContext.broadcast(vars(top[-1]))
+
+    def plant(t: pa.Table) -> pa.Table:
+        packed = t.column("keys").to_pylist()
+        keys, n = _summed([_unpacked_keys(k) for k in packed], [_unpacked(c) for c in t.column("counts").to_pylist()])
+        keys, n = keys[n > 0], n[n > 0]
+        levels = [Level(**shared.value), *(_level(keys, n, d) for d in range(TOP_DEPTH + 1, DEPTH + 1))]
+        stays = _kept(levels, np.zeros(0, U64), min_count, min_gain)
+        shorter = np.unique(levels[1].contexts[stays[0]] >> U64(8))
+        rows = [_rows(level, kept, d) for d, (level, kept) in enumerate(zip(levels[1:], stays, strict=True), TOP_DEPTH + 1)]
+        cells = {c: [_packed(r[c]) for r in rows] for c in ("context", "next", "n")}
+        return pa.table({"block": t.column("block")[:1], "slice": [t.column("slice").to_pylist()], "keys": [packed],
+                         "cells": [sum(len(r["n"]) for r in rows)], "shorter": [shorter.astype(np.int64)],
+                         **{c: [v] for c, v in cells.items()}})
+
+    blocks = spool(strings.where("block >= 0").select("slice", "block", "keys", "counts").groupBy("block").applyInArrow(
+        plant, "block long, slice array<long>, keys array<binary>, cells long, shorter array<long>, context array<binary>, "
+               "next array<binary>, n array<binary>"), "blocks", "zstd")
+    longer = blocks.select(F.explode("shorter").alias("context")).distinct().toArrow().column(0).to_numpy()
+    stays = [np.ones(len(top[0].contexts), bool), *_kept(top, longer.astype(U64), min_count, min_gain)]
+    rows = [_rows(level, kept, d) for d, (level, kept) in enumerate(zip(top, stays, strict=True))]
+    return pa.table({c: np.concatenate([r[c] for r in rows]) for c in _CELLS.names}, schema=_CELLS), blocks
+
+
+def _deep_rows(block: dict) -> dict[str, np.ndarray]:
+    """The retained rows of a block."""
+    parts = {c: [_unpacked(x) for x in block[c]] for c in ("context", "next", "n")}
+    depth = np.repeat(np.arange(TOP_DEPTH + 1, DEPTH + 1, dtype=np.int32), [len(x) for x in parts["n"]])
+    return {"depth": depth, **{c: np.concatenate(x) for c, x in parts.items()}}
+
+
+def tree_rows(top: pa.Table, blocks: DataFrame) -> DataFrame:
+    """Rows (``depth``, ``context``, ``next``, ``n``) of the root and of all retained contexts."""
+    def unpack(batches):
         for batch in batches:
-            at = _places(np.unique(batch.column(0).to_numpy()))
-            yield pa.RecordBatch.from_arrays([pa.array((at >> U64(3)).astype(np.int32)),
-                                              pa.array(1 << (at & U64(7)).astype(np.int32))], schema=arrow)
+            for block in batch.to_pylist():
+                yield pa.RecordBatch.from_pydict(_deep_rows(block), schema=_CELLS)
 
-    rows = (level.select("context").mapInArrow(places, "place int, bits int")
-            .groupBy("place").agg(F.bit_or("bits").alias("bits"))).toArrow()
-    out = np.zeros(1 << BITS - 3, np.uint8)
-    out[rows.column("place").to_numpy()] = rows.column("bits").to_numpy()
-    return zlib.compress(out, 1)
+    schema = "depth int, context long, next long, n long"
+    return blocks.sparkSession.createDataFrame(top, schema).unionByName(
+        blocks.select("context", "next", "n").mapInArrow(unpack, schema))
 
 
-def _suffixes(strings: DataFrame, *columns: str) -> DataFrame:
-    """``depth`` and ``context`` of each suffix of ``history``, with the named columns."""
-    by_depth = strings.select(*columns, "history", F.explode(F.array([F.lit(d) for d in range(DEPTH + 1)])).alias("depth"))
-    context = F.col("history").bitwiseAND(F.expr("shiftleft(1L, 8 * depth) - 1"))
-    return by_depth.where("depth = 0 OR shiftright(history, 8 * (depth - 1)) > 0").select(
-        *columns, "depth", context.alias("context"))
+def retained(strings: DataFrame, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> DataFrame:
+    """Rows (``depth``, ``context``, ``next``, ``n``) of the root and of all retained contexts."""
+    return tree_rows(*grow(strings, min_count, min_gain))
 
 
 def build(cells) -> Tree:
     """The tables of the collected rows of ``retained``."""
-    depth, context, nxt, n = (cells[c].to_numpy(dtype=np.int64) for c in ("depth", "context", "next", "n"))
+    depth, context, nxt, n = (np.asarray(cells[c], np.int64) for c in ("depth", "context", "next", "n"))
     root = np.full(256, 0.5)
     root[nxt[depth == 0]] += n[depth == 0]
     tree = Tree(root / root.sum(), [], [], [], [])
@@ -317,8 +402,14 @@ def build(cells) -> Tree:
 
 def log10_of(tree: Tree, strings: np.ndarray) -> np.ndarray:
     """log10 probability of the last byte of each string (as of ``grams``)."""
+    return folded(tree, strings)[0]
+
+
+def folded(tree: Tree, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probability of the last byte of each string, and the depth of the longest context."""
     strings = strings.astype(np.uint64)
     p = tree.root[(strings & np.uint64(255)).astype(np.int64)]
+    depth = np.zeros(len(strings), np.uint8)
     left = np.arange(len(strings))
     for d, (contexts, back, cells, share) in enumerate(zip(tree.contexts, tree.back, tree.cells, tree.share, strict=True), 1):
         if not len(contexts):
@@ -331,7 +422,8 @@ def log10_of(tree: Tree, strings: np.ndarray) -> np.ndarray:
         here = p[left] * back[at]
         cell = np.minimum(np.searchsorted(cells, g), len(cells) - 1)
         p[left] = here + np.where(cells[cell] == g, share[cell], 0.0)
-    return np.log10(p)
+        depth[left] = d
+    return np.log10(p), depth
 
 
 def score_symbols(tree: Tree, syms: np.ndarray, piece: int = 1 << 18) -> np.ndarray:
@@ -349,42 +441,58 @@ def score_texts(tree: Tree, texts: list[str | None]) -> np.ndarray:
     return np.add.reduceat(score_symbols(tree, syms), starts[:-1])
 
 
-def joined_scores(docs: DataFrame, cells: DataFrame) -> DataFrame:
-    """``row`` and ``score``, by joins with the rows of ``retained``, for a tree of any size.
+def _longest(keys: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of one key for each longest context with its next byte, and which of them each key has."""
+    whole = U64(8) * (U64(8) - depth.astype(U64))
+    context = np.where(depth > 0, keys >> np.minimum(whole, U64(63)), U64(0))
+    # the newest byte of a history is not 0, so contexts of different depths are different numbers
+    return np.unique(context << U64(8) | keys & U64(255), return_index=True, return_inverse=True)[1:]
 
-    The first levels, whose contexts every text has, are broadcast.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(vars(build(cells.where(F.col("depth") <= TOP_DEPTH).toPandas())))
 
-    def setup():
-        top = Tree(**shared.value)
+def looked_up(top: pa.Table, blocks: DataFrame) -> DataFrame:
+    """Per slice and block, the ``depth`` of the longest context of each of its strings, and one value per such context and next byte:
+    the log10 probability in units of 1 / ``FINE``."""
+    shared = blocks.sparkSession.sparkContext.broadcast(vars(build(top)))
+    arrow = pa.schema([("slice", pa.int64()), ("block", pa.int64()), ("depth", pa.binary()), ("value", pa.binary())])
 
-        def each(rows):
-            syms, starts = symbols(rows["text"])
-            owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-            g = grams(syms, starts)
-            order = np.lexsort((g, owner))
-            first = np.flatnonzero(np.concatenate([[True], (np.diff(g[order]) != 0) | (np.diff(owner[order]) != 0)]))
-            g = g[order][first]
-            return {"row": np.array(rows["row"])[owner[order][first]], "gram": g, "k": np.diff(np.append(first, len(order))),
-                    "p": 10.0 ** log10_of(top, g)}
-
-        return each, None
-
-    strings = spool(over_texts(docs.select("row", "text"), "text", None, "row long, gram long, k long, p double", setup=setup),
-                    "strings", "zstd")
-    distinct = strings.groupBy("gram").agg(F.first("p").alias("p")).select(
-        "gram", "p", F.shiftrightunsigned("gram", 8).alias("history"), F.col("gram").bitwiseAND(255).alias("next"))
-    deep = cells.where(F.col("depth") > TOP_DEPTH)
-    contexts = deep.groupBy("depth", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    chain = _suffixes(distinct, "gram", "next", "p").where(F.col("depth") > TOP_DEPTH).join(contexts, ["depth", "context"]).join(
-        deep, ["depth", "context", "next"], "left").groupBy("gram").agg(F.first("p").alias("p"), F.array_sort(F.collect_list(
-            F.struct("depth", F.coalesce("n", F.lit(0)).alias("n"), "kinds", "total"))).alias("chain"))
-    # at most DEPTH rows a string, from the shortest context on
-    p = F.aggregate("chain", F.col("p"), lambda p, c: (c["n"] + c["kinds"] * p) / (c["kinds"] + c["total"]))
-    known = spool(chain.select("gram", F.log10(p).alias("log10p")), "log10p")
-    return strings.join(known, "gram", "left").groupBy("row").agg(
-        F.sum(F.col("k") * F.coalesce("log10p", F.log10("p"))).alias("score"))
+    def look(batches):
+        first = Tree(**shared.value)
+        for batch in batches:
+            for block in batch.to_pylist():
+                own = build(_deep_rows(block))
+                tree = Tree(first.root, *(getattr(first, c)[:TOP_DEPTH] + getattr(own, c)[TOP_DEPTH:]
+                                          for c in ("contexts", "back", "cells", "share")))
+                out = {"slice": block["slice"], "block": [block["block"]] * len(block["slice"]), "depth": [], "value": []}
+                for packed in block["keys"]:
+                    keys = _unpacked_keys(packed)
+                    p, depth = folded(tree, turned_back(keys))
+                    out["depth"].append(_squeezed(depth.tobytes(), len(depth)))
+                    out["value"].append(_packed(np.rint(-FINE * p[_longest(keys, depth)[0]]).astype(np.int64)))
+                yield pa.RecordBatch.from_pydict(out, schema=arrow)
+
+    return blocks.select("block", "slice", "keys", "context", "next", "n").mapInArrow(
+        look, "slice long, block long, depth binary, value binary")
+
+
+def slice_scores(found: pa.Table, blocks: int, syms: np.ndarray, starts: np.ndarray, piece: int = 1 << 20) -> np.ndarray:
+    """Scores of a slice's texts, from its rows of ``looked_up``; some ``piece`` symbols are taken together."""
+    parts, at = [], 0
+    while at < len(starts) - 1:
+        to = max(at + 1, int(np.searchsorted(starts, starts[at] + piece, side="right")) - 1)
+        own = starts[at:to + 1] - starts[at]
+        distinct, place = np.unique(turned(grams(syms[starts[at]:starts[to]], own)), return_inverse=True)
+        parts.append((distinct, place.astype(np.int32), own[:-1]))
+        at = to
+    keys = np.unique(np.concatenate([p[0] for p in parts]))
+    block = block_of(keys, blocks)
+    order = np.argsort(block, kind="stable")
+    block = block[order]
+    values = np.zeros(len(keys), np.int64)
+    for b, depth, value in zip(*(found.column(c).to_pylist() for c in ("block", "depth", "value")), strict=True):
+        own = order[slice(*np.searchsorted(block, [b, b + 1]))]
+        values[own] = _unpacked(value)[_longest(keys[own], _spread(depth)[0])[1]]
+    return np.concatenate([np.add.reduceat(values[np.searchsorted(keys, distinct)][place], own)
+                           for distinct, place, own in parts]) / -FINE
 
 
 def score(df: DataFrame, training: Column, key: str = "doc_id", text: str = "text", min_count: int = MIN_COUNT,
@@ -392,71 +500,84 @@ def score(df: DataFrame, training: Column, key: str = "doc_id", text: str = "tex
     """Scores of all rows by a model of those for which ``training`` (a condition on ``doc_id``) holds."""
     spark = df.sparkSession
     used = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    docs = rows_with_number(used, "doc_id", "text")
-    counted, strings = count(docs.where(training))
-    cells = retained(strings, min_count, min_gain)
-    small = cells.count() <= broadcast_cells
-    if not small:  # two jobs use the row numbers
-        docs = stored_rows(used, "documents", "doc_id", "text")
-    tree = build(cells.toPandas()) if small else None
+    counted, strings = count(used, training)
+    top, blocks = grow(strings, min_count, min_gain)
+    small = top.num_rows + (blocks.agg(F.sum("cells")).first()[0] or 0) <= broadcast_cells
+    tree = build(tree_rows(top, blocks).toPandas()) if small else None
     words = counted.select("token", F.col("n").alias("c"))
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     least = max(1, math.ceil(P_FREQUENT * n))
     frequent = {r.token: r.c for r in words.where(F.col("c") >= least).collect()}
     shared = spark.sparkContext.broadcast((tree and vars(tree), frequent))
 
-    def setup():
-        tree, known = shared.value[0] and Tree(**shared.value[0]), shared.value[1]
+    def figures(rows, docs, syms, starts, scores):
+        """One row per text, and its rare tokens."""
+        known = shared.value[1]
         end = known.get("\n")
-
-        def each(rows):
-            syms, starts = symbols(rows["text"])
-            scores = np.add.reduceat(score_symbols(tree, syms), starts[:-1]) if tree else np.zeros(len(starts) - 1)
-            out = {k: [] for k in ("row", "doc_id", "n_tokens", "n_known", "base", "score", "token", "k")}
-            at = starts.tolist()
-            row_, token_, k_ = out["row"], out["token"], out["k"]
-            for i, (row, doc) in enumerate(zip(rows["row"], rows["doc_id"], strict=True)):
-                words_ = tokens_of(syms[at[i]:at[i + 1]])
-                base, n_known = 0.0, 0
-                before = len(row_)
-                for word, k in Counter(words_).items():
-                    c = known.get(word)
-                    if c is None:
-                        token_.append(word)
-                        k_.append(k)
-                    else:
-                        base += k * math.log10(c + 1)
-                        n_known += k
-                if end is None:  # rare in a corpus of long texts
-                    token_.append("\n")
-                    k_.append(1)
+        out = {k: [] for k in ("row", "doc_id", "n_tokens", "n_known", "base", "score", "token", "k")}
+        at = starts.tolist()
+        row_, token_, k_ = out["row"], out["token"], out["k"]
+        for i, (row, doc) in enumerate(zip(rows, docs, strict=True)):
+            words_ = tokens_of(syms[at[i]:at[i + 1]])
+            base, n_known = 0.0, 0
+            before = len(row_)
+            for word, k in Counter(words_).items():
+                c = known.get(word)
+                if c is None:
+                    token_.append(word)
+                    k_.append(k)
                 else:
-                    base += math.log10(end + 1)
-                    n_known += 1
-                row_ += [row] * (len(token_) - before)
-                blank = [None] * (len(token_) - before)
-                for name in ("doc_id", "n_tokens", "n_known", "base", "score"):
-                    out[name] += blank
-                row_.append(row)
-                token_.append(f"\n{row}")  # no token: keeps these rows apart from each other in the join
-                k_.append(0)
-                for name, value in (("doc_id", doc), ("n_tokens", len(words_) + 1), ("n_known", n_known),
-                                    ("base", base), ("score", float(scores[i]))):
-                    out[name].append(value)
-            return out
-
-        return each, None
-
-    made = over_texts(docs, "text", None, "row long, doc_id long, n_tokens long, n_known long, base double, "
-                      "score double, token string, k long", setup=setup)
+                    base += k * math.log10(c + 1)
+                    n_known += k
+            if end is None:  # rare in a corpus of long texts
+                token_.append("\n")
+                k_.append(1)
+            else:
+                base += math.log10(end + 1)
+                n_known += 1
+            row_ += [row] * (len(token_) - before)
+            blank = [None] * (len(token_) - before)
+            for name in ("doc_id", "n_tokens", "n_known", "base", "score"):
+                out[name] += blank
+            row_.append(row)
+            token_.append(f"\n{row}")  # no token: keeps these rows apart from each other in the join
+            k_.append(0)
+            for name, value in (("doc_id", doc), ("n_tokens", len(words_) + 1), ("n_known", n_known),
+                                ("base", base), ("score", float(scores[i]))):
+                out[name].append(value)
+        return out
+
+    schema = ("row long, doc_id long, n_tokens long, n_known long, base double, score double, token string, k long")
+    if small:
+        def setup():
+            tree = Tree(**shared.value[0])
+
+            def each(rows):
+                syms, starts = symbols(rows["text"])
+                return figures(rows["row"], rows["doc_id"], syms, starts,
+                               np.add.reduceat(score_symbols(tree, syms), starts[:-1]))
+
+            return each, None
+
+        made = over_texts(rows_with_number(used, "doc_id", "text"), "text", None, schema, setup=setup)
+    else:
+        arrow = to_arrow_schema(T._parse_datatype_string(schema))
+
+        def finish(own: pa.Table, found: pa.Table) -> pa.Table:
+            rows, docs, ends, packed = (own.column(c)[0].as_py() for c in ("row", "doc_id", "ends", "text"))
+            blocks = own.column("n")[0].as_py()
+            starts = np.array([0, *ends])
+            syms = _spread(packed)[0]
+            return pa.Table.from_batches([as_batch(figures(rows, docs, syms, starts, slice_scores(found, blocks, syms, starts)), arrow)])
+
+        texts = strings.where("text IS NOT NULL").select("slice", "row", "doc_id", "ends", "text", "n")
+        made = texts.groupBy("slice").cogroup(looked_up(top, blocks).groupBy("slice")).applyInArrow(finish, schema)
     rare = words.where(F.col("c") < least)
     summed = made.join(rare, "token", "left").groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
         (F.max("n_known") + F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0))).alias("n_known"),
         (F.max("base") + F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 1.0))).alias("base"),
         F.max("score").alias("score"))
-    if not small:
-        summed = summed.drop("score").join(joined_scores(docs, cells), "row")
     return summed.select(
         "row", "doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * F.lit(math.log10(n + v + 1))).alias("base_score"), "score")

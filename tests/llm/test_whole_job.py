@@ -126,3 +126,27 @@ def test_tree_grows_with_the_corpus_and_joins_score_as_the_broadcast_does(spark)
         assert far[k].score == pytest.approx(near[k].score) and far[k].base_score == pytest.approx(near[k].base_score)
     lone = lm.score(docs.limit(1), F.lit(False), broadcast_cells=-1).first()
     assert lone.score == pytest.approx(lm.score(docs.limit(1), F.lit(False)).first().score)
+
+
+def test_a_large_tree_is_asked_by_slices_not_by_texts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("etaoinshé日"), rng.integers(2, 8))) for _ in range(300)]
+    texts = [" ".join(rng.choice(words, 150)) for _ in range(120)] + ["", None, "zebra\0é"]
+    docs = spark.createDataFrame([(i % 121, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    train = F.col("doc_id") % 5 != 2
+    want = sorted((r.doc_id, r.n_tokens, r.n_known, r.score) for r in lm.score(docs, train, min_count=4).collect())
+    stored, spool = [], lm.spool
+
+    def spool_and_note(*args):
+        stored.append(spool(*args))
+        return stored[-1]
+
+    monkeypatch.setattr(lm, "spool", spool_and_note)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 5000)
+    got = sorted((r.doc_id, r.n_tokens, r.n_known, r.score) for r in lm.score(docs, train, min_count=4, broadcast_cells=0).collect())
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-5)     # each symbol within half of 1e-8
+    pairs = sum(len(np.unique(lm.grams(*lm.symbols([t])))) for t in texts)
+    assert max(t.count() for t in stored) < pairs / 4
