@@ -3,9 +3,10 @@
 Tokens are the words of a text, A-Z lower-cased, and one end.  The tree models the same tokens letter by
 letter: each word's UTF-8 bytes and a space, then an end sign, so its probabilities of token sequences add up to one.
 
-Learning.  One pass over all texts cuts them into slices of at most about ``FLUSH`` different strings of ``DEPTH`` bytes of history
-with the next byte.  A slice keeps its texts once and its distinct strings with their counts in training texts, packed into
-blocks: strings whose newest ``KEY_DEPTH`` bytes of history agree share a block, about ``BLOCK_BYTES`` of text each.  A context (the last
+Learning.  One pass over all texts cuts them into slices of at most about ``SLICE_SYMBOLS`` symbols or ``FLUSH`` different strings of
+``DEPTH`` bytes of history with the next byte.  A slice keeps its texts once, and its distinct strings and its distinct tokens with their
+counts in training texts, packed into blocks, about ``BLOCK_BYTES`` of text each: strings whose newest ``KEY_DEPTH`` bytes of history
+agree share a block, and tokens of equal hash.  A context (the last
 1 to DEPTH bytes, which may begin with the text's start) is retained if it was seen ``MIN_COUNT`` times and its next-byte distribution diverges
 from that of the context one byte shorter: count x Kullback-Leibler divergence of at least ``MIN_GAIN`` nats.
 All of these stay, with all their suffixes, so the tree grows with the corpus.  A block holds every string of its
@@ -15,10 +16,10 @@ towards the shorter context's (Witten-Bell), at the root towards the uniform one
 
 Scoring.  A symbol's probability is folded along the retained suffixes of its history, from the root to the longest.
 A tree of at most ``BROADCAST_CELLS`` entries is broadcast as sorted tables, in which a task looks up its distinct strings.
-A larger tree stays in its blocks, and so do the strings to be looked up: each block answers each slice, once per longest
-context and next byte, and a second shuffle brings the answers (rounded to 1e-8) to the slice's texts.  No part of the tree is left out.
-Tokens of at least the share ``P_FREQUENT`` of all training tokens (at most 1 / P_FREQUENT, therefore) have their
-counts broadcast for the base; the rest, of which none is hot by this choice, find theirs in a join.
+A larger tree stays in its blocks, and so do the strings to be looked up: each block folds each of its strings once and answers each
+slice, once per longest context and next byte (rounded to 1e-8).  No part of the tree is left out.  For the base, each block
+of tokens answers each slice with the counts of its tokens, so a frequent token is sent once per slice.  A second shuffle brings all answers
+to the slice's texts.
 
 Defined cases: a NULL or empty text is its end alone; a NULL id is neither learned from nor held out; with
 nothing to learn from, base scores follow the formula with N = V = 0 and bytes are uniform; repeated rows count and
@@ -28,11 +29,13 @@ are answered each; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,16 +50,13 @@ MIN_COUNT = 16
 MIN_GAIN = 8.0
 #: Entries (context and next byte) of a tree that is broadcast.
 BROADCAST_CELLS = 3_000_000
-P_FREQUENT = 4e-6
 END = 10
 SPACE = 32
 #: Distinct strings, and symbols, of a slice.
-FLUSH = 3_000_000
-SLICE_SYMBOLS = 20_000_000
+FLUSH = 6_000_000
+SLICE_SYMBOLS = 32_000_000
 #: Strings that a task gathers before it adds them up.
-GATHERED = 1_200_000
-#: Distinct tokens that a task holds before it sends its counts on.
-TOKENS = 1_000_000
+GATHERED = 4_000_000
 #: Bytes of text per block of counted strings.
 BLOCK_BYTES = 8_000_000
 #: Strings go to blocks by the newest KEY_DEPTH bytes of history; the levels above are broadcast.
@@ -89,11 +89,9 @@ def symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def grams(syms: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """For each symbol: it, and up to DEPTH symbols before it back to the text's start, newest in the lowest byte."""
-    padded = np.concatenate([np.full(DEPTH, END, np.uint8), syms])
-    n = len(syms)
-    out = np.zeros(n, np.int64)
-    for j in range(DEPTH + 1):
-        out |= padded[DEPTH - j:DEPTH - j + n].astype(np.int64) << (8 * j)
+    out = np.concatenate([np.full(DEPTH, END, np.uint8), syms]).astype(np.int64)
+    for j in (1, 2, 4):  # strings of twice as many symbols
+        out = out[j:] | out[:-j] << (8 * j)
     for p in range(DEPTH - 1):  # the first symbols of a text know fewer: p before them, and the start
         at = starts[:-1] + p
         at = at[at < starts[1:]]
@@ -101,15 +99,25 @@ def grams(syms: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def tokens_of(part: np.ndarray) -> list[str]:
-    """Words of one text's symbols (without its end)."""
-    return words_of(part.tobytes()[:-1])
+def encoded(raw: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct tokens of some symbols as they first occur (words with their space, ends), which each token is, and where it ends."""
+    last = np.flatnonzero((raw == SPACE) | (raw == END))
+    offsets = np.concatenate([[0], last + 1]).astype(np.int32)
+    found = pa.Array.from_buffers(pa.binary(), len(last), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]).dictionary_encode()
+    return found.dictionary, found.indices.to_numpy(), last
 
 
-def words_of(raw: bytes) -> list[str]:
-    words = raw.replace(bytes([NUL]), b"\0").decode("utf-8").split(" ")
-    words.pop()
-    return words
+def bytes_of(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of the tokens, and where each starts (plus the end of all)."""
+    offsets = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset:tokens.offset + len(tokens) + 1]
+    return np.frombuffer(tokens.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], (offsets - offsets[0]).astype(np.int64)
+
+
+def token_block_of(tokens: pa.Array, blocks: int) -> np.ndarray:
+    data, starts = bytes_of(tokens)
+    place = np.arange(len(data)) - np.repeat(starts[:-1], np.diff(starts))
+    with np.errstate(over="ignore"):
+        return _block(np.add.reduceat(mix(data.astype(U64) << U64(40) | place.astype(U64)), starts[:-1]), blocks)
 
 
 def turned(strings: np.ndarray) -> np.ndarray:
@@ -123,80 +131,111 @@ def turned_back(keys: np.ndarray) -> np.ndarray:
 
 
 def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
-    return (mix(keys >> U64(64 - 8 * KEY_DEPTH)) % U64(blocks)).astype(np.int64)
+    newest = keys >> U64(64 - 8 * KEY_DEPTH)
+    first = np.flatnonzero(np.concatenate([[True], newest[1:] != newest[:-1]]))[:len(keys)]
+    return np.repeat(_block(newest[first], blocks), np.diff(first, append=len(keys)))
+
+
+def _block(values: np.ndarray, blocks: int) -> np.ndarray:
+    """Blocks by hash; as short numbers, which numpy sorts by digits."""
+    return (mix(values) % U64(blocks)).astype(np.uint16 if blocks <= 1 << 16 else np.int64)
+
+
+def _ranges(block: np.ndarray) -> tuple[np.ndarray, dict[int, tuple[int, int]]]:
+    """An order by block, and the range of each block in it."""
+    order = np.argsort(block, kind="stable")
+    known, first = np.unique(block[order], return_index=True)
+    return order, dict(zip(known.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(block)], strict=True), strict=True))
 
 
-_SENT = ("token string, n long, slice long, block long, keys binary, counts binary, row array<long>, doc_id array<long>, "
+_SENT = ("kind string, n long, slice long, block long, keys binary, counts binary, row array<long>, doc_id array<long>, "
          "ends array<int>, text binary")
 
 
-def count(docs: DataFrame, training: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(``token, n``; slices), stored.  The end is the token of a line feed.
+def cut(docs: DataFrame, training: Column | None = None) -> DataFrame:
+    """Slices, stored; of three kinds.
 
-    Slices have one row with their symbols (``n`` is the number of blocks), and per block the strings that occur in them (``keys``, in the order of
-    ``turned``) with their numbers in training texts; block -1 has the strings of the first ``TOP_DEPTH`` levels.
+    A slice has one row of ``texts`` with its symbols (``n`` is the number of blocks), per block the ``strings`` that occur in them (``keys``,
+    in the order of ``turned``) with their numbers in training texts, where block -1 has the strings of the first ``TOP_DEPTH`` levels, and
+    per block of another hash the ``tokens``, likewise.
     """
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
 
     def setup():
-        words: Counter = Counter()
-        state = {"keys": [], "n": [], "held": 0, "row": [], "doc_id": [], "size": [], "syms": [], "long": 0}
+        fresh = {"runs": [], "held": 0, "row": [], "doc_id": [], "size": [], "flags": [], "syms": [], "long": 0}
+        state = {k: v.copy() if v == [] else v for k, v in fresh.items()}
+        raw = {True: [], False: []}
         base, sent = TaskContext.get().partitionId() << 33, [0]
 
+        def add_up():
+            for counted, parts in raw.items():
+                if parts:
+                    gathered = np.concatenate(parts)
+                    parts.clear()
+                    keys, n = _counted(gathered)
+                    state["runs"].append((keys, (n * counted).astype(np.int32)))
+            state["held"] = 0
+
+        def merged():
+            runs, state["runs"] = state["runs"], []
+            return _merged(runs)
+
         def send():
             if not state["row"]:
                 return None
-            keys, n = _summed(state["keys"], state["n"])
-            state.update(keys=[], n=[])
-            block = block_of(keys, blocks)
-            order = np.argsort(block, kind="stable")
-            keys, n, block = keys[order], n[order], block[order]
-            known, first = np.unique(block, return_index=True)
-            cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=True))
-            top, top_n = _summed([keys[n > 0] & TOP_BYTES], [n[n > 0]])
-            w, k = len(words), len(known) + 1
-            syms = np.concatenate(state["syms"])
+            add_up()
+            keys, n = merged()
+            top, top_n = _summed(*zip(*(_summed([keys[a:b][n[a:b] > 0] & TOP_BYTES], [n[a:b][n[a:b] > 0].astype(np.int64)])
+                                        for a, b in pairwise([*range(0, len(keys), 1 << 20), len(keys)])), strict=True))
+            order, ranges = _ranges(block_of(keys, blocks))
+            keys, n = keys[order], n[order]
+            syms, sizes = np.concatenate(state["syms"]), np.array(state["size"])
+            tokens, ids, last = encoded(syms)
+            times = np.bincount(ids[np.repeat(np.array(state["flags"]), sizes)[last]], minlength=len(tokens))
+            order, token_ranges = _ranges(token_block_of(tokens, blocks))
+            (token_bytes, at), times = bytes_of(tokens.take(pa.array(order))), times[order]
+            w, k = len(token_ranges), len(ranges) + 1
 
             def one(kind, value):
                 return pa.array([None] * (w + k) + [value], kind)
 
-            out = {"token": pa.concat_arrays([pa.array(list(words), pa.string()), pa.nulls(k + 1, pa.string())]),
-                   "n": pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.nulls(k, pa.int64()), pa.array([blocks], pa.int64())]),
-                   "slice": [None] * w + [base + sent[0]] * (k + 1),
-                   "block": [None] * w + [*known.tolist(), -1, None],
-                   "keys": [None] * w + [_packed_keys(keys[a:b]) for a, b in cuts] + [_packed_keys(top), None],
-                   "counts": [None] * w + [_packed(n[a:b]) for a, b in cuts] + [_packed(top_n), None],
+            out = {"kind": ["tokens"] * w + ["strings"] * k + ["texts"],
+                   "n": [None] * (w + k) + [blocks],
+                   "slice": [base + sent[0]] * (w + k + 1),
+                   "block": [*token_ranges, *ranges, -1, None],
+                   "keys": [_squeezed(token_bytes[at[a]:at[b]].tobytes(), b - a) for a, b in token_ranges.values()]
+                   + [_packed_keys(keys[a:b]) for a, b in ranges.values()] + [_packed_keys(top), None],
+                   "counts": [_packed(times[a:b]) for a, b in token_ranges.values()]
+                   + [_packed(n[a:b]) for a, b in ranges.values()] + [_packed(top_n), None],
                    "row": one(pa.list_(pa.int64()), state["row"]), "doc_id": one(pa.list_(pa.int64()), state["doc_id"]),
-                   "ends": one(pa.list_(pa.int32()), np.cumsum(state["size"]).astype(np.int32)),
+                   "ends": one(pa.list_(pa.int32()), np.cumsum(sizes).astype(np.int32)),
                    "text": one(pa.binary(), _squeezed(syms.tobytes(), len(syms)))}
-            words.clear()
-            state.update(keys=[], n=[], held=0, row=[], doc_id=[], size=[], syms=[], long=0)
+            state.update({k: v.copy() if v == [] else v for k, v in fresh.items()})
             sent[0] += 1
+            pa.default_memory_pool().release_unused()
             return out
 
         def each(rows):
             syms, starts = symbols(rows["text"])
             sizes, flags = np.diff(starts), np.array(rows["training"], bool)
             learn = np.repeat(flags, sizes)
-            if flags.any():
-                words.update(words_of(syms[learn & (syms != END)].tobytes()))
-                words["\n"] += int(flags.sum())
             g = turned(grams(syms, starts))
-            for part, counted in ((g[learn], True), (g[~learn], False)):
-                keys, n = np.unique(part, return_counts=True)
-                state["keys"].append(keys)
-                state["n"].append(n * counted)
-                state["held"] += len(keys)
+            for counted, part in ((True, g[learn]), (False, g[~learn])):
+                if len(part):
+                    raw[counted].append(part)
+            state["held"] += len(g)
             state["row"] += rows["row"]
             state["doc_id"] += rows["doc_id"]
             state["size"] += sizes.tolist()
+            state["flags"] += rows["training"]
             state["syms"].append(syms)
             state["long"] += len(syms)
             if state["held"] > GATHERED:
-                keys, n = _summed(state["keys"], state["n"])
-                state.update(keys=[keys], n=[n], held=0)
-            if len(words) > TOKENS or state["long"] > SLICE_SYMBOLS or len(state["keys"][0]) > FLUSH:
+                add_up()
+                if sum(len(keys) for keys, _ in state["runs"]) > FLUSH:
+                    state["runs"] = [merged()]
+            if state["long"] > SLICE_SYMBOLS or state["runs"] and len(state["runs"][0][0]) > FLUSH:
                 return send()
             return None
 
@@ -204,9 +243,45 @@ def count(docs: DataFrame, training: Column | None = None) -> tuple[DataFrame, D
 
     used = rows_with_number(docs, "doc_id", "text").withColumn(
         "training", F.coalesce(F.lit(True) if training is None else training, F.lit(False)))
-    sent = spool(over_texts(used, "text", None, _SENT, setup=setup), "slices", "zstd")
-    tokens = sent.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))
-    return spool(tokens, "tokens", "zstd"), sent.where("token IS NULL").drop("token")
+    return spool(over_texts(used, "text", None, _SENT, setup=setup), "slices", "zstd")
+
+
+def _tokens_of(block: pa.Table) -> tuple[pa.Array, np.ndarray, list[int], np.ndarray]:
+    """Of a block of tokens: the distinct ones, which they are slice after slice, the number of each slice's, and the sums of all counts."""
+    parts = [_spread(k) for k in block.column("keys").to_pylist()]
+    tokens, ids, _ = encoded(np.concatenate([p[0] for p in parts]))
+    n = np.concatenate([_unpacked(c) for c in block.column("counts").to_pylist()])
+    order = np.argsort(ids, kind="stable")
+    sums = np.add.reduceat(n[order], np.searchsorted(ids[order], np.arange(len(tokens))))
+    return tokens, ids, [p[1] for p in parts], sums
+
+
+def count(docs: DataFrame, training: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(``token, n`` of all training tokens, of which the end is a line feed; slices)."""
+    slices = cut(docs, training)
+
+    def unpack(block: pa.Table) -> pa.Table:
+        tokens, _, _, n = _tokens_of(block)
+        words = [t if t == b"\n" else t[:-1] for t in tokens.to_pylist()]
+        return pa.table({"token": [w.replace(bytes([NUL]), b"\0").decode("utf-8") for w in words], "n": n})
+
+    tokens = slices.where("kind = 'tokens'").select("block", "keys", "counts").groupBy("block").applyInArrow(unpack, "token string, n long")
+    return tokens.where("n > 0"), slices
+
+
+def token_counts(slices: DataFrame) -> DataFrame:
+    """Per slice and block of tokens the counts of its tokens (``value``), stored; ``n`` and ``v`` add up to all tokens and all distinct ones."""
+    ship_code(slices.sparkSession)
+
+    def add_up(block: pa.Table) -> pa.Table:
+        _, ids, sizes, n = _tokens_of(block)
+        parts = np.split(n[ids], np.cumsum(sizes)[:-1])
+        rest = [0] * (len(parts) - 1)
+        return pa.table({"slice": block.column("slice"), "block": block.column("block"), "value": [_packed(p) for p in parts],
+                         "n": [int(n.sum()), *rest], "v": [int((n > 0).sum()), *rest]})
+
+    return spool(slices.where("kind = 'tokens'").select("slice", "block", "keys", "counts").groupBy("block").applyInArrow(
+        add_up, "slice long, block long, value binary, n long, v long"), "tokens", "zstd")
 
 
 def _packed_keys(keys: np.ndarray) -> bytes:
@@ -240,7 +315,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _squeezed(raw: bytes, n: int) -> bytes:
-    return np.array([len(raw), n], "<i8").tobytes() + pa.Codec("zstd", compression_level=9).compress(raw, asbytes=True)
+    return np.array([len(raw), n], "<i8").tobytes() + pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
 
 
 def _spread(data: bytes) -> tuple[np.ndarray, int]:
@@ -248,6 +323,13 @@ def _spread(data: bytes) -> tuple[np.ndarray, int]:
     return np.frombuffer(pa.decompress(data[16:], size, "zstd"), np.uint8), n
 
 
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each occurs; sorts in place."""
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(first, append=len(keys))
+
+
 def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with the sums of their counts."""
     if not keys:
@@ -259,6 +341,20 @@ def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np
     return keys[first], np.add.reduceat(n[order], first)
 
 
+def _merged(runs: list[tuple[np.ndarray, np.ndarray]], piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """``_summed`` for runs of rising keys, in less memory."""
+    if len(runs) == 1:
+        return runs[0]
+    keys = np.concatenate([run[0] for run in runs])
+    keys.sort()
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+    sums = np.zeros(len(keys), np.int32)
+    for own, n in runs:
+        for at in range(0, len(own), piece):
+            sums[np.searchsorted(keys, own[at:at + piece])] += n[at:at + piece]
+    return keys, sums
+
+
 @dataclass
 class Tree:
     """Sorted contexts and entries of each depth."""
@@ -330,6 +426,7 @@ def grow(strings: DataFrame, min_count: int = MIN_COUNT, min_gain: float = MIN_G
                 yield pa.RecordBatch.from_arrays([pa.array(_unpacked_keys(keys).view(np.int64)), pa.array(_unpacked(counts))],
                                                  names=["key", "n"])
 
+    strings = strings.where("kind = 'strings'")
     first = (strings.where("block = -1").select("keys", "counts").mapInArrow(unpack, "key long, n long")
              .groupBy("key").agg(F.sum("n").alias("n")).toArrow())
     keys, n = (first.column(i).to_numpy().astype(t) for i, t in ((0, np.int64), (1, np.int64)))
@@ -400,6 +497,12 @@ def build(cells) -> Tree:
     return tree
 
 
+def collected(top: pa.Table, blocks: DataFrame) -> Tree:
+    """The whole tree; its rows come packed, as they lie in the blocks."""
+    deep = [_deep_rows(block) for block in blocks.select("context", "next", "n").toArrow().to_pylist()]
+    return build({c: np.concatenate([top.column(c).to_numpy(), *(rows[c] for rows in deep)]) for c in _CELLS.names})
+
+
 def log10_of(tree: Tree, strings: np.ndarray) -> np.ndarray:
     """log10 probability of the last byte of each string (as of ``grams``)."""
     return folded(tree, strings)[0]
@@ -436,17 +539,42 @@ def score_symbols(tree: Tree, syms: np.ndarray, piece: int = 1 << 18) -> np.ndar
     return np.concatenate([*found, np.zeros(0)])[place]
 
 
+def _pieces(starts: np.ndarray, piece: int) -> Iterator[tuple[int, int]]:
+    """Ranges of whole texts with some ``piece`` symbols each."""
+    at = 0
+    while at < len(starts) - 1:
+        to = max(at + 1, int(np.searchsorted(starts, starts[at] + piece, side="right")) - 1)
+        yield at, to
+        at = to
+
+
 def score_texts(tree: Tree, texts: list[str | None]) -> np.ndarray:
     syms, starts = symbols(texts)
     return np.add.reduceat(score_symbols(tree, syms), starts[:-1])
 
 
 def _longest(keys: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of one key for each longest context with its next byte, and which of them each key has."""
-    whole = U64(8) * (U64(8) - depth.astype(U64))
-    context = np.where(depth > 0, keys >> np.minimum(whole, U64(63)), U64(0))
-    # the newest byte of a history is not 0, so contexts of different depths are different numbers
-    return np.unique(context << U64(8) | keys & U64(255), return_index=True, return_inverse=True)[1:]
+    """Which of the distinct pairs of longest context and next byte each key (of rising ones) has, and the place of one key for each pair.
+
+    Pairs are numbered by depth, then by context and byte.
+    """
+    which = np.empty(len(keys), np.int64)
+    firsts, before = [np.zeros(0, np.int64)], 0
+    for d in np.flatnonzero(np.bincount(depth)).tolist():
+        own = np.flatnonzero(depth == d)
+        if d == DEPTH:
+            which[own], first = np.arange(before, before + len(own)), own
+        else:
+            context = keys[own] >> U64(8 * (8 - d)) if d else np.zeros(len(own), U64)
+            pairs = context << U64(8) | keys[own] & U64(255)
+            distinct = _counted(pairs.copy())[0]
+            place = np.searchsorted(distinct, pairs)
+            first = np.empty(len(distinct), np.int64)
+            first[place] = own
+            which[own] = place + before
+        firsts.append(first)
+        before += len(first)
+    return which, np.concatenate(firsts)
 
 
 def looked_up(top: pa.Table, blocks: DataFrame) -> DataFrame:
@@ -462,37 +590,87 @@ def looked_up(top: pa.Table, blocks: DataFrame) -> DataFrame:
                 own = build(_deep_rows(block))
                 tree = Tree(first.root, *(getattr(first, c)[:TOP_DEPTH] + getattr(own, c)[TOP_DEPTH:]
                                           for c in ("contexts", "back", "cells", "share")))
+                parts = [_unpacked_keys(packed) for packed in block["keys"]]
+                keys = _counted(np.concatenate(parts))[0]
+                p, depth = folded(tree, turned_back(keys))
+                which, one = _longest(keys, depth)
+                values = np.rint(-FINE * p[one]).astype(np.int64)
                 out = {"slice": block["slice"], "block": [block["block"]] * len(block["slice"]), "depth": [], "value": []}
-                for packed in block["keys"]:
-                    keys = _unpacked_keys(packed)
-                    p, depth = folded(tree, turned_back(keys))
-                    out["depth"].append(_squeezed(depth.tobytes(), len(depth)))
-                    out["value"].append(_packed(np.rint(-FINE * p[_longest(keys, depth)[0]]).astype(np.int64)))
+                for part in parts:
+                    at = np.searchsorted(keys, part)
+                    asked = np.zeros(len(values), bool)
+                    asked[which[at]] = True
+                    out["depth"].append(_squeezed(depth[at].tobytes(), len(at)))
+                    out["value"].append(_packed(values[asked]))
                 yield pa.RecordBatch.from_pydict(out, schema=arrow)
 
     return blocks.select("block", "slice", "keys", "context", "next", "n").mapInArrow(
         look, "slice long, block long, depth binary, value binary")
 
 
+class Places:
+    """Places of distinct keys, by tables of hashes; keys that share a hash go on to the next, smaller table."""
+
+    def __init__(self, keys: np.ndarray, rounds: int = 12):
+        self.tables, left = [], np.arange(len(keys), dtype=np.int32)
+        for r in range(rounds):
+            if not len(left):
+                break
+            factor, shift = mix(np.array([r + 1]))[0] | U64(1), U64(63 - len(left).bit_length())
+            slot = self._slot(keys[left], factor, shift)
+            table = np.full(2 << len(left).bit_length(), -1, np.int32)
+            table[slot] = left
+            table[slot[table[slot] != left]] = -1
+            self.tables.append((factor, shift, table))
+            left = left[table[slot] < 0]
+        self.rest, self.rest_keys = left, keys[left]
+
+    @staticmethod
+    def _slot(keys: np.ndarray, factor: np.uint64, shift: np.uint64) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys * factor) >> shift).view(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Places of keys, each of which is one of the known."""
+        out, left = np.full(len(keys), -1, np.int32), None
+        for table in self.tables:
+            if left is None:
+                out = table[2][self._slot(keys, *table[:2])]
+            else:
+                out[left] = table[2][self._slot(keys[left], *table[:2])]
+            left = np.flatnonzero(out < 0) if left is None else left[out[left] < 0]
+            if not len(left):
+                return out
+        out[left] = self.rest[np.searchsorted(self.rest_keys, keys[left])]
+        return out
+
+
 def slice_scores(found: pa.Table, blocks: int, syms: np.ndarray, starts: np.ndarray, piece: int = 1 << 20) -> np.ndarray:
     """Scores of a slice's texts, from its rows of ``looked_up``; some ``piece`` symbols are taken together."""
-    parts, at = [], 0
-    while at < len(starts) - 1:
-        to = max(at + 1, int(np.searchsorted(starts, starts[at] + piece, side="right")) - 1)
-        own = starts[at:to + 1] - starts[at]
-        distinct, place = np.unique(turned(grams(syms[starts[at]:starts[to]], own)), return_inverse=True)
-        parts.append((distinct, place.astype(np.int32), own[:-1]))
-        at = to
-    keys = np.unique(np.concatenate([p[0] for p in parts]))
-    block = block_of(keys, blocks)
-    order = np.argsort(block, kind="stable")
-    block = block[order]
+    def strings(at, to):
+        return turned(grams(syms[starts[at]:starts[to]], starts[at:to + 1] - starts[at]))
+
+    keys = _counted(np.concatenate([_counted(strings(*p))[0] for p in _pieces(starts, 4 * piece)]))[0]
+    order, ranges = _ranges(block_of(keys, blocks))
     values = np.zeros(len(keys), np.int64)
     for b, depth, value in zip(*(found.column(c).to_pylist() for c in ("block", "depth", "value")), strict=True):
-        own = order[slice(*np.searchsorted(block, [b, b + 1]))]
-        values[own] = _unpacked(value)[_longest(keys[own], _spread(depth)[0])[1]]
-    return np.concatenate([np.add.reduceat(values[np.searchsorted(keys, distinct)][place], own)
-                           for distinct, place, own in parts]) / -FINE
+        own = order[slice(*ranges[b])]
+        values[own] = _unpacked(value)[_longest(keys[own], _spread(depth)[0])[0]]
+    places = Places(keys)
+    return np.concatenate([np.add.reduceat(values[places.of(strings(at, to))], starts[at:to] - starts[at])
+                           for at, to in _pieces(starts, piece)]) / -FINE
+
+
+def base_figures(found: pa.Table, blocks: int, syms: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text of a slice: tokens, known tokens, and the sum of log10(c + 1); from its rows of ``token_counts``."""
+    tokens, ids, last = encoded(syms)
+    order, ranges = _ranges(token_block_of(tokens, blocks))
+    c = np.zeros(len(tokens), np.int64)
+    for b, value in zip(*(found.column(c).to_pylist() for c in ("block", "value")), strict=True):
+        c[order[slice(*ranges[b])]] = _unpacked(value)
+    first = np.searchsorted(last, starts)
+    return (np.diff(first), np.add.reduceat((c > 0).astype(np.int64)[ids], first[:-1]),
+            np.add.reduceat(np.log10(c + 1.0)[ids], first[:-1]))
 
 
 def score(df: DataFrame, training: Column, key: str = "doc_id", text: str = "text", min_count: int = MIN_COUNT,
@@ -500,85 +678,35 @@ def score(df: DataFrame, training: Column, key: str = "doc_id", text: str = "tex
     """Scores of all rows by a model of those for which ``training`` (a condition on ``doc_id``) holds."""
     spark = df.sparkSession
     used = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    counted, strings = count(used, training)
-    top, blocks = grow(strings, min_count, min_gain)
+    slices = cut(used, training)
+    counted = token_counts(slices)
+    n, v = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    top, blocks = grow(slices, min_count, min_gain)
     small = top.num_rows + (blocks.agg(F.sum("cells")).first()[0] or 0) <= broadcast_cells
-    tree = build(tree_rows(top, blocks).toPandas()) if small else None
-    words = counted.select("token", F.col("n").alias("c"))
-    n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    least = max(1, math.ceil(P_FREQUENT * n))
-    frequent = {r.token: r.c for r in words.where(F.col("c") >= least).collect()}
-    shared = spark.sparkContext.broadcast((tree and vars(tree), frequent))
-
-    def figures(rows, docs, syms, starts, scores):
-        """One row per text, and its rare tokens."""
-        known = shared.value[1]
-        end = known.get("\n")
-        out = {k: [] for k in ("row", "doc_id", "n_tokens", "n_known", "base", "score", "token", "k")}
-        at = starts.tolist()
-        row_, token_, k_ = out["row"], out["token"], out["k"]
-        for i, (row, doc) in enumerate(zip(rows, docs, strict=True)):
-            words_ = tokens_of(syms[at[i]:at[i + 1]])
-            base, n_known = 0.0, 0
-            before = len(row_)
-            for word, k in Counter(words_).items():
-                c = known.get(word)
-                if c is None:
-                    token_.append(word)
-                    k_.append(k)
-                else:
-                    base += k * math.log10(c + 1)
-                    n_known += k
-            if end is None:  # rare in a corpus of long texts
-                token_.append("\n")
-                k_.append(1)
-            else:
-                base += math.log10(end + 1)
-                n_known += 1
-            row_ += [row] * (len(token_) - before)
-            blank = [None] * (len(token_) - before)
-            for name in ("doc_id", "n_tokens", "n_known", "base", "score"):
-                out[name] += blank
-            row_.append(row)
-            token_.append(f"\n{row}")  # no token: keeps these rows apart from each other in the join
-            k_.append(0)
-            for name, value in (("doc_id", doc), ("n_tokens", len(words_) + 1), ("n_known", n_known),
-                                ("base", base), ("score", float(scores[i]))):
-                out[name].append(value)
-        return out
-
-    schema = ("row long, doc_id long, n_tokens long, n_known long, base double, score double, token string, k long")
-    if small:
-        def setup():
-            tree = Tree(**shared.value[0])
-
-            def each(rows):
-                syms, starts = symbols(rows["text"])
-                return figures(rows["row"], rows["doc_id"], syms, starts,
-                               np.add.reduceat(score_symbols(tree, syms), starts[:-1]))
-
-            return each, None
-
-        made = over_texts(rows_with_number(used, "doc_id", "text"), "text", None, schema, setup=setup)
-    else:
-        arrow = to_arrow_schema(T._parse_datatype_string(schema))
-
-        def finish(own: pa.Table, found: pa.Table) -> pa.Table:
-            rows, docs, ends, packed = (own.column(c)[0].as_py() for c in ("row", "doc_id", "ends", "text"))
-            blocks = own.column("n")[0].as_py()
-            starts = np.array([0, *ends])
-            syms = _spread(packed)[0]
-            return pa.Table.from_batches([as_batch(figures(rows, docs, syms, starts, slice_scores(found, blocks, syms, starts)), arrow)])
-
-        texts = strings.where("text IS NOT NULL").select("slice", "row", "doc_id", "ends", "text", "n")
-        made = texts.groupBy("slice").cogroup(looked_up(top, blocks).groupBy("slice")).applyInArrow(finish, schema)
-    rare = words.where(F.col("c") < least)
-    summed = made.join(rare, "token", "left").groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("n_known") + F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0))).alias("n_known"),
-        (F.max("base") + F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 1.0))).alias("base"),
-        F.max("score").alias("score"))
-    return summed.select(
+    shared = spark.sparkContext.broadcast(vars(collected(top, blocks)) if small else None)
+    schema = "row long, doc_id long, n_tokens long, n_known long, base double, score double"
+    arrow = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def finish(own: pa.Table, found: pa.Table) -> pa.Table:
+        rows, docs, ends, packed, blocks = (own.column(c)[0].as_py() for c in ("row", "doc_id", "ends", "text", "n"))
+        starts = np.array([0, *ends])
+        syms = _spread(packed)[0]
+        of_tokens = found.column("depth").is_null()
+        n_tokens, n_known, base = base_figures(found.filter(of_tokens), blocks, syms, starts)
+        if small:
+            tree = Tree(**shared.value)
+            scores = np.concatenate([np.add.reduceat(score_symbols(tree, syms[starts[a]:starts[b]]), starts[a:b] - starts[a])
+                                     for a, b in _pieces(starts, 1 << 20)])
+        else:
+            scores = slice_scores(found.filter(pc.invert(of_tokens)), blocks, syms, starts)
+        return pa.Table.from_batches([as_batch({"row": rows, "doc_id": docs, "n_tokens": n_tokens, "n_known": n_known,
+                                                "base": base, "score": scores}, arrow)])
+
+    found = counted.select("slice", "block", F.lit(None).cast("binary").alias("depth"), "value")
+    found = found if small else found.unionByName(looked_up(top, blocks))
+    texts = slices.where("kind = 'texts'").select("slice", "row", "doc_id", "ends", "text", "n")
+    made = texts.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(finish, schema)
+    return made.select(
         "row", "doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * F.lit(math.log10(n + v + 1))).alias("base_score"), "score")
 

@@ -150,3 +150,39 @@ def test_a_large_tree_is_asked_by_slices_not_by_texts(spark, monkeypatch):
     assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-5)     # each symbol within half of 1e-8
     pairs = sum(len(np.unique(lm.grams(*lm.symbols([t])))) for t in texts)
     assert max(t.count() for t in stored) < pairs / 4
+
+
+def test_tokens_and_trees_come_packed(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 4000, 200)) for _ in range(200)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    train = F.col("doc_id") % 5 != 2
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 20_000)
+    made, cells = lm.score(docs, train, min_count=4, broadcast_cells=0), len(texts)
+    # no row per text and rare token on the way: tokens are counted and answered in blocks, once per slice
+    assert " Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.doc_id: r for r in made.collect()}
+    known = {w for i, t in enumerate(texts) if i % 5 != 2 for w in [*(t or "").split(), "\n"]}
+    assert len(got) == cells
+    for i, t in enumerate(texts):
+        words = [*(t or "").split(), "\n"]
+        assert (got[i].n_tokens, got[i].n_known) == (len(words), sum(w in known for w in words))
+    # a tree to be broadcast is not collected entry by entry
+    monkeypatch.setattr(lm, "tree_rows", None)
+    near = {r.doc_id: r.score for r in lm.score(docs, train, min_count=4).collect()}
+    assert near == pytest.approx({k: r.score for k, r in got.items()}, abs=1e-4)
+
+
+def test_places_and_merged_runs():
+    rng = np.random.default_rng(8)
+    keys = np.unique(rng.integers(0, 1 << 62, 30_000).astype(np.uint64))
+    asked = rng.integers(0, len(keys), 50_000)
+    for rounds in (12, 1, 0):
+        assert np.array_equal(lm.Places(keys, rounds).of(keys[asked]), asked)
+    assert len(lm.Places(keys[:0]).of(keys[:0])) == 0
+    runs = [np.unique(rng.integers(0, 500, 300).astype(np.uint64), return_counts=True) for _ in range(3)]
+    want, n = lm._summed(*zip(*runs, strict=True))
+    got = lm._merged(runs, piece=7)
+    assert np.array_equal(got[0], want) and np.array_equal(got[1], n)
