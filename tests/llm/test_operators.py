@@ -130,6 +130,15 @@ def test_repeats(spark, docs, none):
     assert suffixes.remove_repeats(none).count() == 0
 
 
+def test_texts_of_one_pattern_are_not_repeats(spark):
+    order = [bin(i).count("1") % 2 for i in [*range(256), *range(128)]]
+    texts = ["".join(("N" if i == 192 else "x") + pair[j] for i, j in enumerate(order)) for pair in (",@", "@,", "Mf", "fM")]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (4_000_000, 500):
+        got = suffixes.remove_repeats(table, block_bytes=block).collect()
+        assert sorted((r.doc_id, r.n_bytes, r.n_removed) for r in got) == [(i, 768, 0) for i in range(4)]
+
+
 def test_quality_language_and_personal_data(docs, none, rows):
     for made in (quality.clean_lines(docs), langid.identify(docs, langid.train(docs), keep=("doc_id",)),
                  pii.find(docs, pii.train(docs))):

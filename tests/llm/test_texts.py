@@ -177,6 +177,41 @@ def test_block_sorting_is_brute_force():
     assert first[0] == 0 and last[-1] == len(data) - 400 and (first[1:] == last[:-1] + 1).all() and inner.any()
 
 
+def woven(a: bytes, b: bytes) -> bytes:
+    """768 bytes: a and b in the order of the Thue-Morse sequence between x, and one N; no 400 bytes come twice."""
+    order = np.bitwise_count(np.arange(256)) % 2
+    out = bytearray(b"x" * 768)
+    out[384:385] = b"N"
+    out[1::2] = bytes([(a, b)[i][0] for i in [*order, *order[:128]]])
+    return bytes(out)
+
+
+@pytest.mark.parametrize("pair", [(b",", b"@"), (b"M", b"f"), (b"!", b"&"), (b"e", b"t")])
+def test_woven_runs_keep_their_own_fingerprints(pair):
+    one, two = woven(*pair), woven(*reversed(pair))
+    assert not {one[i:i + 400] for i in range(369)} & {two[i:i + 400] for i in range(369)}
+    prints = [{(int(a), int(b)) for a, b in zip(*suffixes.runs_of(np.frombuffer(t, np.uint8))[4:], strict=True)} for t in (one, two)]
+    assert not prints[0] & prints[1]
+
+
+def test_starts_whose_keys_meet_by_chance_are_told_apart(monkeypatch):
+    rng = np.random.default_rng(7)
+    base = rng.integers(97, 123, 1200).astype(np.uint8)
+    data = np.concatenate([base, rng.integers(97, 123, 800).astype(np.uint8), base])
+    starts = np.arange(len(data) - 399)
+    monkeypatch.setattr(suffixes, "mix", lambda x: np.asarray(x, np.uint64) & np.uint64(1))
+    assert suffixes.repeated_starts(data, starts).tolist() == brute_starts(data, starts, 400)
+
+
+@pytest.mark.parametrize("text", [b"a" * 3000, b"ab" * 900, b"xyz" * 300 + b"a" * 900 + b"xyz" * 300, bytes(range(256)) * 4])
+def test_runs_know_whether_their_least_gram_comes_twice(text):
+    data = np.frombuffer(text, np.uint8)
+    key, first, last, inner, *_ = suffixes.runs_of(data)
+    grams = suffixes.mix(suffixes.doubled(data, suffixes.GRAM))
+    want = [(grams[a:b + 400 - suffixes.GRAM + 1] == k).sum() > 1 for k, a, b in zip(key, first, last, strict=True)]
+    assert inner.tolist() == want
+
+
 @pytest.mark.parametrize("text", ODD + ["l one.\nl one.\n" + "word " * 60, "a b c a b c x a b c"])
 def test_quality_counts(text):
     got = quality.judge(text)
