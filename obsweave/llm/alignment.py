@@ -6,7 +6,8 @@
    Offsets where tokens of both end cut the text into groups.  A text whose joined bytes of either differ from
    the space and the text has no tokens.
 2. Parts between safe cuts (``units``) are aligned once per task, thousands as one text, and added up.  Where that text's bytes are not
-   kept, or a part is very long, parts are aligned one by one.
+   kept, or a part is very long, parts are aligned one by one.  A task that has met many parts keeps those that a later slice
+   wanted again.
 3. A slice of texts (about 2 MB) becomes one stored row: figures per document, the distinct id pairs of the slice and, per
    document, which of them it links how often.  The pairs of all slices, with the number of their
    documents, are summed corpus-wide; the highest count per id of A is taken over at most all ids of B.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import spool
-from .common import over_texts, ship_code, table
+from .common import SLICE_BYTES, over_texts, ship_code, table
 from .packing import byte_alphabet, vocabulary_path
 from .units import UnitCache, pieces_keep_spaces, units_of
 
@@ -42,8 +44,12 @@ BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SHIFT = 20
 #: Parts aligned as one text; longer parts are aligned on their own.
 AT_ONCE, LONG = 4000, 400
-#: Characters of parts that a task remembers.
-CACHE_CHARS = 5_000_000
+#: Characters of parts that a task remembers (about 45 bytes of memory each).
+CACHE_CHARS = 2_500_000
+#: Parts of a slice whose pairs are summed at once; a longer document is summed as one.
+PARTS = 40_000
+#: Bytes of rows that a task is sent at once: nearly four slices, so that none is cut short.
+BATCH_BYTES = 39 * SLICE_BYTES // 10
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -169,8 +175,19 @@ def _counted(unit: np.ndarray, key: np.ndarray) -> tuple[tuple[np.ndarray, np.nd
     return (both >> low, both & ((1 << low) - 1)), times
 
 
+def _places(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places of ranges with these starts and lengths, one range after the other."""
+    return np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)
+
+
+def _grown(x: np.ndarray, least: int) -> np.ndarray:
+    out = np.zeros((max(least, 3 * len(x) // 2), *x.shape[1:]), x.dtype)
+    out[:len(x)] = x
+    return out
+
+
 class _Table:
-    """What is known of the units, in growing arrays: figures, group texts, pairs."""
+    """What is known of the units, in growing arrays: figures, group texts, pairs, and which a later slice wanted again."""
 
     def __init__(self, aligner: Aligner):
         self.aligner = aligner
@@ -179,11 +196,23 @@ class _Table:
     def forget(self):
         self.n = self.m = 0
         self.figures = np.zeros((1024, 4), np.int64)
-        self.kept = np.zeros(1024, bool)
+        self.kept, self.again = np.zeros(1024, bool), np.zeros(1024, bool)
         self.first = np.zeros(1025, np.int64)
         self.pairs, self.times = np.zeros(4096, np.int64), np.zeros(4096, np.int64)
         self.texts: list[bytes] = []
 
+    def keep(self, units: np.ndarray) -> None:
+        """Only these units stay; they are numbered anew in this order."""
+        count = self.first[units + 1] - self.first[units]
+        flat = _places(self.first[units], count)
+        figures, kept, pairs, times = self.figures[units], self.kept[units], self.pairs[flat], self.times[flat]
+        texts = [self.texts[i] for i in units.tolist()]
+        self.forget()
+        self._room(len(units), len(flat))
+        self.n, self.m, self.texts = len(units), len(flat), texts
+        self.figures[:self.n], self.kept[:self.n], self.first[1:self.n + 1] = figures, kept, np.cumsum(count)
+        self.pairs[:self.m], self.times[:self.m] = pairs, times
+
     def add(self, units: list[str]) -> list[int]:
         numbers: dict[str, int] = {}
         alone = [u for u in units if len(u) > LONG]
@@ -201,12 +230,11 @@ class _Table:
         return [numbers[u] for u in units]
 
     def _room(self, units: int, pairs: int) -> None:
-        while self.n + units >= len(self.kept):
-            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
-            self.kept = np.concatenate([self.kept, np.zeros_like(self.kept)])
-            self.first = np.concatenate([self.first, np.zeros(len(self.first) - 1, np.int64)])
-        while self.m + pairs > len(self.pairs):
-            self.pairs, self.times = (np.concatenate([x, np.zeros_like(x)]) for x in (self.pairs, self.times))
+        if (least := self.n + units + 1) > len(self.kept):
+            self.figures, self.kept, self.again, self.first = (
+                _grown(x, least) for x in (self.figures, self.kept, self.again, self.first))
+        if (least := self.m + pairs) > len(self.pairs):
+            self.pairs, self.times = _grown(self.pairs, least), _grown(self.times, least)
 
     def _many(self, units: list[str]) -> bool:
         """Add parts that are aligned as one text; False (and nothing added) where its bytes are not kept."""
@@ -270,6 +298,48 @@ class _Table:
         self.texts.append(";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups or []).encode())
 
 
+def _trim(known: _Table, cache: UnitCache) -> None:
+    """Both keep what was wanted again, or nothing if that is more than half of what may be kept."""
+    wanted = {u: i for u, i in cache.items() if known.again[i]}
+    chars = sum(map(len, wanted))
+    if 2 * chars > cache.limit:
+        wanted, chars = {}, 0
+    known.keep(np.fromiter(wanted.values(), np.int64, len(wanted)))
+    cache.clear()
+    cache.update(zip(wanted, range(len(wanted)), strict=True))  # numbers of parts are places in the table
+    cache.chars = chars
+
+
+def _pairs_of(known: _Table, doc: np.ndarray, unit: np.ndarray, n: int) -> dict[str, list]:
+    """The distinct pairs of documents that are made of known units, and how often each document links which."""
+    used = np.flatnonzero(np.bincount(unit, minlength=known.n))
+    at = np.zeros(known.n, np.int64)
+    at[used] = np.arange(len(used))
+    count = known.first[used + 1] - known.first[used]
+    flat = _places(known.first[used], count)
+    keys, place = np.unique(known.pairs[flat], return_inverse=True)
+    times, starts = known.times[flat], np.cumsum(count) - count
+    sizes, places, sums, start = np.zeros(n, np.int64), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+    while start < len(doc):
+        stop = len(doc)
+        if start + PARTS < stop and (stop := int(np.searchsorted(doc, doc[start + PARTS]))) <= start:
+            stop = int(np.searchsorted(doc, doc[start], side="right"))
+        both, many = np.unique(doc[start:stop] * len(used) + at[unit[start:stop]], return_counts=True)
+        owner, which = both // len(used), both % len(used)
+        flat = _places(starts[which], count[which])
+        both = np.repeat(owner * len(keys), count[which]) + place[flat]
+        order = np.argsort(both)
+        both = both[order]
+        new = np.flatnonzero(np.diff(both, prepend=-1))
+        sums.append(np.add.reduceat((np.repeat(many, count[which]) * times[flat])[order], new) if len(new) else new)
+        sizes += np.bincount(both[new] // max(1, len(keys)), minlength=n)
+        places.append((both[new] % max(1, len(keys))).astype(np.int32))
+        start = stop
+    pair = np.concatenate(places)
+    return {"ends": [np.cumsum(sizes).tolist()], "pair": [pair], "times": [np.concatenate(sums)], "keys": [keys],
+            "docs": [np.bincount(pair, minlength=len(keys))]}
+
+
 _SLICE = ("slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
           "groups_sha256 array<string>, ends array<int>, pair array<int>, times array<long>, keys array<long>, docs array<int>")
 
@@ -286,13 +356,14 @@ def _slices(df: DataFrame, byte_level: str, pieces: str, key: str, text: str) ->
         def each(rows):
             n = len(rows["text"])
             lists = [(units_of(t) if aligner.divisible else [t]) if t else [] for t in rows["text"]]
-            if cache.chars > cache.limit:  # numbers of parts are places in the table: both start anew
-                known.forget()
-                cache.clear()
-                cache.chars = 0
+            if cache.chars > cache.limit:
+                _trim(known, cache)
+            before = known.n
             cache.learn(lists)
             sizes = np.fromiter(map(len, lists), np.int64, n)
             unit = np.fromiter(map(cache.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
+            del lists
+            known.again[unit[unit < before]] = True
             doc = np.repeat(np.arange(n), sizes)
             lost = np.bincount(doc, ~known.kept[unit], n) > 0
             unit, doc = unit[~lost[doc]], doc[~lost[doc]]
@@ -301,17 +372,9 @@ def _slices(df: DataFrame, byte_level: str, pieces: str, key: str, text: str) ->
             numbers = unit.tolist()
             digests = ["" if b == e else hashlib.sha256(b";".join(map(known.texts.__getitem__, numbers[b:e]))).hexdigest()
                        for b, e in zip(bounds[:-1], bounds[1:], strict=True)]
-            count = known.first[unit + 1] - known.first[unit]
-            flat = np.arange(count.sum()) + np.repeat(known.first[unit] - (np.cumsum(count) - count), count)
-            owner = np.repeat(doc, count)
-            keys, place = np.unique(known.pairs[flat], return_inverse=True)
-            both, which = np.unique(owner * max(1, len(keys)) + place, return_inverse=True)
-            times = np.zeros(len(both), np.int64)
-            np.add.at(times, which, known.times[flat])
-            owner, place = both // max(1, len(keys)), both % max(1, len(keys))
+            del numbers
             out = {"slice": [base + seen[0]], "doc_id": [rows["doc_id"]], "groups_sha256": [digests],
-                   "ends": [np.searchsorted(owner, np.arange(n), side="right").tolist()], "pair": [place], "times": [times],
-                   "keys": [keys], "docs": [np.bincount(place, minlength=len(keys))]}
+                   **_pairs_of(known, doc, unit, n)}
             out |= {name: [f] for name, f in zip(FIGURES, figures, strict=True)}
             seen[0] += 1
             return out
@@ -331,12 +394,25 @@ def pair_counts(made: DataFrame) -> DataFrame:
     return counts.withColumn("best", F.max("n").over(Window.partitionBy("a")))
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, limit: int):
+    """Within, tasks are sent ``limit`` bytes of rows at once (by default up to 64 MB, held in the JVM and twice in Python)."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, f"{limit}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def align(df: DataFrame, byte_level: str | None = None, pieces: str | None = None, key: str = "doc_id",
           text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(per document: figures and digest; per pair of ids: ``a``, ``b``, ``n``, ``best``).  Stores the slices and the counts."""
     ship_code(df.sparkSession)
-    made = spool(_slices(df, byte_level or vocabulary_path(BYTE_LEVEL), pieces or vocabulary_path(PIECES), key, text),
-                 "slices", "zstd")
+    with _batches_of(df.sparkSession, BATCH_BYTES):
+        made = spool(_slices(df, byte_level or vocabulary_path(BYTE_LEVEL), pieces or vocabulary_path(PIECES), key, text),
+                     "slices", "zstd")
     counts = spool(pair_counts(made), "pairs", "zstd")
     wanted = made.select(F.col("slice").alias("of"), F.explode("keys").alias("key"))
     found = wanted.join(counts.select("key", "n", "best"), "key").select("of", "key", "n", "best")

@@ -6,8 +6,10 @@ import functools
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -382,3 +384,62 @@ def test_parts_aligned_together_read_each_piece_once_and_sort_no_tokens(monkeypa
     known = alignment._Table(aligner)
     assert known.add(parts) == list(range(len(parts))) and known.texts == want
     assert len(rounds) == 1
+
+
+# -- alignment within a bounded memory ---------------------------------------------------------------
+
+def one_task(spark, monkeypatch):
+    """What a task does with a slice of rows."""
+    monkeypatch.setattr(alignment, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(alignment, "over_texts", lambda *args, setup: setup()[0])
+    return alignment._slices(documents(spark, []), packing.vocabulary_path(alignment.BYTE_LEVEL),
+                             packing.vocabulary_path(alignment.PIECES), "doc_id", "text")
+
+
+def test_a_task_keeps_the_parts_wanted_again_and_counts_all(spark, monkeypatch):
+    made, add, rng = [], alignment._Table.add, random.Random(3)
+    monkeypatch.setattr(alignment, "CACHE_CHARS", 2000)
+    monkeypatch.setattr(alignment, "PARTS", 50, raising=False)
+    monkeypatch.setattr(alignment._Table, "add", lambda self, units: made.extend(units) or add(self, units))
+    each = one_task(spark, monkeypatch)
+    common = [f"naïve{i}word" for i in range(60)]
+    for k in range(12):
+        words = common + [f"new{k}-{j}z" for j in range(40)]
+        texts = [None, " ".join(rng.sample(words, 100)), "", " ".join(rng.choices(words, k=30)), " ".join(rng.choices(words, k=9))]
+        out = {name: x[0] for name, x in each({"doc_id": [*range(5)], "text": texts}).items()}
+        held, ends = Counter(), [0, *out["ends"]]
+        for i, groups in enumerate(map(plain_groups, texts)):
+            linked = Counter(x << alignment.SHIFT | y for a, b in groups for x in a for y in b)
+            held.update(linked.keys())
+            own = slice(ends[i], ends[i + 1])
+            pairs = [out["keys"][p] for p in out["pair"][own]]
+            assert len(pairs) == len(set(pairs)) and dict(zip(pairs, out["times"][own], strict=True)) == linked
+            assert [out[c][i] for c in alignment.FIGURES] == [
+                sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), sum(linked.values())]
+            text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+            assert out["groups_sha256"][i] == (hashlib.sha256(text.encode()).hexdigest() if groups else "")
+        assert dict(zip(out["keys"], out["docs"], strict=True)) == held and list(out["keys"]) == sorted(held)
+    assert len(made) == len(set(made)) == 60 + 12 * 40
+
+
+def test_memory_of_a_slice(spark, monkeypatch):
+    each, rng = one_task(spark, monkeypatch), random.Random(3)
+    words = [f"q{i}x;z{i}-j{i}" for i in range(50)]
+    rows = {"doc_id": [*range(200)], "text": [" ".join(rng.choices(words, k=800)) for _ in range(200)]}
+    each({"doc_id": [0], "text": [" ".join(words)]})
+    tracemalloc.start()
+    out = each(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(out["n_links"][0]) > 1_500_000
+    assert peak < 60_000_000
+
+
+def test_tasks_are_sent_a_few_slices_at_once(spark, monkeypatch):
+    name, seen, spool = "spark.sql.execution.arrow.maxBytesPerBatch", {}, alignment.spool
+    monkeypatch.setattr(alignment, "spool", lambda df, label, *args: (
+        seen.setdefault(label, spark.conf.get(name)), spool(df, label, *args))[1])
+    before = spark.conf.get(name)
+    assert alignment.align(documents(spark, [(1, "a b", None)]))[0].count() == 1
+    assert 2_000_000 <= int(seen["slices"].removesuffix("b")) < 10_000_000
+    assert seen["pairs"] == spark.conf.get(name) == before
