@@ -50,6 +50,8 @@ CACHE_CHARS = 2_500_000
 PARTS = 40_000
 #: Bytes of rows that a task is sent at once: nearly four slices, so that none is cut short.
 BATCH_BYTES = 39 * SLICE_BYTES // 10
+#: Stored slices (of about 3 MB) that are written or read at once.
+GROUP_ROWS = 8
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -412,7 +414,7 @@ def align(df: DataFrame, byte_level: str | None = None, pieces: str | None = Non
     ship_code(df.sparkSession)
     with _batches_of(df.sparkSession, BATCH_BYTES):
         made = spool(_slices(df, byte_level or vocabulary_path(BYTE_LEVEL), pieces or vocabulary_path(PIECES), key, text),
-                     "slices", "zstd")
+                     "slices", "zstd", GROUP_ROWS)
     counts = spool(pair_counts(made), "pairs", "zstd")
     wanted = made.select(F.col("slice").alias("of"), F.explode("keys").alias("key"))
     found = wanted.join(counts.select("key", "n", "best"), "key").select("of", "key", "n", "best")

@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -443,3 +444,14 @@ def test_tasks_are_sent_a_few_slices_at_once(spark, monkeypatch):
     assert alignment.align(documents(spark, [(1, "a b", None)]))[0].count() == 1
     assert 2_000_000 <= int(seen["slices"].removesuffix("b")) < 10_000_000
     assert seen["pairs"] == spark.conf.get(name) == before
+
+
+def test_stored_slices_are_written_and_read_a_few_at_once(spark, monkeypatch):
+    made, spool = {}, alignment.spool
+    monkeypatch.setattr(alignment, "spool", lambda df, label, *args: made.setdefault(label, spool(df, label, *args)))
+    text = "internationalisation " * 50_000
+    df = documents(spark, [(i, text, None) for i in range(10)]).coalesce(1)
+    assert alignment.align(df)[0].where("doc_id is not null and n_a > 50000").count() == 10
+    groups = [m.row_group(i).num_rows for f in made["slices"].inputFiles()
+              for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for i in range(m.num_row_groups)]
+    assert sum(groups) == 10 and max(groups) <= 8
